@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only what has a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, row_bound: int | None, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast when ``row_bound`` is known and <= ``max_rows``.
+
+    ``row_bound`` must be an upper bound that was *computed* (a count, or a
+    count times a constant), never a guess. Without it the side stays a
+    normal join input: the static planner and AQE pick the strategy from
+    measured shuffle sizes, and AQE's skew-join split handles hot keys.
+    """
+    if row_bound is not None and row_bound <= max_rows:
+        return F.broadcast(df)
+    return df
