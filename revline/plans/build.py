@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from revline.operators import recommend as rec
 from revline.operators.sentiment import ScorerFactory, append_scores, sentiment_table
-from revline.plans import marts, staging
+from revline.plans import marts, reports, staging
 from revline.sources import testdata
 
 
@@ -88,6 +88,23 @@ class ReviewMarts:
             F.coalesce(F.col("review_text"), F.col("summary"), F.lit("")).alias("text"))
         return append_scores(f, "text", self.scorer)
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        """(review_id, item_id, score, sentiment_label, sentiment_score) rows."""
+        if self._sentiment is not None:
+            return reports.fact_join_scores(self.fact_reviews, self._sentiment)
+        return self.scored_fact
+
+    def models(self) -> dict[str, DataFrame]:
+        """Every table of the graph by name (inputs of the data-quality suite)."""
+        return {
+            "raw_items": self.raw_items, "raw_reviews": self.raw_reviews, "raw_users": self.raw_users,
+            "stg_items": self.stg_items, "stg_reviews": self.stg_reviews, "stg_users": self.stg_users,
+            "dim_item": self.dim_item, "dim_user": self.dim_user, "dim_date": self.dim_date,
+            "fact_reviews": self.fact_reviews, "sentiment": self.sentiment,
+            "recommendations": self.recommendations,
+        }
+
     def stats_with_min(self, min_reviews: int | None) -> DataFrame:
         if self._sentiment is not None:
             return rec.item_sentiment_stats(self.fact_reviews, self._sentiment, min_reviews)

@@ -106,3 +106,88 @@ CATALOGUE = {
     "q_recommendations": q_recommendations,
     "q_recommendations_min30": q_recommendations_min30,
 }
+
+
+# --- reports ------------------------------------------------------------------------
+
+from revline.operators import quality  # noqa: E402
+from revline.plans import reports  # noqa: E402
+
+LOOKUP_ITEM = 7          # point lookups (R2, R4) on one item: the lookup is the feature
+MISSING_ITEM = -1        # an id without rows: R4 still answers one row
+
+
+def q_item_list(spark, sf):
+    return reports.item_list(_marts(spark, sf).dim_item)
+
+
+def q_recs_for_item(spark, sf):
+    return reports.recs_for_item(_marts(spark, sf).recommendations, LOOKUP_ITEM)
+
+
+def q_display_recs(spark, sf):
+    return reports.display_recs(reports.recs_for_item(_marts(spark, sf).recommendations, LOOKUP_ITEM))
+
+
+def q_sentiment_by_tag(spark, sf):
+    m = _marts(spark, sf)
+    return reports.sentiment_by_tag(m.scored, m.dim_item)
+
+
+def q_item_stats_all(spark, sf):
+    return reports.item_stats_all(_marts(spark, sf).scored)
+
+
+def q_stats_for_item(spark, sf):
+    return reports.stats_for_item(_marts(spark, sf).scored, LOOKUP_ITEM)
+
+
+def q_stats_for_missing_item(spark, sf):
+    return reports.stats_for_item(_marts(spark, sf).scored, MISSING_ITEM)
+
+
+# --- data quality -------------------------------------------------------------------
+
+
+def q_dq_not_null(spark, sf):
+    m = _marts(spark, sf)
+    return quality.not_null_failures(m.fact_reviews, ["review_id", "item_id", "user_id", "date_id", "score"])
+
+
+def q_dq_unique(spark, sf):
+    return quality.unique_failures(_marts(spark, sf).raw_reviews, "review_id")
+
+
+def q_dq_relationships(spark, sf):
+    m = _marts(spark, sf)
+    return quality.relationship_failures(m.fact_reviews, "user_id", m.dim_user, "user_id")
+
+
+def q_dq_range(spark, sf):
+    return quality.range_failures(_marts(spark, sf).stg_reviews, "score", 1, 100).select("review_id", "score")
+
+
+def q_dq_range_raw(spark, sf):
+    return quality.range_failures(_marts(spark, sf).raw_reviews, "score", 1, 100).select("review_id", "score")
+
+
+def q_dq_report(spark, sf):
+    m = _marts(spark, sf)
+    return quality.dq_report(quality.default_checks(), m.models())
+
+
+CATALOGUE.update({
+    "q_item_list": q_item_list,
+    "q_recs_for_item": q_recs_for_item,
+    "q_display_recs": q_display_recs,
+    "q_sentiment_by_tag": q_sentiment_by_tag,
+    "q_item_stats_all": q_item_stats_all,
+    "q_stats_for_item": q_stats_for_item,
+    "q_stats_for_missing_item": q_stats_for_missing_item,
+    "q_dq_not_null": q_dq_not_null,
+    "q_dq_unique": q_dq_unique,
+    "q_dq_relationships": q_dq_relationships,
+    "q_dq_range": q_dq_range,
+    "q_dq_range_raw": q_dq_range_raw,
+    "q_dq_report": q_dq_report,
+})
