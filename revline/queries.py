@@ -191,3 +191,169 @@ CATALOGUE.update({
     "q_dq_range_raw": q_dq_range_raw,
     "q_dq_report": q_dq_report,
 })
+
+
+# --- sources, landing, dedup, top-k ------------------------------------------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+from revline.operators import sentiment as sent  # noqa: E402
+from revline.operators.dedup import keep_first, keep_latest  # noqa: E402
+from revline.operators.topk import newest_k, top_items  # noqa: E402
+from revline.schemas import ITEM_PAYLOAD, REVIEW_PAYLOAD  # noqa: E402
+from revline.session import scratch_path  # noqa: E402
+from revline.sources import files, landing, testdata  # noqa: E402
+
+
+def _json_roundtrip(df: DataFrame, schema) -> DataFrame:
+    """Serialise records to JSON text and parse them back with a fixed schema."""
+    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    return js.select(F.from_json("j", schema).alias("r")).select("r.*")
+
+
+def q_flatten_items(spark, sf):
+    payload = testdata.item_payloads(testdata.table(spark, sf, "part"))
+    return _flat(landing.flatten_items(_json_roundtrip(payload, ITEM_PAYLOAD)))
+
+
+def q_flatten_reviews(spark, sf):
+    payload = testdata.review_payloads(testdata.table(spark, sf, "lineitem")).drop("_loaded_at")
+    return landing.flatten_reviews(_json_roundtrip(payload, REVIEW_PAYLOAD))
+
+
+def q_users_from_reviews(spark, sf):
+    return testdata.raw_users(testdata.table(spark, sf, "lineitem")).drop("loaded_at")
+
+
+def q_landing_roundtrip(spark, sf):
+    """Land two daily snapshots, read the newest by name, flatten, load.
+
+    The older snapshot carries a marker description; only the newer one may
+    come back. Records are loaded first-row-per-id in landing order.
+    """
+    root = scratch_path(spark, "landing")
+    payload = testdata.item_payloads(testdata.table(spark, sf, "part"))
+    landing.write_snapshot(payload.withColumn("description", F.lit("stale")), root, "items", "2024-01-01")
+    landing.write_snapshot(payload, root, "items", "2024-01-02")
+    raw = landing.with_ingest_order(landing.read_latest(spark, root, "items", ITEM_PAYLOAD))
+    flat = landing.flatten_items(raw, extra=["__ingest"])
+    loaded = landing.load_items(flat, keep_first_by=("__ingest",))
+    return _flat(loaded.drop("loaded_at"))
+
+
+ITEM_LIST_SCHEMA = T.StructType([
+    T.StructField("item_id", T.LongType()), T.StructField("title", T.StringType()),
+    T.StructField("title_display", T.StringType()), T.StructField("tag_primary", T.StringType()),
+    T.StructField("avg_score", T.DoubleType()), T.StructField("release_year", T.IntegerType()),
+])
+
+
+def q_csv_roundtrip(spark, sf):
+    """Export the item list as CSV (parallel part files) and read it back."""
+    path = scratch_path(spark, "export") + "/item_list"
+    files.export_csv(reports.item_list(_marts(spark, sf).dim_item), path)
+    return files.read_csv(spark, path, ITEM_LIST_SCHEMA)
+
+
+def q_latest_snapshot(spark, sf):
+    """Events of the newest day (events as daily snapshots): one scalar, then a
+    literal filter the scan can use."""
+    ev = testdata.table(spark, sf, "events")
+    day = ev.agg(F.max(F.to_date("ts")).alias("d")).first()["d"]
+    return ev.filter(F.to_date("ts") == F.lit(day))
+
+
+_LINE_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus"]
+
+
+def q_keep_first(spark, sf):
+    li = testdata.table(spark, sf, "lineitem")
+    return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+def q_keep_latest(spark, sf):
+    ev = testdata.table(spark, sf, "events")
+    return keep_latest(ev, ["user_id"], ["ts"])
+
+
+def q_top_items(spark, sf):
+    return _flat(top_items(_marts(spark, sf).stg_items, 50, status="STANDARD"))
+
+
+def q_newest_k(spark, sf):
+    r = _marts(spark, sf).stg_reviews
+    return newest_k(r, ["item_id"], [F.col("review_date").desc(), F.col("review_id").desc()], 5,
+                    rank_col="pos")
+
+
+def q_newest_k_events(spark, sf):
+    ev = testdata.table(spark, sf, "events")
+    return newest_k(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 5, rank_col="pos")
+
+
+def q_label_map(spark, sf):
+    li = testdata.table(spark, sf, "lineitem")
+    raw = (F.when(F.col("l_returnflag") == "A", F.lit("LABEL_2"))
+           .when(F.col("l_returnflag") == "R", F.lit("LABEL_0"))
+           .when(F.col("l_linestatus") == "O", F.lit("mixed"))
+           .otherwise(F.lit("neutral")))
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("review_id"),
+                     raw.alias("raw_label")).withColumn("sentiment_label", sent.normalise_label(F.col("raw_label")))
+
+
+def q_truncate_text(spark, sf):
+    from revline.functions.scalars import text_prefix
+    d = testdata.table(spark, sf, "documents")
+    return d.select("doc_id", text_prefix("text", sent.MAX_TEXT_CHARS).alias("text_512"))
+
+
+def _documents_as_texts(spark, sf):
+    d = testdata.table(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("review_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def q_sentiment_documents(spark, sf):
+    """Python scorer slot (mapInPandas over Arrow batches) on whole documents."""
+    return sent.score_texts(_documents_as_texts(spark, sf), sent.lexicon_factory)
+
+
+def q_sentiment_documents_jvm(spark, sf):
+    """Same scores from the JVM form of the lexicon scorer."""
+    return sent.score_texts(_documents_as_texts(spark, sf), None)
+
+
+def q_review_texts_limit(spark, sf):
+    """Texts to score with the optional limit (lowest ids first): the limit is the feature."""
+    return sent.review_texts(_marts(spark, sf).fact_reviews, limit=100)
+
+
+def q_tag_explode(spark, sf):
+    from revline.operators.recommend import tag_members
+    return tag_members(_marts(spark, sf).items_with_stats).select("item_id", "tag")
+
+
+def q_items_with_stats(spark, sf):
+    return _flat(_marts(spark, sf).items_with_stats.drop("positive_ratio_e4"))
+
+
+CATALOGUE.update({
+    "q_flatten_items": q_flatten_items,
+    "q_flatten_reviews": q_flatten_reviews,
+    "q_users_from_reviews": q_users_from_reviews,
+    "q_landing_roundtrip": q_landing_roundtrip,
+    "q_csv_roundtrip": q_csv_roundtrip,
+    "q_latest_snapshot": q_latest_snapshot,
+    "q_keep_first": q_keep_first,
+    "q_keep_latest": q_keep_latest,
+    "q_top_items": q_top_items,
+    "q_newest_k": q_newest_k,
+    "q_newest_k_events": q_newest_k_events,
+    "q_label_map": q_label_map,
+    "q_truncate_text": q_truncate_text,
+    "q_sentiment_documents": q_sentiment_documents,
+    "q_sentiment_documents_jvm": q_sentiment_documents_jvm,
+    "q_review_texts_limit": q_review_texts_limit,
+    "q_tag_explode": q_tag_explode,
+    "q_items_with_stats": q_items_with_stats,
+})

@@ -88,7 +88,7 @@ def read_latest(spark: SparkSession, root: str, entity: str, schema) -> DataFram
 
 # --- flattening ---------------------------------------------------------------
 
-def flatten_items(payload: DataFrame) -> DataFrame:
+def flatten_items(payload: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Nested item record -> flat record; first studio or NULL, null-safe year."""
     c = F.col
     return payload.select(
@@ -102,6 +102,7 @@ def flatten_items(payload: DataFrame) -> DataFrame:
         c("startDate.year").alias("year"),
         c("status"),
         c("description"),
+        *[c(x) for x in extra],
     )
 
 
