@@ -121,9 +121,10 @@ def tag_shortlist(iws: DataFrame, k: int) -> DataFrame:
             .drop("_pos"))
 
 
-def distinct_tag_count(dim_items: DataFrame) -> int:
-    """Upper bound on tags among scored items: one aggregate over the items."""
-    return dim_items.select(F.explode(F.array_distinct("tags")).alias("t")).distinct().count()
+def distinct_tag_count(items: DataFrame) -> int:
+    """Distinct tags over a set of items (an upper bound for any subset of
+    them): one aggregate, one number to the driver."""
+    return items.select(F.explode(F.array_distinct("tags")).alias("t")).distinct().count()
 
 
 def candidate_pairs(iws: DataFrame, k: int, tag_bound: int | None = None) -> DataFrame:
@@ -170,21 +171,41 @@ def rank_candidates(pairs: DataFrame, k: int) -> DataFrame:
     )
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for the item table with stats, which feeds both sides of the tag
+    join: without it each side recomputes the whole review aggregation
+    (their column pruning differs, so Spark cannot share the shuffle). The
+    checkpoint is reliable storage, so a lost executor costs no recompute.
+    """
+    return df.checkpoint(eager=True)
+
+
 def recommend(dim_items: DataFrame, stats: DataFrame, k: int = 10,
-              tag_bound: int | None = None) -> DataFrame:
+              tag_bound: int | None = None, materialize_items: bool = True) -> DataFrame:
     """Top-k recommendations for every scored item (see module docstring).
 
-    ``tag_bound``: a computed upper bound on distinct tags (see
-    ``distinct_tag_count``); it enables the broadcast of the shortlist.
+    ``tag_bound``: a computed upper bound on distinct tags; when None it is
+    counted on the (materialised) scored items, which also enables the
+    broadcast of the shortlist.
     """
     iws = items_with_stats(dim_items, stats)
+    if materialize_items:
+        iws = materialize(iws)
+        if tag_bound is None:
+            tag_bound = distinct_tag_count(iws)
     return rank_candidates(candidate_pairs(iws, k, tag_bound), k)
 
 
 def scored_pairs(dim_items: DataFrame, stats: DataFrame, k: int = 10,
-                 tag_bound: int | None = None) -> DataFrame:
+                 tag_bound: int | None = None, materialize_items: bool = True) -> DataFrame:
     """Candidate (source, target) pairs with the target score, before ranking."""
     iws = items_with_stats(dim_items, stats)
+    if materialize_items:
+        iws = materialize(iws)
+        if tag_bound is None:
+            tag_bound = distinct_tag_count(iws)
     p = candidate_pairs(iws, k, tag_bound)
     return p.select("source_item_id", F.col("t_item_id").alias("recommended_item_id"),
                     F.col("t_review_count").alias("recommended_review_count"),

@@ -79,15 +79,26 @@ def lexicon_factory() -> Scorer:
     return LexiconScorer()
 
 
+def _word_count(text: Column, words: Sequence[str]) -> Column:
+    """Occurrences of any of ``words`` as a whole token of ``[a-z]`` letters.
+
+    A token is a maximal run of letters, so a word counts when no letter
+    touches it on either side: the lookarounds express exactly the
+    split-on-non-letters rule without building an array per row.
+    """
+    pattern = "(?<![a-z])(?:" + "|".join(words) + ")(?![a-z])"
+    return F.regexp_count(text, F.lit(pattern)).cast("bigint")
+
+
 def lexicon_columns(text: Column) -> tuple[Column, Column]:
     """The lexicon scorer as built-in expressions: (raw_label, confidence).
 
     Same tokens, counts and integer formula as ``LexiconScorer``; it stays
-    inside whole-stage codegen, so no rows cross into Python.
+    inside the JVM, so no rows cross into Python.
     """
-    toks = F.split(F.lower(text), TOKEN_SPLIT)
-    pos = F.size(F.filter(toks, lambda w: w.isin(*POSITIVE_WORDS))).cast("bigint")
-    neg = F.size(F.filter(toks, lambda w: w.isin(*NEGATIVE_WORDS))).cast("bigint")
+    low = F.lower(text)
+    pos = _word_count(low, POSITIVE_WORDS)
+    neg = _word_count(low, NEGATIVE_WORDS)
     total = pos + neg
     polar = F.lit(5000) + idiv(F.lit(5000) * F.abs(pos - neg), total + 1)
     balanced = F.lit(10000) - idiv(F.lit(5000) * total, total + 1)

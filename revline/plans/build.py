@@ -24,7 +24,7 @@ class ReviewMarts:
     def __init__(self, raw_items: DataFrame, raw_reviews: DataFrame, raw_users: DataFrame,
                  scorer: ScorerFactory | None = None, as_of: str | _dt.date | None = None,
                  k: int = 10, min_reviews: int = 2, buffer_days: int = 7,
-                 sentiment: DataFrame | None = None):
+                 sentiment: DataFrame | None = None, materialize: bool = False):
         self.raw_items = raw_items
         self.raw_reviews = raw_reviews
         self.raw_users = raw_users
@@ -34,6 +34,16 @@ class ReviewMarts:
         self.min_reviews = min_reviews
         self.buffer_days = buffer_days
         self._sentiment = sentiment
+        self.materialize = materialize
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Checkpoint a model that several consumers read (materialize mode).
+
+        Like a mart table: computed once, written to the shared checkpoint
+        folder, read back by every consumer; also cuts the lineage, so a lost
+        executor never re-runs the upstream.
+        """
+        return df.checkpoint(eager=True) if self.materialize else df
 
     @property
     def spark(self) -> SparkSession:
@@ -46,11 +56,11 @@ class ReviewMarts:
 
     @cached_property
     def stg_reviews(self) -> DataFrame:
-        return staging.stage_reviews(self.raw_reviews)
+        return self._keep(staging.stage_reviews(self.raw_reviews))
 
     @cached_property
     def stg_users(self) -> DataFrame:
-        return staging.stage_users(self.raw_users)
+        return self._keep(staging.stage_users(self.raw_users))
 
     # marts
     @cached_property
@@ -65,20 +75,19 @@ class ReviewMarts:
     def _dim_date(self) -> tuple[DataFrame, int]:
         return marts.dim_date(self.stg_reviews, self.buffer_days)
 
-    @property
+    @cached_property
     def dim_date(self) -> DataFrame:
-        return self._dim_date[0]
+        return self._keep(self._dim_date[0])
 
     @cached_property
     def fact_reviews(self) -> DataFrame:
-        dates, n = self._dim_date
-        return marts.fact_reviews(self.stg_reviews, dates, n)
+        return self._keep(marts.fact_reviews(self.stg_reviews, self.dim_date, self._dim_date[1]))
 
     @cached_property
     def sentiment(self) -> DataFrame:
         if self._sentiment is not None:
             return self._sentiment
-        return sentiment_table(self.fact_reviews, self.scorer)
+        return self._keep(sentiment_table(self.fact_reviews, self.scorer))
 
     @cached_property
     def scored_fact(self) -> DataFrame:
@@ -86,7 +95,7 @@ class ReviewMarts:
         f = self.fact_reviews.select(
             "review_id", "item_id", "score",
             F.coalesce(F.col("review_text"), F.col("summary"), F.lit("")).alias("text"))
-        return append_scores(f, "text", self.scorer)
+        return self._keep(append_scores(f, "text", self.scorer))
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -114,21 +123,17 @@ class ReviewMarts:
     def stats(self) -> DataFrame:
         return self.stats_with_min(self.min_reviews)
 
-    @cached_property
-    def tag_bound(self) -> int:
-        return rec.distinct_tag_count(self.dim_item)
-
     @cached_property
     def items_with_stats(self) -> DataFrame:
         return rec.items_with_stats(self.dim_item, self.stats)
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return rec.recommend(self.dim_item, self.stats, self.k, self.tag_bound)
+        return rec.recommend(self.dim_item, self.stats, self.k)
 
     @cached_property
     def scored_pairs(self) -> DataFrame:
-        return rec.scored_pairs(self.dim_item, self.stats, self.k, self.tag_bound)
+        return rec.scored_pairs(self.dim_item, self.stats, self.k)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, **kw) -> ReviewMarts:

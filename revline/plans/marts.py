@@ -20,6 +20,8 @@ from revline.operators.joins import broadcast_if_bounded
 
 # one row per calendar day: even a century is 36,525 rows
 DATE_DIM_BROADCAST_ROWS = 5_000_000
+# longest review-date span accepted by the lazy calendar (about 1,100 years)
+MAX_SPAN_DAYS = 400_000
 
 
 def dim_item(stg_items: DataFrame) -> DataFrame:
@@ -67,8 +69,12 @@ def dim_date_from_bounds(spark: SparkSession, lo: _dt.date | None, hi: _dt.date
     parts = max(1, min(n // 200_000 + 1, spark.sparkContext.defaultParallelism))
     spine = spark.range(0, n, 1, parts).select(
         F.date_add(F.lit(start.isoformat()).cast("date"), F.col("id").cast("int")).alias("full_date"))
+    return _date_attributes(spine), n
+
+
+def _date_attributes(spine: DataFrame) -> DataFrame:
     d = F.col("full_date")
-    dim = spine.select(
+    return spine.select(
         date_key(d).alias("date_id"),
         d,
         F.dayofmonth(d).cast("int").alias("day"),
@@ -81,12 +87,26 @@ def dim_date_from_bounds(spark: SparkSession, lo: _dt.date | None, hi: _dt.date
         padded_day_name(d).alias("day_name"),
         is_weekend(d).alias("is_weekend"),
     )
-    return dim, n
 
 
-def dim_date(stg_reviews: DataFrame, buffer_days: int = 7) -> tuple[DataFrame, int]:
-    lo, hi = date_bounds(stg_reviews)
-    return dim_date_from_bounds(stg_reviews.sparkSession, lo, hi, buffer_days)
+def dim_date(stg_reviews: DataFrame, buffer_days: int = 7,
+             max_span_days: int = MAX_SPAN_DAYS) -> tuple[DataFrame, int]:
+    """Calendar ``[min - buffer, max + buffer]`` of the review dates, lazily.
+
+    Bounds come from a one-row aggregate inside the same plan (no driver
+    round trip, and the review shuffle it needs is shared with the fact).
+    The span is checked in the plan: more than ``max_span_days`` raises
+    instead of generating an unbounded calendar, which is what makes the
+    returned row bound (``max_span_days + 2 * buffer + 1``) a proof.
+    """
+    b = stg_reviews.agg(F.min("review_date").alias("lo"), F.max("review_date").alias("hi"))
+    span = F.datediff(F.col("hi"), F.col("lo"))
+    guard = F.when(span > F.lit(max_span_days),
+                   F.raise_error(F.lit(f"review dates span more than {max_span_days} days")))
+    spine = b.select(F.explode(F.sequence(
+        F.date_sub(F.col("lo"), buffer_days),
+        F.date_add(F.coalesce(guard.cast("date"), F.col("hi")), buffer_days))).alias("full_date"))
+    return _date_attributes(spine), max_span_days + 2 * buffer_days + 1
 
 
 def fact_reviews(stg_reviews: DataFrame, dates: DataFrame, date_rows: int | None = None) -> DataFrame:

@@ -44,7 +44,9 @@ def stage_items(raw_items: DataFrame, null_score: str = "max") -> DataFrame:
 def stage_reviews(raw_reviews: DataFrame) -> DataFrame:
     """Reviews: latest load per id, then drop unusable rows, epoch -> date."""
     c = F.col
-    latest = keep_latest(raw_reviews, ["review_id"], ["loaded_at"])
+    # NULL ids form one group whose survivor the filter below always drops,
+    # so dropping them first is equivalent and keeps them out of the shuffle
+    latest = keep_latest(raw_reviews.filter(c("review_id").isNotNull()), ["review_id"], ["loaded_at"])
     return (latest
             .filter(c("review_id").isNotNull()
                     & c("review_text").isNotNull()
@@ -66,7 +68,7 @@ def stage_reviews(raw_reviews: DataFrame) -> DataFrame:
 def stage_users(raw_users: DataFrame) -> DataFrame:
     """Users: latest load per id, non-blank name, lower-cased; epoch -> date."""
     c = F.col
-    latest = keep_latest(raw_users, ["user_id"], ["loaded_at"])
+    latest = keep_latest(raw_users.filter(c("user_id").isNotNull()), ["user_id"], ["loaded_at"])
     return (latest
             .filter(c("user_id").isNotNull() & c("username").isNotNull()
                     & (trim_spaces("username") != F.lit("")))

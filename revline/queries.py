@@ -172,7 +172,9 @@ def q_dq_range_raw(spark, sf):
 
 
 def q_dq_report(spark, sf):
-    m = _marts(spark, sf)
+    """All 42 declared checks over the model graph, run on materialised
+    models (checkpoints) as a test suite runs on built tables."""
+    m = _marts(spark, sf, materialize=True)
     return quality.dq_report(quality.default_checks(), m.models())
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def export_csv(df: DataFrame, path: str, single_file_max_rows: int | None = None) -> int | None:
@@ -61,3 +62,22 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
+
+
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """Parquet scan that never runs narrower than the cluster.
+
+    A file with one row group is one split, so every narrow operator above
+    it would run in a single task. When the scan has fewer splits than
+    ``min_partitions`` (default: the cluster's default parallelism) the rows
+    are spread by a hash of the whole row; a large table already has far more
+    splits than cores and is returned untouched (no extra shuffle). The hash
+    is deterministic, so a retried task sends every row to the same place
+    (round-robin would need a full sort for that). Filters and column
+    pruning still reach the scan through the repartition.
+    """
+    df = spark.read.parquet(path)
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want, F.xxhash64(*df.columns))
+    return df
