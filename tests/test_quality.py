@@ -1,0 +1,32 @@
+import pytest
+
+from revline.operators import quality as Q
+
+
+def test_checks_on_broken_frames(spark):
+    child = spark.createDataFrame([(1, 10, 0), (2, 11, 1), (2, None, 100), (None, 99, 101)],
+                                  "id long, fk long, score int")
+    parent = spark.createDataFrame([(10,), (11,), (None,)], "k long")
+    nn = {r.column_name: r.failing_rows for r in Q.not_null_failures(child, ["id", "fk", "score"]).collect()}
+    assert nn == {"id": 1, "fk": 1, "score": 0}
+    assert [(r.id, r.n_records) for r in Q.unique_failures(child, "id").collect()] == [(2, 2)]
+    orphans = Q.relationship_failures(child, "fk", parent, "k").collect()
+    assert [r.fk for r in orphans] == [99]                    # NULL child key passes
+    assert sorted(r.score for r in Q.range_failures(child, "score", 1, 100).collect()) == [0, 101]
+
+
+def test_report_and_assert_clean(spark):
+    good = spark.createDataFrame([(1,), (2,)], "id long")
+    bad = spark.createDataFrame([(1,), (1,), (None,)], "id long")
+    checks = [Q.Check("m", "id", "not_null"), Q.Check("m", "id", "unique")]
+    rep = {r.check_name: r.failing_rows for r in Q.dq_report(checks, {"m": bad}).collect()}
+    assert rep == {"not_null_m_id": 1, "unique_m_id": 1}
+    Q.assert_clean(checks, {"m": good})
+    with pytest.raises(AssertionError):
+        Q.assert_clean(checks, {"m": bad})
+
+
+def test_default_suite_size():
+    checks = Q.default_checks()
+    assert len(checks) == 42
+    assert len({c.name for c in checks}) == 42
