@@ -359,3 +359,39 @@ CATALOGUE.update({
     "q_tag_explode": q_tag_explode,
     "q_items_with_stats": q_items_with_stats,
 })
+
+
+# --- the batch job end to end ---------------------------------------------------------
+
+from revline.plans.pipeline import PipelineConfig, run_pipeline  # noqa: E402
+
+# tie-break columns of the staging dedup, as payload paths, in its order
+_REVIEW_TIES = ["itemId", "user.id", "user.name", "user.createdAt", "score", "summary", "body", "createdAt"]
+
+
+def land_testdata(spark, sf, root: str, day: str = "2024-01-02") -> None:
+    """Land the driver tables as daily JSON snapshots (items and reviews).
+
+    Reviews are landed newest load first (the staging order), so the
+    loader's first-row-per-id rule keeps the same row as staging's
+    latest-row rule would on the unloaded rows.
+    """
+    items = testdata.item_payloads(testdata.table(spark, sf, "part"))
+    reviews = testdata.review_payloads(testdata.table(spark, sf, "lineitem"))
+    ordered = reviews.orderBy(F.col("_loaded_at").desc_nulls_first(),
+                              *[F.col(c).desc_nulls_last() for c in _REVIEW_TIES]).drop("_loaded_at")
+    landing.write_snapshot(items, root, "items", day)
+    landing.write_snapshot(ordered, root, "reviews", day)
+
+
+def q_pipeline_recommendations(spark, sf):
+    """Whole batch job from landed JSON to the written recommendation table."""
+    base = scratch_path(spark, "pipeline")
+    land_testdata(spark, sf, f"{base}/landing")
+    cfg = PipelineConfig(landing_root=f"{base}/landing", warehouse_root=f"{base}/warehouse",
+                         export_root=f"{base}/exports", as_of="2002-01-01")
+    res = run_pipeline(spark, cfg)
+    return files.read_table(spark, res.tables["recommendations"])
+
+
+CATALOGUE["q_pipeline_recommendations"] = q_pipeline_recommendations

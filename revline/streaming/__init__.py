@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The source system has no streaming operator (no watermark, time window,
+state or late-data handling); it is a daily batch that rebuilds its marts in
+full, and late reviews are absorbed by the rebuild plus the 7-day buffer of
+the date dimension. Nothing is added here that the source does not do.
+"""
