@@ -70,14 +70,15 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     A file with one row group is one split, so every narrow operator above
     it would run in a single task. When the scan has fewer splits than
     ``min_partitions`` (default: the cluster's default parallelism) the rows
-    are spread by a hash of the whole row; a large table already has far more
-    splits than cores and is returned untouched (no extra shuffle). The hash
-    is deterministic, so a retried task sends every row to the same place
-    (round-robin would need a full sort for that). Filters and column
-    pruning still reach the scan through the repartition.
+    are spread by a hash of their position (file, row index); a large table
+    already has far more splits than cores and is returned untouched (no
+    extra shuffle). The position is deterministic, so a retried task sends
+    every row to the same place (round-robin would need a full sort for
+    that), and it references no data column, so column pruning and filter
+    pushdown still reach the scan.
     """
     df = spark.read.parquet(path)
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want, F.xxhash64(*df.columns))
+        df = df.repartition(want, F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     return df
