@@ -72,6 +72,44 @@ def failing_rows(check: Check, models: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown test {check.test}")
 
 
+def failing_count(check: Check, models: dict[str, DataFrame]) -> DataFrame:
+    """One-row frame ``failing_rows`` for a non-not-null check.
+
+    Relationships count orphans per key first (combined map-side), anti-join
+    the distinct keys to the parent and sum: a child key holding a third of
+    all rows costs one row per map partition instead of a skewed join.
+    """
+    if check.test == "relationships":
+        child = models[check.model]
+        per_key = (child.filter(F.col(check.column).isNotNull())
+                   .groupBy(F.col(check.column).alias("__k")).agg(F.count(F.lit(1)).alias("__n")))
+        parent = models[check.parent].select(F.col(check.field).alias("__k")).filter(F.col("__k").isNotNull())
+        orphans = per_key.join(parent, "__k", "left_anti")
+        return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("failing_rows"))
+    return failing_rows(check, models).agg(F.count(F.lit(1)).alias("failing_rows"))
+
+
+def unique_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
+    """All unique checks of one model in one shuffle.
+
+    Each row contributes one (column, value) pair per checked column (values
+    as text: equality within a column is unchanged); one grouped count over
+    the pairs, combined map-side, then the values seen more than once are
+    counted per column. Columns without duplicates still get their 0 row.
+    """
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("p"))
+    dup = (pairs.filter(F.col("p.v").isNotNull())
+           .groupBy(F.col("p.c").alias("column_name"), F.col("p.v").alias("v"))
+           .agg(F.count(F.lit(1)).alias("n"))
+           .groupBy("column_name").agg(F.count_if(F.col("n") > 1).alias("failing_rows")))
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return names.join(F.broadcast(dup), "column_name", "left").select(
+        F.concat(F.lit(f"unique_{model}_"), F.col("column_name")).alias("check_name"),
+        F.lit(model).alias("model"), "column_name", F.lit("unique").alias("test"),
+        F.coalesce(F.col("failing_rows"), F.lit(0)).cast("bigint").alias("failing_rows"))
+
+
 def dq_report(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
     """One row per check: (check_name, model, column_name, test, failing_rows).
 
@@ -89,10 +127,16 @@ def dq_report(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFram
             F.concat(F.lit(f"not_null_{model}_"), F.col("column_name")).alias("check_name"),
             F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
             F.col("failing_rows").cast("bigint").alias("failing_rows")))
+    uniq: dict[str, list[Check]] = {}
     for ch in checks:
-        if ch.test == "not_null":
+        if ch.test == "unique":
+            uniq.setdefault(ch.model, []).append(ch)
+    for model, chs in uniq.items():
+        parts.append(unique_counts(models[model], model, [c.column for c in chs]))
+    for ch in checks:
+        if ch.test in ("not_null", "unique"):
             continue
-        cnt = failing_rows(ch, models).agg(F.count(F.lit(1)).alias("failing_rows"))
+        cnt = failing_count(ch, models)
         parts.append(cnt.select(
             F.lit(ch.name).alias("check_name"), F.lit(ch.model).alias("model"),
             F.lit(ch.column).alias("column_name"), F.lit(ch.test).alias("test"),

@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revline.operators import quality
@@ -62,13 +62,19 @@ def load_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) ->
         users = landing.users_from_reviews(flat_reviews, ["__ingest"]).withColumn(
             "__ingest", F.struct(F.lit("").alias("f"), F.lit(0).cast("bigint").alias("b"),
                                  F.col("user_id").alias("r")))
+    # rows offered to each load (before key conflicts), counted during the write
+    offered = {n: Observation(f"offered_{n}") for n in ("items", "reviews", "users")}
+    flat_items = flat_items.observe(offered["items"], F.count(F.lit(1)).alias("n"))
+    flat_reviews_o = flat_reviews.observe(offered["reviews"], F.count(F.lit(1)).alias("n"))
+    users = users.observe(offered["users"], F.count(F.lit(1)).alias("n"))
     raw = {
-        "raw_items": landing.load_items(flat_items, ("__ingest",)),
-        "raw_reviews": landing.load_reviews(flat_reviews, ["__ingest"]),
-        "raw_users": landing.load_users(users, ["__ingest"]),
+        "raw_items": (landing.load_items(flat_items, ("__ingest",)), f"{cfg.warehouse_root}/raw/raw_items"),
+        "raw_reviews": (landing.load_reviews(flat_reviews_o, ["__ingest"]), f"{cfg.warehouse_root}/raw/raw_reviews"),
+        "raw_users": (landing.load_users(users, ["__ingest"]), f"{cfg.warehouse_root}/raw/raw_users"),
     }
-    for name, df in raw.items():
-        res.tables[name] = files.replace_table(df, f"{cfg.warehouse_root}/raw/{name}")
+    # the three raw tables are replaced together (write all, then swap all)
+    res.tables.update(files.replace_tables(raw))
+    res.offered = {n: int(o.get.get("n", 0)) for n, o in offered.items()}
 
 
 def _t(spark: SparkSession, res: PipelineResult, name: str) -> DataFrame:

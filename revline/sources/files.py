@@ -35,17 +35,20 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Replace the table at ``path``: write a new folder, then swap it in.
-
-    Readers never see a half-written table: the data goes to a sibling
-    folder first, and only a completed write is renamed into place (two
-    metadata operations on the file system). Task failures during the write
-    are retried by Spark's commit protocol and leave no partial files.
-    """
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").format(fmt).save(staging)
+def replace_tables(tables: dict[str, tuple[DataFrame, str]], fmt: str = "parquet") -> dict[str, str]:
+    """Replace several tables together: write every new folder first, then
+    swap them all, so a failed write leaves every old table in place."""
+    staged = {}
+    for name, (df, path) in tables.items():
+        staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
+        df.write.mode("overwrite").format(fmt).save(staging)
+        staged[name] = (staging, path)
+    for name, (staging, path) in staged.items():
+        _swap(tables[name][0].sparkSession, staging, path)
+    return {name: path for name, (_, path) in staged.items()}
+
+
+def _swap(spark: SparkSession, staging: str, path: str) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dst = jvm.org.apache.hadoop.fs.Path(path)
@@ -56,7 +59,21 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
         fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst)
         fs.delete(old, True)
     else:
+        fs.mkdirs(dst.getParent())
         fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst)
+
+
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """Replace the table at ``path``: write a new folder, then swap it in.
+
+    Readers never see a half-written table: the data goes to a sibling
+    folder first, and only a completed write is renamed into place (two
+    metadata operations on the file system). Task failures during the write
+    are retried by Spark's commit protocol and leave no partial files.
+    """
+    staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
+    df.write.mode("overwrite").format(fmt).save(staging)
+    _swap(df.sparkSession, staging, path)
     return path
 
 
