@@ -395,3 +395,14 @@ def q_pipeline_recommendations(spark, sf):
 
 
 CATALOGUE["q_pipeline_recommendations"] = q_pipeline_recommendations
+
+
+def q_sentiment_conversations(spark, sf):
+    """The scorer slot on chat turns (user turns only), Python path."""
+    c = testdata.table(spark, sf, "conversations").filter(F.col("role") == "user")
+    texts = c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("review_id"),
+                     F.coalesce("text", F.lit("")).alias("text"))
+    return sent.score_texts(texts, sent.lexicon_factory)
+
+
+CATALOGUE["q_sentiment_conversations"] = q_sentiment_conversations
