@@ -182,6 +182,9 @@ def materialize(df: DataFrame) -> DataFrame:
     (their column pruning differs, so Spark cannot share the shuffle). The
     checkpoint is reliable storage, so a lost executor costs no recompute.
     """
+    from revline.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

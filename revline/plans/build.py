@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from revline.operators import recommend as rec
 from revline.operators.sentiment import ScorerFactory, append_scores, sentiment_table
 from revline.plans import marts, reports, staging
+from revline.session import ensure_checkpoint_dir
 from revline.sources import testdata
 
 
@@ -43,7 +44,10 @@ class ReviewMarts:
         folder, read back by every consumer; also cuts the lineage, so a lost
         executor never re-runs the upstream.
         """
-        return df.checkpoint(eager=True) if self.materialize else df
+        if not self.materialize:
+            return df
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
 
     @property
     def spark(self) -> SparkSession:

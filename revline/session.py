@@ -18,6 +18,19 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of DataFrames that are gone are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+# Starting points for a large cluster (set by the launcher, not by the
+# library): size shuffles for ~128-256 MB partitions and let AQE coalesce.
+CLUSTER_HINTS = {
+    "spark.sql.shuffle.partitions": "input bytes / 200 MB (AQE coalesces small ones)",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
 

@@ -60,3 +60,27 @@ def test_stage_users_lowercase_and_blank(spark):
     got = {r.user_id: r.username for r in stage_users(spark.createDataFrame(rows, sch)).collect()}
     # tab-only name is not blank for TRIM (spaces only); user 4's newest row is blank
     assert got == {1: "alice", 2: "\t"}
+
+
+def test_stage_reviews_score_bounds_and_tab_text(spark):
+    rows = [_review(1, T1, score=0), _review(2, T1, score=1), _review(3, T1, score=100),
+            _review(4, T1, score=101), _review(5, T1, score=None), _review(6, T1, text="\t")]
+    got = sorted(r.review_id for r in stage_reviews(spark.createDataFrame(rows, _schema())).collect())
+    assert got == [2, 3, 6]          # BETWEEN 1 AND 100 (NULL fails); a tab is not blank for TRIM
+
+
+def test_stage_items_null_score_becomes_max(spark):
+    from decimal import Decimal
+
+    from revline.plans.staging import stage_items
+    rows = [(1, "a", None, ["x"], " s ", 1, None, 2000, " finished ", "d", T1),
+            (2, "b", None, ["x"], "s", 1, Decimal("120.50"), 2000, "x", "d", T1),
+            (3, None, None, ["x"], "s", 1, Decimal("5.00"), 2000, "x", "d", T1),
+            (None, "c", None, ["x"], "s", 1, Decimal("5.00"), 2000, "x", "d", T1)]
+    sch = ("item_id long, title_native string, title_english string, tags array<string>, studio string, "
+           "episodes int, avg_score decimal(5,2), year int, status string, description string, loaded_at timestamp")
+    df = spark.createDataFrame(rows, sch)
+    got = {r.item_id: (r.avg_score, r.status, r.studio) for r in stage_items(df).collect()}
+    assert got == {1: (Decimal("100.00"), "FINISHED", "s"), 2: (Decimal("100.00"), "X", "s")}
+    kept = {r.item_id: r.avg_score for r in stage_items(df, null_score="keep").collect()}
+    assert kept == {1: None, 2: Decimal("100.00")}
