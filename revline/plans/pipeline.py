@@ -103,9 +103,19 @@ def transform_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult
         res.tables[name] = files.replace_table(df, f"{root}/marts/{name}")
 
 
+def declared_constraints(key: str, required: tuple[str, ...] = ()):
+    """Guard for ``replace_table``: primary key unique and not NULL, required
+    columns not NULL (the declared constraints of the original tables)."""
+    checks = [quality.Check("t", key, "not_null"), quality.Check("t", key, "unique")]
+    checks += [quality.Check("t", c, "not_null") for c in required]
+    return lambda written: quality.assert_clean(checks, {"t": written})
+
+
 def score_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
     scores = sentiment_table(_t(spark, res, "fact_reviews"), cfg.scorer, with_timestamp=True)
-    res.tables["sentiment"] = files.replace_table(scores, f"{cfg.warehouse_root}/marts/review_sentiment")
+    res.tables["sentiment"] = files.replace_table(
+        scores, f"{cfg.warehouse_root}/marts/review_sentiment",
+        guard=declared_constraints("review_id", ("sentiment_label", "sentiment_score")))
 
 
 def recommend_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:

@@ -39,6 +39,17 @@ def item_list(dim_item: DataFrame) -> DataFrame:
     ).orderBy("title_display", "item_id")
 
 
+def item_by_title(dim_item: DataFrame, title_display: str) -> DataFrame:
+    """First item (lowest id) whose display title equals ``title_display`` (P10).
+
+    The single-row cut is the feature (a picker resolves a title to one id);
+    ``limit(1)`` after ``orderBy`` is a top-1, not a scan of everything.
+    """
+    return (dim_item.filter(F.col("title_display") == F.lit(title_display))
+            .select("item_id", "title", "title_display", "tag_primary")
+            .orderBy("item_id").limit(1))
+
+
 def recs_for_item(recs: DataFrame, item_id: int) -> DataFrame:
     """One item's recommendations with short names, by rank (R2).
 

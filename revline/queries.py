@@ -406,3 +406,23 @@ def q_sentiment_conversations(spark, sf):
 
 
 CATALOGUE["q_sentiment_conversations"] = q_sentiment_conversations
+
+
+# --- lookups and SQL text -------------------------------------------------------------
+
+LOOKUP_TITLE = "SMALL WIDGET"
+
+
+def q_item_by_title(spark, sf):
+    return reports.item_by_title(_marts(spark, sf).dim_item, LOOKUP_TITLE)
+
+
+def q_sql_stats_for_item(spark, sf):
+    """R4 as SQL text over registered views, item id bound as a parameter."""
+    from revline.plans import sql as S
+    m = _marts(spark, sf)
+    S.register_views(m, prefix="rl_")
+    return S.run_sql(spark, S.STATS_FOR_ITEM_SQL.format(view="rl_scored_reviews"), item_id=str(LOOKUP_ITEM))
+
+
+CATALOGUE.update({"q_item_by_title": q_item_by_title, "q_sql_stats_for_item": q_sql_stats_for_item})

@@ -8,6 +8,7 @@ single file is produced only when the caller proves the row count small.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,20 +64,39 @@ def _swap(spark: SparkSession, staging: str, path: str) -> None:
         fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst)
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
+                  guard: Callable[[DataFrame], None] | None = None) -> str:
     """Replace the table at ``path``: write a new folder, then swap it in.
 
     Readers never see a half-written table: the data goes to a sibling
     folder first, and only a completed write is renamed into place (two
     metadata operations on the file system). Task failures during the write
     are retried by Spark's commit protocol and leave no partial files.
+
+    ``guard`` receives the *written* rows (read back from the new folder)
+    and may raise; then the new folder is dropped and the old table stays,
+    as a constraint violation aborts an insert. Checks read the new files
+    once instead of recomputing the input.
     """
+    spark = df.sparkSession
     staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").format(fmt).save(staging)
-    _swap(df.sparkSession, staging, path)
+    if guard is not None:
+        try:
+            guard(spark.read.format(fmt).load(staging))
+        except Exception:
+            _delete(spark, staging)
+            raise
+    _swap(spark, staging, path)
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

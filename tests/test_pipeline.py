@@ -37,3 +37,17 @@ def test_pipeline_end_to_end_and_rerun(spark, tmp_path):
     # re-run on the same landing: tables are replaced, results identical
     res2 = run_pipeline(spark, cfg)
     assert _rows(files.read_table(spark, res2.tables["recommendations"])) == first
+
+
+def test_replace_table_guard_keeps_old_table(spark, tmp_path):
+    import pytest
+
+    from revline.plans.pipeline import declared_constraints
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "review_id long, sentiment_label string")
+    files.replace_table(good, path, guard=declared_constraints("review_id", ("sentiment_label",)))
+    bad = spark.createDataFrame([(1, "a"), (1, None)], "review_id long, sentiment_label string")
+    with pytest.raises(AssertionError):
+        files.replace_table(bad, path, guard=declared_constraints("review_id", ("sentiment_label",)))
+    assert _rows(files.read_table(spark, path)) == [(1, "a"), (2, "b")]
+    assert sorted(os.listdir(tmp_path)) == ["t"]           # the rejected folder is gone
