@@ -114,8 +114,15 @@ def fact_reviews(stg_reviews: DataFrame, dates: DataFrame, date_rows: int | None
 
     The calendar is broadcast when its row count is known and bounded
     (``date_rows`` from ``dim_date``); otherwise the planner decides.
+
+    The calendar has one row per date (built that way, and checked by the
+    ``unique`` test on ``full_date``). Stating it with a distinct on the tiny
+    side lets Catalyst remove the whole join, calendar included, from any
+    consumer that never reads ``date_id`` (a left join to a side unique on
+    the key neither adds nor drops rows).
     """
-    d = broadcast_if_bounded(dates.select("date_id", "full_date"), date_rows, DATE_DIM_BROADCAST_ROWS)
+    d = broadcast_if_bounded(dates.select("date_id", "full_date").dropDuplicates(["full_date"]),
+                             date_rows, DATE_DIM_BROADCAST_ROWS)
     r = stg_reviews
     return r.join(d, r["review_date"] == d["full_date"], "left").select(
         r["review_id"], r["item_id"], r["user_id"], d["date_id"],
