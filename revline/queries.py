@@ -10,11 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from revline.operators import quality
+from revline.operators import sentiment as sent
+from revline.operators.dedup import keep_first, keep_latest
+from revline.operators.topk import newest_k, top_items
+from revline.plans import reports
 from revline.plans.build import ReviewMarts, from_testdata
-
-K = 10
-
+from revline.plans.pipeline import PipelineConfig, run_pipeline
+from revline.schemas import ITEM_PAYLOAD, REVIEW_PAYLOAD
+from revline.session import scratch_path
+from revline.sources import files, landing, testdata
 
 def _marts(spark: SparkSession, sf: str, **kw) -> ReviewMarts:
     return from_testdata(spark, sf, **kw)
@@ -110,8 +117,6 @@ CATALOGUE = {
 
 # --- reports ------------------------------------------------------------------------
 
-from revline.operators import quality  # noqa: E402
-from revline.plans import reports  # noqa: E402
 
 LOOKUP_ITEM = 7          # point lookups (R2, R4) on one item: the lookup is the feature
 MISSING_ITEM = -1        # an id without rows: R4 still answers one row
@@ -197,15 +202,6 @@ CATALOGUE.update({
 
 # --- sources, landing, dedup, top-k ------------------------------------------------
 
-from pyspark.sql import types as T  # noqa: E402
-
-from revline.operators import sentiment as sent  # noqa: E402
-from revline.operators.dedup import keep_first, keep_latest  # noqa: E402
-from revline.operators.topk import newest_k, top_items  # noqa: E402
-from revline.schemas import ITEM_PAYLOAD, REVIEW_PAYLOAD  # noqa: E402
-from revline.session import scratch_path  # noqa: E402
-from revline.sources import files, landing, testdata  # noqa: E402
-
 
 def _json_roundtrip(df: DataFrame, schema) -> DataFrame:
     """Serialise records to JSON text and parse them back with a fixed schema."""
@@ -265,10 +261,6 @@ def q_latest_snapshot(spark, sf):
     return ev.filter(F.to_date("ts") == F.lit(day))
 
 
-_LINE_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-              "l_returnflag", "l_linestatus"]
-
-
 def q_keep_first(spark, sf):
     li = testdata.table(spark, sf, "lineitem")
     return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
@@ -363,7 +355,6 @@ CATALOGUE.update({
 
 # --- the batch job end to end ---------------------------------------------------------
 
-from revline.plans.pipeline import PipelineConfig, run_pipeline  # noqa: E402
 
 # tie-break columns of the staging dedup, as payload paths, in its order
 _REVIEW_TIES = ["itemId", "user.id", "user.name", "user.createdAt", "score", "summary", "body", "createdAt"]

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from revline.functions.scalars import first_element
 from revline.operators.dedup import keep_first
-from revline.schemas import ITEM_PAYLOAD, REVIEW_PAYLOAD
 
 PARTITION = "snapshot_date"
 
