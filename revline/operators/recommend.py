@@ -146,10 +146,12 @@ def candidate_pairs(iws: DataFrame, k: int, tag_bound: int | None = None) -> Dat
         F.col("tag_primary").alias("source_tag"),
         "tag")
     pairs = src.join(short, "tag").filter(F.col("t_item_id") != F.col("source_item_id")).drop("tag")
-    # One shuffle by source serves both the pair dedup (clustering on source
-    # implies clustering on the pair) and the ranking window; duplicates per
-    # pair are at most the number of shared tags, so no map-side combine is lost.
-    return pairs.repartition("source_item_id").dropDuplicates(["source_item_id", "t_item_id"])
+    # Dedup on the pair, not a repartition by source: the pair key spreads a
+    # source with a huge tag list over many tasks and combines duplicates
+    # map-side; the ranking window after it then gets a partial
+    # WindowGroupLimit, so its shuffle carries at most k rows per source per
+    # partition.
+    return pairs.dropDuplicates(["source_item_id", "t_item_id"])
 
 
 def rank_candidates(pairs: DataFrame, k: int) -> DataFrame:
