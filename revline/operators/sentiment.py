@@ -28,7 +28,9 @@ Scorer = Callable[[list[str]], list[tuple[str, float]]]
 ScorerFactory = Callable[[], Scorer]
 
 # Fixed values that must stay as they are for results to match.
-MAX_TEXT_CHARS = 512
+# Input cut for model scorers with a hard input size (a transformer took the
+# first 512 characters); the lexicon scorer reads whole texts by default.
+MODEL_INPUT_CHARS = 512
 DEFAULT_BATCH = 32
 LABEL_MAP = {
     "negative": "negative",
@@ -125,14 +127,14 @@ def review_texts(fact: DataFrame, limit: int | None = None, id_col: str = "revie
     return out
 
 
-def _score_batches(factory: ScorerFactory, batch_size: int, max_chars: int, text_col: str,
+def _score_batches(factory: ScorerFactory, batch_size: int, max_chars: int | None, text_col: str,
                    keep: list[str]):
     label_map = dict(LABEL_MAP)
 
     def run(batches: Iterator) -> Iterator:
         scorer = factory()
         for pdf in batches:
-            texts = [t[:max_chars] if t else "" for t in pdf[text_col].tolist()]
+            texts = [(t[:max_chars] if max_chars else t) if t else "" for t in pdf[text_col].tolist()]
             labels: list[str] = []
             scores: list[float] = []
             for i in range(0, len(texts), batch_size):
@@ -148,17 +150,20 @@ def _score_batches(factory: ScorerFactory, batch_size: int, max_chars: int, text
 
 
 def append_scores(df: DataFrame, text_col: str = "text", factory: ScorerFactory | None = None,
-                  batch_size: int = DEFAULT_BATCH, max_chars: int = MAX_TEXT_CHARS,
+                  batch_size: int = DEFAULT_BATCH, max_chars: int | None = None,
                   drop_text: bool = True) -> DataFrame:
     """Add ``sentiment_label`` and ``sentiment_score`` to every row of ``df``.
 
     ``factory=None`` uses the JVM form of the lexicon scorer; any other
     factory runs in Python workers over Arrow batches. Either way the rows
     stay in their partitions (no shuffle) and other columns pass through.
+    Whole texts are scored; ``max_chars`` (e.g. ``MODEL_INPUT_CHARS``) cuts
+    them only for a scorer that cannot take more. NULL text scores as ''.
     """
     keep = [c for c in df.columns if not (drop_text and c == text_col)]
     if factory is None:
-        label, conf = lexicon_columns(text_prefix(text_col, max_chars))
+        text = text_prefix(text_col, max_chars) if max_chars else F.coalesce(F.col(text_col), F.lit(""))
+        label, conf = lexicon_columns(text)
         return df.select(*keep, normalise_label(label).alias("sentiment_label"),
                          F.round(conf, 4).alias("sentiment_score"))
     fields = [f for f in df.schema.fields if f.name in keep]
@@ -168,19 +173,20 @@ def append_scores(df: DataFrame, text_col: str = "text", factory: ScorerFactory
 
 
 def score_texts(texts: DataFrame, factory: ScorerFactory | None = None,
-                batch_size: int = DEFAULT_BATCH, max_chars: int = MAX_TEXT_CHARS) -> DataFrame:
+                batch_size: int = DEFAULT_BATCH, max_chars: int | None = None) -> DataFrame:
     """(review_id, text) -> (review_id, sentiment_label, sentiment_score)."""
     return append_scores(texts.select(F.col("review_id").cast("bigint"), "text"), "text",
                          factory, batch_size, max_chars)
 
 
 def sentiment_table(fact: DataFrame, factory: ScorerFactory | None = None, limit: int | None = None,
-                    batch_size: int = DEFAULT_BATCH, with_timestamp: bool = False) -> DataFrame:
+                    batch_size: int = DEFAULT_BATCH, with_timestamp: bool = False,
+                    max_chars: int | None = None) -> DataFrame:
     """The review score table, rebuilt in full each run.
 
     An empty fact gives an empty table (the old scores are not kept).
     """
-    out = score_texts(review_texts(fact, limit), factory, batch_size)
+    out = score_texts(review_texts(fact, limit), factory, batch_size, max_chars)
     if with_timestamp:
         out = out.withColumn("scored_at", F.current_timestamp())
     return out

@@ -299,7 +299,7 @@ def q_label_map(spark, sf):
 def q_truncate_text(spark, sf):
     from revline.functions.scalars import text_prefix
     d = testdata.table(spark, sf, "documents")
-    return d.select("doc_id", text_prefix("text", sent.MAX_TEXT_CHARS).alias("text_512"))
+    return d.select("doc_id", text_prefix("text", sent.MODEL_INPUT_CHARS).alias("text_512"))
 
 
 def _documents_as_texts(spark, sf):

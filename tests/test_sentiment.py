@@ -38,8 +38,17 @@ def test_truncation_and_empty_texts_reach_scorer(spark):
         return lambda texts: [("LABEL_1", len(t) / 10000) for t in texts]
 
     df = spark.createDataFrame([(1, "x" * 1000), (2, ""), (3, None)], "review_id long, text string")
-    got = {r.review_id: r.sentiment_score for r in S.score_texts(df, factory).collect()}
-    assert got == {1: 0.0512, 2: 0.0, 3: 0.0}
+    whole = {r.review_id: r.sentiment_score for r in S.score_texts(df, factory).collect()}
+    assert whole == {1: 0.1, 2: 0.0, 3: 0.0}                  # whole texts by default
+    cut = {r.review_id: r.sentiment_score
+           for r in S.score_texts(df, factory, max_chars=S.MODEL_INPUT_CHARS).collect()}
+    assert cut == {1: 0.0512, 2: 0.0, 3: 0.0}                 # model input cut on request
+
+
+def test_lexicon_reads_past_the_model_cut(spark):
+    df = spark.createDataFrame([(1, "x " * 600 + "great")], "review_id long, text string")
+    assert S.score_texts(df).first().sentiment_label == "positive"
+    assert S.score_texts(df, max_chars=S.MODEL_INPUT_CHARS).first().sentiment_label == "neutral"
 
 
 def test_review_texts_fallback_and_limit(spark):
