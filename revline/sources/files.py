@@ -91,6 +91,40 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
     return path
 
 
+def replace_bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int,
+                           guard: Callable[[DataFrame], None] | None = None,
+                           prepartitioned: bool = False) -> str:
+    """Replace table ``name`` at ``path``, bucketed and sorted by ``key``.
+
+    Two tables bucketed by the same key into the same number of buckets
+    join bucket-to-bucket: the sort-merge join reads both without any
+    exchange. The data goes to a new folder first (one file per bucket: rows
+    are hash-partitioned by the bucketing hash before the write, unless
+    ``prepartitioned`` says they already are, e.g. when computed from a scan
+    of a table bucketed the same way), is checked by ``guard``, swapped into
+    ``path``, and the catalog entry is re-created over the new files.
+    """
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
+    tmp = f"{name}__new_{uuid.uuid4().hex[:8]}"
+    out = df if prepartitioned else df.repartition(buckets, key)
+    (out.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+        .option("path", staging).saveAsTable(tmp))
+    spark.sql(f"DROP TABLE IF EXISTS {tmp}")              # external: files stay
+    if guard is not None:
+        try:
+            guard(spark.read.parquet(staging))
+        except Exception:
+            _delete(spark, staging)
+            raise
+    _swap(spark, staging, path)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) "
+              f"SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return path
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
