@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revline.operators import recommend as rec
-from revline.operators.sentiment import ScorerFactory, append_scores, sentiment_table
+from revline.operators.sentiment import ScorerFactory, append_scores
 from revline.plans import marts, reports, staging
 from revline.session import ensure_checkpoint_dir
 from revline.sources import testdata
@@ -89,9 +89,11 @@ class ReviewMarts:
 
     @cached_property
     def sentiment(self) -> DataFrame:
+        """The score table; computed in place it is a projection of the scored
+        fact (same texts, same scorer), so the texts are scored once."""
         if self._sentiment is not None:
             return self._sentiment
-        return self._keep(sentiment_table(self.fact_reviews, self.scorer))
+        return self.scored_fact.select("review_id", "sentiment_label", "sentiment_score")
 
     @cached_property
     def scored_fact(self) -> DataFrame:

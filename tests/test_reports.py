@@ -25,3 +25,15 @@ def test_stats_for_missing_item_is_one_row(spark):
     rows = reports.stats_for_item(m.scored, -1).collect()
     assert len(rows) == 1
     assert rows[0].total_reviews == 0 and rows[0].avg_score is None and rows[0].avg_sentiment is None
+
+
+def test_title_lookup_and_sql_text(spark):
+    from revline.plans import sql as S
+    m = from_testdata(spark, SF_SMALL)
+    rows = reports.item_by_title(m.dim_item, "SMALL WIDGET").collect()
+    first = m.dim_item.filter(F.col("title_display") == "SMALL WIDGET").agg(F.min("item_id")).first()[0]
+    assert [r.item_id for r in rows] == ([first] if first is not None else [])
+    S.register_views(m, prefix="t_")
+    via_sql = S.run_sql(spark, S.STATS_FOR_ITEM_SQL.format(view="t_scored_reviews"), item_id="7").collect()
+    via_df = reports.stats_for_item(m.scored, 7).collect()
+    assert via_sql == via_df
