@@ -39,18 +39,16 @@ def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest: b
     fields += [F.col(c) for c in rest]
     agg = F.max if latest else F.min
     picked = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias(_W))
-    out = [F.col(k) for k in keys]
-    for c in df.columns:
+    winner = F.col(_W)
+
+    def column(c: str):
         if c in keys:
-            continue
-        if c in order_by:
-            out.append(F.col(f"{_W}.__o{order_by.index(c)}").alias(c))
-        else:
-            out.append(F.col(f"{_W}.{c}").alias(c))
-    # restore the input column order
-    by_name = {k: F.col(k) for k in keys}
-    selected = picked.select(*out)
-    return selected.select(*[by_name.get(c, F.col(c)) for c in df.columns])
+            return F.col(c)
+        field = f"__o{order_by.index(c)}" if c in order_by else c
+        return winner.getField(field).alias(c)
+
+    # the input's column order and names, values of the winning row
+    return picked.select(*[column(c) for c in df.columns])
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
