@@ -36,7 +36,8 @@ from revline.functions.exact import (
 )
 from revline.operators.joins import broadcast_if_bounded
 
-SHORTLIST_BROADCAST_ROWS = 2_000_000
+# (k+1) rows per tag, ~13 columns each: 500k rows is about 100 MB per executor
+SHORTLIST_BROADCAST_ROWS = 500_000
 
 
 def _signed_round(num, den, digits):
