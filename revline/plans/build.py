@@ -9,6 +9,7 @@ run needs no previous score table.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +22,18 @@ from revline.session import ensure_checkpoint_dir
 from revline.sources import testdata
 
 
+RawInput = DataFrame | Callable[[], DataFrame]
+
+
 class ReviewMarts:
-    def __init__(self, raw_items: DataFrame, raw_reviews: DataFrame, raw_users: DataFrame,
+    """The model graph; raw inputs are frames or zero-argument builders (a
+    builder runs only when a model that needs it is asked for)."""
+
+    def __init__(self, raw_items: RawInput, raw_reviews: RawInput, raw_users: RawInput,
                  scorer: ScorerFactory | None = None, as_of: str | _dt.date | None = None,
                  k: int = 10, min_reviews: int = 2, buffer_days: int = 7,
                  sentiment: DataFrame | None = None, materialize: bool = False):
-        self.raw_items = raw_items
-        self.raw_reviews = raw_reviews
-        self.raw_users = raw_users
+        self._raw = {"items": raw_items, "reviews": raw_reviews, "users": raw_users}
         self.scorer = scorer
         self.as_of = as_of
         self.k = k
@@ -49,6 +54,24 @@ class ReviewMarts:
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
 
+    def _raw_frame(self, name: str) -> DataFrame:
+        x = self._raw[name]
+        if callable(x):
+            x = self._raw[name] = x()
+        return x
+
+    @property
+    def raw_items(self) -> DataFrame:
+        return self._raw_frame("items")
+
+    @property
+    def raw_reviews(self) -> DataFrame:
+        return self._raw_frame("reviews")
+
+    @property
+    def raw_users(self) -> DataFrame:
+        return self._raw_frame("users")
+
     @property
     def spark(self) -> SparkSession:
         return self.raw_reviews.sparkSession
@@ -144,8 +167,10 @@ class ReviewMarts:
 
 def from_testdata(spark: SparkSession, sf_dir: str, **kw) -> ReviewMarts:
     """The model graph over the driver tables (items=part, reviews=lineitem)."""
-    part = testdata.table(spark, sf_dir, "part")
-    lineitem = testdata.table(spark, sf_dir, "lineitem")
+    def table(name: str) -> DataFrame:
+        return testdata.table(spark, sf_dir, name)
+
     kw.setdefault("as_of", "2002-01-01")
-    return ReviewMarts(testdata.raw_items(part), testdata.raw_reviews(lineitem),
-                       testdata.raw_users(lineitem), **kw)
+    return ReviewMarts(lambda: testdata.raw_items(table("part")),
+                       lambda: testdata.raw_reviews(table("lineitem")),
+                       lambda: testdata.raw_users(table("lineitem")), **kw)
