@@ -40,10 +40,15 @@ def replace_tables(tables: dict[str, tuple[DataFrame, str]], fmt: str = "parquet
     """Replace several tables together: write every new folder first, then
     swap them all, so a failed write leaves every old table in place."""
     staged = {}
-    for name, (df, path) in tables.items():
-        staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
-        df.write.mode("overwrite").format(fmt).save(staging)
-        staged[name] = (staging, path)
+    try:
+        for name, (df, path) in tables.items():
+            staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
+            staged[name] = (staging, path)
+            df.write.mode("overwrite").format(fmt).save(staging)
+    except Exception:
+        for name, (staging, _) in staged.items():     # nothing swapped yet
+            _delete(tables[name][0].sparkSession, staging)
+        raise
     for name, (staging, path) in staged.items():
         _swap(tables[name][0].sparkSession, staging, path)
     return {name: path for name, (_, path) in staged.items()}
