@@ -95,3 +95,24 @@ def test_output_columns(spark):
     assert r[1].recommended_avg_sentiment == 0.5001
     assert r[1].recommended_avg_review_score == 10.5
     assert r[2].recommendation_score == 0.62                # 0.6*0.5 + 0.4*0.8
+
+
+def test_skewed_inputs_equal_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    tags = [f"t{i}" for i in range(12)]
+    items = []
+    for i in range(60):
+        if i == 0:
+            item_tags = tags + [f"rare{j}" for j in range(40)]       # a huge tag list
+        elif i % 3 == 0:
+            item_tags = ["hot"]                                      # a third of items share one tag
+        else:
+            item_tags = rnd.sample(tags, 2)
+        items.append((i, item_tags, rnd.choice([60.0, 70.0, 80.0, 90.0])))
+    reviews = []
+    for j in range(900):
+        item = 1 if j % 3 == 0 else rnd.randrange(60)                # item 1: a third of reviews
+        reviews.append((j, item, 50, rnd.choice(["positive", "neutral", "negative"]), 0.5))
+    for k in (3, 10):
+        assert run_spark(spark, items, reviews, k, 2) == brute_force(items, reviews, k, 2)
