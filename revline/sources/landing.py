@@ -155,18 +155,22 @@ def load_items(flat: DataFrame, keep_first_by: Sequence[str] | None = ("__ingest
     return out.withColumn("loaded_at", F.current_timestamp())
 
 
+def _helper_columns(cols: Sequence[str]) -> list[str]:
+    """Ordering columns added for the load only (``__``-prefixed) are dropped."""
+    return [c for c in cols if c.startswith("__")]
+
+
 def load_reviews(flat: DataFrame, keep_first_by: Sequence[str]) -> DataFrame:
+    """Raw reviews: first row per id (in ``keep_first_by`` order) wins."""
     out = keep_first(flat, ["review_id"], list(keep_first_by))
-    return out.drop(*[c for c in keep_first_by if c not in flat.columns or c.startswith("__")]) \
-              .withColumn("loaded_at", F.current_timestamp())
+    return out.drop(*_helper_columns(keep_first_by)).withColumn("loaded_at", F.current_timestamp())
 
 
 def load_users(flat_users: DataFrame, keep_first_by: Sequence[str]) -> DataFrame:
     """Raw users: rows without an id are dropped, then first row per id wins."""
     u = flat_users.filter(F.col("user_id").isNotNull())
     out = keep_first(u, ["user_id"], list(keep_first_by))
-    return out.drop(*[c for c in keep_first_by if c.startswith("__")]) \
-              .withColumn("loaded_at", F.current_timestamp())
+    return out.drop(*_helper_columns(keep_first_by)).withColumn("loaded_at", F.current_timestamp())
 
 
 def with_ingest_order(df: DataFrame, name: str = "__ingest") -> DataFrame:
