@@ -140,7 +140,16 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None,
+                 min_spread_bytes: int = 1 << 20) -> DataFrame:
     """Parquet scan that never runs narrower than the cluster.
 
     A file with one row group is one split, so every narrow operator above
@@ -151,10 +160,11 @@ def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = No
     extra shuffle). The position is deterministic, so a retried task sends
     every row to the same place (round-robin would need a full sort for
     that), and it references no data column, so column pruning and filter
-    pushdown still reach the scan.
+    pushdown still reach the scan. Inputs under ``min_spread_bytes`` are left
+    alone: moving them costs more than the parallelism gains.
     """
     df = spark.read.parquet(path)
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if input_bytes(spark, path) >= min_spread_bytes and df.rdd.getNumPartitions() < want:
         df = df.repartition(want, F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     return df
