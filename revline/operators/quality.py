@@ -94,20 +94,22 @@ def unique_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFram
 
     Each row contributes one (column, value) pair per checked column (values
     as text: equality within a column is unchanged); one grouped count over
-    the pairs, combined map-side, then the values seen more than once are
-    counted per column. Columns without duplicates still get their 0 row.
+    the pairs, combined map-side, then one conditional count per column of
+    the values seen more than once, unpivoted to one row per column (0 when
+    the column has no duplicate).
     """
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("p"))
     dup = (pairs.filter(F.col("p.v").isNotNull())
-           .groupBy(F.col("p.c").alias("column_name"), F.col("p.v").alias("v"))
+           .groupBy(F.col("p.c").alias("c"), F.col("p.v").alias("v"))
            .agg(F.count(F.lit(1)).alias("n"))
-           .groupBy("column_name").agg(F.count_if(F.col("n") > 1).alias("failing_rows")))
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    return names.join(F.broadcast(dup), "column_name", "left").select(
+           .agg(*[F.count_if((F.col("c") == c) & (F.col("n") > 1)).alias(f"_{i}")
+                  for i, c in enumerate(columns)]))
+    stack = ", ".join(f"'{c}', `_{i}`" for i, c in enumerate(columns))
+    return dup.selectExpr(f"stack({len(columns)}, {stack}) AS (column_name, failing_rows)").select(
         F.concat(F.lit(f"unique_{model}_"), F.col("column_name")).alias("check_name"),
         F.lit(model).alias("model"), "column_name", F.lit("unique").alias("test"),
-        F.coalesce(F.col("failing_rows"), F.lit(0)).cast("bigint").alias("failing_rows"))
+        F.col("failing_rows").cast("bigint").alias("failing_rows"))
 
 
 def dq_report(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
@@ -141,9 +143,10 @@ def dq_report(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFram
             F.lit(ch.name).alias("check_name"), F.lit(ch.model).alias("model"),
             F.lit(ch.column).alias("column_name"), F.lit(ch.test).alias("test"),
             F.col("failing_rows").cast("bigint")))
+    # every part has the same five columns in the same order
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.union(p)
     return out
 
 
