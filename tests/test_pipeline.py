@@ -51,3 +51,21 @@ def test_replace_table_guard_keeps_old_table(spark, tmp_path):
         files.replace_table(bad, path, guard=declared_constraints("review_id", ("sentiment_label",)))
     assert _rows(files.read_table(spark, path)) == [(1, "a"), (2, "b")]
     assert sorted(os.listdir(tmp_path)) == ["t"]           # the rejected folder is gone
+
+
+def test_bucketed_replace_guard_and_catalog(spark, tmp_path):
+    import pytest
+
+    from revline.plans.pipeline import declared_constraints
+    path = str(tmp_path / "scores")
+    good = spark.createDataFrame([(i, "positive") for i in range(20)], "review_id long, sentiment_label string")
+    files.replace_bucketed_table(good, "rl_test_scores", path, "review_id", 4,
+                                 guard=declared_constraints("review_id", ("sentiment_label",)))
+    parts = [p for p in os.listdir(path) if p.endswith(".parquet")]
+    assert len(parts) == 4                                   # one file per bucket
+    bad = spark.createDataFrame([(1, "a"), (1, "b")], "review_id long, sentiment_label string")
+    with pytest.raises(AssertionError):
+        files.replace_bucketed_table(bad, "rl_test_scores", path, "review_id", 4,
+                                     guard=declared_constraints("review_id", ("sentiment_label",)))
+    assert spark.table("rl_test_scores").count() == 20      # old table and catalog entry intact
+    assert sorted(os.listdir(tmp_path)) == ["scores"]
