@@ -38,6 +38,10 @@ from revline.operators.joins import broadcast_if_bounded
 
 # (k+1) rows per tag, ~13 columns each: 500k rows is about 100 MB per executor
 SHORTLIST_BROADCAST_ROWS = 500_000
+# above the broadcast bound: tags with more than this share of all (item, tag)
+# rows are split over HOT_TAG_SALTS partitions in the shuffle join
+HOT_TAG_FRACTION = 0.001
+HOT_TAG_SALTS = 32
 
 
 def _signed_round(num, den, digits):
@@ -140,13 +144,16 @@ def candidate_pairs(iws: DataFrame, k: int, tag_bound: int | None = None) -> Dat
                   "community_score", "review_count", "positive_ratio", "avg_sentiment_score",
                   "avg_review_score", "score_e4")])
     bound = None if tag_bound is None else (k + 1) * tag_bound
-    short = broadcast_if_bounded(short, bound, SHORTLIST_BROADCAST_ROWS)
     src = tag_members(iws).select(
         F.col("item_id").alias("source_item_id"),
         F.col("title").alias("source_title"),
         F.col("tag_primary").alias("source_tag"),
         "tag")
-    pairs = src.join(short, "tag").filter(F.col("t_item_id") != F.col("source_item_id")).drop("tag")
+    if bound is not None and bound <= SHORTLIST_BROADCAST_ROWS:
+        pairs = src.join(broadcast_if_bounded(short, bound, SHORTLIST_BROADCAST_ROWS), "tag")
+    else:
+        pairs = _salted_tag_join(iws, src, short)
+    pairs = pairs.filter(F.col("t_item_id") != F.col("source_item_id")).drop("tag")
     # Dedup on the pair, not a repartition by source: the pair key spreads a
     # source with a huge tag list over many tasks and combines duplicates
     # map-side; the ranking window after it then gets a partial
@@ -155,6 +162,37 @@ def candidate_pairs(iws: DataFrame, k: int, tag_bound: int | None = None) -> Dat
     return pairs.dropDuplicates(["source_item_id", "t_item_id"])
 
 
+def hot_tags(iws: DataFrame, fraction: float = HOT_TAG_FRACTION) -> list[str]:
+    """Tags holding more than ``fraction`` of all (item, tag) memberships.
+
+    At most ``1 / fraction`` tags can qualify, so the list sent to the driver
+    is bounded; two aggregates over the (materialised) scored items.
+    """
+    members = tag_members(iws).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    total = members.agg(F.sum("n")).first()[0] or 0
+    limit = max(1, int(total * fraction))
+    return [r["tag"] for r in members.filter(F.col("n") > limit).select("tag").collect()]
+
+
+def _salted_tag_join(iws: DataFrame, src: DataFrame, short: DataFrame,
+                     salts: int = HOT_TAG_SALTS) -> DataFrame:
+    """Shuffle join on tag that splits hot tags over ``salts`` partitions.
+
+    Sources of a hot tag get a salt from their id; the tag's shortlist (at
+    most k+1 rows) is copied once per salt, so every source still meets every
+    shortlisted target exactly once. Other tags keep salt 0 (no copies).
+    """
+    hot = hot_tags(iws)
+    is_hot = F.col("tag").isin(*hot) if hot else F.lit(False)
+    salted_src = src.withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64("source_item_id"), F.lit(salts)))
+        .otherwise(F.lit(0).cast("bigint")))
+    copies = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) \
+        .otherwise(F.array(F.lit(0).cast("bigint")))
+    salted_short = short.withColumn("_salt", F.explode(copies))
+    return salted_src.join(salted_short, ["tag", "_salt"]).drop("_salt")
+
+
 def rank_candidates(pairs: DataFrame, k: int) -> DataFrame:
     """Rank targets within each source and keep the top k (16 output columns)."""
     w = Window.partitionBy("source_item_id").orderBy(*_target_order("t_"))

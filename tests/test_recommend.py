@@ -116,3 +116,24 @@ def test_skewed_inputs_equal_brute_force(spark):
         reviews.append((j, item, 50, rnd.choice(["positive", "neutral", "negative"]), 0.5))
     for k in (3, 10):
         assert run_spark(spark, items, reviews, k, 2) == brute_force(items, reviews, k, 2)
+
+
+def test_salted_shuffle_path_equals_brute_force(spark):
+    """Force the non-broadcast path (huge tag bound): hot tags are salted."""
+    from decimal import Decimal
+    import random
+    rnd = random.Random(11)
+    items = [(i, ["hot"] if i % 2 else rnd.sample(["a", "b", "c", "d"], 2), rnd.choice([50.0, 90.0]))
+             for i in range(40)]
+    reviews = [(j, rnd.randrange(40), 50, rnd.choice(["positive", "negative"]), 0.5) for j in range(400)]
+    dim = spark.createDataFrame(
+        [(i, f"t{i}", f"T{i}", t, t[0], Decimal(str(c)), 2000, "s") for i, t, c in items], DIM)
+    fact = spark.createDataFrame([(r, i, s) for r, i, s, _, _ in reviews], "review_id long, item_id long, score int")
+    sent = spark.createDataFrame([(r, lab, se) for r, _, _, lab, se in reviews],
+                                 "review_id long, sentiment_label string, sentiment_score double")
+    stats = R.item_sentiment_stats(fact, sent, 2)
+    iws = R.materialize(R.items_with_stats(dim, stats))
+    assert "hot" in R.hot_tags(iws)
+    recs = R.recommend(dim, stats, 3, tag_bound=10**9)
+    got = sorted((r.source_item_id, r.recommended_item_id, r.rank) for r in recs.collect())
+    assert got == brute_force(items, reviews, 3, 2)
