@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. Timestamps are converted with explicit
 # arithmetic, but the session zone is still pinned so that any remaining
@@ -22,17 +22,6 @@ BASE_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# Starting points for a large cluster (set by the launcher, not by the
-# library): size shuffles for ~128-256 MB partitions and let AQE coalesce.
-CLUSTER_HINTS = {
-    "spark.sql.shuffle.partitions": "input bytes / 200 MB (AQE coalesces small ones)",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
-}
-
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "revline") -> SparkSession:
@@ -57,9 +46,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; we never
-    override it. Only when nothing is configured (local runs, tests) do we
-    create a private folder under the system temp dir.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that the driver
+    and every executor see; it is never overridden, and without it this
+    raises. Only a single-machine session (``local[N]``, tests) gets a
+    private folder under the system temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -67,6 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a folder that the driver and "
+            "all executors share")
     local = tempfile.mkdtemp(prefix="revline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
@@ -79,8 +73,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/revline-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back.
+
+    Cuts the lineage with files that outlive any executor, keeps columnar
+    pruning for the readers, and fixes the rows of a frame that is read twice.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every scratch file of this session (frames that read them end)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/revline-scratch"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
