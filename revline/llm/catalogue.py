@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revline.llm import exact_dedup, packing, simhash
+from revline.llm import exact_dedup, packing, sharding, simhash, urlfilter
+
+#: UTF-8 bytes of text in a shard
+SHARD_BYTES = 16 << 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +21,15 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints_of_edits(_table(spark, sf_dir, "documents"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.extendible_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = urlfilter.train(urlfilter.seed_table(spark))
+    return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), model)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -30,6 +42,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_document_fingerprints,
+        op2_sharding,
+        op5_url_filters,
         op8_exact_dedup,
         op9_packing,
     )}

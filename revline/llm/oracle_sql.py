@@ -12,3 +12,17 @@ SELECT doc_id,
 FROM t
 WINDOW same AS (PARTITION BY body)
 """
+
+# every prefix of the 60 hash bits that a bucket may have, without any directory
+ORACLES["op2_sharding"] = """
+WITH r AS (SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+                  ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM documents),
+     n AS (SELECT doc_id, bytes, d::INTEGER AS depth, h >> (60 - d)::INTEGER AS node,
+                  sum(bytes) OVER b AS shard_bytes, count(*) OVER b AS shard_rows
+           FROM r, range(0, 24) AS t(d)
+           WINDOW b AS (PARTITION BY d, h >> (60 - d)::INTEGER))
+SELECT doc_id, bytes::BIGINT AS bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(node), depth, '0') END AS shard,
+       depth, shard_bytes::BIGINT AS shard_bytes, shard_rows
+FROM n WHERE shard_bytes <= 16777216
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
