@@ -116,7 +116,9 @@ def near_fingerprints(queries: DataFrame, table: DataFrame, radius: int = 3) ->
     q = queries.select(F.col("fingerprint").alias("query")).where("query IS NOT NULL").distinct()
     t = table.select(F.col("fingerprint").alias("found")).where("found IS NOT NULL").distinct()
     distance = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))
-    return (_keyed(q, masks, "query").join(_keyed(t, masks, "found"), ["table", "key"])
+    # the entries are many times the fingerprints Spark has measured: always shuffle
+    return (_keyed(q, masks, "query").hint("merge")
+            .join(_keyed(t, masks, "found"), ["table", "key"])
             .where(distance <= radius).select("query", "found", distance.alias("distance"))
             .distinct())
 
@@ -201,12 +203,11 @@ def fingerprints_of_edits(docs: DataFrame, radius: int = 3, id_col: str = "doc_i
     after = own.select(F.col("_cell").alias("_to_cell"), F.col("_rn").alias("_to_rn"),
                        F.col("fingerprint").alias("_next_fp"))
     asked = own.where(F.col("_id") % search_every == 0)
-    near = count_near(asked, own, radius)
+    near = (asked.select("_cell", "_rn", "fingerprint")
+            .join(count_near(asked, own, radius), "fingerprint")
+            .select("_cell", "_rn", "near_rows"))
     fp = F.col("fingerprint")
-    with_next = own.join(after, ["_to_cell", "_to_rn"])
-    queried = F.when(F.col("_id") % search_every == 0, fp)
-    return (with_next.withColumn("_asked", queried)
-            .join(near.withColumnRenamed("fingerprint", "_asked"), "_asked", "left")
+    return (own.join(after, ["_to_cell", "_to_rn"]).join(near, ["_cell", "_rn"], "left")
             .select(F.col("_id").cast(docs.schema[id_col].dataType).alias(id_col),
                     F.col("_n").alias("n_chars"), F.col("_sha").alias("edited_sha256"),
                     as_hex(fp).alias("fingerprint"),
