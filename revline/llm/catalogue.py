@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revline.llm import exact_dedup, packing, sharding, simhash, urlfilter
+from revline.llm import exact_dedup, langid, packing, sharding, simhash, urlfilter
 
 #: UTF-8 bytes of text in a shard
 SHARD_BYTES = 16 << 20
@@ -25,6 +25,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.extendible_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out_languages(_table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = urlfilter.train(urlfilter.seed_table(spark))
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), model)
@@ -43,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_document_fingerprints,
         op2_sharding,
+        op3_language_id,
         op5_url_filters,
         op8_exact_dedup,
         op9_packing,
