@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revline.llm import exact_dedup, langid, packing, sharding, simhash, urlfilter
+from revline.llm import exact_dedup, langid, packing, quality_fm, sharding, simhash, urlfilter
 
 #: UTF-8 bytes of text in a shard
 SHARD_BYTES = 16 << 20
@@ -29,6 +29,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.held_out_languages(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.held_out_quality(_table(spark, sf_dir, "documents"),
+                                       _table(spark, sf_dir, "labels"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = urlfilter.train(urlfilter.seed_table(spark))
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), model)
@@ -48,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_document_fingerprints,
         op2_sharding,
         op3_language_id,
+        op4_quality_classifier,
         op5_url_filters,
         op8_exact_dedup,
         op9_packing,
