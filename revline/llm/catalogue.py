@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revline.llm import exact_dedup, langid, packing, quality_fm, sharding, simhash, urlfilter
+from revline.llm import (
+    exact_dedup,
+    langid,
+    packing,
+    probminhash,
+    quality_fm,
+    sharding,
+    simhash,
+    urlfilter,
+)
 
 #: UTF-8 bytes of text in a shard
 SHARD_BYTES = 16 << 20
@@ -39,6 +48,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages"), model)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_language_id,
         op4_quality_classifier,
         op5_url_filters,
+        op6_minhash_near_dedup,
         op8_exact_dedup,
         op9_packing,
     )}
