@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revline.llm import textvec
@@ -130,6 +130,11 @@ def decode(model: LanguageModel, outputs: np.ndarray) -> tuple[np.ndarray, np.nd
     return order[:, 0], share[np.arange(len(share)), order[:, 0]], second
 
 
+def hash_below(id_col: str, share) -> Column:
+    """True for about this share of the ids, those with the smallest hash."""
+    return F.xxhash64(id_col).cast("double") <= (share - 0.5) * 2.0 ** 64
+
+
 def train(docs: DataFrame, max_per_language: int = 400, max_languages: int = 64,
           n_buckets: int = 1 << 12, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> LanguageModel | None:
@@ -143,11 +148,16 @@ def train(docs: DataFrame, max_per_language: int = 400, max_languages: int = 64,
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = rows.where("lang IS NOT NULL")
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    languages = sorted(r["lang"] for r in counts.collect())
-    if not languages:
+    rows_of = {r["lang"]: r["count"] for r in counts.collect()}
+    if not rows_of:
         return None
+    languages = sorted(rows_of)
+    # of a frequent language, only hashes that leave a few times the wanted rows
+    share = F.create_map(*(F.lit(x) for lang, n in rows_of.items()
+                           for x in (lang, min(1.0, 4 * max_per_language / n))))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
     some = (known.where(F.col("lang").isin(languages)).select("_id", "lang")
+            .where(hash_below("_id", share[F.col("lang")]))
             .withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= max_per_language)
             .select("_id", F.col("lang").alias("_lang")).distinct())
     # at most max_per_language x max_languages ids

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revline.llm import textvec
-from revline.llm.langid import held_out
+from revline.llm.langid import hash_below, held_out
 
 STATISTICS = (
     "log bytes", "log words", "log lines", "mean word length", "mean line length",
@@ -197,7 +197,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, n_buckets: i
              .groupBy(F.col(id_col).alias("_id"))
              .agg(F.avg(label_col).alias("_y")))
     there = docs.select(F.col(id_col).alias("_id")).distinct()
-    some = (known.join(there, "_id", "left_semi")
+    # of many labels, only hashes that leave a few times the wanted rows
+    share = min(1.0, 4 * max_rows / max(1, known.count()))
+    some = (known.where(hash_below("_id", F.lit(share))).join(there, "_id", "left_semi")
             .select("_id", (F.col("_y") > 0.5).cast("int").alias("y"))
             .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
     sample = (docs.select(F.col(id_col).alias("_id"),
