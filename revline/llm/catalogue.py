@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revline.llm import (
+    backoff,
     exact_dedup,
     langid,
+    nbest,
     packing,
     probminhash,
     quality_fm,
@@ -52,6 +55,12 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff.backoff_scores(_table(spark, sf_dir, "documents"))
+    return (scored.withColumn("log_score", F.round("log_score", 4))
+            .withColumn("mean_log_score", F.round("mean_log_score", 6)))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +70,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.encode_nbest(_table(spark, sf_dir, "documents"),
+                              public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_document_fingerprints,
@@ -69,8 +83,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_quality_classifier,
         op5_url_filters,
         op6_minhash_near_dedup,
+        op7_lm_scoring,
         op8_exact_dedup,
         op9_packing,
+        op10_nbest_segmentation,
     )}
 
 

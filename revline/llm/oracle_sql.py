@@ -26,3 +26,35 @@ SELECT doc_id, bytes::BIGINT AS bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin
 FROM n WHERE shard_bytes <= 16777216
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 """
+
+ORACLES["op7_lm_scoring"] = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'),
+                                      x -> x <> '') AS words FROM documents),
+     p AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
+     t AS (SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM p),
+     one AS (SELECT w, count(*) AS c FROM t GROUP BY w),
+     one_here AS (SELECT doc_id, w, count(*) AS c FROM t GROUP BY ALL),
+     two AS (SELECT b, w, count(*) AS c FROM t WHERE b IS NOT NULL GROUP BY ALL),
+     two_here AS (SELECT doc_id, b, w, count(*) AS c FROM t WHERE b IS NOT NULL GROUP BY ALL),
+     elsewhere AS (
+       SELECT t.doc_id, t.b, one.c - one_here.c AS c_w, two.c - two_here.c AS c_bw,
+              before.c - before_here.c AS c_b,
+              greatest(1, (SELECT count(*) FROM t) - count(*) OVER (PARTITION BY t.doc_id)) AS n
+       FROM t JOIN one ON one.w = t.w JOIN one_here ON one_here.doc_id = t.doc_id AND one_here.w = t.w
+       LEFT JOIN two ON two.b = t.b AND two.w = t.w
+       LEFT JOIN two_here ON two_here.doc_id = t.doc_id AND two_here.b = t.b AND two_here.w = t.w
+       LEFT JOIN one AS before ON before.w = t.b
+       LEFT JOIN one_here AS before_here ON before_here.doc_id = t.doc_id AND before_here.w = t.b),
+     s AS (
+       SELECT doc_id, count(*) AS n_words,
+              sum(ln(CASE WHEN b IS NOT NULL AND c_bw > 0 THEN c_bw / c_b
+                          ELSE CASE WHEN b IS NULL THEN 1.0::DOUBLE ELSE 0.4::DOUBLE END
+                               * CASE WHEN c_w > 0 THEN c_w ELSE 0.4::DOUBLE END / n END)) AS total,
+              sum(CASE WHEN b IS NOT NULL AND c_bw > 0 THEN 1 ELSE 0 END)::BIGINT AS full_order,
+              sum(CASE WHEN c_w = 0 THEN 1 ELSE 0 END)::BIGINT AS unseen
+       FROM elsewhere GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(total, 0.0::DOUBLE), 4) AS log_score,
+       round(total / n_words, 6) AS mean_log_score, coalesce(full_order, 0) AS full_order,
+       coalesce(unseen, 0) AS unseen
+FROM d LEFT JOIN s USING (doc_id)
+"""
