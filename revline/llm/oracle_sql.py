@@ -28,10 +28,10 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 """
 
 ORACLES["op7_lm_scoring"] = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'),
-                                      x -> x <> '') AS words FROM documents),
+WITH d AS (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+') AS words
+           FROM documents),
      p AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
-     t AS (SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM p),
+     t AS (SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM p WHERE w <> ''),
      one AS (SELECT w, count(*) AS c FROM t GROUP BY w),
      one_here AS (SELECT doc_id, w, count(*) AS c FROM t GROUP BY ALL),
      two AS (SELECT b, w, count(*) AS c FROM t WHERE b IS NOT NULL GROUP BY ALL),
