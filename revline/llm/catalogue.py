@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def op10_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (
         op1_document_fingerprints,
         op2_sharding,
         op3_language_id,
@@ -92,4 +93,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracles() -> dict[str, str]:
     from revline.llm import oracle_sql
-    return dict(oracle_sql.ORACLES)
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return dict(oracle_sql.ORACLES) | pipeline

@@ -110,10 +110,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id",
 
     Of rows that repeat the kept id with the same text one stays.
     """
-    keep = (exact_groups(docs, id_col, text_col).where("kept")
-            .select(F.col("keep_id").alias("__keep"), F.col("text_sha256").alias("__digest"))
-            .distinct())
+    kept = write_scratch(exact_groups(docs, id_col, text_col).where("kept")
+                         .groupBy(F.col("keep_id").alias("__keep"),
+                                  F.col("text_sha256").alias("__digest"))
+                         .agg(F.count(F.lit(1)).alias("__rows")), "exact-kept")
+    keep = kept.select("__keep", "__digest")
     marked = docs.withColumn("__digest", sha256_hex(F.coalesce(F.col(text_col), F.lit(""))))
-    return (marked.join(keep, (marked["__digest"] == keep["__digest"])
-                        & marked[id_col].eqNullSafe(keep["__keep"]), "left_semi")
-            .dropDuplicates([id_col, "__digest"]).drop("__digest"))
+    left = marked.join(keep, (marked["__digest"] == keep["__digest"])
+                       & marked[id_col].eqNullSafe(keep["__keep"]), "left_semi")
+    if not kept.where("__rows > 1").isEmpty():
+        left = left.dropDuplicates([id_col, "__digest"])
+    return left.drop("__digest")

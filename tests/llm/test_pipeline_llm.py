@@ -1,0 +1,69 @@
+import os
+import sys
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import corpus_pipeline  # noqa: E402
+import test_packing  # noqa: E402
+import test_probminhash  # noqa: E402
+import test_quality_fm  # noqa: E402
+from revline.llm import langid, packing, quality_fm  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Documents with junk, letterless texts, exact and near copies."""
+    docs, labels, y = test_quality_fm._tables(spark, 260)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    origin = [i for i, t in enumerate(texts) if y[i] and len(t.split()) > 30][:12]
+    extra = [texts[i] for i in origin] + [texts[i] + " indeed" for i in origin] + [None, "", "12 34 -- 56."]
+    rows = [(i, t, "en" if i % 2 else "de", "s", len(t or "")) for i, t in enumerate(texts + extra)]
+    path = tmp_path_factory.mktemp("pipeline")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(f"{path}/documents.parquet")
+    labels.write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_pipeline_matches_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows, by_stage = docs, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, folder)
+        by_stage[name] = sorted(((r.doc_id, r.text) for r in rows.collect()), key=lambda r: r[0])
+        assert rows.columns == docs.columns and rows.dtypes == docs.dtypes
+        rows = spark.createDataFrame(rows.collect(), docs.schema)
+
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    good = {r.doc_id for r in quality_fm.score(docs, quality_fm.train(docs, labels), ["doc_id"]).collect()
+            if r.predicted}
+    text = {r.doc_id: r.text for r in docs.collect()}
+    assert [i for i, _ in by_stage["quality classifier"]] == sorted(good)
+    lettered = [i for i in sorted(good) if langid.LETTER.search(text[i] or "")]
+    assert [i for i, _ in by_stage["language ID"]] == lettered
+    last = {text[i]: i for i in lettered}
+    assert [i for i, _ in by_stage["exact dedup"]] == sorted(last.values())
+    classes = test_probminhash._brute([(i, text[i]) for i in sorted(last.values())])
+    kept = [i for i, (least, _, _) in sorted(classes.items()) if i == least]
+    assert [i for i, _ in by_stage["MinHash near-dedup"]] == kept
+    assert len(kept) < len(last) < len(lettered) <= len(good) < len(text)
+
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id for r in packed} == set(kept)
+    bpe = packing.ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = defaultdict(int)
+    for r in packed:
+        tokens[r.doc_id] += r.length
+    assert tokens == {i: bpe.plain_ids(text[i]).size + 1 for i in kept}
+    assert test_packing.PATH.endswith("byte_bpe_50k.json")
+
+
+def test_empty_tables(spark, folder, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
