@@ -14,9 +14,14 @@ from revline.session import write_scratch
 
 
 def _star(arcs: DataFrame) -> DataFrame:
-    """(u, v, m): each arc with the smallest of u and its arcs' ends."""
-    least = arcs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return arcs.join(least, "u")
+    """(u, v, m): each arc with the smallest of u and its arcs' ends.
+
+    A node may have a third of all arcs. The minimum is combined before the
+    shuffle and written, so that both sides of the join are plain shuffles and
+    adaptive execution splits such a node's arcs over many tasks.
+    """
+    least = write_scratch(arcs.groupBy("u").agg(F.min("v").alias("m")), "stars")
+    return arcs.join(least, "u").withColumn("m", F.least("m", "u"))
 
 
 def _large(edges: DataFrame) -> DataFrame:
