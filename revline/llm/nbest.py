@@ -2,7 +2,8 @@
 
 The lattice of a text has an edge for every piece of the vocabulary at every
 place where it occurs, weighted by the piece's score. Forward Viterbi gives the
-best score of every prefix. A backward search from the end expands the partial
+best score of every prefix (and what the second best path loses, which tells
+where the N best of a text can differ at all). A backward search from the end expands the partial
 path whose score plus that prefix score is largest; as the prefix scores are
 exact, complete paths come out best first.
 
@@ -30,10 +31,25 @@ from pyspark.sql import functions as F
 from revline.llm import textvec
 
 #: words remembered by a worker before it starts anew
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 _SPACE_MARK = "▁"
 
 
+def _any_of(chars: set[str]) -> str:
+    return f"[{''.join(map(re.escape, sorted(chars)))}]"
+
+
+class _Known(dict):
+    """Words with their best segmentation, found when first asked for."""
+
+    def __init__(self, find):
+        super().__init__()
+        self._find = find
+
+    def __missing__(self, s: str):
+        return self._find(s)
+
+
 class PieceLattice:
     """Pieces and scores of a model file; one instance per worker process and file."""
 
@@ -44,18 +60,31 @@ class PieceLattice:
         """``pieces``: (piece, score) by id, None-like empty pieces are skipped."""
         self.edges = {p.replace(_SPACE_MARK, " "): (i, s) for i, (p, s) in enumerate(pieces) if p}
         self.byte_ids, self.unknown_id = byte_ids, unknown_id
+        # also every prefix of a piece, so that a scan ends as soon as no piece can follow
+        self.scan = {p[:k]: None for p in self.edges for k in range(1, len(p))} | self.edges
         scores = [s for _, s in self.edges.values()]
         self.unknown_score = min(scores, default=0.0) - 10.0
-        self.longest = max(map(len, self.edges), default=1)
-        self.bytes_of = {i: p.encode() for p, (i, _) in self.edges.items()}
-        self.bytes_of |= {i: bytes([b]) for b, i in (byte_ids or {}).items()}
+        of = {i: p.encode() for p, (i, _) in self.edges.items()}
+        of |= {i: bytes([b]) for b, i in (byte_ids or {}).items()}
+        # the text of every id, one after the other; the last is for all others
+        texts = [of.get(i, b"\xef\xbf\xbd") for i in range(max(of, default=0) + 2)]
+        self._size = np.array([len(t) for t in texts])
+        self._start = np.r_[0, np.cumsum(self._size)[:-1]]
+        self._bytes = np.frombuffer(b"".join(texts), np.uint8)
         linked = {c for p in self.edges if len(p) > 1 for c in p}
+        pairs = {p[k:k + 2] for p in self.edges for k in range(len(p) - 1)}
         crossing = any(re.search("[^ ] ", p) for p in self.edges)
-        inside = "".join(map(re.escape, sorted(linked - {" "})))
+        inside = _any_of(linked - {" "})
+        # letters, and marks that no piece puts behind a letter
+        letters = {c for c in linked if c.isalpha()}
+        behind = {pair[1] for pair in pairs if pair[0] in letters}
+        word = f" *{_any_of(letters)}+(?={_any_of(linked - letters - behind - {' '})})|" if (
+            letters and linked - letters - behind - {" "}) else ""
         # stretches of the text that only meet in single nodes of the lattice
-        self.stretches = re.compile("(?s).+" if crossing else
-                                    f"(?s) *[{inside}]+| +|." if inside else "(?s) +|.").findall
-        self._known: dict[str, tuple[float, bytes, float]] = {}
+        self.stretches = re.compile(
+            "(?s).+" if crossing else f"(?s){word} *{inside}+| +|." if linked - {" "} else
+            "(?s) +|.").findall
+        self._known = _Known(self._remember)
 
     @classmethod
     def load(cls, path: str) -> PieceLattice:
@@ -71,23 +100,62 @@ class PieceLattice:
 
     def _incoming(self, s: str) -> tuple[list[list], list[float]]:
         """Edges by their end, and the Viterbi score of every prefix."""
-        n, edges, longest = len(s), self.edges, self.longest
+        n, scan = len(s), self.scan
         incoming: list[list] = [[] for _ in range(n + 1)]
         best = [0.0] + [-np.inf] * n
         for i in range(n):
             base, single = best[i], False
-            for j in range(i + 1, min(n, i + longest) + 1):
-                if (found := edges.get(s[i:j])) is not None:
+            for j in range(i + 1, n + 1):
+                found = scan.get(s[i:j], 0)
+                if found:
                     single = single or j == i + 1
                     incoming[j].append((i, found[0], found[1]))
                     if base + found[1] > best[j]:
                         best[j] = base + found[1]
+                elif found == 0:
+                    break
             if not single:  # every character has an edge
                 incoming[i + 1].append((i, -1, self.unknown_score))
                 if base + self.unknown_score > best[i + 1]:
                     best[i + 1] = base + self.unknown_score
         return incoming, best
 
+    def _two_best(self, s: str) -> tuple[float, bytes, float]:
+        """Forward Viterbi with runners-up: best score, its ids, second best score."""
+        n, scan = len(s), self.scan
+        nothing = -np.inf
+        first, second = [0.0] + [nothing] * n, [nothing] * (n + 1)
+        back: list = [None] * (n + 1)
+        for i in range(n):
+            one, two, single = first[i], second[i], False
+            for j in range(i + 1, n + 1):
+                found = scan.get(s[i:j], 0)
+                if found:
+                    if j == i + 1:
+                        single = True
+                    x = one + found[1]
+                    if x > first[j]:
+                        y = two + found[1]
+                        second[j] = first[j] if first[j] > y else y
+                        first[j], back[j] = x, (i, found[0])
+                    elif x > second[j]:
+                        second[j] = x
+                elif found == 0:
+                    break
+            if not single:
+                j, x = i + 1, one + self.unknown_score
+                if x > first[j]:
+                    y = two + self.unknown_score
+                    second[j] = first[j] if first[j] > y else y
+                    first[j], back[j] = x, (i, -1)
+                elif x > second[j]:
+                    second[j] = x
+        path, at = None, n
+        while at:
+            i, piece = back[at]
+            path, at = (i, piece, path), i
+        return first[n], self._spell(s, path), second[n]
+
     def _spell(self, s: str, path) -> bytes:
         """Ids of a path ((start, id, rest) from the front) as little-endian 32-bit numbers."""
         out = array("I")
@@ -123,9 +191,8 @@ class PieceLattice:
         """Best score, its ids and what the second best loses (infinite if there is none)."""
         if len(self._known) >= REMEMBERED:
             self._known.clear()
-        two = self.search(s, 2)
-        entry = (*two[0], two[0][0] - two[1][0] if len(two) > 1 else np.inf)
-        self._known[s] = entry
+        best, ids, second = self._two_best(s)
+        self._known[s] = entry = (best, ids, best - second)
         return entry
 
     def encode(self, text: str, n: int) -> list[tuple[float, bytes]]:
@@ -133,18 +200,22 @@ class PieceLattice:
         if not text:
             return [(0.0, b"")]
         stretches = self.stretches(" " + text)
-        known, remember = self._known, self._remember
-        scores, ids, losses = zip(*[known.get(s) or remember(s) for s in stretches], strict=True)
+        scores, ids, losses = zip(*map(self._known.__getitem__, stretches), strict=True)
         # only the n - 1 stretches that lose least can differ from the best path
-        near = heapq.nsmallest(n - 1, range(len(losses)), key=losses.__getitem__)
+        near: list[int] = []
+        if n > 1:
+            array_of = np.array(losses)
+            near = np.argsort(array_of, kind="stable")[:n - 1].tolist() if len(losses) < 32 else sorted(
+                np.argpartition(array_of, n - 1)[:n - 1].tolist(), key=losses.__getitem__)
         combined: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
         for at in near:
             if losses[at] == np.inf:
                 continue
-            options = self.search(stretches[at], n)
+            best = scores[at]
+            others = [x for x in self.search(stretches[at], n) if x[1] != ids[at]][:n - 1]
             combined = heapq.nsmallest(n, (
-                (loss + options[0][0] - score, {**change, at: spelled} if k else change)
-                for loss, change in combined for k, (score, spelled) in enumerate(options)),
+                *combined, *((loss + best - score, {**change, at: spelled})
+                             for loss, change in combined for score, spelled in others)),
                 key=lambda x: x[0])
         total, out = sum(scores), []
         for loss, change in combined:
@@ -161,10 +232,11 @@ class PieceLattice:
 
         Bytes that are no UTF-8, and ids that stand for no text, become U+FFFD.
         """
-        if isinstance(ids, bytes):
-            ids = np.frombuffer(ids, "<u4")
-        table = self.bytes_of
-        raw = b"".join([table.get(i, b"\xef\xbf\xbd") for i in ids.tolist()])
+        ids = np.frombuffer(ids, "<u4") if isinstance(ids, bytes) else np.asarray(ids)
+        ids = np.where(ids < self._size.size - 1, ids, self._size.size - 1)
+        size, start = self._size[ids], self._start[ids]
+        where = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) if ids.size else ids
+        raw = self._bytes[where + np.arange(where.size)].tobytes() if ids.size else b""
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
