@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revline.session import scratch_path
+
 #: A rule's verdict and the rule (host/path).
 RULES = (
     ("block", "net/"),
@@ -169,7 +171,11 @@ def train(labelled: DataFrame, features: int = 1 << 14, sizes: tuple[int, ...] =
         featuresCol="_features", labelCol="label", maxIter=iterations, regParam=regularisation,
         standardization=False, probabilityCol="_probability", rawPredictionCol="_raw",
         predictionCol="_prediction").fit(model.hasher().transform(rows))
-    model.model = fitted
+    # a fitted model drags its training summary, and with it the session, into
+    # every task; a stored one is only its coefficients
+    path = scratch_path(labelled.sparkSession, "url-model")
+    fitted.write().save(path)
+    model.model = LogisticRegressionModel.load(path)
     return model
 
 
