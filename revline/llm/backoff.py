@@ -34,7 +34,7 @@ from revline.session import write_scratch
 
 BACKOFF = 0.4
 #: UTF-8 bytes of text that a block of documents should have
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def _pack(values: np.ndarray) -> bytes:
