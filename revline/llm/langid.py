@@ -83,7 +83,7 @@ def features(data: np.ndarray, offs: np.ndarray, n_buckets: int) -> np.ndarray:
 
 def _feature_rows(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in textvec.small_batches(batches, "text", textvec.MAX_BYTES // 4):
+        for batch in textvec.small_batches(batches, "text"):
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 x = features(*textvec.utf8(part.column("text")), n_buckets)
@@ -188,7 +188,8 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str],
     out += ["lang_pred string", "score double", "ambiguous boolean", "second_lang string"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in textvec.small_batches(batches, "__text"):
+        # one row of weights for each byte: small batches keep that in a few MB
+        for batch in textvec.small_batches(batches, "__text", textvec.MAX_BYTES // 2):
             texts = batch.column("__text")
             letters = np.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()])
             lang = np.full(batch.num_rows, UNDETERMINED, object)

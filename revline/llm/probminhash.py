@@ -149,7 +149,8 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in textvec.small_batches(batches, "_text"):
+    # short texts take many arrivals until all registers have one: larger batches
+    for batch in textvec.small_batches(batches, "_text", 4 * textvec.MAX_BYTES):
         n = batch.num_rows
         data, offs = textvec.utf8(batch.column("_text"))
         hashes, rows = normal_words(data, offs)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_BYTES = 2 << 20
+MAX_BYTES = 512 << 10
 
 #: words are separated by ASCII white space
 _SPACE = np.zeros(256, bool)
