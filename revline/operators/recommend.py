@@ -15,11 +15,14 @@ one of their shared tags (k+1: the source itself may take a slot). Hence:
 2. keep the best k+1 items per tag (``row_number <= k+1``: a partial
    WindowGroupLimit runs before the shuffle, so a tag holding a third of all
    items sends at most k+1 rows per map partition);
-3. join every (source, tag) with that shortlist — broadcast when the bound
-   (k+1) x distinct tags is small, else a shuffle join whose hot tag AQE
-   splits — drop self-matches, dedup (source, target), rank, cut at k.
-
-Work is linear in (items x tags x k) instead of quadratic per tag.
+3. join every (source, tag) with that shortlist on (tag, salt), where a hot tag
+   has salts in proportion to its share; drop self-matches, dedup (source,
+   target), rank, cut at k;
+4. only then join the k rows of each source to titles and other attributes.
+
+Steps 2 and 3 carry ids, the score and the review count only (fixed-width
+numbers), so the plan is the same at every size and the dedup is a hash
+aggregate. Work is linear in (items x tags x k) instead of quadratic per tag.
 All rounding is exact integer arithmetic (see ``functions.exact``).
 """
 
@@ -34,14 +37,11 @@ from revline.functions.exact import (
     scaled_to_double,
     weighted_score_scaled,
 )
-from revline.operators.joins import broadcast_if_bounded
+from revline.session import write_scratch
 
-# (k+1) rows per tag, ~13 columns each: 500k rows is about 100 MB per executor
-SHORTLIST_BROADCAST_ROWS = 500_000
-# above the broadcast bound: tags with more than this share of all (item, tag)
-# rows are split over HOT_TAG_SALTS partitions in the shuffle join
+# a tag is hot when it has more than this share of all (item, tag) rows; it is
+# split so that each salt has about this share
 HOT_TAG_FRACTION = 0.001
-HOT_TAG_SALTS = 32
 
 
 def _signed_round(num, den, digits):
@@ -118,86 +118,68 @@ def tag_members(iws: DataFrame) -> DataFrame:
 
 
 def tag_shortlist(iws: DataFrame, k: int) -> DataFrame:
-    """Best ``k + 1`` items per tag, with every target attribute carried along."""
+    """Best ``k + 1`` items per tag: (tag, t_item_id, t_score_e4, t_review_count)."""
     w = Window.partitionBy("tag").orderBy(*_target_order())
-    return (tag_members(iws)
-            .withColumn("_pos", F.row_number().over(w))
+    members = tag_members(iws.select("item_id", "tags", "score_e4", "review_count"))
+    return (members.withColumn("_pos", F.row_number().over(w))
             .filter(F.col("_pos") <= k + 1)
-            .drop("_pos"))
-
+            .select("tag", *[F.col(c).alias(f"t_{c}") for c in ("item_id", "score_e4", "review_count")]))
 
-def distinct_tag_count(items: DataFrame) -> int:
-    """Distinct tags over a set of items (an upper bound for any subset of
-    them): one aggregate, one number to the driver."""
-    return items.select(F.explode(F.array_distinct("tags")).alias("t")).distinct().count()
 
-
-def candidate_pairs(iws: DataFrame, k: int, tag_bound: int | None = None) -> DataFrame:
-    """(source, target) pairs that can reach a source's top k, deduplicated.
-
-    Target columns are prefixed ``t_``; the source keeps its id, title and
-    primary tag.
-    """
-    short = tag_shortlist(iws, k).select(
-        "tag", *[F.col(c).alias(f"t_{c}") for c in
-                 ("item_id", "title", "title_display", "tag_primary", "studio", "release_year",
-                  "community_score", "review_count", "positive_ratio", "avg_sentiment_score",
-                  "avg_review_score", "score_e4")])
-    bound = None if tag_bound is None else (k + 1) * tag_bound
-    src = tag_members(iws).select(
-        F.col("item_id").alias("source_item_id"),
-        F.col("title").alias("source_title"),
-        F.col("tag_primary").alias("source_tag"),
-        "tag")
-    if bound is not None and bound <= SHORTLIST_BROADCAST_ROWS:
-        pairs = src.join(broadcast_if_bounded(short, bound, SHORTLIST_BROADCAST_ROWS), "tag")
-    else:
-        pairs = _salted_tag_join(iws, src, short)
-    pairs = pairs.filter(F.col("t_item_id") != F.col("source_item_id")).drop("tag")
-    # Dedup on the pair, not a repartition by source: the pair key spreads a
-    # source with a huge tag list over many tasks and combines duplicates
-    # map-side; the ranking window after it then gets a partial
-    # WindowGroupLimit, so its shuffle carries at most k rows per source per
-    # partition.
-    return pairs.dropDuplicates(["source_item_id", "t_item_id"])
-
-
-def hot_tags(iws: DataFrame, fraction: float = HOT_TAG_FRACTION) -> list[str]:
-    """Tags holding more than ``fraction`` of all (item, tag) memberships.
+def hot_tags(iws: DataFrame, fraction: float = HOT_TAG_FRACTION) -> dict[str, int]:
+    """Tags holding more than ``fraction`` of all (item, tag) memberships, and
+    into how many salts each is split.
 
     At most ``1 / fraction`` tags can qualify, so the list sent to the driver
     is bounded; two aggregates over the (materialised) scored items.
     """
-    members = tag_members(iws).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    members = (tag_members(iws.select("item_id", "tags")).groupBy("tag")
+               .agg(F.count(F.lit(1)).alias("n")))
     total = members.agg(F.sum("n")).first()[0] or 0
     limit = max(1, int(total * fraction))
-    return [r["tag"] for r in members.filter(F.col("n") > limit).select("tag").collect()]
+    return {r["tag"]: -(-r["n"] // limit)
+            for r in members.filter(F.col("n") > limit).collect()}
 
 
-def _salted_tag_join(iws: DataFrame, src: DataFrame, short: DataFrame,
-                     salts: int = HOT_TAG_SALTS) -> DataFrame:
-    """Shuffle join on tag that splits hot tags over ``salts`` partitions.
+def candidate_pairs(iws: DataFrame, k: int) -> DataFrame:
+    """(source, target) pairs that can reach a source's top k, deduplicated,
+    with the target's score and review count.
 
     Sources of a hot tag get a salt from their id; the tag's shortlist (at
     most k+1 rows) is copied once per salt, so every source still meets every
-    shortlisted target exactly once. Other tags keep salt 0 (no copies).
+    shortlisted target exactly once. Other tags have one salt (no copies).
     """
     hot = hot_tags(iws)
-    is_hot = F.col("tag").isin(*hot) if hot else F.lit(False)
-    salted_src = src.withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64("source_item_id"), F.lit(salts)))
-        .otherwise(F.lit(0).cast("bigint")))
-    copies = F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) \
-        .otherwise(F.array(F.lit(0).cast("bigint")))
-    salted_short = short.withColumn("_salt", F.explode(copies))
-    return salted_src.join(salted_short, ["tag", "_salt"]).drop("_salt")
-
-
-def rank_candidates(pairs: DataFrame, k: int) -> DataFrame:
-    """Rank targets within each source and keep the top k (16 output columns)."""
+    salts = F.lit(1)
+    if hot:
+        of_tag = F.create_map(*[F.lit(x) for item in hot.items() for x in item])
+        salts = F.coalesce(of_tag[F.col("tag")], F.lit(1))
+    src = tag_members(iws.select("item_id", "tags")).select(
+        F.col("item_id").alias("source_item_id"), "tag",
+        F.pmod(F.xxhash64("item_id"), salts).cast("int").alias("_salt"))
+    short = tag_shortlist(iws, k).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))))
+    pairs = (src.join(short, ["tag", "_salt"])
+             .filter(F.col("t_item_id") != F.col("source_item_id")))
+    # the pair key spreads a source with a huge tag list over many tasks and
+    # combines duplicates map-side; every copy of a pair has the same numbers
+    return pairs.groupBy("source_item_id", "t_item_id").agg(
+        F.max("t_score_e4").alias("t_score_e4"), F.max("t_review_count").alias("t_review_count"))
+
+
+def rank_candidates(pairs: DataFrame, iws: DataFrame, k: int) -> DataFrame:
+    """Rank targets within each source, keep the top k, then look up the
+    attributes of source and target (16 output columns)."""
     w = Window.partitionBy("source_item_id").orderBy(*_target_order("t_"))
-    ranked = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select(
+    ranked = (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+              .select("source_item_id", "t_item_id", "rank"))
+    source = iws.select(F.col("item_id").alias("source_item_id"),
+                        F.col("title").alias("source_title"), F.col("tag_primary").alias("source_tag"))
+    target = iws.select(*[F.col(c).alias(f"t_{c}") for c in (
+        "item_id", "title", "title_display", "tag_primary", "studio", "release_year",
+        "community_score", "review_count", "positive_ratio", "avg_sentiment_score",
+        "avg_review_score", "score_e4")])
+    return ranked.join(source, "source_item_id").join(target, "t_item_id").select(
         "source_item_id", "source_title", "source_tag",
         F.col("t_item_id").alias("recommended_item_id"),
         F.col("t_title").alias("recommended_title"),
@@ -216,44 +198,27 @@ def rank_candidates(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once to the shared scratch folder and read it back.
 
-    Used for the item table with stats, which feeds both sides of the tag
-    join: without it each side recomputes the whole review aggregation
-    (their column pruning differs, so Spark cannot share the shuffle). The
-    checkpoint is reliable storage, so a lost executor costs no recompute.
+    Used for the item table with stats, which feeds the hot-tag counts, both
+    sides of the tag join and the attribute look-ups: without it each would
+    recompute the whole review aggregation. The files are columnar, so every
+    reader takes only its columns, and outlive a lost executor.
     """
-    from revline.session import ensure_checkpoint_dir
+    return write_scratch(df, "items-with-stats")
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def recommend(dim_items: DataFrame, stats: DataFrame, k: int = 10) -> DataFrame:
+    """Top-k recommendations for every scored item (see module docstring)."""
+    iws = materialize(items_with_stats(dim_items, stats))
+    return rank_candidates(candidate_pairs(iws, k), iws, k)
 
-def recommend(dim_items: DataFrame, stats: DataFrame, k: int = 10,
-              tag_bound: int | None = None, materialize_items: bool = True) -> DataFrame:
-    """Top-k recommendations for every scored item (see module docstring).
 
-    ``tag_bound``: a computed upper bound on distinct tags; when None it is
-    counted on the (materialised) scored items, which also enables the
-    broadcast of the shortlist.
-    """
-    iws = items_with_stats(dim_items, stats)
-    if materialize_items:
-        iws = materialize(iws)
-        if tag_bound is None:
-            tag_bound = distinct_tag_count(iws)
-    return rank_candidates(candidate_pairs(iws, k, tag_bound), k)
-
-
-def scored_pairs(dim_items: DataFrame, stats: DataFrame, k: int = 10,
-                 tag_bound: int | None = None, materialize_items: bool = True) -> DataFrame:
-    """Candidate (source, target) pairs with the target score, before ranking."""
-    iws = items_with_stats(dim_items, stats)
-    if materialize_items:
-        iws = materialize(iws)
-        if tag_bound is None:
-            tag_bound = distinct_tag_count(iws)
-    p = candidate_pairs(iws, k, tag_bound)
-    return p.select("source_item_id", F.col("t_item_id").alias("recommended_item_id"),
-                    F.col("t_review_count").alias("recommended_review_count"),
-                    scaled_to_double(F.col("t_score_e4"), 4).alias("recommendation_score"))
+def shortlisted_pairs(dim_items: DataFrame, stats: DataFrame, k: int = 10) -> DataFrame:
+    """The (source, target) candidates of step 3 with the target's score: not
+    all pairs with a common tag, only those that can reach a top k."""
+    iws = materialize(items_with_stats(dim_items, stats))
+    return candidate_pairs(iws, k).select(
+        "source_item_id", F.col("t_item_id").alias("recommended_item_id"),
+        F.col("t_review_count").alias("recommended_review_count"),
+        scaled_to_double(F.col("t_score_e4"), 4).alias("recommendation_score"))

@@ -92,54 +92,6 @@ def _word_count(text: Column, words: Sequence[str]) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("bigint")
 
 
-def onnx_factory(model_path: str, tokenizer_path: str,
-                 labels: Sequence[str] = ("LABEL_0", "LABEL_1", "LABEL_2"),
-                 max_tokens: int = 128, session_factory: Callable[[], object] | None = None
-                 ) -> ScorerFactory:
-    """Scorer factory for an exported sequence-classification model.
-
-    Each Python worker loads the tokenizer (``tokenizers`` JSON, cut at
-    ``max_tokens``) and the ONNX Runtime session once; every call tokenises
-    a batch, runs the model and returns the arg-max label with its softmax
-    probability. Both libraries are imported lazily, so the module works
-    without them. ``session_factory`` replaces the ONNX session (anything
-    with ``get_inputs()`` and ``run(None, feeds)``), e.g. in tests; no model
-    files are bundled.
-    """
-    labels = list(labels)
-
-    def factory() -> Scorer:
-        import numpy as np
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_path)
-        tok.enable_truncation(max_length=max_tokens)
-        tok.enable_padding()
-        if session_factory is None:
-            import onnxruntime as ort
-            sess = ort.InferenceSession(model_path, providers=["CPUExecutionProvider"])
-        else:
-            sess = session_factory()
-        wanted = {i.name for i in sess.get_inputs()}
-
-        def score(texts: list[str]) -> list[tuple[str, float]]:
-            if not texts:
-                return []
-            enc = tok.encode_batch(texts)
-            feeds = {"input_ids": np.array([e.ids for e in enc], dtype=np.int64),
-                     "attention_mask": np.array([e.attention_mask for e in enc], dtype=np.int64)}
-            logits = np.asarray(sess.run(None, {k: v for k, v in feeds.items() if k in wanted})[0],
-                                dtype=np.float64)
-            z = np.exp(logits - logits.max(axis=1, keepdims=True))
-            prob = z / z.sum(axis=1, keepdims=True)
-            best = prob.argmax(axis=1)
-            return [(labels[b], float(prob[i, b])) for i, b in enumerate(best)]
-
-        return score
-
-    return factory
-
-
 def lexicon_columns(text: Column) -> tuple[Column, Column]:
     """The lexicon scorer as built-in expressions: (raw_label, confidence).
 
@@ -238,7 +190,3 @@ def sentiment_table(fact: DataFrame, factory: ScorerFactory | None = None, limit
     if with_timestamp:
         out = out.withColumn("scored_at", F.current_timestamp())
     return out
-
-
-def score_columns_exist(df: DataFrame, cols: Sequence[str] = ("sentiment_label", "sentiment_score")) -> bool:
-    return all(c in df.columns for c in cols)

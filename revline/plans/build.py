@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from revline.operators import recommend as rec
 from revline.operators.sentiment import ScorerFactory, append_scores
 from revline.plans import marts, reports, staging
-from revline.session import ensure_checkpoint_dir
+from revline.session import write_scratch
 from revline.sources import testdata
 
 
@@ -42,17 +42,14 @@ class ReviewMarts:
         self._sentiment = sentiment
         self.materialize = materialize
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """Checkpoint a model that several consumers read (materialize mode).
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a model that several consumers read (materialize mode).
 
-        Like a mart table: computed once, written to the shared checkpoint
-        folder, read back by every consumer; also cuts the lineage, so a lost
-        executor never re-runs the upstream.
+        Like a mart table: computed once into the shared scratch folder, then
+        read by every consumer with column pruning; also cuts the lineage, so
+        a lost executor never re-runs the upstream.
         """
-        if not self.materialize:
-            return df
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        return write_scratch(df, name) if self.materialize else df
 
     def _raw_frame(self, name: str) -> DataFrame:
         x = self._raw[name]
@@ -83,11 +80,11 @@ class ReviewMarts:
 
     @cached_property
     def stg_reviews(self) -> DataFrame:
-        return self._keep(staging.stage_reviews(self.raw_reviews))
+        return self._keep(staging.stage_reviews(self.raw_reviews), "stg-reviews")
 
     @cached_property
     def stg_users(self) -> DataFrame:
-        return self._keep(staging.stage_users(self.raw_users))
+        return self._keep(staging.stage_users(self.raw_users), "stg-users")
 
     # marts
     @cached_property
@@ -98,17 +95,13 @@ class ReviewMarts:
     def dim_user(self) -> DataFrame:
         return marts.dim_user(self.stg_users, self.as_of)
 
-    @cached_property
-    def _dim_date(self) -> tuple[DataFrame, int]:
-        return marts.dim_date(self.stg_reviews, self.buffer_days)
-
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._keep(self._dim_date[0])
+        return marts.dim_date(self.stg_reviews, self.buffer_days)
 
     @cached_property
     def fact_reviews(self) -> DataFrame:
-        return self._keep(marts.fact_reviews(self.stg_reviews, self.dim_date, self._dim_date[1]))
+        return marts.fact_reviews(self.stg_reviews)
 
     @cached_property
     def sentiment(self) -> DataFrame:
@@ -124,7 +117,7 @@ class ReviewMarts:
         f = self.fact_reviews.select(
             "review_id", "item_id", "score",
             F.coalesce(F.col("review_text"), F.col("summary"), F.lit("")).alias("text"))
-        return self._keep(append_scores(f, "text", self.scorer))
+        return self._keep(append_scores(f, "text", self.scorer), "scored-fact")
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -161,8 +154,8 @@ class ReviewMarts:
         return rec.recommend(self.dim_item, self.stats, self.k)
 
     @cached_property
-    def scored_pairs(self) -> DataFrame:
-        return rec.scored_pairs(self.dim_item, self.stats, self.k)
+    def shortlisted_pairs(self) -> DataFrame:
+        return rec.shortlisted_pairs(self.dim_item, self.stats, self.k)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, **kw) -> ReviewMarts:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revline.functions.scalars import (
@@ -16,13 +16,6 @@ from revline.functions.scalars import (
     padded_day_name,
     padded_month_name,
 )
-from revline.operators.joins import broadcast_if_bounded
-
-# one row per calendar day: even a century is 36,525 rows
-DATE_DIM_BROADCAST_ROWS = 5_000_000
-# longest review-date span accepted by the lazy calendar (about 1,100 years)
-MAX_SPAN_DAYS = 400_000
-
 
 def dim_item(stg_items: DataFrame) -> DataFrame:
     """Display title falls back to the native one; primary tag = first tag."""
@@ -47,31 +40,6 @@ def dim_user(stg_users: DataFrame, as_of: str | _dt.date | None = None) -> DataF
     )
 
 
-def date_bounds(stg_reviews: DataFrame, date_col: str = "review_date"):
-    """(min, max) review date: one tiny aggregate, two scalars to the driver."""
-    row = stg_reviews.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    return row["lo"], row["hi"]
-
-
-def dim_date_from_bounds(spark: SparkSession, lo: _dt.date | None, hi: _dt.date | None,
-                         buffer_days: int = 7) -> tuple[DataFrame, int]:
-    """Gap-free calendar ``[lo - buffer, hi + buffer]`` and its exact row count.
-
-    The spine comes from ``spark.range`` (generated in parallel), not from
-    exploding one array in one task. A NULL bound gives an empty calendar.
-    """
-    if lo is None or hi is None:
-        n = 0
-        start = _dt.date(1970, 1, 1)
-    else:
-        start = lo - _dt.timedelta(days=buffer_days)
-        n = (hi - lo).days + 2 * buffer_days + 1
-    parts = max(1, min(n // 200_000 + 1, spark.sparkContext.defaultParallelism))
-    spine = spark.range(0, n, 1, parts).select(
-        F.date_add(F.lit(start.isoformat()).cast("date"), F.col("id").cast("int")).alias("full_date"))
-    return _date_attributes(spine), n
-
-
 def _date_attributes(spine: DataFrame) -> DataFrame:
     d = F.col("full_date")
     return spine.select(
@@ -89,42 +57,32 @@ def _date_attributes(spine: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(stg_reviews: DataFrame, buffer_days: int = 7,
-             max_span_days: int = MAX_SPAN_DAYS) -> tuple[DataFrame, int]:
-    """Calendar ``[min - buffer, max + buffer]`` of the review dates, lazily.
+def dim_date(stg_reviews: DataFrame, buffer_days: int = 7) -> DataFrame:
+    """Gap-free calendar ``[min - buffer, max + buffer]`` of the review dates.
 
-    Bounds come from a one-row aggregate inside the same plan (no driver
-    round trip, and the review shuffle it needs is shared with the fact).
-    The span is checked in the plan: more than ``max_span_days`` raises
-    instead of generating an unbounded calendar, which is what makes the
-    returned row bound (``max_span_days + 2 * buffer + 1``) a proof.
+    One aggregate brings the two bounds (as day numbers) to the driver; the
+    spine is a distributed range, so any span is fine. No dated review gives
+    an empty calendar.
     """
-    b = stg_reviews.agg(F.min("review_date").alias("lo"), F.max("review_date").alias("hi"))
-    span = F.datediff(F.col("hi"), F.col("lo"))
-    guard = F.when(span > F.lit(max_span_days),
-                   F.raise_error(F.lit(f"review dates span more than {max_span_days} days")))
-    spine = b.select(F.explode(F.sequence(
-        F.date_sub(F.col("lo"), buffer_days),
-        F.date_add(F.coalesce(guard.cast("date"), F.col("hi")), buffer_days))).alias("full_date"))
-    return _date_attributes(spine), max_span_days + 2 * buffer_days + 1
-
-
-def fact_reviews(stg_reviews: DataFrame, dates: DataFrame, date_rows: int | None = None) -> DataFrame:
-    """One row per review; LEFT join keeps reviews whose date is unknown.
-
-    The calendar is broadcast when its row count is known and bounded
-    (``date_rows`` from ``dim_date``); otherwise the planner decides.
-
-    The calendar has one row per date (built that way, and checked by the
-    ``unique`` test on ``full_date``). Stating it with a distinct on the tiny
-    side lets Catalyst remove the whole join, calendar included, from any
-    consumer that never reads ``date_id`` (a left join to a side unique on
-    the key neither adds nor drops rows).
+    day = F.unix_date("review_date")
+    bounds = stg_reviews.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    first, end = (0, 0) if bounds["lo"] is None else (
+        bounds["lo"] - buffer_days, bounds["hi"] + buffer_days + 1)
+    spine = stg_reviews.sparkSession.range(first, end).select(
+        F.date_from_unix_date(F.col("id").cast("int")).alias("full_date"))
+    return _date_attributes(spine)
+
+
+def fact_reviews(stg_reviews: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """One row per review; a review without a date has no date id.
+
+    The calendar has every date of the reviews, and a date's id follows from
+    the date, so without ``dates`` nothing is joined. With a calendar of other
+    bounds, reviews outside it keep a NULL id (left join; the planner picks the
+    strategy by size).
     """
-    d = broadcast_if_bounded(dates.select("date_id", "full_date").dropDuplicates(["full_date"]),
-                             date_rows, DATE_DIM_BROADCAST_ROWS)
-    r = stg_reviews
-    return r.join(d, r["review_date"] == d["full_date"], "left").select(
-        r["review_id"], r["item_id"], r["user_id"], d["date_id"],
-        r["score"], r["summary"], r["review_text"],
-    )
+    cols = ["review_id", "item_id", "user_id", "date_id", "score", "summary", "review_text"]
+    if dates is None:
+        return stg_reviews.withColumn("date_id", date_key(F.col("review_date"))).select(*cols)
+    d = dates.select("date_id", F.col("full_date").alias("review_date")).dropDuplicates(["review_date"])
+    return stg_reviews.join(d, "review_date", "left").select(*cols)

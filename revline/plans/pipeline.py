@@ -1,5 +1,5 @@
-"""The daily batch job: landed snapshots -> raw -> staging -> marts -> checks
--> scores -> recommendations -> exports, in that order.
+"""The daily batch job: landed snapshots -> raw -> staging -> marts -> scores
+-> checks -> recommendations -> exports, in that order.
 
 Every step writes its tables (replace: new folder, then swap) and the next
 step reads them back, so lineage is cut at each table and a lost executor
@@ -21,7 +21,7 @@ from revline.operators import quality
 from revline.operators import recommend as rec
 from revline.operators.sentiment import ScorerFactory, sentiment_table
 from revline.plans import marts, reports, staging
-from revline.schemas import FLAT_USER, ITEM_PAYLOAD, REVIEW_PAYLOAD
+from revline.schemas import FLAT_USER, LANDED_ITEM, LANDED_REVIEW
 from revline.sources import files, landing
 
 
@@ -34,11 +34,14 @@ class PipelineConfig:
     as_of: str | _dt.date | None = None
     k: int = 10
     min_reviews: int = 2
-    fail_on_checks: bool = False
-    export_single_file_max_rows: int | None = 1_000_000
-    # fact and score tables are bucketed by review id into this many buckets
-    # so that their join needs no shuffle (aim for ~1 GB per bucket at scale)
-    review_buckets: int = 8
+    # failed checks stop the job before anything that they guard is published;
+    # checks named here only report
+    fail_on_checks: bool = True
+    report_only: tuple[str, ...] = ()
+    export_single_file: bool = False
+    # fact and score tables are bucketed by review id so that their join needs
+    # no shuffle: a bucket for each of so many bytes of staged reviews
+    bucket_bytes: int = 256 << 20
     table_prefix: str = "rl_"
 
 
@@ -48,6 +51,7 @@ class PipelineResult:
     catalog: dict[str, str] = field(default_factory=dict)   # model -> bucketed table name
     offered: dict[str, int] = field(default_factory=dict)
     checks: list = field(default_factory=list)
+    buckets: int = 1
 
 
 def _read_landed(spark: SparkSession, root: str, entity: str, schema) -> DataFrame:
@@ -56,17 +60,16 @@ def _read_landed(spark: SparkSession, root: str, entity: str, schema) -> DataFra
 
 def load_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
     """Newest snapshot per entity -> raw tables; first row per key wins."""
-    items = _read_landed(spark, cfg.landing_root, "items", ITEM_PAYLOAD)
-    flat_items = landing.flatten_items(items, extra=["__ingest"])
-    reviews = _read_landed(spark, cfg.landing_root, "reviews", REVIEW_PAYLOAD)
-    flat_reviews = landing.flatten_reviews(reviews, extra=["__ingest"])
+    items = _read_landed(spark, cfg.landing_root, "items", LANDED_ITEM)
+    flat_items = landing.landed_items(items, extra=["__ingest"])
+    reviews = _read_landed(spark, cfg.landing_root, "reviews", LANDED_REVIEW)
+    flat_reviews = landing.landed_reviews(reviews, extra=["__ingest"])
     try:
         users = _read_landed(spark, cfg.landing_root, "users", FLAT_USER)
     except FileNotFoundError:
         # users are embedded in reviews; derive them when not landed separately
         users = landing.users_from_reviews(flat_reviews, ["__ingest"]).withColumn(
-            "__ingest", F.struct(F.lit("").alias("f"), F.lit(0).cast("bigint").alias("b"),
-                                 F.col("user_id").alias("r")))
+            "__ingest", F.col("user_id"))
     # rows offered to each load (before key conflicts), counted during the write
     offered = {n: Observation(f"offered_{n}") for n in ("items", "reviews", "users")}
     flat_items = flat_items.observe(offered["items"], F.count(F.lit(1)).alias("n"))
@@ -77,8 +80,12 @@ def load_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) ->
         "raw_reviews": (landing.load_reviews(flat_reviews_o, ["__ingest"]), f"{cfg.warehouse_root}/raw/raw_reviews"),
         "raw_users": (landing.load_users(users, ["__ingest"]), f"{cfg.warehouse_root}/raw/raw_users"),
     }
-    # the three raw tables are replaced together (write all, then swap all)
-    res.tables.update(files.replace_tables(raw))
+    # the three raw tables are replaced together (write and check all, then swap all)
+    guards = {name: declared_constraints(key) for name, key in (
+        ("raw_items", "item_id"), ("raw_reviews", "review_id"), ("raw_users", "user_id"))}
+    for schema in ("raw", "staging", "marts"):
+        files.make_folder(spark, f"{cfg.warehouse_root}/{schema}")
+    res.tables.update(files.replace_tables(raw, guards=guards))
     res.offered = {n: int(o.get.get("n", 0)) for n, o in offered.items()}
 
 
@@ -99,7 +106,7 @@ def transform_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult
     for name, df in stg.items():
         res.tables[name] = files.replace_table(df, f"{root}/staging/{name}")
     stg_reviews = _t(spark, res, "stg_reviews")
-    dates, n = marts.dim_date(stg_reviews)
+    dates = marts.dim_date(stg_reviews)
     res.tables["dim_date"] = files.replace_table(dates, f"{root}/marts/dim_date")
     built = {
         "dim_item": marts.dim_item(_t(spark, res, "stg_items")),
@@ -107,10 +114,11 @@ def transform_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult
     }
     for name, df in built.items():
         res.tables[name] = files.replace_table(df, f"{root}/marts/{name}")
-    fact = marts.fact_reviews(stg_reviews, _t(spark, res, "dim_date"), n)
+    fact = marts.fact_reviews(stg_reviews, _t(spark, res, "dim_date"))
     table = cfg.table_prefix + "fact_reviews"
+    res.buckets = max(1, -(-files.table_bytes(spark, res.tables["stg_reviews"]) // cfg.bucket_bytes))
     res.tables["fact_reviews"] = files.replace_bucketed_table(
-        fact, table, f"{root}/marts/fact_reviews", "review_id", cfg.review_buckets)
+        fact, table, f"{root}/marts/fact_reviews", "review_id", res.buckets)
     res.catalog["fact_reviews"] = table
 
 
@@ -123,34 +131,41 @@ def declared_constraints(key: str, required: tuple[str, ...] = ()):
 
 
 def score_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
-    # scoring is a per-row projection of the bucketed fact scan, so the rows
-    # are already in their buckets: written bucketed without a shuffle
     scores = sentiment_table(_t(spark, res, "fact_reviews"), cfg.scorer, with_timestamp=True)
     table = cfg.table_prefix + "review_sentiment"
     res.tables["sentiment"] = files.replace_bucketed_table(
-        scores, table, f"{cfg.warehouse_root}/marts/review_sentiment", "review_id", cfg.review_buckets,
-        guard=declared_constraints("review_id", ("sentiment_label", "sentiment_score")),
-        prepartitioned=True)
+        scores, table, f"{cfg.warehouse_root}/marts/review_sentiment", "review_id", res.buckets,
+        guard=declared_constraints("review_id", ("sentiment_label", "sentiment_score")))
     res.catalog["sentiment"] = table
 
 
+def _run_checks(cfg: PipelineConfig, res: PipelineResult, models: dict[str, DataFrame]) -> None:
+    """Run the declared checks that these models make possible and are not run yet."""
+    done = {r.check_name for r in res.checks}
+    checks = [c for c in quality.default_checks() if c.name not in done
+              and c.model in models and (c.parent is None or c.parent in models)]
+    found = quality.dq_report(checks, models).collect()            # one row per check
+    res.checks += found
+    bad = [r for r in found if r.failing_rows > 0 and r.check_name not in cfg.report_only]
+    if cfg.fail_on_checks and bad:
+        raise AssertionError("data-quality checks failed: "
+                             + ", ".join(f"{r.check_name}={r.failing_rows}" for r in bad))
+
+
+def check_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
+    """Everything below the recommendations is checked before they are made."""
+    _run_checks(cfg, res, {name: _t(spark, res, name) for name in res.tables})
+
+
 def recommend_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
+    """Write the recommendations and check the written rows; they replace the
+    previous ones only if the checks pass."""
     stats = rec.item_sentiment_stats(_t(spark, res, "fact_reviews"), _t(spark, res, "sentiment"),
                                      cfg.min_reviews)
     recs = rec.recommend(_t(spark, res, "dim_item"), stats, cfg.k).orderBy("source_item_id", "rank")
-    res.tables["recommendations"] = files.replace_table(recs, f"{cfg.warehouse_root}/marts/recommendations")
-
-
-def check_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
-    models = {name: _t(spark, res, name) for name in res.tables}
-    checks = [c for c in quality.default_checks()
-              if c.model in models and (c.parent is None or c.parent in models)]
-    res.checks = quality.dq_report(checks, models).collect()       # one row per check
-    if cfg.fail_on_checks:
-        bad = [r for r in res.checks if r.failing_rows > 0]
-        if bad:
-            raise AssertionError("data-quality checks failed: "
-                                 + ", ".join(f"{r.check_name}={r.failing_rows}" for r in bad))
+    res.tables["recommendations"] = files.replace_table(
+        recs, f"{cfg.warehouse_root}/marts/recommendations",
+        guard=lambda written: _run_checks(cfg, res, {"recommendations": written}))
 
 
 def export_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
@@ -165,16 +180,16 @@ def export_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -
         "item_sentiment_stats": reports.item_stats_all(scored),
     }
     for name, df in out.items():
-        files.export_csv(df, f"{cfg.export_root}/{name}", cfg.export_single_file_max_rows)
+        files.export_csv(df, f"{cfg.export_root}/{name}", cfg.export_single_file)
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
-    """load -> transform -> score -> recommend -> checks -> export."""
+    """load -> transform -> score -> checks -> recommend (checked) -> export."""
     res = PipelineResult()
     load_step(spark, cfg, res)
     transform_step(spark, cfg, res)
     score_step(spark, cfg, res)
-    recommend_step(spark, cfg, res)
     check_step(spark, cfg, res)
+    recommend_step(spark, cfg, res)
     export_step(spark, cfg, res)
     return res

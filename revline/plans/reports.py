@@ -71,14 +71,16 @@ def recs_for_item(recs: DataFrame, item_id: int) -> DataFrame:
 
 
 def display_recs(recs_one_item: DataFrame) -> DataFrame:
-    """Display frame of R2: percent text, 3-place score, column headers (R7)."""
+    """Display frame of R2: percent text, 3-place score, column headers (R7).
+
+    The headings are fixed values; the mean sentiment is not shown.
+    """
     c = F.col
     return recs_one_item.select(
         c("rank").alias("Rank"), c("title").alias("Title"), c("tag").alias("Tag"),
         c("studio").alias("Studio"), c("year").alias("Year"),
         c("community_score").alias("Score"), c("reviews").alias("Reviews"),
         percent_text("positive_ratio").alias("Positive %"),
-        c("avg_sentiment"),
         display_round("recommendation_score", 3).alias("Rec. Score"),
     )
 

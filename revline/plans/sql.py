@@ -7,26 +7,30 @@ are bound (``:item_id``), never pasted into the text.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from revline.plans.build import ReviewMarts
 
 
-def register_views(marts: ReviewMarts, prefix: str = "") -> list[str]:
-    """Expose every model of the graph as a temp view (lazy; nothing runs)."""
-    names = []
-    for name, df in marts.models().items():
+def register_views(marts: ReviewMarts, prefix: str = "",
+                   names: Sequence[str] = ("scored_reviews",)) -> list[str]:
+    """Expose the named models as temp views. Only these are built: asking for
+    ``recommendations`` runs jobs, asking for the others runs none."""
+    for name in names:
+        df = marts.scored if name == "scored_reviews" else getattr(marts, name)
         df.createOrReplaceTempView(prefix + name)
-        names.append(prefix + name)
-    marts.scored.createOrReplaceTempView(prefix + "scored_reviews")
-    return names + [prefix + "scored_reviews"]
+    return [prefix + name for name in names]
+
 
+def run_sql(spark: SparkSession, sql: str, integers: Sequence[str] = (), **args) -> DataFrame:
+    """``spark.sql`` with named parameters, bound with the types they have.
 
-def run_sql(spark: SparkSession, sql: str, **args) -> DataFrame:
-    """``spark.sql`` with named parameters; integers are coerced like the UI did."""
-    bound = {k: int(v) if isinstance(v, (int, float, str)) and str(v).lstrip("-").isdigit() else v
-             for k, v in args.items()}
-    return spark.sql(sql, args=bound)
+    Arguments named in ``integers`` are converted first (a form field that is
+    known to hold an id); nothing is guessed from how a value looks.
+    """
+    return spark.sql(sql, args={k: int(v) if k in integers else v for k, v in args.items()})
 
 
 # The per-item stats report as SQL text (R4), exact rounding as in the

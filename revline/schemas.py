@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Field names and types of the landed and raw records.
+
 # --- nested payloads as landed from the catalogue API -----------------------
 
 ITEM_PAYLOAD = T.StructType([
@@ -70,6 +72,14 @@ FLAT_REVIEW = T.StructType([
     T.StructField("created_at", T.LongType()),
 ])
 
+# What a snapshot may hold: nested payloads or flat records, one layout a record.
+def _either(nested: T.StructType, flat: T.StructType) -> T.StructType:
+    return T.StructType(nested.fields + [f for f in flat.fields if f.name not in nested.fieldNames()])
+
+
+LANDED_ITEM = _either(ITEM_PAYLOAD, FLAT_ITEM)
+LANDED_REVIEW = _either(REVIEW_PAYLOAD, FLAT_REVIEW)
+
 FLAT_USER = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("username", T.StringType()),
@@ -104,9 +114,3 @@ RAW_USERS = T.StructType([
     T.StructField("join_date", T.LongType()),
     T.StructField("loaded_at", T.TimestampType()),
 ])
-
-SENTIMENT = T.StructType([
-    T.StructField("review_id", T.LongType(), False),
-    T.StructField("sentiment_label", T.StringType(), False),
-    T.StructField("sentiment_score", T.DoubleType(), False),
-])

@@ -1,8 +1,7 @@
 """CSV export/import and table replacement.
 
 Exports are written by every executor in parallel (one part file per task,
-each with its header) instead of funnelling the data through one task; a
-single file is produced only when the caller proves the row count small.
+each with its header) instead of funnelling the data through one task.
 """
 
 from __future__ import annotations
@@ -11,24 +10,16 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def export_csv(df: DataFrame, path: str, single_file_max_rows: int | None = None) -> int | None:
-    """Write ``df`` as CSV with a header; returns the row count when counted.
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Write ``df`` as CSV with a header, one part file per task.
 
-    With ``single_file_max_rows`` the rows are counted first and, if at most
-    that many, written as one file (``coalesce(1)``); otherwise the write is
-    distributed. Readers take the folder either way.
+    ``single_file`` is the caller's explicit choice to have one file, written
+    by one task. Readers take the folder either way.
     """
-    n = None
-    out = df
-    if single_file_max_rows is not None:
-        n = df.count()
-        if n <= single_file_max_rows:
-            out = df.coalesce(1)
+    out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
-    return n
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -36,37 +27,59 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def replace_tables(tables: dict[str, tuple[DataFrame, str]], fmt: str = "parquet") -> dict[str, str]:
-    """Replace several tables together: write every new folder first, then
-    swap them all, so a failed write leaves every old table in place."""
+def replace_tables(tables: dict[str, tuple[DataFrame, str]], fmt: str = "parquet",
+                   guards: dict[str, Callable[[DataFrame], None]] | None = None) -> dict[str, str]:
+    """Replace several tables together: write and check every new folder
+    first, then swap them all; if a step fails, every old table is in place."""
     staged = {}
+    spark = next(iter(tables.values()))[0].sparkSession
     try:
         for name, (df, path) in tables.items():
             staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
             staged[name] = (staging, path)
             df.write.mode("overwrite").format(fmt).save(staging)
+            if guards and name in guards:
+                guards[name](spark.read.format(fmt).load(staging))
+        _swap_all(spark, list(staged.values()))
     except Exception:
-        for name, (staging, _) in staged.items():     # nothing swapped yet
-            _delete(tables[name][0].sparkSession, staging)
+        for staging, _ in staged.values():
+            _delete(spark, staging)
         raise
-    for name, (staging, path) in staged.items():
-        _swap(tables[name][0].sparkSession, staging, path)
     return {name: path for name, (_, path) in staged.items()}
 
 
-def _swap(spark: SparkSession, staging: str, path: str) -> None:
+def _rename(fs, src, dst) -> None:
+    """Hadoop's rename may also report a failure by returning False."""
+    if not fs.rename(src, dst):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
+def _swap_all(spark: SparkSession, swaps: list[tuple[str, str]]) -> None:
+    """Move each new folder to its path. On any failure the moves made so far
+    are undone in reverse; the old folders go only after all moves are made."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dst = jvm.org.apache.hadoop.fs.Path(path)
-    fs = dst.getFileSystem(conf)
-    if fs.exists(dst):
-        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:8]}")
-        fs.rename(dst, old)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst)
+    moved, olds = [], []
+    try:
+        for staging, path in swaps:
+            src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
+            fs = dst.getFileSystem(conf)
+            if fs.exists(dst):
+                old = jvm.org.apache.hadoop.fs.Path(
+                    f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:8]}")
+                _rename(fs, dst, old)
+                moved.append((fs, dst, old))
+                olds.append((fs, old))
+            else:
+                fs.mkdirs(dst.getParent())
+            _rename(fs, src, dst)
+            moved.append((fs, src, dst))
+    except Exception:
+        for fs, before, now in reversed(moved):
+            _rename(fs, now, before)
+        raise
+    for fs, old in olds:
         fs.delete(old, True)
-    else:
-        fs.mkdirs(dst.getParent())
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst)
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -86,43 +99,40 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").format(fmt).save(staging)
-    if guard is not None:
-        try:
+    try:
+        if guard is not None:
             guard(spark.read.format(fmt).load(staging))
-        except Exception:
-            _delete(spark, staging)
-            raise
-    _swap(spark, staging, path)
+        _swap_all(spark, [(staging, path)])
+    except Exception:
+        _delete(spark, staging)
+        raise
     return path
 
 
 def replace_bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int,
-                           guard: Callable[[DataFrame], None] | None = None,
-                           prepartitioned: bool = False) -> str:
+                           guard: Callable[[DataFrame], None] | None = None) -> str:
     """Replace table ``name`` at ``path``, bucketed and sorted by ``key``.
 
     Two tables bucketed by the same key into the same number of buckets
     join bucket-to-bucket: the sort-merge join reads both without any
-    exchange. The data goes to a new folder first (one file per bucket: rows
-    are hash-partitioned by the bucketing hash before the write, unless
-    ``prepartitioned`` says they already are, e.g. when computed from a scan
-    of a table bucketed the same way), is checked by ``guard``, swapped into
-    ``path``, and the catalog entry is re-created over the new files.
+    exchange. The data goes to a new folder first (rows are hash-partitioned
+    by the bucketing hash before the write, so a bucket is one file), is
+    checked by ``guard``, swapped into ``path``, and the catalog entry is
+    re-created over the new files.
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
     tmp = f"{name}__new_{uuid.uuid4().hex[:8]}"
-    out = df if prepartitioned else df.repartition(buckets, key)
-    (out.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
         .option("path", staging).saveAsTable(tmp))
     spark.sql(f"DROP TABLE IF EXISTS {tmp}")              # external: files stay
-    if guard is not None:
-        try:
+    try:
+        if guard is not None:
             guard(spark.read.parquet(staging))
-        except Exception:
-            _delete(spark, staging)
-            raise
-    _swap(spark, staging, path)
+        _swap_all(spark, [(staging, path)])
+    except Exception:
+        _delete(spark, staging)
+        raise
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) "
@@ -130,41 +140,23 @@ def replace_bucketed_table(df: DataFrame, name: str, path: str, key: str, bucket
     return path
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a written table's files (one flat folder; metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (file-system metadata only)."""
+def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None,
-                 min_spread_bytes: int = 1 << 20) -> DataFrame:
-    """Parquet scan that never runs narrower than the cluster.
-
-    A file with one row group is one split, so every narrow operator above
-    it would run in a single task. When the scan has fewer splits than
-    ``min_partitions`` (default: the cluster's default parallelism) the rows
-    are spread by a hash of their position (file, row index); a large table
-    already has far more splits than cores and is returned untouched (no
-    extra shuffle). The position is deterministic, so a retried task sends
-    every row to the same place (round-robin would need a full sort for
-    that), and it references no data column, so column pruning and filter
-    pushdown still reach the scan. Inputs under ``min_spread_bytes`` are left
-    alone: moving them costs more than the parallelism gains.
-    """
-    df = spark.read.parquet(path)
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if input_bytes(spark, path) >= min_spread_bytes and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want, F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return df
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.format(fmt).load(path)

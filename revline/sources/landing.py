@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from revline.functions.scalars import first_element
 from revline.operators.dedup import keep_first
+from revline.schemas import FLAT_ITEM, FLAT_REVIEW, RAW_ITEMS, RAW_REVIEWS, RAW_USERS
 
 PARTITION = "snapshot_date"
 
@@ -42,26 +43,26 @@ def snapshot_path(root: str, entity: str, day: str) -> str:
     return f"{root.rstrip('/')}/{entity}/{PARTITION}={day}"
 
 
-def snapshot_exists(spark: SparkSession, root: str, entity: str, day: str | None = None) -> bool:
-    """True when the day's snapshot folder is already there (idempotent re-run)."""
-    day = day or today_utc()
-    fs, p = _fs(spark, snapshot_path(root, entity, day))
-    return bool(fs.exists(p))
+def snapshot_complete(spark: SparkSession, path: str) -> bool:
+    """True for a dated file, or a folder whose writer has finished (``_SUCCESS``)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.isFile(p) or fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]))
 
 
 def write_snapshot(df: DataFrame, root: str, entity: str, day: str | None = None) -> str:
-    """Land records as JSON for one day; an existing snapshot is kept as is.
+    """Land records as JSON for one day; a complete snapshot is kept as is.
 
-    ``mode("ignore")`` makes re-runs on the same day no-ops, like the
-    extractor's skip-if-exists; executors write their partitions in parallel.
+    Re-runs on the same day are no-ops, like the extractor's skip-if-exists. A
+    folder that a crashed writer left without ``_SUCCESS`` is written anew.
     """
     path = snapshot_path(root, entity, day or today_utc())
-    df.write.mode("ignore").json(path)
+    if not snapshot_complete(df.sparkSession, path):
+        df.write.mode("overwrite").json(path)
     return path
 
 
 def latest_snapshot_path(spark: SparkSession, root: str, entity: str) -> str:
-    """Newest snapshot of an entity, by name; raises when there is none."""
+    """Newest complete snapshot of an entity, by name; raises when there is none."""
     folder = f"{root.rstrip('/')}/{entity}"
     names = _list_names(spark, folder)
     parts = sorted(n for n, is_dir in names if is_dir and n.startswith(f"{PARTITION}="))
@@ -69,18 +70,31 @@ def latest_snapshot_path(spark: SparkSession, root: str, entity: str) -> str:
     # partition folders and dated files share the YYYY-MM-DD suffix ordering
     cands = [(n.split("=", 1)[1], f"{folder}/{n}") for n in parts]
     cands += [(n[:-5], f"{folder}/{n}") for n in files]
-    if not cands:
-        raise FileNotFoundError(f"No landed snapshots found in {folder}")
-    return max(cands)[1]
+    for _, path in sorted(cands, reverse=True):
+        if snapshot_complete(spark, path):
+            return path
+    raise FileNotFoundError(f"No landed snapshots found in {folder}")
 
 
 def read_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read one snapshot with a fixed schema (JSON lines or one JSON array)."""
+    """Read one snapshot with a fixed schema (JSON lines or one JSON array).
+
+    An array file is one task, as it cannot be split; JSON lines can.
+    """
     if path.endswith(".json"):
         return spark.read.schema(schema).option("multiLine", True).json(path)
     return spark.read.schema(schema).json(path)
 
 
+def read_snapshots(spark: SparkSession, paths: Sequence[str], schema) -> DataFrame:
+    """Several pages or days as one frame (rows of all, in no order)."""
+    frames = [read_snapshot(spark, p, schema) for p in paths]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def read_latest(spark: SparkSession, root: str, entity: str, schema) -> DataFrame:
     return read_snapshot(spark, latest_snapshot_path(spark, root, entity), schema)
 
@@ -130,6 +144,30 @@ def users_from_reviews(flat_reviews: DataFrame, order_by: Sequence[str]) -> Data
     return first.select("user_id", "username", "join_date")
 
 
+def landed_items(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Flat items from records of either layout (see ``schemas.LANDED_ITEM``)."""
+    return _either(landed, flatten_items(landed, [*landed.columns]), "item_id",
+                   FLAT_ITEM.fieldNames(), extra)
+
+
+def landed_reviews(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Flat reviews from records of either layout (see ``schemas.LANDED_REVIEW``)."""
+    return _either(landed, flatten_reviews(landed, [*landed.columns]), "review_id",
+                   FLAT_REVIEW.fieldNames(), extra)
+
+
+def _either(landed: DataFrame, flattened: DataFrame, key: str, names: Sequence[str],
+            extra: Sequence[str]) -> DataFrame:
+    """``flattened`` has the nested layout's columns first, then all landed ones;
+    a record with a flat key takes the landed columns of the same names."""
+    n = len(names)
+    both = flattened.toDF(*(f"_nested_{c}" for c in names), *landed.columns)
+    flat = F.col(key).isNotNull()
+    assert len(both.columns) == n + len(landed.columns)
+    return both.select(*(F.when(flat, F.col(c)).otherwise(F.col(f"_nested_{c}")).alias(c)
+                         for c in names), *extra)
+
+
 # --- raw loading ----------------------------------------------------------------
 
 def load_items(flat: DataFrame, keep_first_by: Sequence[str] | None = ("__ingest",)) -> DataFrame:
@@ -138,53 +176,45 @@ def load_items(flat: DataFrame, keep_first_by: Sequence[str] | None = ("__ingest
     With ``keep_first_by`` the first row per id (in that order) wins, as an
     insert that skips key conflicts would; None keeps every row.
     """
-    out = flat.select(
-        F.col("item_id").cast("bigint"),
-        "title_native", "title_english",
-        F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"),
-        "studio",
-        F.col("episodes").cast("int"),
-        F.col("avg_score").cast("decimal(5,2)").alias("avg_score"),
-        F.col("year").cast("int"),
-        "status", "description",
-        *[c for c in (keep_first_by or ()) if c in flat.columns],
-    )
-    if keep_first_by:
-        out = keep_first(out, ["item_id"], [c for c in keep_first_by if c in out.columns])
-        out = out.drop(*keep_first_by)
-    return out.withColumn("loaded_at", F.current_timestamp())
+    order = [c for c in (keep_first_by or ()) if c in flat.columns]
+    declared = [f for f in RAW_ITEMS.fields if f.name not in ("tags", "loaded_at")]
+    tags = F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags")
+    out = flat.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in declared), tags, *order)
+    if order:
+        out = keep_first(out, ["item_id"], order)
+    return _as_declared(out.withColumn("loaded_at", F.current_timestamp()), RAW_ITEMS)
 
 
-def _helper_columns(cols: Sequence[str]) -> list[str]:
-    """Ordering columns added for the load only (``__``-prefixed) are dropped."""
-    return [c for c in cols if c.startswith("__")]
+def _as_declared(df: DataFrame, schema) -> DataFrame:
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
 def load_reviews(flat: DataFrame, keep_first_by: Sequence[str]) -> DataFrame:
-    """Raw reviews: first row per id (in ``keep_first_by`` order) wins."""
+    """Raw reviews in their declared columns: first row per id (in
+    ``keep_first_by`` order) wins."""
     out = keep_first(flat, ["review_id"], list(keep_first_by))
-    return out.drop(*_helper_columns(keep_first_by)).withColumn("loaded_at", F.current_timestamp())
+    return _as_declared(out.withColumn("loaded_at", F.current_timestamp()), RAW_REVIEWS)
 
 
 def load_users(flat_users: DataFrame, keep_first_by: Sequence[str]) -> DataFrame:
     """Raw users: rows without an id are dropped, then first row per id wins."""
     u = flat_users.filter(F.col("user_id").isNotNull())
     out = keep_first(u, ["user_id"], list(keep_first_by))
-    return out.drop(*_helper_columns(keep_first_by)).withColumn("loaded_at", F.current_timestamp())
+    return _as_declared(out.withColumn("loaded_at", F.current_timestamp()), RAW_USERS)
 
 
 def with_ingest_order(df: DataFrame, name: str = "__ingest") -> DataFrame:
     """Tag rows with their position in the landed files.
 
-    (file path, byte offset of the split, row id inside the split): the
-    order of records as landed, and stable when a task is retried, because a
-    split is always read in the same order. Call it directly on a file scan.
+    (part number, file path, byte offset of the split, row id inside the
+    split): the order of records as landed, and stable when a task is retried,
+    because a split is always read in the same order. The number is compared as
+    a number: ``part-100000`` comes after ``part-99999``. Call it directly on a
+    file scan.
     """
-    return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("f"),
-                                        F.col("_metadata.file_block_start").alias("b"),
-                                        F.monotonically_increasing_id().alias("r")))
-
-
-def offered_count(df: DataFrame) -> int:
-    """Rows offered to a load before key conflicts are skipped (one action)."""
-    return df.count()
+    path = F.col("_metadata.file_path")
+    part = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1)
+    return df.withColumn(name, F.struct(
+        F.when(part == "", F.lit(-1)).otherwise(part.try_cast("bigint")).alias("p"),
+        path.alias("f"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("r")))

@@ -13,7 +13,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from revline.queries import CATALOGUE
+
+    # the optional training-data queries may lack one
+    assert set(CATALOGUE) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_oracles_run_on_duckdb():

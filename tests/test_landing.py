@@ -3,7 +3,10 @@ import os
 
 import pytest
 
-from revline.schemas import ITEM_PAYLOAD, REVIEW_PAYLOAD
+from pyspark.sql import functions as F
+
+from revline.operators.dedup import keep_first
+from revline.schemas import ITEM_PAYLOAD, LANDED_ITEM, LANDED_REVIEW, RAW_ITEMS, REVIEW_PAYLOAD
 from revline.sources import landing
 
 
@@ -59,7 +62,7 @@ def test_write_snapshot_is_idempotent(spark, tmp_path):
     df1 = spark.createDataFrame([(1, "first")], "id long, v string")
     df2 = spark.createDataFrame([(1, "second")], "id long, v string")
     landing.write_snapshot(df1, root, "x", "2024-01-01")
-    assert landing.snapshot_exists(spark, root, "x", "2024-01-01")
+    assert landing.snapshot_complete(spark, landing.snapshot_path(root, "x", "2024-01-01"))
     landing.write_snapshot(df2, root, "x", "2024-01-01")          # kept as is
     got = landing.read_snapshot(spark, landing.latest_snapshot_path(spark, root, "x"), "id long, v string")
     assert [r.v for r in got.collect()] == ["first"]
@@ -81,3 +84,42 @@ def test_load_users_drops_null_and_keeps_first(spark):
     df = spark.createDataFrame(rows, "user_id long, username string, join_date long, __ingest long")
     got = [(r.user_id, r.username) for r in landing.load_users(df, ["__ingest"]).collect()]
     assert got == [(1, "a")]
+
+
+def test_crashed_snapshot_is_neither_read_nor_kept(spark, tmp_path):
+    root = str(tmp_path / "land")
+    df = spark.createDataFrame([(1, "first")], "id long, v string")
+    landing.write_snapshot(df, root, "x", "2024-01-01")
+    os.makedirs(f"{landing.snapshot_path(root, 'x', '2024-01-02')}/_temporary")
+    assert landing.latest_snapshot_path(spark, root, "x").endswith("2024-01-01")
+    path = landing.write_snapshot(df.withColumn("v", F.lit("second")), root, "x", "2024-01-02")
+    assert landing.latest_snapshot_path(spark, root, "x") == path
+    assert [r.v for r in landing.read_snapshot(spark, path, "id long, v string").collect()] == ["second"]
+
+
+def test_flat_and_nested_records_load_alike(spark, tmp_path):
+    p = str(tmp_path / "items" / "2024-01-01.json")
+    flat = {"item_id": 2, "title_native": "t2", "title_english": "T2", "tags": None, "studio": "S1",
+            "episodes": 12, "avg_score": 80, "year": 2001, "status": "FINISHED", "description": "d"}
+    _write_array(p, [_item(1), flat])
+    rows = {r.item_id: r for r in landing.load_items(landing.landed_items(
+        landing.read_snapshot(spark, p, LANDED_ITEM)), keep_first_by=None).collect()}
+    assert (rows[1].title_native, rows[1].studio, rows[1].year, rows[1].tags) == ("t1", "S1", 2001, ["a", "b"])
+    assert (rows[2].title_native, rows[2].studio, rows[2].year, rows[2].tags) == ("t2", "S1", 2001, [])
+    assert landing.load_items(landing.landed_items(
+        landing.read_snapshot(spark, p, LANDED_ITEM))).schema.names == RAW_ITEMS.names
+    q = str(tmp_path / "reviews" / "2024-01-01.json")
+    _write_array(q, [{"id": 1, "itemId": 5, "user": {"id": 9, "name": "n", "createdAt": 3}, "score": 1, "body": "b"},
+                     {"review_id": 2, "item_id": 6, "user_id": 8, "username": "m", "score": 2, "review_text": "c"}])
+    both = landing.landed_reviews(landing.read_snapshots(spark, [q, q], LANDED_REVIEW))
+    got = {(r.review_id, r.item_id, r.user_id, r.username, r.review_text) for r in both.collect()}
+    assert got == {(1, 5, 9, "n", "b"), (2, 6, 8, "m", "c")} and both.count() == 4
+
+
+def test_ingest_order_beyond_five_digit_part_numbers(spark, tmp_path):
+    folder = tmp_path / "snap"
+    os.makedirs(folder)
+    for number, v in ((99999, "early"), (100000, "late")):
+        (folder / f"part-{number}-x.json").write_text(json.dumps({"id": 1, "v": v}) + "\n")
+    df = landing.with_ingest_order(spark.read.schema("id long, v string").json(str(folder)))
+    assert [r.v for r in keep_first(df, ["id"], ["__ingest"]).collect()] == ["early"]

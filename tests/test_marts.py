@@ -8,35 +8,45 @@ def _stg(spark, dates):
 
 
 def test_single_date_spine_and_attributes(spark):
-    dim, bound = marts.dim_date(_stg(spark, [dt.date(2024, 1, 10)]))
+    dim = marts.dim_date(_stg(spark, [dt.date(2024, 1, 10)]))
     rows = dim.orderBy("full_date").collect()
-    assert len(rows) == 15 and bound >= 15
+    assert len(rows) == 15
     assert rows[0].full_date == dt.date(2024, 1, 3) and rows[-1].full_date == dt.date(2024, 1, 17)
     r = rows[4]                                   # 2024-01-07, a Sunday
     assert (r.date_id, r.day_of_week, r.day_name, r.is_weekend, r.quarter) == (20240107, 0, "Sunday   ", True, 1)
 
 
 def test_null_bounds_give_empty_calendar(spark):
-    dim, _ = marts.dim_date(_stg(spark, [None, None]))
-    assert dim.count() == 0
-    dim2, n = marts.dim_date_from_bounds(spark, None, None)
-    assert dim2.count() == 0 and n == 0
+    assert marts.dim_date(_stg(spark, [None, None])).count() == 0
 
 
-def test_span_guard_raises(spark):
-    import pytest
-    dim, _ = marts.dim_date(_stg(spark, [dt.date(1, 1, 1), dt.date(2024, 1, 1)]))
-    with pytest.raises(Exception):
-        dim.count()
+def test_any_span_of_dates(spark):
+    """A creation time in milliseconds read as seconds lies some 50,000 years away."""
+    from pyspark.sql import functions as F
+
+    from revline.functions.scalars import epoch_seconds_to_date
+    stg = spark.createDataFrame([(1, 1_700_000_000), (2, 1_700_000_000_000)], "review_id long, t long").select(
+        "review_id", epoch_seconds_to_date("t").alias("review_date"),
+        *(F.lit(5).alias(c) for c in ("item_id", "user_id", "score")),
+        *(F.lit("s").alias(c) for c in ("summary", "review_text")))
+    dim = marts.dim_date(stg)
+    days = stg.agg(F.datediff(F.max("review_date"), F.min("review_date"))).first()[0]
+    assert days > 18_000_000 and dim.count() == days + 15
+    joined = marts.fact_reviews(stg, dim).select("review_id", "date_id")
+    computed = marts.fact_reviews(stg).select("review_id", "date_id")
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, computed.collect()))
+    assert joined.filter("date_id IS NULL").count() == 0
 
 
 def test_fact_keeps_reviews_without_date(spark):
     stg = spark.createDataFrame([(1, 5, 7, 50, "s", "t", dt.date(2024, 1, 1)), (2, 5, 7, 60, "s", "t", None)],
                                 "review_id long, item_id long, user_id long, score int, summary string, "
                                 "review_text string, review_date date")
-    dim, n = marts.dim_date(stg)
-    got = {r.review_id: r.date_id for r in marts.fact_reviews(stg, dim, n).collect()}
-    assert got == {1: 20240101, 2: None}
+    for dates in (None, marts.dim_date(stg)):
+        got = {r.review_id: r.date_id for r in marts.fact_reviews(stg, dates).collect()}
+        assert got == {1: 20240101, 2: None}
+    other = marts.dim_date(_stg(spark, [dt.date(1990, 1, 1)]))
+    assert [r.date_id for r in marts.fact_reviews(stg, other).collect()] == [None, None]
 
 
 def test_dim_user_age_and_dim_item(spark):

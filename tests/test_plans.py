@@ -21,10 +21,28 @@ def test_recommendations_plan(spark):
     p = plan(from_testdata(spark, SF_SMALL).recommendations)
     # per-tag shortlist and final ranking both cut before their shuffles
     assert p.count("WindowGroupLimit") >= 4 and "Partial" in p
-    assert "BroadcastHashJoin" in p                      # bounded shortlist
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+def test_pairs_are_deduplicated_on_numbers(spark):
+    """Titles and other attributes are joined after the cut, and the pair dedup
+    is a hash aggregate with map-side combine."""
+    from revline.operators import recommend as rec
+    m = from_testdata(spark, SF_SMALL)
+    iws = rec.materialize(m.items_with_stats)
+    p = plan(rec.candidate_pairs(iws, 10))
+    assert "title" not in p and "studio" not in p
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and "partial_max" in p
+
+
+def test_dq_report_reads_pruned_files(spark):
+    from revline.queries import q_dq_report
+    p = plan(q_dq_report(spark, SF_SMALL))
+    assert "ExistingRDD" not in p
+    wide = [line for line in p.splitlines() if "ReadSchema" in line and "review_text" in line]
+    assert len(wide) <= 1
+
+
 def test_dedup_combines_map_side(spark):
     df = spark.range(100).selectExpr("id % 7 AS k", "id AS ts", "CAST(id AS STRING) AS v")
     p = plan(keep_latest(df, ["k"], ["ts"]))
@@ -35,8 +53,7 @@ def test_stats_skip_calendar_and_combine_map_side(spark):
     m = from_testdata(spark, SF_SMALL)
     p = plan(m.stats)
     assert "partial_count" in p and "partial_sum" in p
-    assert "LeftOuter" not in p and "sequence" not in p  # unused date join eliminated
-    assert "LeftOuter" in plan(m.fact_reviews)           # still there when date_id is read
+    assert "LeftOuter" not in p and "Range" not in p      # no calendar
 
 
 def test_scans_are_pruned(spark):

@@ -37,7 +37,7 @@ def brute_force(items, reviews, k, min_reviews):
     return sorted(out)
 
 
-def run_spark(spark, items, reviews, k, min_reviews, materialize=True):
+def run_spark(spark, items, reviews, k, min_reviews):
     from decimal import Decimal
     dim = spark.createDataFrame(
         [(i, f"t{i}", f"T{i}", tags, (tags or [None])[0] if tags else None,
@@ -46,7 +46,7 @@ def run_spark(spark, items, reviews, k, min_reviews, materialize=True):
     sent = spark.createDataFrame([(r, lab, se) for r, _, _, lab, se in reviews],
                                  "review_id long, sentiment_label string, sentiment_score double")
     stats = R.item_sentiment_stats(fact, sent, min_reviews)
-    recs = R.recommend(dim, stats, k, materialize_items=materialize)
+    recs = R.recommend(dim, stats, k)
     return sorted((r.source_item_id, r.recommended_item_id, r.rank) for r in recs.collect())
 
 
@@ -62,7 +62,7 @@ def test_pruned_equals_brute_force(spark, items_raw, reviews_raw, k, min_reviews
     items = [(i, tags, c) for i, (tags, c) in enumerate(items_raw)]
     n_items = len(items)
     reviews = [(j, it % n_items, 50, lab, 0.5) for j, (it, lab) in enumerate(reviews_raw)]
-    assert run_spark(spark, items, reviews, k, min_reviews, materialize=False) == \
+    assert run_spark(spark, items, reviews, k, min_reviews) == \
         brute_force(items, reviews, k, min_reviews)
 
 
@@ -118,8 +118,8 @@ def test_skewed_inputs_equal_brute_force(spark):
         assert run_spark(spark, items, reviews, k, 2) == brute_force(items, reviews, k, 2)
 
 
-def test_salted_shuffle_path_equals_brute_force(spark):
-    """Force the non-broadcast path (huge tag bound): hot tags are salted."""
+def test_hot_tags_are_salted_by_their_share(spark, monkeypatch):
+    monkeypatch.setattr(R.hot_tags, "__defaults__", (0.1,))
     from decimal import Decimal
     import random
     rnd = random.Random(11)
@@ -133,7 +133,8 @@ def test_salted_shuffle_path_equals_brute_force(spark):
                                  "review_id long, sentiment_label string, sentiment_score double")
     stats = R.item_sentiment_stats(fact, sent, 2)
     iws = R.materialize(R.items_with_stats(dim, stats))
-    assert "hot" in R.hot_tags(iws)
-    recs = R.recommend(dim, stats, 3, tag_bound=10**9)
+    salts = R.hot_tags(iws)
+    assert salts["hot"] > 2                       # a third of the rows, a tenth each
+    recs = R.recommend(dim, stats, 3)
     got = sorted((r.source_item_id, r.recommended_item_id, r.rank) for r in recs.collect())
     assert got == brute_force(items, reviews, 3, 2)

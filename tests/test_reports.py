@@ -34,6 +34,22 @@ def test_title_lookup_and_sql_text(spark):
     first = m.dim_item.filter(F.col("title_display") == "SMALL WIDGET").agg(F.min("item_id")).first()[0]
     assert [r.item_id for r in rows] == ([first] if first is not None else [])
     S.register_views(m, prefix="t_")
-    via_sql = S.run_sql(spark, S.STATS_FOR_ITEM_SQL.format(view="t_scored_reviews"), item_id="7").collect()
+    via_sql = S.run_sql(spark, S.STATS_FOR_ITEM_SQL.format(view="t_scored_reviews"),
+                        integers=["item_id"], item_id="7").collect()
     via_df = reports.stats_for_item(m.scored, 7).collect()
     assert via_sql == via_df
+
+
+def test_text_arguments_stay_text(spark):
+    from revline.plans import sql as S
+    got = S.run_sql(spark, "SELECT :a AS a, :a = '1984' AS same, :b AS b", a="1984", b="007").first()
+    assert (got.a, got.same, got.b) == ("1984", True, "007")
+
+
+def test_display_frame_has_nine_columns(spark):
+    recs = spark.createDataFrame(
+        [(1, "t", "g", "s", 2000, 80.0, 3, 0.5, 0.7, 0.6123)],
+        "rank long, title string, tag string, studio string, year int, community_score double, "
+        "reviews long, positive_ratio double, avg_sentiment double, recommendation_score double")
+    shown = reports.display_recs(recs)
+    assert len(shown.columns) == 9 and "avg_sentiment" not in shown.columns

@@ -64,40 +64,3 @@ def test_empty_fact_gives_empty_table(spark):
     fact = spark.createDataFrame([], "review_id long, review_text string, summary string")
     assert S.sentiment_table(fact).count() == 0
     assert S.sentiment_table(fact, S.lexicon_factory).count() == 0
-
-
-def test_onnx_factory_with_fake_session(spark, tmp_path):
-    from tokenizers import Tokenizer, models, pre_tokenizers
-
-    # defined here so the Python workers receive them by value
-    class FakeInput:
-        def __init__(self, name):
-            self.name = name
-
-    class FakeSession:
-        """Logits from token ids: 'good' (id 1) votes positive, 'bad' (id 2) negative."""
-
-        def get_inputs(self):
-            return [FakeInput("input_ids"), FakeInput("attention_mask")]
-
-        def run(self, _outputs, feeds):
-            import numpy as np
-            ids, mask = feeds["input_ids"], feeds["attention_mask"]
-            good = ((ids == 1) & (mask == 1)).sum(axis=1)
-            bad = ((ids == 2) & (mask == 1)).sum(axis=1)
-            return [np.stack([bad, np.full(len(ids), 0.5), good], axis=1).astype(np.float32)]
-
-    tok = Tokenizer(models.WordLevel({"[UNK]": 0, "good": 1, "bad": 2, "[PAD]": 3}, unk_token="[UNK]"))
-    tok.pre_tokenizer = pre_tokenizers.Whitespace()
-    path = str(tmp_path / "tok.json")
-    tok.save(path)
-    factory = S.onnx_factory("unused.onnx", path, max_tokens=3, session_factory=FakeSession)
-    texts = spark.createDataFrame(
-        [(1, "good good bad"), (2, "bad bad x"), (3, "x x x good good"), (4, "")],
-        "review_id long, text string")
-    got = {r.review_id: (r.sentiment_label, r.sentiment_score)
-           for r in S.score_texts(texts, factory, batch_size=2).collect()}
-    assert got[1][0] == "positive" and got[2][0] == "negative"
-    assert got[3][0] == "neutral"                  # 'good good' falls after the 3-token cut
-    assert got[4][0] == "neutral"
-    assert all(round(v[1], 4) == v[1] for v in got.values())
