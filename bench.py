@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from revline.queries import CATALOGUE  # noqa: E402
-from revline.session import get_session  # noqa: E402
+from revline.session import drop_scratch, get_session  # noqa: E402
 
 HEADLINE = [
     "q_recommendations",
@@ -32,6 +32,7 @@ HEADLINE = [
     "q_newest_k",
     "q_sentiment_documents",
     "q_landing_roundtrip",
+    "q_pipeline_recommendations",
 ]
 
 
@@ -59,6 +60,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
     }))
+    drop_scratch(spark)
     spark.stop()
 
 

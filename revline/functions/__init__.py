@@ -1,27 +1 @@
 """Column-level helpers: built-in Spark expressions only."""
-
-from revline.functions.exact import (  # noqa: F401
-    double_to_scaled,
-    idiv,
-    round_half_up_scaled,
-    scaled_to_double,
-    weighted_score_scaled,
-)
-from revline.functions.scalars import (  # noqa: F401
-    clip,
-    date_key,
-    date_to_epoch_seconds,
-    day_of_week_sunday0,
-    display_round,
-    epoch_seconds_to_date,
-    first_element,
-    is_blank,
-    is_weekend,
-    iso_week,
-    map_with_default,
-    padded_day_name,
-    padded_month_name,
-    percent_text,
-    text_prefix,
-    trim_spaces,
-)
