@@ -19,6 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revline.llm.names import fresh
 from revline.session import write_scratch
 
 #: a digest is hot when it holds more than one row in this many (and more than
@@ -110,14 +111,15 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id",
 
     Of rows that repeat the kept id with the same text one stays.
     """
+    id_name, digest = fresh(docs, "keep"), fresh(docs, "digest")
     kept = write_scratch(exact_groups(docs, id_col, text_col).where("kept")
-                         .groupBy(F.col("keep_id").alias("__keep"),
-                                  F.col("text_sha256").alias("__digest"))
-                         .agg(F.count(F.lit(1)).alias("__rows")), "exact-kept")
-    keep = kept.select("__keep", "__digest")
-    marked = docs.withColumn("__digest", sha256_hex(F.coalesce(F.col(text_col), F.lit(""))))
-    left = marked.join(keep, (marked["__digest"] == keep["__digest"])
-                       & marked[id_col].eqNullSafe(keep["__keep"]), "left_semi")
-    if not kept.where("__rows > 1").isEmpty():
-        left = left.dropDuplicates([id_col, "__digest"])
-    return left.drop("__digest")
+                         .groupBy(F.col("keep_id").alias(id_name),
+                                  F.col("text_sha256").alias(digest))
+                         .agg(F.count(F.lit(1)).alias("_rows")), "exact-kept")
+    keep = kept.select(id_name, F.col(digest).alias("_other"))
+    marked = docs.withColumn(digest, sha256_hex(F.coalesce(F.col(text_col), F.lit(""))))
+    left = marked.join(keep, (marked[digest] == keep["_other"])
+                       & marked[id_col].eqNullSafe(keep[id_name]), "left_semi")
+    if not kept.where("_rows > 1").isEmpty():
+        left = left.dropDuplicates([id_col, digest])
+    return left.drop(digest)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from revline.llm import textvec
 from revline.llm.components import components
+from revline.llm.names import fresh
 from revline.session import write_scratch
 
 SHINGLE = 5
@@ -344,6 +345,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Of rows that repeat the kept id all stay.
     """
+    name = fresh(docs, "keep")
     keep = (near_duplicates(docs, id_col, text_col, similar).where("kept")
-            .select(F.col("class_id").alias("__keep")).distinct())
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["__keep"]), "left_semi")
+            .select(F.col("class_id").alias(name)).distinct())
+    return docs.join(keep, docs[id_col].eqNullSafe(keep[name]), "left_semi")

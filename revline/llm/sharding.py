@@ -18,6 +18,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revline.llm.names import fresh
 from revline.session import write_scratch
 
 #: hash bits of the key, then as many of the row number
@@ -127,12 +128,14 @@ def write_shards(rows: DataFrame, path: str, limit_bytes: int, key_col: str = "d
                  text_col: str = "text") -> DataFrame:
     """Write ``rows`` as Parquet in one folder for each shard, and read them back.
 
-    Column ``shard`` is added as the folder name (``shard=s<bits>``). Rows that
-    repeat a key are written together.
+    Column ``shard`` (with underscores before it if there is one already) is
+    added as the folder name, ``shard=s<bits>``. Rows that repeat a key are
+    written together.
     """
+    key, shard = fresh(rows, "key"), fresh(rows, "shard")
     where = (extendible_shards(rows, limit_bytes, key_col, text_col)
-             .groupBy(F.col(key_col).alias("__key"))
-             .agg(F.concat(F.lit("s"), F.min("shard")).alias("shard")))
-    placed = rows.join(where, rows[key_col].eqNullSafe(where["__key"])).drop("__key")
-    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+             .groupBy(F.col(key_col).alias(key))
+             .agg(F.concat(F.lit("s"), F.min("shard")).alias(shard)))
+    placed = rows.join(where, rows[key_col].eqNullSafe(where[key])).drop(key)
+    placed.repartition(shard).write.partitionBy(shard).parquet(path)
     return rows.sparkSession.read.parquet(path)

@@ -67,3 +67,25 @@ def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_handle_nulls_repeats_and_clashing_columns(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = {c: docs["source"] for c in ("digest", "keep", "shard", "c0", "score", "lang_pred", "kept", "_text")}
+    wide = docs.withColumns(extra)
+    blank = spark.range(3).selectExpr(*(f"CAST(NULL AS {t}) AS `{c}`" for c, t in wide.dtypes))
+    same = wide.where("doc_id = 5").union(wide.where("doc_id = 5"))
+    odd = wide.union(blank).union(same).withColumn("lang", docs["lang"])
+    rows = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, folder)
+        assert rows.columns == wide.columns and rows.dtypes == wide.dtypes, name
+        rows = spark.createDataFrame(rows.collect(), wide.schema)
+    left = [r.doc_id for r in rows.collect()]
+    assert len(left) == len(set(left)) and None not in left
+    plain = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain = spark.createDataFrame(stage(spark, plain, folder).collect(), docs.schema)
+    assert set(left) == {r.doc_id for r in plain.collect()}
+    packed = corpus_pipeline.STAGES[-1][1](spark, odd, folder)
+    assert packed.where("doc_id IS NULL").count() == 3     # an end id each
