@@ -282,12 +282,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = _links(base, nodes, families, similar)
     linked = found.groupBy("_node").agg(F.sum("_links").alias("_links"))
     comps = components(found, "_node", "_to")
-    classes = (nodes.select("_hi", "_lo", "_node", "_least", "_rows")
-               .join(comps.withColumnRenamed("node", "_node"), "_node", "left")
-               .join(linked, "_node", "left")
-               .withColumn("_class", F.coalesce("component", "_node")))
-    sizes = classes.groupBy("_class").agg(F.min("_least").alias("class_id"),
-                                          F.sum("_rows").alias("class_size"))
+    classes = write_scratch(
+        nodes.select("_hi", "_lo", "_node", "_least", "_rows")
+             .join(comps.withColumnRenamed("node", "_node"), "_node", "left")
+             .join(linked, "_node", "left")
+             .withColumn("_class", F.coalesce("component", "_node")), "node-classes")
+    # written, so that both sides of the join are plain shuffles, which adaptive
+    # execution splits where one class has a large share of the nodes
+    sizes = write_scratch(classes.groupBy("_class").agg(
+        F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size")), "classes")
     known = classes.join(sizes, "_class").select(
         "_hi", "_lo", "class_id", "class_size", F.coalesce("_links", F.lit(0)).alias("links"))
     return (sketches.select("_id", "_hi", "_lo").join(known, ["_hi", "_lo"])
@@ -315,7 +318,8 @@ def _links(base: DataFrame, nodes: DataFrame, families: DataFrame, similar: floa
     """(node, to, links): a spanning forest of the links of each cell, and link counts."""
     families = write_scratch(families.select(F.col("node").alias("_node"),
                                              F.col("component").alias("_family")), "families")
-    sizes = families.groupBy("_family").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = write_scratch(families.groupBy("_family").agg(F.count(F.lit(1)).alias("_size")),
+                          "family-sizes")
     wanted = (families.join(sizes, "_family")
               .join(nodes.select("_node", F.col("_rep._id").alias("_id2"),
                                  F.col("_rep._t").alias("_t2")), "_node"))
