@@ -67,6 +67,11 @@ def _summed(grams: np.ndarray, counts: np.ndarray | None = None):
     return grams[first], np.add.reduceat(counts, first) if grams.size else counts
 
 
+def _bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of the hash, so sorted n-grams have ascending buckets."""
+    return (((grams >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
 def _requests(order: int, buckets: int, hold_bytes: int = BLOCK_BYTES):
     """(_bucket, _block, _grams, _counts, _words): n-grams of (parts of) blocks by bucket."""
     def flush(held: dict[int, list[pa.Array]]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +84,7 @@ def _requests(order: int, buckets: int, hold_bytes: int = BLOCK_BYTES):
             grams, counts = _summed(np.concatenate(found))
             if not grams.size:
                 continue
-            bucket = (((grams >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+            bucket = _bucket_of(grams, buckets)
             at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             cut = list(zip(at.tolist(), [*at[1:].tolist(), grams.size], strict=True))
             yield pa.RecordBatch.from_arrays([
@@ -109,7 +114,9 @@ def _requests(order: int, buckets: int, hold_bytes: int = BLOCK_BYTES):
 
 
 def _answers(table: pa.Table) -> pa.Table:
-    """To each block: its n-grams of this bucket whose corpus count is larger than its own."""
+    """To each block: which of its n-grams in this bucket other blocks have as well
+    (a bit for each, in their order), and their corpus counts. And one row (block
+    null) with the words this bucket was told of."""
     by_block = defaultdict(list)
     for block, grams, counts in zip(table.column("_block").to_pylist(),
                                     table.column("_grams").to_pylist(),
@@ -120,18 +127,21 @@ def _answers(table: pa.Table) -> pa.Table:
            for block, parts in by_block.items()}
     every, total = _summed(np.concatenate([g for g, _ in own.values()]),
                            np.concatenate([c for _, c in own.values()]).astype(np.int64))
-    out = {"_block": [], "_grams": [], "_totals": []}
+    out: dict[str, list] = {"_block": [], "_bits": [], "_totals": []}
     for block, (grams, counts) in own.items():
         all_of = total[np.searchsorted(every, grams)]
         more = all_of > counts
         if more.any():
             out["_block"].append(block)
-            out["_grams"].append(_pack(grams[more]))
+            out["_bits"].append(np.packbits(more).tobytes())
             out["_totals"].append(_pack(all_of[more]))
-    return pa.table({"_block": pa.array(out["_block"], pa.int64()),
-                     "_grams": pa.array(out["_grams"], pa.binary()),
-                     "_totals": pa.array(out["_totals"], pa.binary()),
-                     "_words": pa.array([0] * len(out["_block"]), pa.int64())})
+    words = sum(table.column("_words").to_pylist())
+    n = len(out["_block"])
+    return pa.table({"_block": pa.array([*out["_block"], None], pa.int64()),
+                     "_from": pa.array([table.column("_bucket")[0].as_py()] * (n + 1), pa.int64()),
+                     "_bits": pa.array([*out["_bits"], None], pa.binary()),
+                     "_totals": pa.array([*out["_totals"], None], pa.binary()),
+                     "_words": pa.array([0] * n + [words], pa.int64())})
 
 
 def _score_rows(data: np.ndarray, offs: np.ndarray, order: int, grams: np.ndarray,
@@ -168,20 +178,21 @@ def _score_rows(data: np.ndarray, offs: np.ndarray, order: int, grams: np.ndarra
     return n_words, log_score, full, unseen
 
 
-def _scorer(order: int, words: int):
+def _scorer(order: int, buckets: int, words: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = [_unpack(x, np.uint64) for x in answers.column("_grams").to_pylist()]
-        totals = [_unpack(x, np.int64) for x in answers.column("_totals").to_pylist()]
-        grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        totals = np.concatenate(totals) if totals else np.zeros(0, np.int64)
         texts = [textvec.utf8(b.column("_text")) for b in textvec.small_batches(
             docs.to_batches(), "_text")]
         # the block's own counts, where no other block has the n-gram
         own, counts = _summed(np.concatenate(
-            [g for t in texts for g, _ in ngrams(*t, order)] or [grams[:0]]))
+            [g for t in texts for g, _ in ngrams(*t, order)] or [np.zeros(0, np.uint64)]))
         counts = counts.astype(np.int64)
-        if grams.size:
-            counts[np.searchsorted(own, grams)] = totals
+        bucket = _bucket_of(own, buckets)
+        for source, bits, totals in zip(answers.column("_from").to_pylist(),
+                                        answers.column("_bits").to_pylist(),
+                                        answers.column("_totals").to_pylist(), strict=True):
+            lo, hi = np.searchsorted(bucket, [source, source + 1])
+            more = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
+            counts[lo:hi][more] = _unpack(totals, np.int64)
         scored = [_score_rows(*t, order, own, counts, words) for t in texts]
         columns = [np.concatenate(x) for x in zip(*scored, strict=True)] if scored else [
             np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)]
@@ -225,24 +236,15 @@ def backoff_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id",
         _requests(order, blocks),
         "_bucket bigint, _block bigint, _grams binary, _counts binary, _words bigint")
     answered = requests.groupBy("_bucket").applyInArrow(
-        _answers_with_sum, "_block bigint, _grams binary, _totals binary, _words bigint")
+        _answers, "_block bigint, _from bigint, _bits binary, _totals binary, _words bigint")
     answers = write_scratch(answered, "ngram-answers")
     words = answers.where("_block IS NULL").agg(F.sum("_words")).first()[0] or 0
-    told = answers.where("_block IS NOT NULL").select("_block", "_grams", "_totals")
+    told = answers.where("_block IS NOT NULL").select("_block", "_from", "_bits", "_totals")
     scored = (blocked.groupBy("_block").cogroup(told.groupBy("_block"))
-              .applyInArrow(_scorer(order, words),
+              .applyInArrow(_scorer(order, blocks, words),
                             f"_id {id_type}, n_words bigint, log_score double, "
                             "full_order bigint, unseen bigint"))
     return scored.select(
         F.col("_id").alias(id_col), "n_words", "log_score",
         F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).alias("mean_log_score"),
         "full_order", "unseen")
-
-
-def _answers_with_sum(table: pa.Table) -> pa.Table:
-    """The answers of a bucket, and one row (block null) with the words it was told of."""
-    found = _answers(table)
-    words = sum(table.column("_words").to_pylist())
-    return pa.concat_tables([found, pa.table({
-        "_block": pa.array([None], pa.int64()), "_grams": pa.array([None], pa.binary()),
-        "_totals": pa.array([None], pa.binary()), "_words": pa.array([words], pa.int64())})])
