@@ -175,18 +175,20 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last = None
+    seen: set[int] = set()  # rows that repeat an id and its text: one from each task
     for batch in textvec.small_batches(batches, "_text"):
         n = batch.num_rows
         hashes, rows = normal_words(*textvec.utf8(batch.column("_text")))
         shingle, row, _ = shingles(hashes, rows, n)
         at = np.searchsorted(row, np.arange(n + 1))
-        node = np.asarray(batch.column("_node"))
-        # rows that repeat an id and its text stand together
-        new = np.flatnonzero(np.r_[node[:1] != last if last is not None else True,
-                                   node[1:] != node[:-1]])
-        last = node[-1]
-        out = batch.select(["_node", "_family", "_size"]).take(pa.array(new))
+        new = []
+        for i, node in enumerate(batch.column("_node").to_pylist()):
+            if node not in seen:
+                seen.add(node)
+                new.append(i)
+        if not new:
+            continue
+        out = batch.select(["_node", "_family", "_size"]).take(pa.array(new, pa.int64()))
         sets = pa.array([shingle[at[i]:at[i + 1]].view(np.int64) for i in new], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([*out.columns, sets], [*out.schema.names, "_set"])
 
@@ -194,7 +196,8 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _verify(similar: float):
     """Links among the nodes of a cell that are of one family (and, off the diagonal, of two blocks)."""
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+        _, once = np.unique(table.column("_node").to_numpy(), return_index=True)
+        table = table.take(pa.array(np.sort(once))).combine_chunks()
         node = table.column("_node").to_numpy()
         family = table.column("_family").to_numpy().astype(np.uint64)
         block = table.column("_block").to_numpy()

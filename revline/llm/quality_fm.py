@@ -196,11 +196,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, n_buckets: i
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id"))
              .agg(F.avg(label_col).alias("_y")))
-    there = docs.select(F.col(id_col).alias("_id")).distinct()
-    # of many labels, only hashes that leave a few times the wanted rows
+    # of many labels, only hashes that leave a few times the wanted rows: those are
+    # broadcast, so the documents' ids need no shuffle
     share = min(1.0, 4 * max_rows / max(1, known.count()))
-    some = (known.where(hash_below("_id", F.lit(share))).join(there, "_id", "left_semi")
-            .select("_id", (F.col("_y") > 0.5).cast("int").alias("y"))
+    few = known.where(hash_below("_id", F.lit(share))).select(
+        "_id", (F.col("_y") > 0.5).cast("int").alias("y"))
+    some = (docs.select(F.col(id_col).alias("_id")).join(F.broadcast(few), "_id").distinct()
             .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
     sample = (docs.select(F.col(id_col).alias("_id"),
                           F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -130,6 +130,10 @@ def test_cases(spark):
     got = sorted(map(str, (tuple(r) for r in pm.near_duplicates(df).collect())))
     assert got == sorted(map(str, [(None, 5, 4, 1, False), (5, 5, 4, 1, True), (5, 5, 4, 1, True),
                                    (None, None, 1, 0, True), (9, 5, 4, 1, False)]))
+    spread = _frame(spark, [long]).union(_frame(spark, [long + " end", long + " end b"]))
+    many = spread.union(spread).union(spread).repartition(9)
+    rows = {(r.class_size, r.links) for r in pm.near_duplicates(many).collect()}
+    assert rows == {(9, 2)}            # three texts, each three times
     left = pm.keep_one_of_each(_frame(spark, ["x y", "x y", "z"]))
     assert sorted(r.doc_id for r in left.collect()) == [0, 2] and left.columns[-1] == "_hi"
 
