@@ -97,7 +97,8 @@ class ReviewMarts:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return marts.dim_date(self.stg_reviews, self.buffer_days)
+        dated = self.stg_reviews if self.materialize else staging.review_dates(self.raw_reviews)
+        return marts.dim_date(dated, self.buffer_days)
 
     @cached_property
     def fact_reviews(self) -> DataFrame:

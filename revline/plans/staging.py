@@ -41,28 +41,46 @@ def stage_items(raw_items: DataFrame, null_score: str = "max") -> DataFrame:
             ))
 
 
-def stage_reviews(raw_reviews: DataFrame) -> DataFrame:
-    """Reviews: latest load per id, then drop unusable rows, epoch -> date."""
+# Ties between rows of one load are broken by the fixed-width columns first, so
+# that a reader of these alone finds the same winner without moving any text.
+_NARROW = ("item_id", "user_id", "score", "created_at", "user_created_at")
+_WIDE = ("username", "summary", "review_text")
+
+
+def _latest_usable_reviews(raw_reviews: DataFrame, wide: tuple[str, ...]) -> DataFrame:
+    """Latest load per id, then without unusable rows; of the text columns only ``wide``."""
     c = F.col
     # NULL ids form one group whose survivor the filter below always drops,
     # so dropping them first is equivalent and keeps them out of the shuffle
-    latest = keep_latest(raw_reviews.filter(c("review_id").isNotNull()), ["review_id"], ["loaded_at"])
-    return (latest
-            .filter(c("review_id").isNotNull()
-                    & c("review_text").isNotNull()
-                    & (trim_spaces("review_text") != F.lit(""))
-                    & c("score").between(1, 100))
-            .select(
-                c("review_id").cast("bigint").alias("review_id"),
-                c("item_id").cast("bigint").alias("item_id"),
-                c("user_id").cast("bigint").alias("user_id"),
-                trim_spaces("username").alias("username"),
-                c("score").cast("int").alias("score"),
-                trim_spaces("summary").alias("summary"),
-                trim_spaces("review_text").alias("review_text"),
-                epoch_seconds_to_date("created_at").alias("review_date"),
-                epoch_seconds_to_date("user_created_at").alias("user_created_date"),
-            ))
+    rows = raw_reviews.filter(c("review_id").isNotNull()).select(
+        "review_id", "loaded_at", *_NARROW,
+        (trim_spaces("review_text") != F.lit("")).alias("_has_text"), *wide)
+    # a missing text is no text
+    latest = keep_latest(rows, ["review_id"], ["loaded_at"])
+    return latest.filter(c("_has_text") & c("score").between(1, 100))
+
+
+def stage_reviews(raw_reviews: DataFrame) -> DataFrame:
+    """Reviews: latest load per id, then drop unusable rows, epoch -> date."""
+    c = F.col
+    return _latest_usable_reviews(raw_reviews, _WIDE).select(
+        c("review_id").cast("bigint").alias("review_id"),
+        c("item_id").cast("bigint").alias("item_id"),
+        c("user_id").cast("bigint").alias("user_id"),
+        trim_spaces("username").alias("username"),
+        c("score").cast("int").alias("score"),
+        trim_spaces("summary").alias("summary"),
+        trim_spaces("review_text").alias("review_text"),
+        epoch_seconds_to_date("created_at").alias("review_date"),
+        epoch_seconds_to_date("user_created_at").alias("user_created_date"),
+    )
+
+
+def review_dates(raw_reviews: DataFrame) -> DataFrame:
+    """(review_id, review_date) of the staged reviews, without shuffling a text."""
+    return _latest_usable_reviews(raw_reviews, ()).select(
+        F.col("review_id").cast("bigint").alias("review_id"),
+        epoch_seconds_to_date("created_at").alias("review_date"))
 
 
 def stage_users(raw_users: DataFrame) -> DataFrame:

@@ -410,13 +410,15 @@ CATALOGUE.update({
 
 
 # tie-break columns of the staging dedup, as payload paths, in its order
-_REVIEW_TIES = ["itemId", "user.id", "user.name", "user.createdAt", "score", "summary", "body", "createdAt"]
+_REVIEW_TIES = ["itemId", "user.id", "score", "createdAt", "user.createdAt", "_has_text",
+                "user.name", "summary", "body"]
 
 
 def _newest_first(reviews: DataFrame) -> DataFrame:
     """Payloads in the order of staging's latest-row rule, without the load time."""
-    return reviews.orderBy(F.col("_loaded_at").desc_nulls_first(),
-                           *[F.col(c).desc_nulls_last() for c in _REVIEW_TIES]).drop("_loaded_at")
+    marked = reviews.withColumn("_has_text", F.trim("body") != "")
+    return marked.orderBy(F.col("_loaded_at").desc_nulls_first(),
+                          *[F.col(c).desc_nulls_last() for c in _REVIEW_TIES]).drop("_loaded_at", "_has_text")
 
 
 def land_testdata(spark, sf, root: str, day: str = "2024-01-02") -> None:

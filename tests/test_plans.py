@@ -49,6 +49,16 @@ def test_dedup_combines_map_side(spark):
     assert "partial_max" in p
 
 
+def test_calendar_bounds_move_no_text(spark):
+    from revline.plans import staging
+    m = from_testdata(spark, SF_SMALL)
+    p = plan(staging.review_dates(m.raw_reviews))
+    winners = [line for line in p.splitlines() if "max(struct(" in line]
+    assert winners and not any("text" in w.replace("_has_text", "") for w in winners)
+    assert sorted(map(tuple, staging.review_dates(m.raw_reviews).collect())) == sorted(
+        map(tuple, m.stg_reviews.select("review_id", "review_date").collect()))
+
+
 def test_stats_skip_calendar_and_combine_map_side(spark):
     m = from_testdata(spark, SF_SMALL)
     p = plan(m.stats)
