@@ -13,15 +13,24 @@ from pyspark.sql import functions as F
 from revline.session import write_scratch
 
 
+def shuffled_anew(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with a whole-number key that Spark takes for a new one.
+
+    An aggregate by ``key`` is already partitioned by it, and a join would use it
+    as it stands. With a shuffle of its own on both sides, adaptive execution can
+    split the rows of a hot key over many tasks.
+    """
+    return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def _star(arcs: DataFrame) -> DataFrame:
     """(u, v, m): each arc with the smallest of u and its arcs' ends.
 
-    A node may have a third of all arcs. The minimum is combined before the
-    shuffle and written, so that both sides of the join are plain shuffles and
-    adaptive execution splits such a node's arcs over many tasks.
+    A node may have a third of all arcs: the minimum is combined before the
+    shuffle, and the join can be split.
     """
-    least = write_scratch(arcs.groupBy("u").agg(F.min("v").alias("m")), "stars")
-    return arcs.join(least, "u").withColumn("m", F.least("m", "u"))
+    least = arcs.groupBy("u").agg(F.min("v").alias("m"))
+    return arcs.join(shuffled_anew(least, "u"), "u").withColumn("m", F.least("m", "u"))
 
 
 def _large(edges: DataFrame) -> DataFrame:

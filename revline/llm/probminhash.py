@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revline.llm import textvec
-from revline.llm.components import components
+from revline.llm.components import components, shuffled_anew
 from revline.llm.names import fresh
 from revline.session import write_scratch
 
@@ -44,7 +44,6 @@ BLOCK = 400
 #: bytes of words: ASCII letters and digits and everything beyond ASCII
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_SIG = "bigint"
 
 
 def normal_words(data: np.ndarray, offs: np.ndarray):
@@ -273,7 +272,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = base.withColumn("_t", F.xxhash64("_text"))
     sketches = write_scratch(base.mapInArrow(
         _sketch, f"_id {id_type}, _t bigint, _hi bigint, _lo bigint, _bands array<bigint>, "
-                 f"_sig array<{_SIG}>"), "sketches")
+                 "_sig array<bigint>"), "sketches")
     nodes = write_scratch(
         sketches.groupBy("_hi", "_lo").agg(
             F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_rows"),
@@ -285,15 +284,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = _links(base, nodes, families, similar)
     linked = found.groupBy("_node").agg(F.sum("_links").alias("_links"))
     comps = components(found, "_node", "_to")
-    classes = write_scratch(
-        nodes.select("_hi", "_lo", "_node", "_least", "_rows")
-             .join(comps.withColumnRenamed("node", "_node"), "_node", "left")
-             .join(linked, "_node", "left")
-             .withColumn("_class", F.coalesce("component", "_node")), "node-classes")
-    # written, so that both sides of the join are plain shuffles, which adaptive
-    # execution splits where one class has a large share of the nodes
-    sizes = write_scratch(classes.groupBy("_class").agg(
-        F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size")), "classes")
+    classes = (nodes.select("_hi", "_lo", "_node", "_least", "_rows")
+               .join(comps.withColumnRenamed("node", "_node"), "_node", "left")
+               .join(linked, "_node", "left")
+               .withColumn("_class", F.coalesce("component", "_node")))
+    sizes = shuffled_anew(classes.groupBy("_class").agg(
+        F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size")), "_class")
     known = classes.join(sizes, "_class").select(
         "_hi", "_lo", "class_id", "class_size", F.coalesce("_links", F.lit(0)).alias("links"))
     return (sketches.select("_id", "_hi", "_lo").join(known, ["_hi", "_lo"])
@@ -321,8 +317,8 @@ def _links(base: DataFrame, nodes: DataFrame, families: DataFrame, similar: floa
     """(node, to, links): a spanning forest of the links of each cell, and link counts."""
     families = write_scratch(families.select(F.col("node").alias("_node"),
                                              F.col("component").alias("_family")), "families")
-    sizes = write_scratch(families.groupBy("_family").agg(F.count(F.lit(1)).alias("_size")),
-                          "family-sizes")
+    sizes = shuffled_anew(
+        families.groupBy("_family").agg(F.count(F.lit(1)).alias("_size")), "_family")
     wanted = (families.join(sizes, "_family")
               .join(nodes.select("_node", F.col("_rep._id").alias("_id2"),
                                  F.col("_rep._t").alias("_t2")), "_node"))
