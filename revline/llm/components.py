@@ -48,9 +48,13 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.unionByName(own).where("u <> v").distinct()
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-                 .first())
+def _unfinished(edges: DataFrame) -> bool:
+    """True while a node points to two nodes, or to one that points on: then the
+    edges are not yet stars around the smallest nodes."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("inward")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("inward")))
+    nodes = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("inward").alias("inward"))
+    return not nodes.where("out > 1 OR (out > 0 AND inward > 0)").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -62,12 +66,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = write_scratch(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .where(F.col(a).isNotNull() & F.col(b).isNotNull()).where("u <> v").distinct(), "edges")
-    seen = _print(edges)
-    while seen[0]:
+    while _unfinished(edges):
         edges = write_scratch(_small(_large(edges)), "edges")
-        now = _print(edges)
-        if now == seen:
-            break
-        seen = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
