@@ -1,10 +1,11 @@
 """Near-duplicate documents by ProbMinHash.
 
-1. Every text becomes a set of five-word shingles, weighted 1 + ln(count). Each
-   shingle is a Poisson process of rate its weight whose arrivals fall into
-   registers; a register keeps its earliest arrival's shingle, and a shingle
-   stops as soon as its next arrival is later than the latest register's
-   (ProbMinHash; equal registers estimate the probability Jaccard similarity).
+1. Every text becomes a set of five-word shingles, all of one weight, as links
+   compare sets. Each shingle is a Poisson process of rate its weight whose
+   arrivals fall into registers; a register keeps its earliest arrival's
+   shingle, and a shingle stops as soon as its next arrival is later than the
+   latest register's (ProbMinHash; equal registers estimate the probability
+   Jaccard similarity, with equal weights that of the sets).
 2. Texts with the same words are one node. Nodes that share a band of registers
    meet in a bucket; each bucket contributes edges to its first node only, and
    connected buckets form a family of candidates.
@@ -159,8 +160,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bare = np.flatnonzero(np.bincount(rows, minlength=n) == 0)
         hi[bare] = textvec.span_hashes(data, offs[:-1][bare], offs[1:][bare])
         lo[bare] = 1
-        shingle, row, count = shingles(hashes, rows, n)
-        registers = prob_minhash(shingle, 1 + np.log(count), row, n)
+        shingle, row, _ = shingles(hashes, rows, n)
+        # weighted by counts, a pair would be sought by another similarity than links have
+        registers = prob_minhash(shingle, np.ones(shingle.size), row, n)
         bands = _lists(band_keys(registers)).to_pylist() if bare.size else None
         lists = _lists(band_keys(registers))
         if bare.size:

@@ -138,6 +138,19 @@ def test_cases(spark):
     assert sorted(r.doc_id for r in left.collect()) == [0, 2] and left.columns[-1] == "_hi"
 
 
+def test_repeated_lines_do_not_hide_a_pair(spark):
+    """Pairs just above 0.8 of which one text repeats its own lines."""
+    texts = []
+    for k in range(40):
+        common = " ".join(f"c{k}x{i}" for i in range(104))
+        line = " ".join(f"r{k}x{i}" for i in range(12))
+        texts += [common, common + f" {line}" * 200]
+    rows = pm.near_duplicates(_frame(spark, texts)).collect()
+    got = {r.doc_id: (r.class_id, r.class_size, r.links) for r in rows}
+    assert got == _brute(list(enumerate(texts)))
+    assert all(n == 2 for _, n, _ in got.values())
+
+
 def test_components_of_long_paths(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + i, 99) for i in range(1, 30)] + [(7, 7), (300, 300)]
