@@ -7,8 +7,9 @@
    latest register's (ProbMinHash; equal registers estimate the probability
    Jaccard similarity, with equal weights that of the sets).
 2. Texts with the same words are one node. Nodes that share a band of registers
-   meet in a bucket; each bucket contributes edges to its first node only, and
-   connected buckets form a family of candidates.
+   meet in a bucket and are compared by their registers with its first node: the
+   similar ones are joined to it, and all but the very similar ones are grouped
+   anew without it, until none is left. Joined nodes form a family of candidates.
 3. In a family all similarities (Jaccard of the shingle sets) are verified
    exactly, by counting common shingles through an inverted index. A large
    family is dealt to a grid of blocks, so no task holds more than two blocks
@@ -22,6 +23,7 @@ capped, and no step brings links, nodes or classes to the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,12 @@ REGISTERS = BANDS * ROWS
 SIMILAR = 0.8
 #: a bucket's edge is dropped where the registers agree less than at this similarity
 FAMILY_LEAST = 0.3
+#: short registers that differ at most on an edge
+FAR = round(REGISTERS * (1 - FAMILY_LEAST) * 15 / 16)
+#: a pair at ``SIMILAR`` differs in more short registers than this with probability
+#: below 1e-7. Differences obey the triangle inequality, so where one of the pair is
+#: beyond FAR from a node, the other is beyond FAR - APART and stays in the bucket too.
+APART = 60
 #: nodes of one block of the verification grid
 BLOCK = 400
 
@@ -301,18 +309,78 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _families(nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that buckets connect."""
-    entries = nodes.select("_node", F.explode("_bands").alias("_bucket"))
+    sig = nodes.select("_node", "_sig")
+    entries, before = nodes.select("_node", F.explode("_bands").alias("_bucket")), None
+    near = []
+    while True:
+        edges, entries = _stars(entries, sig)
+        near.append(edges)
+        left = entries.count()
+        if not left:
+            break
+        if before is not None and 2 * left > before:
+            # many unlike nodes in a bucket: rounds would be as many
+            near.append(_compare_in_cells(entries, sig, left))
+            break
+        before = left
+    return components(reduce(DataFrame.unionByName, near), "_node", "_first")
+
+
+def _stars(entries: DataFrame, sig: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (node, first) to the first node of each bucket, and the entries to be grouped anew."""
     buckets = (entries.groupBy("_bucket").agg(F.min("_node").alias("_first"),
                                               F.count(F.lit(1)).alias("_n"))
                .where("_n > 1").select("_bucket", "_first"))
-    pairs = (entries.join(buckets, "_bucket").where("_node <> _first")
-             .select("_node", "_first").distinct())
-    sig = nodes.select("_node", "_sig")
-    most = round(REGISTERS * (1 - FAMILY_LEAST) * 15 / 16)
-    near = (pairs.join(sig, "_node")
-            .join(sig.select(F.col("_node").alias("_first"), F.col("_sig").alias("_sig2")), "_first")
-            .where(different_registers(F.col("_sig"), F.col("_sig2")) <= most))
-    return components(near.select("_node", "_first"), "_node", "_first")
+    met = entries.join(buckets, "_bucket").where("_node <> _first")
+    pairs = (met.select("_node", "_first").distinct().join(sig, "_node")
+             .join(sig.select(F.col("_node").alias("_first"), F.col("_sig").alias("_sig2")), "_first")
+             .select("_node", "_first",
+                     different_registers(F.col("_sig"), F.col("_sig2")).alias("_differ")))
+    pairs = write_scratch(pairs, "pairs")
+    again = pairs.where(F.col("_differ") > FAR - APART).select("_node", "_first")
+    rest = write_scratch(met.join(again, ["_node", "_first"], "left_semi")
+                         .select("_node", "_bucket"), "entries")
+    return pairs.where(F.col("_differ") <= FAR).select("_node", "_first"), rest
+
+
+def _compare_in_cells(entries: DataFrame, sig: DataFrame, n: int) -> DataFrame:
+    """Edges (node, first) of what rounds of stars would find, in cells of two blocks at most."""
+    sizes = shuffled_anew(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+                          .where("_n > 1"), "_bucket")
+    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+    cells = (entries.join(sizes, "_bucket").join(sig, "_node")
+             .withColumn("_block", F.pmod(F.xxhash64("_node"), blocks).cast("int"))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("_node", "_bucket", "_sig",
+                     F.when(F.col("_n") <= BLOCK, F.pmod(F.xxhash64("_bucket"), F.lit(max(1, n // BLOCK))))
+                     .otherwise(F.col("_bucket")).alias("_key"), (F.col("_n") > BLOCK).alias("_grid"),
+                     F.least("_block", "_other").alias("_i"),
+                     F.greatest("_block", "_other").alias("_j")))
+    return write_scratch(
+        cells.groupBy("_grid", "_key", "_i", "_j")
+             .applyInArrow(_stars_of_cell, "_node bigint, _first bigint").distinct(), "cell-edges")
+
+
+def _stars_of_cell(table: pa.Table) -> pa.Table:
+    table = table.combine_chunks()
+    node, bucket = table.column("_node").to_numpy(), table.column("_bucket").to_numpy()
+    sig = table.column("_sig").combine_chunks().flatten().to_numpy().view(np.uint64)
+    sig = sig.reshape(node.size, -1)
+    order = np.lexsort((node, bucket))
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    edges = [np.zeros((2, 0), np.int64)]
+    for left in np.split(order, cuts):
+        while left.size > 1:
+            first, left = left[0], left[1:]
+            x = sig[left] ^ sig[first]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(1, dtype=np.int64)
+            near = node[left[differ <= FAR]]
+            edges.append(np.stack([near, np.full(near.size, node[first])]))
+            left = left[differ > FAR - APART]
+    found = np.concatenate(edges, axis=1)
+    return pa.table({"_node": found[0], "_first": found[1]})
 
 
 def _links(base: DataFrame, nodes: DataFrame, families: DataFrame, similar: float) -> DataFrame:

@@ -151,6 +151,21 @@ def test_repeated_lines_do_not_hide_a_pair(spark):
     assert all(n == 2 for _, n, _ in got.values())
 
 
+@pytest.mark.parametrize("block", [400, 3])
+def test_strangers_in_a_bucket_do_not_part_a_pair(spark, monkeypatch, block):
+    """Every bucket is shared by all nodes; the first ones are strangers to all pairs."""
+    monkeypatch.setattr(pm, "BLOCK", block)
+    rng = np.random.default_rng(block)
+    alone, pairs = rng.integers(1, 1 << 62, (30, 160)), rng.integers(1, 1 << 62, (20, 160))
+    other = np.where(rng.random(pairs.shape) < 0.8, pairs, rng.integers(1, 1 << 62, pairs.shape))
+    registers = np.r_[alone, pairs, other].astype(np.uint64)
+    sig = pm.short_signature(registers).tolist()
+    nodes = spark.createDataFrame([(i, [1, 2], s) for i, s in enumerate(sig)],
+                                  "_node long, _bands array<long>, _sig array<long>")
+    got = {r.node: r.component for r in pm._families(nodes).collect()}
+    assert got == {k: 30 + i for i in range(20) for k in (30 + i, 50 + i)}
+
+
 def test_components_of_long_paths(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + i, 99) for i in range(1, 30)] + [(7, 7), (300, 300)]
