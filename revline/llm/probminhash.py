@@ -22,8 +22,9 @@ capped, and no step brings links, nodes or classes to the driver.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,20 +51,43 @@ APART = 60
 #: nodes of one block of the verification grid
 BLOCK = 400
 
-#: bytes of words: ASCII letters and digits and everything beyond ASCII
-_WORD = np.zeros(256, bool)
-_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+#: scripts written without spaces (Thai, Lao, Burmese, Khmer and neighbours, kana and
+#: bopomofo, Han): every letter, mark or digit of them is a word
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF),
+             (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x31BF), (0x31F0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F),
+             (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF)]
+_BETWEEN, _PART, _ALONE = 0, 1, 2
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Of every code point: between words, part of a word (letter, mark, digit), or a word alone."""
+    kind = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)], np.uint8)
+    for first, last in _UNSPACED:
+        kind[first:last + 1] *= _ALONE
+    return kind
 
 
 def normal_words(data: np.ndarray, offs: np.ndarray):
-    """Hash and row of every word; A-Z and the capitals of Latin-1 are lower-cased."""
-    low = textvec.LOWER[data]
-    if low.size > 1:
-        latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-        low[1:][latin] += 32
-    spaced = np.where(_WORD[low], low, np.uint8(32))
-    starts, ends, rows = textvec.words(spaced, offs)
-    return textvec.span_hashes(spaced, starts, ends), rows
+    """Hash and row of every word, lower-cased."""
+    if data.size and data.max() > 127:
+        low = [data[a:b].tobytes().decode("utf-8", "replace").lower()
+               for a, b in zip(offs[:-1], offs[1:], strict=True)]
+        points = np.frombuffer("".join(low).encode("utf-32-le"), np.uint32)
+        offs = np.r_[0, np.cumsum([len(t) for t in low], dtype=np.int64)]
+    else:
+        points = textvec.LOWER[data]
+    if not points.size:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    kind = _kinds()[points]
+    cut = np.ones(points.size + 1, bool)
+    cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _ALONE)
+    cut[offs] = True
+    starts = np.flatnonzero((kind > _BETWEEN) & cut[:-1])
+    ends = np.flatnonzero((kind > _BETWEEN) & cut[1:]) + 1
+    return (textvec.span_hashes(points, starts, ends),
+            np.searchsorted(offs, starts, side="right") - 1)
 
 
 def shingles(hashes: np.ndarray, rows: np.ndarray, n: int, size: int = SHINGLE):
@@ -270,6 +294,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id of the class), class_size (rows), links (texts with other words it is
     linked to), kept (its id is class_id).
 
+    A word is a run of Unicode letters, their marks and digits; in scripts that are
+    written without spaces each of them is a word.
+
     Defined cases: a null text counts as empty; a text of one to four words has
     one shingle, of all its words; texts without words are alike only where they
     are equal; rows with the same words are always one class; a null id is never

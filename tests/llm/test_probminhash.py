@@ -138,6 +138,41 @@ def test_cases(spark):
     assert sorted(r.doc_id for r in left.collect()) == [0, 2] and left.columns[-1] == "_hi"
 
 
+_UNICODE = ["Привет, МИР! Это ДЛИННЫЙ текст", "привет мир это длинный текст", "ΟΔΟΣ ΑΘΗΝΑ", "οδος αθηνα",
+            "one\u00a0two\u3000three\u2014four", "“one” two… three–four", "ÉCOLE Œuvre Ÿ ß", "école œuvre ÿ ß",
+            "ａｂ，ｃｄ。", "", "x", "١٢٣ ४५", "plain ASCII words_here 42"]
+
+
+def test_words_by_unicode_classes():
+    def hashes(texts):
+        got, rows = pm.normal_words(*textvec.utf8(pa.array(texts, pa.string())))
+        return [got[rows == i].tolist() for i in range(len(texts))]
+    together = hashes(_UNICODE)
+    assert together == [hashes([t])[0] for t in _UNICODE]
+    assert together == hashes([" ".join(_words(t)) for t in _UNICODE])
+    assert [len(h) for h in together] == [len(_words(t)) for t in _UNICODE]
+    words = [w for t in _UNICODE for w in _words(t)]
+    assert len({h for t in together for h in t}) == len(set(words))
+    # characters of scripts without spaces, with full-width punctuation; marks belong to their letter
+    assert [len(h) for h in hashes(["我们，吃饭。abc了", "カタカナ「ひらがな」", "สวัส", "की का", "cafe\u0301"])] == [6, 8, 4, 2, 1]
+    assert hashes(["की"]) != hashes(["का"])
+
+
+def test_near_copies_in_other_scripts(spark):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(8):
+        han = [chr(rng.randrange(0x4E00, 0x9000)) for _ in range(200)]
+        changed = [*han[:100], "新", *han[101:]]
+        texts += ["，".join("".join(w[i:i + 9]) for i in range(0, 200, 9)) + "。" for w in (han, changed)]
+        cyrillic = ["".join(rng.choices("абвгдежз", k=6)) for _ in range(80)]
+        texts += [" ".join(cyrillic), "\u00a0".join([*cyrillic, "ещё"]).upper()]
+    rows = pm.near_duplicates(_frame(spark, texts)).collect()
+    spaced = [re.sub("([一-鿿])", r"\1 ", t) for t in texts]
+    assert {r.doc_id: (r.class_id, r.class_size, r.links) for r in rows} == _brute(list(enumerate(spaced)))
+    assert all(r.class_size == 2 for r in rows)
+
+
 def test_repeated_lines_do_not_hide_a_pair(spark):
     """Pairs just above 0.8 of which one text repeats its own lines."""
     texts = []
