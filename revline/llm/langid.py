@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ class LanguageModel:
     bias: np.ndarray      # bits
     trust: np.ndarray     # bits, adds up to the number of bits
     ambiguous: float      # a winner's share below this is ambiguous
+    farthest: float = np.inf  # a text farther from every codeword is in no known language
 
 
 def codewords(n: int, seed: int = 0) -> np.ndarray:
@@ -115,14 +116,21 @@ def fit(x: np.ndarray, labels: np.ndarray, languages: list[str], ambiguous: floa
     return LanguageModel(languages, code, w, b, trust * (trust.size / trust.sum()), ambiguous)
 
 
+def losses(model: LanguageModel, outputs: np.ndarray) -> np.ndarray:
+    """Rows x languages: the sum of log(1 + exp(-bit * output)) under each codeword, weighted."""
+    margins = outputs[:, None, :] * model.code[None, :, :]
+    return (np.logaddexp(0, -margins) * model.trust).sum(2)
+
+
 def decode(model: LanguageModel, outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Winner, its score and the runner-up of each row of classifier outputs.
 
-    The loss of a codeword is the sum of log(1 + exp(-bit * output)), weighted;
-    scores are the shares exp(-loss). Ties go to the first language.
+    Scores are the shares exp(-loss). Ties go to the first language.
     """
-    margins = outputs[:, None, :] * model.code[None, :, :]
-    loss = (np.logaddexp(0, -margins) * model.trust).sum(2)
+    return _winners(losses(model, outputs))
+
+
+def _winners(loss: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     share = np.exp(loss.min(1, keepdims=True) - loss)
     share /= share.sum(1, keepdims=True)
     order = np.argsort(-share, axis=1, kind="stable")
@@ -130,6 +138,24 @@ def decode(model: LanguageModel, outputs: np.ndarray) -> tuple[np.ndarray, np.nd
     return order[:, 0], share[np.arange(len(share)), order[:, 0]], second
 
 
+def farthest_known(x: np.ndarray, labels: np.ndarray, model: LanguageModel) -> float:
+    """The least loss that a text in a known language does not reach.
+
+    Each half of the rows is decoded by a model of the other half, and all by
+    ``model``; a quarter of the way from the median to the largest loss is added.
+    It is log(2) at least, what one undecided bit loses: the one bit of two
+    languages can tell no text from theirs.
+    """
+    seen = [losses(model, x.astype(np.float64) @ model.weights + model.bias).min(1)]
+    for half in (0, 1):
+        out = np.arange(len(x)) % 2 == half
+        if out.any() and not out.all():
+            part = fit(x[~out], labels[~out], model.languages)
+            seen.append(losses(part, x[out].astype(np.float64) @ part.weights + part.bias).min(1))
+    most, middle = max(s.max() for s in seen), np.median(np.concatenate(seen))
+    return float(max(most + 0.25 * (most - middle), np.log(2)) + 1e-6)
+
+
 def hash_below(id_col: str, share) -> Column:
     """True for about this share of the ids, those with the smallest hash."""
     return F.xxhash64(id_col).cast("double") <= (share - 0.5) * 2.0 ** 64
@@ -137,12 +163,13 @@ def hash_below(id_col: str, share) -> Column:
 
 def train(docs: DataFrame, max_per_language: int = 400, max_languages: int = 64,
           n_buckets: int = 1 << 12, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang") -> LanguageModel | None:
+          lang_col: str = "lang", farthest: bool = False) -> LanguageModel | None:
     """Learn from rows with a language and a letter in their text; None if there are none.
 
     The sample is bounded: ``max_per_language`` rows of each language, the ones
     whose id hash is smallest, of the ``max_languages`` most frequent languages.
-    Only their hashed counts (n_buckets numbers a row) reach the driver.
+    Only their hashed counts (n_buckets numbers a row) reach the driver. With
+    ``farthest`` the model also knows how far from it a known language can be.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -170,22 +197,27 @@ def train(docs: DataFrame, max_per_language: int = 400, max_languages: int = 64,
     if not sample:
         return None
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in sample])
-    return fit(x, np.array([languages.index(r["lang"]) for r in sample]), languages)
+    labels = np.array([languages.index(r["lang"]) for r in sample])
+    model = fit(x, labels, languages)
+    return replace(model, farthest=farthest_known(x, labels, model)) if farthest else model
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str],
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", with_loss: bool = False) -> DataFrame:
     """Columns ``keep`` and lang_pred, score, ambiguous, second_lang of every row.
 
     The text's language only follows from its text. Defined cases: a null text
     or one without a letter is ``und`` with score 0, and so is every text if
     nothing could be learned; ambiguous is true where the winner's share is
     below the model's threshold, for ``und`` always; second_lang is null for
-    ``und`` and where only one language is known. Repeated rows are predicted
+    ``und`` and where only one language is known. ``with_loss`` adds the loss of the
+    winner's codeword: null without a letter, 0 if nothing could be learned. Repeated rows are predicted
     each; no rows give no rows.
     """
     out = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
     out += ["lang_pred string", "score double", "ambiguous boolean", "second_lang string"]
+    if with_loss:
+        out.append("loss double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one row of weights for each byte: small batches keep that in a few MB
@@ -194,7 +226,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str],
             letters = np.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()])
             lang = np.full(batch.num_rows, UNDETERMINED, object)
             second = np.full(batch.num_rows, None, object)
-            score = np.zeros(batch.num_rows)
+            score, least = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             if model is not None and letters.any():
                 data, offs = textvec.utf8(texts)
                 bucket, row = buckets_of(data, offs, model.weights.shape[0])
@@ -205,17 +237,21 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str],
                     total[row[first]] = np.add.reduceat(
                         model.weights[bucket], first, axis=0, dtype=np.float64)
                 outputs = total * (100.0 / np.maximum(seen, 1))[:, None] + model.bias
-                best, share, runner = decode(model, outputs)
+                loss = losses(model, outputs)
+                least = loss.min(1)
+                best, share, runner = _winners(loss)
                 names = np.array(model.languages, object)
                 lang[letters], score[letters] = names[best][letters], share[letters]
                 if len(names) > 1:
                     second[letters] = names[runner][letters]
             unsure = ~letters | (score < (model.ambiguous if model else 1))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f"__keep{i}") for i in range(len(keep))),
-                 pa.array(lang, pa.string()), pa.array(score), pa.array(unsure),
-                 pa.array(second, pa.string())],
-                [*keep, "lang_pred", "score", "ambiguous", "second_lang"])
+            found = [*(batch.column(f"__keep{i}") for i in range(len(keep))),
+                     pa.array(lang, pa.string()), pa.array(score), pa.array(unsure),
+                     pa.array(second, pa.string())]
+            names = [*keep, "lang_pred", "score", "ambiguous", "second_lang"]
+            if with_loss:
+                found, names = [*found, pa.array(least, mask=~letters)], [*names, "loss"]
+            yield pa.RecordBatch.from_arrays(found, names)
 
     return docs.select(*(F.col(c).alias(f"__keep{i}") for i, c in enumerate(keep)),
                        F.col(text_col).alias("__text")).mapInArrow(run, ", ".join(out))
@@ -236,9 +272,14 @@ def held_out_languages(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def keep_determined(docs: DataFrame, model: LanguageModel | None, least: float = 0.0,
                     text_col: str = "text") -> DataFrame:
-    """The rows, all columns, whose text has a language and a score of ``least`` or more."""
+    """The rows, all columns, whose text has a letter, is no farther from the known
+    languages than the model allows and has a score of ``least`` or more.
+
+    If nothing could be learned, every row with a letter stays.
+    """
+    farthest, least = (model.farthest, least) if model is not None else (np.inf, 0.0)
     names = docs.columns
     return (predict(docs.toDF(*(f"c{i}" for i in range(len(names)))), model,
-                    [f"c{i}" for i in range(len(names))], f"c{names.index(text_col)}")
-            .where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+                    [f"c{i}" for i in range(len(names))], f"c{names.index(text_col)}", with_loss=True)
+            .where((F.col("loss") <= float(farthest)) & (F.col("score") >= least))
             .select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names))))
