@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revline.llm import textvec
+from revline.session import write_scratch
 
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
@@ -42,8 +43,8 @@ def codewords(n: int, seed: int = 0) -> np.ndarray:
     """n codewords that differ in many bits.
 
     Up to 7 languages: the exhaustive code, every way to split the languages in
-    two. Beyond: of many seeded random codes, the one whose closest two words
-    are farthest apart.
+    two. Beyond: of many seeded random codes (fewer beyond 64 languages), the one
+    whose closest two words are farthest apart.
     """
     if n < 2:
         return np.ones((n, 1))
@@ -54,9 +55,13 @@ def codewords(n: int, seed: int = 0) -> np.ndarray:
                          for k in range(n)]).reshape(n, bits)
     rng, best, best_gap = np.random.default_rng(seed), None, -1
     bits = int(np.ceil(10 * np.log2(n)))
-    for _ in range(200):
+    for _ in range(max(3, 200 * 64 ** 2 // max(n, 64) ** 2)):
         code = rng.choice([-1.0, 1.0], (n, bits))
-        gap = ((bits - code @ code.T) / 2 + bits * np.eye(n)).min()
+        gap = bits
+        for at in range(0, n, 256):
+            part = (bits - code[at:at + 256] @ code.T) / 2
+            part[np.arange(len(part)), at + np.arange(len(part))] = bits
+            gap = min(gap, part.min())
         if gap > best_gap and (np.abs(code.sum(0)) < n).all():
             best, best_gap = code, gap
     return best
@@ -118,8 +123,10 @@ def fit(x: np.ndarray, labels: np.ndarray, languages: list[str], ambiguous: floa
 
 def losses(model: LanguageModel, outputs: np.ndarray) -> np.ndarray:
     """Rows x languages: the sum of log(1 + exp(-bit * output)) under each codeword, weighted."""
-    margins = outputs[:, None, :] * model.code[None, :, :]
-    return (np.logaddexp(0, -margins) * model.trust).sum(2)
+    step = max(1, (4 << 20) // model.code.size)  # rows at a time, for many languages
+    parts = [(np.logaddexp(0, -(outputs[at:at + step, None, :] * model.code[None, :, :]))
+              * model.trust).sum(2) for at in range(0, max(1, len(outputs)), step)]
+    return np.concatenate(parts)
 
 
 def decode(model: LanguageModel, outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,43 +168,43 @@ def hash_below(id_col: str, share) -> Column:
     return F.xxhash64(id_col).cast("double") <= (share - 0.5) * 2.0 ** 64
 
 
-def train(docs: DataFrame, max_per_language: int = 400, max_languages: int = 64,
+def train(docs: DataFrame, max_per_language: int = 400, max_rows: int = 400 * 64,
           n_buckets: int = 1 << 12, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", farthest: bool = False) -> LanguageModel | None:
     """Learn from rows with a language and a letter in their text; None if there are none.
 
-    The sample is bounded: ``max_per_language`` rows of each language, the ones
-    whose id hash is smallest, of the ``max_languages`` most frequent languages.
+    Every language is learned. The sample is ``max_per_language`` rows of each, the
+    ones whose id hash is smallest, or fewer where that would be more than
+    ``max_rows`` rows together, but one of each language at least.
     Only their hashed counts (n_buckets numbers a row) reach the driver. With
     ``farthest`` the model also knows how far from it a known language can be.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = rows.where("lang IS NOT NULL")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    rows_of = {r["lang"]: r["count"] for r in counts.collect()}
-    if not rows_of:
+    counts = write_scratch(known.groupBy("lang").count(), "langs")
+    n_languages = counts.count()
+    if not n_languages:
         return None
-    languages = sorted(rows_of)
+    most = max(1, min(max_per_language, max_rows // n_languages))
     # of a frequent language, only hashes that leave a few times the wanted rows
-    share = F.create_map(*(F.lit(x) for lang, n in rows_of.items()
-                           for x in (lang, min(1.0, 4 * max_per_language / n))))
+    share = F.least(F.lit(1.0), F.lit(4.0 * most + (32 if most < max_per_language else 0)) / F.col("count"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
-    some = (known.where(F.col("lang").isin(languages)).select("_id", "lang")
-            .where(hash_below("_id", share[F.col("lang")]))
-            .withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= max_per_language)
+    some = (known.join(F.broadcast(counts), "lang").where(hash_below("_id", share))
+            .where(F.col("text").rlike(r"\p{L}")).select("_id", "lang")
+            .withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= most)
             .select("_id", F.col("lang").alias("_lang")).distinct())
-    # at most max_per_language x max_languages ids
+    # at most max_rows ids, or one of each language
     sample = (known.join(F.broadcast(some), "_id", "left_semi")
               .where(F.col("text").rlike(r"\p{L}")).select("lang", "text")
               .mapInArrow(_feature_rows(n_buckets), "lang string, x binary").collect())
     sample.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    languages = sorted({r["lang"] for r in sample} & set(languages))
-    sample = [r for r in sample if r["lang"] in languages]
     if not sample:
         return None
+    languages = sorted({r["lang"] for r in sample})
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in sample])
-    labels = np.array([languages.index(r["lang"]) for r in sample])
+    place = {lang: k for k, lang in enumerate(languages)}
+    labels = np.array([place[r["lang"]] for r in sample])
     model = fit(x, labels, languages)
     return replace(model, farthest=farthest_known(x, labels, model)) if farthest else model
 
