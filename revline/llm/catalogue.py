@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from revline.llm import (
     backoff,
     exact_dedup,
+    extraction,
+    fim,
     langid,
+    merkle,
     nbest,
     packing,
     probminhash,
@@ -76,6 +79,18 @@ def op10_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_main_text(_table(spark, sf_dir, "pages"), extraction.train())
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_test(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (
         op1_document_fingerprints,
@@ -88,6 +103,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_exact_dedup,
         op9_packing,
         op10_nbest_segmentation,
+        op11_html_extraction,
+        op12_fill_in_middle,
+        op13_merkle_manifest,
     )}
 
 
