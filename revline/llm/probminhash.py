@@ -8,8 +8,9 @@
    Jaccard similarity, with equal weights that of the sets).
 2. Texts with the same words are one node. Nodes that share a band of registers
    meet in a bucket and are compared by their registers with its first node: the
-   similar ones are joined to it, and all but the very similar ones are grouped
-   anew without it, until none is left. Joined nodes form a family of candidates.
+   similar ones are joined to it. Joined nodes form a family of candidates. Where a
+   bucket holds several families, all but the very similar nodes are grouped anew
+   around a node of the smallest, until its nodes are of one family or none is left.
 3. In a family all similarities (Jaccard of the shingle sets) are verified
    exactly, by counting common shingles through an inverted index. A large
    family is dealt to a grid of blocks, so no task holds more than two blocks
@@ -40,7 +41,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 SIMILAR = 0.8
-#: a bucket's edge is dropped where the registers agree less than at this similarity
+#: a bucket's nodes are not joined where the registers agree less than at this similarity
 FAMILY_LEAST = 0.3
 #: short registers that differ at most on an edge
 FAR = round(REGISTERS * (1 - FAMILY_LEAST) * 15 / 16)
@@ -335,79 +336,128 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _families(nodes: DataFrame) -> DataFrame:
-    """(node, component) of the nodes that buckets connect."""
+    """(node, component) of the nodes that buckets connect.
+
+    After the first round a bucket is grouped anew only while it holds nodes of two
+    families or more, and only nodes of another family than its centre's are compared
+    with that: a bucket whose nodes are all joined is done, however large it is.
+    """
     sig = nodes.select("_node", "_sig")
-    entries, before = nodes.select("_node", F.explode("_bands").alias("_bucket")), None
-    near = []
+    entries = nodes.select("_node", F.explode("_bands").alias("_bucket"))
+    first = (entries.groupBy("_bucket").agg(F.min("_node").alias("_centre"), F.count(F.lit(1)).alias("_n"))
+             .where("_n > 1").select("_bucket", "_centre"))
+    met = entries.join(first, "_bucket").where("_node <> _centre")
+    pairs = _compared(met, sig)
+    stars = write_scratch(components(pairs.where(F.col("_differ") <= FAR), "_node", "_centre"), "stars")
+    family = stars.select(F.col("node").alias("_node"), F.col("component").alias("_family"))
+    entries = write_scratch(
+        _left_over(met, pairs).join(family, "_node", "left")
+        .select("_node", "_bucket", F.coalesce("_family", "_node").alias("_family")), "entries")
+    edges, before = [stars.select(F.col("node").alias("_a"), F.col("component").alias("_b"))], None
     while True:
-        edges, entries = _stars(entries, sig)
-        near.append(edges)
+        centres = _centres(entries)
+        entries = write_scratch(entries.join(shuffled_anew(centres, "_bucket"), "_bucket")
+                                .where("_node <> _centre"), "entries")
         left = entries.count()
         if not left:
             break
         if before is not None and 2 * left > before:
-            # many unlike nodes in a bucket: rounds would be as many
-            near.append(_compare_in_cells(entries, sig, left))
+            # many families in a bucket: rounds would be as many
+            edges.append(_compare_in_cells(entries, sig, left))
             break
         before = left
-    return components(reduce(DataFrame.unionByName, near), "_node", "_first")
-
-
-def _stars(entries: DataFrame, sig: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (node, first) to the first node of each bucket, and the entries to be grouped anew."""
-    buckets = (entries.groupBy("_bucket").agg(F.min("_node").alias("_first"),
-                                              F.count(F.lit(1)).alias("_n"))
-               .where("_n > 1").select("_bucket", "_first"))
-    met = entries.join(buckets, "_bucket").where("_node <> _first")
-    pairs = (met.select("_node", "_first").distinct().join(sig, "_node")
-             .join(sig.select(F.col("_node").alias("_first"), F.col("_sig").alias("_sig2")), "_first")
-             .select("_node", "_first",
-                     different_registers(F.col("_sig"), F.col("_sig2")).alias("_differ")))
-    pairs = write_scratch(pairs, "pairs")
-    again = pairs.where(F.col("_differ") > FAR - APART).select("_node", "_first")
-    rest = write_scratch(met.join(again, ["_node", "_first"], "left_semi")
-                         .select("_node", "_bucket"), "entries")
-    return pairs.where(F.col("_differ") <= FAR).select("_node", "_first"), rest
+        met = entries.where("_family <> _to_family")
+        pairs = _compared(met, sig)
+        joined = write_scratch(
+            met.join(pairs.where(F.col("_differ") <= FAR).select("_node", "_centre"), ["_node", "_centre"],
+                     "left_semi").select(F.col("_family").alias("_a"), F.col("_to_family").alias("_b"))
+            .distinct(), "joined")
+        edges.append(joined)
+        merged = components(joined, "_a", "_b").select(
+            F.col("node").alias("_family"), F.col("component").alias("_merged"))
+        rest = (_left_over(met, pairs).select("_node", "_bucket", "_family")
+                .unionByName(entries.where("_family = _to_family").select("_node", "_bucket", "_family")))
+        entries = write_scratch(
+            rest.join(merged, "_family", "left")
+                .select("_node", "_bucket", F.coalesce("_merged", "_family").alias("_family")), "entries")
+    return components(reduce(DataFrame.unionByName, edges), "_a", "_b")
+
+
+def _compared(met: DataFrame, sig: DataFrame) -> DataFrame:
+    """(node, centre) that met in any bucket, once, and in how many registers they differ."""
+    return write_scratch(
+        met.select("_node", "_centre").distinct().join(sig, "_node")
+           .join(sig.select(F.col("_node").alias("_centre"), F.col("_sig").alias("_sig2")), "_centre")
+           .select("_node", "_centre",
+                   different_registers(F.col("_sig"), F.col("_sig2")).alias("_differ")), "pairs")
+
+
+def _left_over(met: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Entries that are not so like their centre that all alike them are joined to it too."""
+    again = pairs.where(F.col("_differ") > FAR - APART).select("_node", "_centre")
+    return met.join(again, ["_node", "_centre"], "left_semi")
+
+
+def _centres(entries: DataFrame) -> DataFrame:
+    """Of each bucket with two families or more: the first node of the one with the fewest."""
+    return (entries.groupBy("_bucket", "_family").agg(F.count(F.lit(1)).alias("_n"), F.min("_node").alias("_node"))
+            .groupBy("_bucket").agg(F.count(F.lit(1)).alias("_families"),
+                                    F.min(F.struct("_n", "_node", "_family")).alias("_least"))
+            .where("_families > 1")
+            .select("_bucket", F.col("_least._node").alias("_centre"),
+                    F.col("_least._family").alias("_to_family")))
 
 
 def _compare_in_cells(entries: DataFrame, sig: DataFrame, n: int) -> DataFrame:
-    """Edges (node, first) of what rounds of stars would find, in cells of two blocks at most."""
+    """Edges between families of what rounds of stars would find, in cells of two blocks at most."""
+    # centres have been taken out by now, but not compared: they come back
+    centres = entries.select(F.col("_centre").alias("_node"), "_bucket",
+                             F.col("_to_family").alias("_family")).distinct()
+    entries = entries.select("_node", "_bucket", "_family").unionByName(centres)
     sizes = shuffled_anew(entries.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
                           .where("_n > 1"), "_bucket")
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
     cells = (entries.join(sizes, "_bucket").join(sig, "_node")
              .withColumn("_block", F.pmod(F.xxhash64("_node"), blocks).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("_node", "_bucket", "_sig",
+             .select("_node", "_bucket", "_family", "_sig",
                      F.when(F.col("_n") <= BLOCK, F.pmod(F.xxhash64("_bucket"), F.lit(max(1, n // BLOCK))))
                      .otherwise(F.col("_bucket")).alias("_key"), (F.col("_n") > BLOCK).alias("_grid"),
                      F.least("_block", "_other").alias("_i"),
                      F.greatest("_block", "_other").alias("_j")))
     return write_scratch(
         cells.groupBy("_grid", "_key", "_i", "_j")
-             .applyInArrow(_stars_of_cell, "_node bigint, _first bigint").distinct(), "cell-edges")
+             .applyInArrow(_join_in_cell, "_a bigint, _b bigint").distinct(), "cell-edges")
 
 
-def _stars_of_cell(table: pa.Table) -> pa.Table:
+def _join_in_cell(table: pa.Table) -> pa.Table:
+    """A spanning forest, between families, of the nodes of a cell that a bucket's stars would join."""
     table = table.combine_chunks()
     node, bucket = table.column("_node").to_numpy(), table.column("_bucket").to_numpy()
+    names, family = np.unique(table.column("_family").to_numpy(), return_inverse=True)
     sig = table.column("_sig").combine_chunks().flatten().to_numpy().view(np.uint64)
     sig = sig.reshape(node.size, -1)
+    edges = []
     order = np.lexsort((node, bucket))
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    edges = [np.zeros((2, 0), np.int64)]
     for left in np.split(order, cuts):
         while left.size > 1:
-            first, left = left[0], left[1:]
-            x = sig[left] ^ sig[first]
+            of, count = np.unique(family[left], return_counts=True)
+            if of.size < 2:
+                break
+            own = of[np.argmin(count)]
+            inside = family[left] == own
+            centre, others = left[inside][0], left[~inside]
+            x = sig[others] ^ sig[centre]
             x |= x >> np.uint64(1)
             x |= x >> np.uint64(2)
             differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(1, dtype=np.int64)
-            near = node[left[differ <= FAR]]
-            edges.append(np.stack([near, np.full(near.size, node[first])]))
-            left = left[differ > FAR - APART]
-    found = np.concatenate(edges, axis=1)
-    return pa.table({"_node": found[0], "_first": found[1]})
+            joined = np.unique(family[others[differ <= FAR]])
+            edges += [(int(names[f]), int(names[own])) for f in joined]
+            family[np.isin(family, joined)] = own
+            left = np.r_[left[inside][1:], others[differ > FAR - APART]]
+    found = np.array(edges, np.int64).reshape(-1, 2)
+    return pa.table({"_a": found[:, 0], "_b": found[:, 1]})
 
 
 def _links(base: DataFrame, nodes: DataFrame, families: DataFrame, similar: float) -> DataFrame:

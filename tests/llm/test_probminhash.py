@@ -201,6 +201,27 @@ def test_strangers_in_a_bucket_do_not_part_a_pair(spark, monkeypatch, block):
     assert got == {k: 30 + i for i in range(20) for k in (30 + i, 50 + i)}
 
 
+def test_edges_stay_linear_in_a_group_from_one_template(spark, monkeypatch):
+    """Texts alike at about 0.6, no pair at 0.8: every node differs from each centre by
+    more than very similar ones do, and still buckets give only a few edges a node."""
+    seen = []
+    plain = pm.components
+    monkeypatch.setattr(pm, "components", lambda e, a, b: seen.append(e.count()) or plain(e, a, b))
+    for n in (100, 400):
+        rng = random.Random(n)
+        words = [f"t{i}" for i in range(200)]
+        texts = []
+        for k in range(n):
+            w = words[:]
+            for at in rng.sample(range(200), 6):
+                w[at] = f"n{k}x{at}"
+            texts.append(" ".join(w))
+        seen.clear()
+        rows = pm.near_duplicates(_frame(spark, texts)).collect()
+        assert {r.doc_id: (r.class_id, r.class_size, r.links) for r in rows} == _brute(list(enumerate(texts)))
+        assert sum(seen[:2]) <= 64 * n, seen
+
+
 def test_components_of_long_paths(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + i, 99) for i in range(1, 30)] + [(7, 7), (300, 300)]
