@@ -24,6 +24,7 @@ from revline.llm import (
     simhash,
     urlfilter,
 )
+from revline.session import scratch_path
 
 #: UTF-8 bytes of text in a shard
 SHARD_BYTES = 16 << 20
@@ -38,7 +39,7 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.extendible_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
+    return sharding.written_shards(_table(spark, sf_dir, "documents"), scratch_path(spark, "shards"), SHARD_BYTES)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +77,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest.encode_nbest(_table(spark, sf_dir, "documents"),
-                              public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+                              public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,6 @@ sees every byte of every text, in Arrow batches of bounded size.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -24,7 +23,8 @@ from pyspark.sql import functions as F
 from revline.llm import textvec
 from revline.session import write_scratch
 
-LETTER = re.compile(r"[^\W\d_]")
+#: a letter of any script, to Spark's regular expressions (learning and predicting ask the same)
+LETTER = r"\p{L}"
 UNDETERMINED = "und"
 
 
@@ -173,7 +173,8 @@ def train(docs: DataFrame, max_per_language: int = 400, max_rows: int = 400 * 64
           lang_col: str = "lang", farthest: bool = False) -> LanguageModel | None:
     """Learn from rows with a language and a letter in their text; None if there are none.
 
-    Every language is learned. The sample is ``max_per_language`` rows of each, the
+    Every language is learned (of more than ``max_rows`` values of lang only as many, the
+    most frequent: the driver's sample is bounded). The sample is ``max_per_language`` rows of each, the
     ones whose id hash is smallest, or fewer where that would be more than
     ``max_rows`` rows together, but one of each language at least.
     Only their hashed counts (n_buckets numbers a row) reach the driver. With
@@ -186,17 +187,20 @@ def train(docs: DataFrame, max_per_language: int = 400, max_rows: int = 400 * 64
     n_languages = counts.count()
     if not n_languages:
         return None
+    if n_languages > max_rows:  # no sample of max_rows has a row of each
+        counts = counts.orderBy(F.desc("count"), "lang").limit(max_rows)
+        n_languages = max_rows
     most = max(1, min(max_per_language, max_rows // n_languages))
     # of a frequent language, only hashes that leave a few times the wanted rows
     share = F.least(F.lit(1.0), F.lit(4.0 * most + (32 if most < max_per_language else 0)) / F.col("count"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
     some = (known.join(F.broadcast(counts), "lang").where(hash_below("_id", share))
-            .where(F.col("text").rlike(r"\p{L}")).select("_id", "lang")
+            .where(F.col("text").rlike(LETTER)).select("_id", "lang")
             .withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= most)
             .select("_id", F.col("lang").alias("_lang")).distinct())
     # at most max_rows ids, or one of each language
     sample = (known.join(F.broadcast(some), "_id", "left_semi")
-              .where(F.col("text").rlike(r"\p{L}")).select("lang", "text")
+              .where(F.col("text").rlike(LETTER)).select("lang", "text")
               .mapInArrow(_feature_rows(n_buckets), "lang string, x binary").collect())
     sample.sort(key=lambda r: (r["lang"], bytes(r["x"])))
     if not sample:
@@ -230,7 +234,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str],
         # one row of weights for each byte: small batches keep that in a few MB
         for batch in textvec.small_batches(batches, "__text", textvec.MAX_BYTES // 2):
             texts = batch.column("__text")
-            letters = np.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()])
+            letters = batch.column("__letters").to_numpy(zero_copy_only=False).astype(bool)
             lang = np.full(batch.num_rows, UNDETERMINED, object)
             second = np.full(batch.num_rows, None, object)
             score, least = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
@@ -261,7 +265,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str],
             yield pa.RecordBatch.from_arrays(found, names)
 
     return docs.select(*(F.col(c).alias(f"__keep{i}") for i, c in enumerate(keep)),
-                       F.col(text_col).alias("__text")).mapInArrow(run, ", ".join(out))
+                       F.col(text_col).alias("__text"),
+                       F.coalesce(F.col(text_col).rlike(LETTER), F.lit(False)).alias("__letters")
+                       ).mapInArrow(run, ", ".join(out))
 
 
 def held_out(id_col: str, modulus: int, rest: int):

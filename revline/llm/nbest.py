@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 
 from revline.llm import textvec
 
-#: words remembered by a worker before it starts anew
-REMEMBERED = 800_000
+#: bytes of remembered stretches (about) at which a worker starts anew
+REMEMBERED = 192 << 20
+#: longer stretches are not remembered: they hardly come again
+LONGEST_REMEMBERED = 64
 _SPACE_MARK = "▁"
 
 
@@ -84,7 +86,7 @@ class PieceLattice:
         self.stretches = re.compile(
             "(?s).+" if crossing else f"(?s){word} *{inside}+| +|." if linked - {" "} else
             "(?s) +|.").findall
-        self._known = _Known(self._remember)
+        self._known, self._held = _Known(self._remember), 0
 
     @classmethod
     def load(cls, path: str) -> PieceLattice:
@@ -170,9 +172,14 @@ class PieceLattice:
         return out.tobytes()
 
     def search(self, s: str, n: int) -> list[tuple[float, bytes]]:
-        """The n best (score, ids) of one stretch, best first; fewer if there are fewer."""
+        """The n best (score, ids) of one stretch, best first; fewer if there are fewer.
+
+        A place in the stretch is expanded n times at most: of the ways back from it to
+        the end the cheapest come first, and whatever continues a later one has n others
+        before it. So ties, however many, cost no more than n times the edges.
+        """
         incoming, best = self._incoming(s)
-        order, found = count(), []
+        order, found, expanded = count(), [], bytearray(len(s) + 1) if n < 256 else [0] * (len(s) + 1)
         agenda = [(-best[len(s)], next(order), len(s), 0.0, None)]
         while agenda:
             total, _, at, behind, path = heapq.heappop(agenda)
@@ -181,6 +188,9 @@ class PieceLattice:
                 if len(found) == n:
                     break
                 continue
+            if expanded[at] == n:
+                continue
+            expanded[at] += 1
             for i, piece, score in incoming[at]:
                 if best[i] > -np.inf:
                     g = behind + score
@@ -189,10 +199,14 @@ class PieceLattice:
 
     def _remember(self, s: str) -> tuple[float, bytes, float]:
         """Best score, its ids and what the second best loses (infinite if there is none)."""
-        if len(self._known) >= REMEMBERED:
-            self._known.clear()
         best, ids, second = self._two_best(s)
-        self._known[s] = entry = (best, ids, best - second)
+        entry = (best, ids, best - second)
+        if len(s) <= LONGEST_REMEMBERED:
+            self._held += 400 + 4 * len(s) + len(ids)  # objects and their slot, text, ids
+            if self._held > REMEMBERED:
+                self._known.clear()
+                self._held = 0
+            self._known[s] = entry
         return entry
 
     def encode(self, text: str, n: int) -> list[tuple[float, bytes]]:
@@ -251,7 +265,9 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id"
     A character that is no piece is spelled in byte pieces, at a score below
     every piece's. Defined cases: a null text counts as empty, an empty text has
     one segmentation, without pieces; a text with fewer than n segmentations has
-    fewer rows; equal scores come in a fixed order. Rows that repeat are encoded
+    fewer rows; equal scores come in a fixed order. A very long text is encoded whole;
+    one without any place where the lattice can be cut (a word of a megabyte) takes time
+    in proportion to its length and some 500 bytes of memory a character. Rows that repeat are encoded
     each, null ids are kept, other columns are ignored; no rows give no rows.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -276,8 +292,9 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id"
                        pa.array(same, pa.bool_())]
             names = [id_col, "rank", "score", "n_pieces", "ids_crc32", "round_trip"]
             if with_ids:
-                columns.append(pa.array([np.frombuffer(x, "<i4") for x in spelled],
-                                        pa.list_(pa.int32())))
+                columns.append(pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0] + [len(x) // 4 for x in spelled]), pa.int32()),
+                    pa.array(np.frombuffer(b"".join(spelled), "<i4"))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -293,8 +310,10 @@ def decode_ids(rows: DataFrame, model: str, keep: list[str], ids_col: str = "ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = PieceLattice.load(model)
         for batch in batches:
-            texts = [None if x is None else lattice.decode(np.array(x, np.int64))
-                     for x in batch.column("__ids").to_pylist()]
+            ids = batch.column("__ids")
+            at, values = ids.offsets.to_numpy(), ids.values.fill_null(-1).to_numpy()
+            texts = [lattice.decode(values[a:b].astype(np.int64)) if there else None for a, b, there in
+                     zip(at[:-1], at[1:], ids.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f"__keep{i}") for i in range(len(keep))), pa.array(texts, pa.string())],
                 [*keep, "text"])

@@ -304,6 +304,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept unless its class has no other, and a class of null ids has class_id null.
     Other columns are ignored; no rows give no rows.
     """
+    rows, known = _classified(docs, id_col, text_col, similar)
+    return (rows.select("_id", "_hi", "_lo").join(known, ["_hi", "_lo"])
+            .select(F.col("_id").alias(id_col), "class_id", "class_size", "links",
+                    F.col("_id").eqNullSafe(F.col("class_id")).alias("kept")))
+
+
+def _classified(docs: DataFrame, id_col: str, text_col: str, similar: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (_id, _t: hash of the text, _hi, _lo: keys of its words), and by these keys
+    class_id, class_size, links and _kept: the (_id, _t) that stands for the class."""
     id_type = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
@@ -314,7 +323,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = write_scratch(
         sketches.groupBy("_hi", "_lo").agg(
             F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_rows"),
-            F.min(F.struct("_id", "_t")).alias("_rep"), F.first("_bands").alias("_bands"),
+            F.min(F.struct("_id", "_t")).alias("_rep"),
+            F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_t")).alias("_first"), F.first("_bands").alias("_bands"),
             F.first("_sig").alias("_sig"))
         .withColumn("_node", F.monotonically_increasing_id()), "nodes")
 
@@ -322,17 +332,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = _links(base, nodes, families, similar)
     linked = found.groupBy("_node").agg(F.sum("_links").alias("_links"))
     comps = components(found, "_node", "_to")
-    classes = (nodes.select("_hi", "_lo", "_node", "_least", "_rows")
+    classes = (nodes.select("_hi", "_lo", "_node", "_least", "_rows", "_first")
                .join(comps.withColumnRenamed("node", "_node"), "_node", "left")
                .join(linked, "_node", "left")
                .withColumn("_class", F.coalesce("component", "_node")))
     sizes = shuffled_anew(classes.groupBy("_class").agg(
-        F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size")), "_class")
+        F.min("_least").alias("class_id"), F.sum("_rows").alias("class_size"),
+        F.min("_first").alias("_kept")), "_class")
     known = classes.join(sizes, "_class").select(
-        "_hi", "_lo", "class_id", "class_size", F.coalesce("_links", F.lit(0)).alias("links"))
-    return (sketches.select("_id", "_hi", "_lo").join(known, ["_hi", "_lo"])
-            .select(F.col("_id").alias(id_col), "class_id", "class_size", "links",
-                    F.col("_id").eqNullSafe(F.col("class_id")).alias("kept")))
+        "_hi", "_lo", "class_id", "class_size", F.coalesce("_links", F.lit(0)).alias("links"),
+        "_kept", "_class")
+    return sketches.select("_id", "_t", "_hi", "_lo"), known
 
 
 def _families(nodes: DataFrame) -> DataFrame:
@@ -491,11 +501,14 @@ def _links(base: DataFrame, nodes: DataFrame, families: DataFrame, similar: floa
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      similar: float = SIMILAR) -> DataFrame:
-    """The rows, all columns, that are kept: the smallest id of every class.
+    """The rows, all columns, that are kept: one (id, text) of every class, the one with
+    its smallest id (a null id only where it has no other), of these the smallest text hash.
 
-    Of rows that repeat the kept id all stay.
+    Rows that repeat the kept id and text all stay: they are exact copies.
     """
-    name = fresh(docs, "keep")
-    keep = (near_duplicates(docs, id_col, text_col, similar).where("kept")
-            .select(F.col("class_id").alias(name)).distinct())
-    return docs.join(keep, docs[id_col].eqNullSafe(keep[name]), "left_semi")
+    _, known = _classified(docs, id_col, text_col, similar)
+    name, text = fresh(docs, "keep"), fresh(docs, "keep_text")
+    keep = known.select("_class", "_kept").distinct().select(
+        F.col("_kept._id").alias(name), F.col("_kept._t").alias(text))
+    return docs.join(keep, docs[id_col].eqNullSafe(keep[name])
+                     & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == keep[text]), "left_semi")

@@ -140,25 +140,46 @@ def standardise(stats: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.nd
     return np.clip((stats - mean) / scale, -4, 4) / np.sqrt(stats.shape[1])
 
 
-def fit(words: np.ndarray, stats: np.ndarray, y: np.ndarray, rank: int = 6, epochs: int = 30,
+class WordRows:
+    """Sparse word inputs of many rows; only the rows of a batch are ever spread out."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_buckets: int):
+        """``rows``: buckets and their values."""
+        self.n_buckets = n_buckets
+        self.start = np.cumsum([0] + [b.size for b, _ in rows])
+        self.bucket = np.concatenate([b for b, _ in rows] or [np.zeros(0, np.int32)])
+        self.value = np.concatenate([v for _, v in rows] or [np.zeros(0, np.float32)])
+
+    def dense(self, at: np.ndarray, stats: np.ndarray) -> np.ndarray:
+        """Inputs of the rows ``at``: buckets, then their statistics."""
+        out = np.zeros((at.size, self.n_buckets + stats.shape[1]), np.float32)
+        for k, r in enumerate(at):
+            a, b = self.start[r], self.start[r + 1]
+            out[k, self.bucket[a:b]] = self.value[a:b]
+        out[:, self.n_buckets:] = stats[at]
+        return out
+
+
+def fit(words: WordRows, stats: np.ndarray, y: np.ndarray, rank: int = 6, epochs: int = 30,
         rate: float = 0.03, decay: float = 1e-4, batch: int = 128, seed: int = 0) -> QualityModel:
-    """Logistic loss, Adam on small batches; ``words`` is rows x buckets."""
+    """Logistic loss, Adam on small batches."""
     mean, scale = stats.mean(0), np.maximum(stats.std(0), 1e-3)
-    x = np.hstack([words, standardise(stats, mean, scale)]).astype(np.float32)
+    z = standardise(stats, mean, scale).astype(np.float32)
+    inputs = words.n_buckets + z.shape[1]
     rng = np.random.default_rng(seed)
     share = float(np.clip(y.mean(), 0.001, 0.999))
     b = np.array([np.log(share / (1 - share))], np.float32)
-    w = np.zeros(x.shape[1], np.float32)
-    v = rng.normal(0, 0.05, (x.shape[1], rank)).astype(np.float32)
+    w = np.zeros(inputs, np.float32)
+    v = rng.normal(0, 0.05, (inputs, rank)).astype(np.float32)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (b, w, v)]
     t = 0
     for _ in range(epochs):
         for at in np.array_split(rng.permutation(len(y)), max(1, len(y) // batch)):
-            xb, t = x[at], t + 1
+            xb, t = words.dense(at, z), t + 1
             xv = xb @ v
             x2 = xb * xb
-            z = b + xb @ w + 0.5 * (xv * xv - x2 @ (v * v)).sum(1)
-            g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at]) / len(at)).astype(np.float32)
+            total = b + xb @ w + 0.5 * (xv * xv - x2 @ (v * v)).sum(1)
+            g = ((1 / (1 + np.exp(-np.clip(total, -30, 30))) - y[at]) / len(at)).astype(np.float32)
             grads = (g.sum(keepdims=True), xb.T @ g + decay * w,
                      xb.T @ (xv * g[:, None]) - (x2.T @ g)[:, None] * v + decay * v)
             for p, grad, (m, s) in zip((b, w, v), grads, moments, strict=True):
@@ -166,7 +187,7 @@ def fit(words: np.ndarray, stats: np.ndarray, y: np.ndarray, rank: int = 6, epoc
                 s += 0.001 * (grad * grad - s)
                 p -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.999 ** t)) + 1e-8)
     return QualityModel(float(b[0]), w.astype(np.float64), v.astype(np.float64), mean, scale,
-                        words.shape[1])
+                        words.n_buckets)
 
 
 def _inputs(n_buckets: int):
@@ -211,11 +232,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, n_buckets: i
     if not sample:
         return None
     sample.sort(key=lambda r: (r["y"], bytes(r["stats"]), bytes(r["buckets"])))
-    words = np.zeros((len(sample), n_buckets), np.float32)
-    for i, r in enumerate(sample):
-        words[i, np.frombuffer(r["buckets"], np.int32)] = np.frombuffer(r["values"], np.float32)
+    words = WordRows([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["values"], np.float32))
+                      for r in sample], n_buckets)
     stats = np.stack([np.frombuffer(r["stats"], np.float64) for r in sample])
-    return fit(words, stats, np.array([r["y"] for r in sample], np.float32))
+    y = np.array([r["y"] for r in sample], np.float32)
+    del sample
+    return fit(words, stats, y)
 
 
 def score(docs: DataFrame, model: QualityModel | None, keep: list[str],

@@ -69,11 +69,12 @@ def _directory(cells: DataFrame, depth: int, limit: int, root: bool) -> tuple[Da
 
 
 def extendible_shards(rows: DataFrame, limit_bytes: int, key_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """The shard of every row, by extendible hashing of its key.
 
     Columns: key, bytes (of the text in UTF-8), shard (its hash prefix as a
-    string of 0 and 1), depth (bits of that prefix), shard_bytes, shard_rows.
+    string of 0 and 1), depth (bits of that prefix), shard_bytes, shard_rows, and
+    the columns ``keep`` of the row.
     Every shard's texts take at most ``limit_bytes`` together, unless one row
     alone takes more: that row has a shard of its own.
 
@@ -82,8 +83,9 @@ def extendible_shards(rows: DataFrame, limit_bytes: int, key_col: str = "doc_id"
     large. Other columns are ignored; no rows give no rows; a table that fits
     the limit is one shard with the empty prefix.
     """
+    kept = [f"_keep{i}" for i in range(len(keep))]
     hashed = write_scratch(rows.select(
-        F.col(key_col).alias("_key"),
+        *(F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)), F.col(key_col).alias("_key"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("_size"),
         hash_bits(F.coalesce(F.col(key_col).cast("string"), F.lit("null"))).alias("_h1"),
         # written once, so the row number cannot change between the passes
@@ -100,7 +102,7 @@ def extendible_shards(rows: DataFrame, limit_bytes: int, key_col: str = "doc_id"
             F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
         entries, large = _directory(cells, step, limit_bytes, root=not used)
         found.append(here.join(entries, ["_prefix", "_cell"]).select(
-            "_key", "_size", "shard", "shard_bytes", "shard_rows"))
+            *kept, "_key", "_size", "shard", "shard_bytes", "shard_rows"))
         used += step
         rest = here.join(large, ["_prefix", "_cell"], "left_semi").withColumn(
             "_prefix", F.concat("_prefix", _bits(F.col("_cell"), F.lit(step)))).drop("_cell")
@@ -111,31 +113,57 @@ def extendible_shards(rows: DataFrame, limit_bytes: int, key_col: str = "doc_id"
             same = rest.groupBy("_prefix").agg(F.sum("_size").alias("shard_bytes"),
                                                F.count(F.lit(1)).alias("shard_rows"))
             found.append(rest.join(same, "_prefix").select(
-                "_key", "_size", F.col("_prefix").alias("shard"), "shard_bytes", "shard_rows"))
+                *kept, "_key", "_size", F.col("_prefix").alias("shard"), "shard_bytes", "shard_rows"))
             break
         # a bucket of one row cannot be split further
         alone = rest.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1")
         found.append(rest.join(alone, "_prefix", "left_semi").select(
-            "_key", "_size", F.col("_prefix").alias("shard"),
+            *kept, "_key", "_size", F.col("_prefix").alias("shard"),
             F.col("_size").alias("shard_bytes"), F.lit(1).cast("long").alias("shard_rows")))
         pending, depth = rest.join(alone, "_prefix", "left_anti"), SPARE_BITS
     return reduce(DataFrame.unionByName, found).select(
         F.col("_key").alias(key_col), F.col("_size").alias("bytes"), "shard",
-        F.length("shard").alias("depth"), "shard_bytes", "shard_rows")
+        F.length("shard").alias("depth"), "shard_bytes", "shard_rows",
+        *(F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)))
 
 
 def write_shards(rows: DataFrame, path: str, limit_bytes: int, key_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", row_id: tuple[str, ...] | None = None) -> DataFrame:
     """Write ``rows`` as Parquet in one folder for each shard, and read them back.
 
     Column ``shard`` (with underscores before it if there is one already) is
-    added as the folder name, ``shard=s<bits>``. Rows that repeat a key are
-    written together.
+    added as the folder name, ``shard=s<bits>``. Every row, not every key, has a
+    shard of its own, so a key that holds more than the limit is written by several
+    tasks. ``row_id``: SQL expressions that tell rows apart and are the same whenever they
+    are read, as file and row index of a Parquet scan; without them the rows are
+    written to the scratch folder first. Cases are those of ``extendible_shards``;
+    all columns are written, an empty table gives no folder.
     """
-    key, shard = fresh(rows, "key"), fresh(rows, "shard")
-    where = (extendible_shards(rows, limit_bytes, key_col, text_col)
-             .groupBy(F.col(key_col).alias(key))
-             .agg(F.concat(F.lit("s"), F.min("shard")).alias(shard)))
-    placed = rows.join(where, rows[key_col].eqNullSafe(where[key])).drop(key)
+    shard = fresh(rows, "shard")
+    ids = [fresh(rows, f"row{i}") for i in range(len(row_id or (0, 0)))]
+    if row_id is None:
+        rows = write_scratch(rows, "shard-input")
+        row_id = SCANNED_ROW
+    known = rows.select("*", *(F.expr(e).alias(i) for e, i in zip(row_id, ids, strict=True)))
+    found = extendible_shards(known.select(*ids, F.col(key_col).alias("_k"), F.col(text_col).alias("_x")),
+                              limit_bytes, "_k", "_x", tuple(ids))
+    where = found.select(*ids, F.concat(F.lit("s"), "shard").alias(shard))
+    placed = known.join(where, ids).drop(*ids)
     placed.repartition(shard).write.partitionBy(shard).parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    return rows.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+#: what tells the rows of a Parquet scan apart (files by a hash of their path)
+SCANNED_ROW = ("xxhash64(_metadata.file_path)", "_metadata.row_index")
+
+
+def written_shards(docs: DataFrame, path: str, limit_bytes: int) -> DataFrame:
+    """Write a scanned table ``docs`` in shards and report on every row as it was read back:
+    doc_id, bytes, shard, depth, shard_bytes, shard_rows (see ``extendible_shards``)."""
+    written = write_shards(docs, path, limit_bytes, row_id=SCANNED_ROW)
+    rows = written.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
+                          F.substr("shard", F.lit(2)).alias("shard"))
+    totals = rows.groupBy("shard").agg(F.sum("bytes").alias("shard_bytes"),
+                                       F.count(F.lit(1)).alias("shard_rows"))
+    return rows.join(totals, "shard").select("doc_id", "bytes", "shard", F.length("shard").alias("depth"),
+                                             "shard_bytes", "shard_rows")

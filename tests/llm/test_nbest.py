@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -90,3 +91,39 @@ def test_forgetting_changes_nothing(monkeypatch):
     want = [lattice.encode(t, 3) for t in texts]
     monkeypatch.setattr(nbest, "REMEMBERED", 3)
     assert [lattice.encode(t, 3) for t in texts] == want
+
+
+def test_a_very_long_word_takes_time_in_proportion():
+    """Whole-number scores tie often: without a bound on expansions this never ends."""
+    lattice = nbest.PieceLattice.load(MODEL)
+    rng = random.Random(8)
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000))
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(50_000))
+    start = time.monotonic()
+    for text, least in ((word, 3), (han, 1)):  # a character that is no piece is spelled in one way
+        got = lattice.encode(text, 3)
+        assert least <= len(got) <= 3 and all(lattice.decode(ids) == text for _, ids in got)
+        assert sorted(got, key=lambda x: -x[0]) == got and len({ids for _, ids in got}) == len(got)
+    assert time.monotonic() - start < 60
+    held = lattice._held
+    lattice.encode(word, 1)
+    assert lattice._held == held  # nothing of that length is remembered
+
+
+def test_memory_of_stretches_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(nbest, "REMEMBERED", 20_000)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = [(sp.id_to_piece(i), sp.get_score(i)) for i in range(300, 2000)]
+    lattice = nbest.PieceLattice(pieces, None)
+    rng = random.Random(9)
+    for _ in range(200):
+        lattice.encode(" ".join("".join(rng.choices("abcdef", k=12)) for _ in range(9)), 2)
+        assert lattice._held <= 20_000 and len(lattice._known) <= 50
+
+
+def test_segmentations_decode_to_their_texts(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    coded = nbest.encode_nbest(spark.createDataFrame(rows, "doc_id long, text string"), MODEL, 3)
+    got = nbest.decode_ids(coded, MODEL, ["doc_id", "rank", "round_trip", "n_pieces"]).collect()
+    assert {r.doc_id for r in got} == set(range(len(TEXTS)))
+    assert all((r.text == (TEXTS[r.doc_id] or "")) == r.round_trip for r in got)

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import public_tokenizers
 import pytest
+import regex
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -51,7 +52,7 @@ def test_pipeline_matches_brute_force(spark, folder, by_stage):
             if r.predicted}
     text = {r.doc_id: r.text for r in docs.collect()}
     assert [i for i, _ in by_stage["quality classifier"]] == sorted(good)
-    lettered = [i for i in sorted(good) if langid.LETTER.search(text[i] or "")]
+    lettered = [i for i in sorted(good) if regex.search(langid.LETTER, text[i] or "")]
     assert [i for i, _ in by_stage["language ID"]] == lettered
     last = {text[i]: i for i in lettered}
     assert [i for i, _ in by_stage["exact dedup"]] == sorted(last.values())

@@ -222,6 +222,16 @@ def test_edges_stay_linear_in_a_group_from_one_template(spark, monkeypatch):
         assert sum(seen[:2]) <= 64 * n, seen
 
 
+def test_one_version_of_an_id_and_one_null_id_are_kept(spark):
+    one = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, one, 1), (7, one + " end", 2), (8, one + " end b", 3), (None, "x y z", 4), (None, "x, y z", 5),
+            (7, "another text of the id", 6), (None, "lone", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, keep int")
+    got = pm.keep_one_of_each(df).collect()
+    assert len([r for r in got if r.keep in (1, 2, 3)]) == 1 and len([r for r in got if r.keep in (4, 5)]) == 1
+    assert {6, 7} <= {r.keep for r in got} and len(got) == 4
+
+
 def test_components_of_long_paths(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + i, 99) for i in range(1, 30)] + [(7, 7), (300, 300)]

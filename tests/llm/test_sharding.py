@@ -58,9 +58,34 @@ def test_one_hot_key_is_split(spark):
     assert not any(b.startswith(a) for a, b in zip(names, names[1:], strict=False))
 
 
+def test_a_hot_key_is_split_by_the_writer(spark, tmp_path):
+    rows = [(7, "x" * 100, i, "a") for i in range(300)] + [(i, "y" * 100, i, "b") for i in range(600)]
+    rows += [(7, "x" * 100, 0, "a")] * 30 + [(None, None, 0, "c"), (None, "n" * 50, 1, "c")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard int, row0 string").repartition(7)
+    out = sharding.write_shards(df, str(tmp_path / "hot"), 2000)
+    assert sorted(map(str, out.drop("_shard").collect())) == sorted(map(str, df.collect()))
+    size = out.groupBy("_shard").agg({"text": "count"}).collect()
+    assert len(size) > 30
+    assert all(r[0] <= 2000 for r in out.selectExpr("_shard", "coalesce(octet_length(text), 0) AS n")
+               .groupBy("_shard").sum("n").select("sum(n)").collect())
+    hot = out.where("doc_id = 7").select("_shard").distinct().count()
+    assert hot >= 17
+    # the query's form, over a scanned table
+    df.drop("shard").write.parquet(str(tmp_path / "table"))
+    report = sharding.written_shards(spark.read.parquet(str(tmp_path / "table")), str(tmp_path / "out"), 2000)
+    got = report.collect()
+    assert len(got) == len(rows) and max(r.shard_bytes for r in got) <= 2000
+    size = defaultdict(lambda: [0, 0])
+    for r in got:
+        size[r.shard][0] += r.bytes
+        size[r.shard][1] += 1
+    assert all([r.shard_bytes, r.shard_rows] == size[r.shard] and r.depth == len(r.shard) for r in got)
+
+
 def test_empty_table_and_written_shards(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert sharding.extendible_shards(empty, 10).collect() == []
+    assert sharding.write_shards(empty, str(tmp_path / "none"), 10).collect() == []
     df = spark.createDataFrame([(i, "t" * 10, "keep") for i in range(100)],
                                "doc_id long, text string, source string")
     out = sharding.write_shards(df, str(tmp_path / "shards"), 100)
