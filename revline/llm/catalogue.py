@@ -77,7 +77,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_nbest_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest.encode_nbest(_table(spark, sf_dir, "documents"),
-                              public_tokenizers.path("piece_bpe_32k.model"))
+                              public_tokenizers.path("piece_bpe_32k.model"), packed=True)
 
 
 def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from revline.llm import textvec
 
 #: bytes of remembered stretches (about) at which a worker starts anew
-REMEMBERED = 192 << 20
+REMEMBERED = 256 << 20
 #: longer stretches are not remembered: they hardly come again
 LONGEST_REMEMBERED = 64
 _SPACE_MARK = "▁"
@@ -202,7 +202,7 @@ class PieceLattice:
         best, ids, second = self._two_best(s)
         entry = (best, ids, best - second)
         if len(s) <= LONGEST_REMEMBERED:
-            self._held += 400 + 4 * len(s) + len(ids)  # objects and their slot, text, ids
+            self._held += 300 + len(s) + len(ids)  # objects and their slot, text, ids
             if self._held > REMEMBERED:
                 self._known.clear()
                 self._held = 0
@@ -255,12 +255,13 @@ class PieceLattice:
 
 
 def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id",
-                 text_col: str = "text", with_ids: bool = True) -> DataFrame:
+                 text_col: str = "text", with_ids: bool = True, packed: bool = False) -> DataFrame:
     """The n best segmentations of every row's whole text.
 
     One row for each row and rank: id, rank (1 is best), score (sum of the
     pieces' scores), n_pieces, ids_crc32 (of little-endian 32-bit ids),
-    round_trip (decoding gives the text back) and, with ``with_ids``, ids.
+    round_trip (decoding gives the text back) and, with ``with_ids``, ids: an array or,
+    ``packed``, little-endian 32-bit numbers.
 
     A character that is no piece is spelled in byte pieces, at a score below
     every piece's. Defined cases: a null text counts as empty, an empty text has
@@ -272,7 +273,7 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id"
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (f"`{id_col}` {id_type}, rank int, score double, n_pieces bigint, ids_crc32 bigint, "
-              "round_trip boolean" + (", ids array<int>" if with_ids else ""))
+              "round_trip boolean" + (", ids binary" if with_ids and packed else ", ids array<int>" if with_ids else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = PieceLattice.load(model)
@@ -292,7 +293,7 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id"
                        pa.array(same, pa.bool_())]
             names = [id_col, "rank", "score", "n_pieces", "ids_crc32", "round_trip"]
             if with_ids:
-                columns.append(pa.ListArray.from_arrays(
+                columns.append(pa.array(spelled, pa.binary()) if packed else pa.ListArray.from_arrays(
                     pa.array(np.cumsum([0] + [len(x) // 4 for x in spelled]), pa.int32()),
                     pa.array(np.frombuffer(b"".join(spelled), "<i4"))))
                 names.append("ids")
@@ -303,7 +304,7 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id"
 
 
 def decode_ids(rows: DataFrame, model: str, keep: list[str], ids_col: str = "ids") -> DataFrame:
-    """Columns ``keep`` and text, decoded from an array of ids; null ids give null."""
+    """Columns ``keep`` and text, decoded from ids (an array, or packed); null ids give null."""
     schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep),
                         "text string"])
 
@@ -311,6 +312,12 @@ def decode_ids(rows: DataFrame, model: str, keep: list[str], ids_col: str = "ids
         lattice = PieceLattice.load(model)
         for batch in batches:
             ids = batch.column("__ids")
+            if pa.types.is_binary(ids.type):
+                texts = [None if x is None else lattice.decode(x) for x in ids.to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(f"__keep{i}") for i in range(len(keep))), pa.array(texts, pa.string())],
+                    [*keep, "text"])
+                continue
             at, values = ids.offsets.to_numpy(), ids.values.fill_null(-1).to_numpy()
             texts = [lattice.decode(values[a:b].astype(np.int64)) if there else None for a, b, there in
                      zip(at[:-1], at[1:], ids.is_valid().to_pylist(), strict=True)]
