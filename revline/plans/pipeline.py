@@ -1,20 +1,22 @@
 """The daily batch job: landed snapshots -> raw -> staging -> marts -> scores
 -> checks -> recommendations -> exports, in that order.
 
-Every step writes its tables (replace: new folder, then swap) and the next
-step reads them back, so lineage is cut at each table and a lost executor
-only re-runs the current step. Scoring runs *before* the recommendations,
-so a first run on an empty warehouse completes and recommendations always
-use the current scores. An empty fact yields an empty score table (old
-scores are not kept).
+Every step is one transaction on the warehouse: it writes new versions of its
+tables, reads them back, and all become visible by one commit, which also notes in
+the ledger what the step read, wrote and reported. A run skips the steps whose
+inputs and outputs are as noted, so after a failure it goes on from the step that
+failed. Scoring runs *before* the recommendations, so a first run on an empty
+warehouse completes and recommendations always use the current scores. An empty
+fact yields an empty score table (old scores are not kept).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from revline.operators import quality
@@ -23,6 +25,7 @@ from revline.operators.sentiment import ScorerFactory, sentiment_table
 from revline.plans import marts, reports, staging
 from revline.schemas import FLAT_USER, LANDED_ITEM, LANDED_REVIEW
 from revline.sources import files, landing
+from revline.sources.warehouse import Transaction, Warehouse
 
 
 @dataclass
@@ -43,22 +46,56 @@ class PipelineConfig:
     # no shuffle: a bucket for each of so many bytes of staged reviews
     bucket_bytes: int = 256 << 20
     table_prefix: str = "rl_"
+    # skip steps whose inputs and outputs are as the ledger says
+    skip_current: bool = True
 
 
 @dataclass
 class PipelineResult:
-    tables: dict[str, str] = field(default_factory=dict)
-    catalog: dict[str, str] = field(default_factory=dict)   # model -> bucketed table name
-    offered: dict[str, int] = field(default_factory=dict)
-    checks: list = field(default_factory=list)
-    buckets: int = 1
+    tables: dict[str, str] = field(default_factory=dict)    # model -> folder of its version
+    offered: dict[str, int] = field(default_factory=dict)   # rows offered to each load
+    checks: list[Row] = field(default_factory=list)
+    exported: dict[str, int] = field(default_factory=dict)  # rows of each export
+    ran: list[str] = field(default_factory=list)            # steps that were not skipped
 
 
 def _read_landed(spark: SparkSession, root: str, entity: str, schema) -> DataFrame:
     return landing.with_ingest_order(landing.read_latest(spark, root, entity, schema))
 
 
-def load_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
+#: folder of each table below the warehouse
+FOLDERS = {
+    "raw_items": "raw/raw_items", "raw_reviews": "raw/raw_reviews", "raw_users": "raw/raw_users",
+    "stg_items": "staging/stg_items", "stg_reviews": "staging/stg_reviews", "stg_users": "staging/stg_users",
+    "dim_item": "marts/dim_item", "dim_user": "marts/dim_user", "dim_date": "marts/dim_date",
+    "fact_reviews": "marts/fact_reviews", "sentiment": "marts/review_sentiment",
+    "recommendations": "marts/recommendations",
+}
+
+
+def warehouse_of(spark: SparkSession, cfg: PipelineConfig) -> Warehouse:
+    return Warehouse(spark, cfg.warehouse_root, cfg.table_prefix)
+
+
+def _counted(df: DataFrame, totals: dict[str, Observation], name: str) -> DataFrame:
+    """Rows are counted while they are written, without another pass."""
+    totals[name] = Observation(name)
+    return df.observe(totals[name], F.count(F.lit(1)).alias("n"))
+
+
+def _totals(seen: dict[str, Observation]) -> dict[str, int]:
+    return {n: int(o.get.get("n", 0)) for n, o in seen.items()}
+
+
+def declared_constraints(key: str, required: tuple[str, ...] = ()):
+    """Guard of a table: primary key unique and not NULL, required
+    columns not NULL (the declared constraints of the original tables)."""
+    checks = [quality.Check("t", key, "not_null"), quality.Check("t", key, "unique")]
+    checks += [quality.Check("t", c, "not_null") for c in required]
+    return lambda written: quality.assert_clean(checks, {"t": written})
+
+
+def load_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     """Newest snapshot per entity -> raw tables; first row per key wins."""
     items = _read_landed(spark, cfg.landing_root, "items", LANDED_ITEM)
     flat_items = landing.landed_items(items, extra=["__ingest"])
@@ -70,126 +107,168 @@ def load_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) ->
         # users are embedded in reviews; derive them when not landed separately
         users = landing.users_from_reviews(flat_reviews, ["__ingest"]).withColumn(
             "__ingest", F.col("user_id"))
-    # rows offered to each load (before key conflicts), counted during the write
-    offered = {n: Observation(f"offered_{n}") for n in ("items", "reviews", "users")}
-    flat_items = flat_items.observe(offered["items"], F.count(F.lit(1)).alias("n"))
-    flat_reviews_o = flat_reviews.observe(offered["reviews"], F.count(F.lit(1)).alias("n"))
-    users = users.observe(offered["users"], F.count(F.lit(1)).alias("n"))
+    # rows offered to each load (before key conflicts)
+    offered: dict[str, Observation] = {}
     raw = {
-        "raw_items": (landing.load_items(flat_items, ("__ingest",)), f"{cfg.warehouse_root}/raw/raw_items"),
-        "raw_reviews": (landing.load_reviews(flat_reviews_o, ["__ingest"]), f"{cfg.warehouse_root}/raw/raw_reviews"),
-        "raw_users": (landing.load_users(users, ["__ingest"]), f"{cfg.warehouse_root}/raw/raw_users"),
+        "raw_items": (landing.load_items(_counted(flat_items, offered, "items"), ("__ingest",)), "item_id"),
+        "raw_reviews": (landing.load_reviews(_counted(flat_reviews, offered, "reviews"), ["__ingest"]),
+                        "review_id"),
+        "raw_users": (landing.load_users(_counted(users, offered, "users"), ["__ingest"]), "user_id"),
     }
-    # the three raw tables are replaced together (write and check all, then swap all)
-    guards = {name: declared_constraints(key) for name, key in (
-        ("raw_items", "item_id"), ("raw_reviews", "review_id"), ("raw_users", "user_id"))}
-    for schema in ("raw", "staging", "marts"):
-        files.make_folder(spark, f"{cfg.warehouse_root}/{schema}")
-    res.tables.update(files.replace_tables(raw, guards=guards))
-    res.offered = {n: int(o.get.get("n", 0)) for n, o in offered.items()}
-
+    for name, (df, key) in raw.items():
+        tx.write(name, df, FOLDERS[name], guard=declared_constraints(key))
+    return {"offered": _totals(offered)}
 
-def _t(spark: SparkSession, res: PipelineResult, name: str) -> DataFrame:
-    if name in res.catalog:
-        return spark.table(res.catalog[name])              # bucketed scan
-    return files.read_table(spark, res.tables[name])
 
-
-def transform_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
+def transform_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     """Staging (kept as tables here for the checks) and the star schema."""
-    root = cfg.warehouse_root
-    stg = {
-        "stg_items": staging.stage_items(_t(spark, res, "raw_items")),
-        "stg_reviews": staging.stage_reviews(_t(spark, res, "raw_reviews")),
-        "stg_users": staging.stage_users(_t(spark, res, "raw_users")),
-    }
-    for name, df in stg.items():
-        res.tables[name] = files.replace_table(df, f"{root}/staging/{name}")
-    stg_reviews = _t(spark, res, "stg_reviews")
-    dates = marts.dim_date(stg_reviews)
-    res.tables["dim_date"] = files.replace_table(dates, f"{root}/marts/dim_date")
-    built = {
-        "dim_item": marts.dim_item(_t(spark, res, "stg_items")),
-        "dim_user": marts.dim_user(_t(spark, res, "stg_users"), cfg.as_of),
-    }
-    for name, df in built.items():
-        res.tables[name] = files.replace_table(df, f"{root}/marts/{name}")
-    fact = marts.fact_reviews(stg_reviews, _t(spark, res, "dim_date"))
-    table = cfg.table_prefix + "fact_reviews"
-    res.buckets = max(1, -(-files.table_bytes(spark, res.tables["stg_reviews"]) // cfg.bucket_bytes))
-    res.tables["fact_reviews"] = files.replace_bucketed_table(
-        fact, table, f"{root}/marts/fact_reviews", "review_id", res.buckets)
-    res.catalog["fact_reviews"] = table
-
-
-def declared_constraints(key: str, required: tuple[str, ...] = ()):
-    """Guard for ``replace_table``: primary key unique and not NULL, required
-    columns not NULL (the declared constraints of the original tables)."""
-    checks = [quality.Check("t", key, "not_null"), quality.Check("t", key, "unique")]
-    checks += [quality.Check("t", c, "not_null") for c in required]
-    return lambda written: quality.assert_clean(checks, {"t": written})
+    tx.write("stg_items", staging.stage_items(tx.read("raw_items")), FOLDERS["stg_items"])
+    reviews = tx.write("stg_reviews", staging.stage_reviews(tx.read("raw_reviews")), FOLDERS["stg_reviews"])
+    tx.write("stg_users", staging.stage_users(tx.read("raw_users")), FOLDERS["stg_users"])
+    dates = tx.write("dim_date", marts.dim_date(reviews), FOLDERS["dim_date"])
+    tx.write("dim_item", marts.dim_item(tx.read("stg_items")), FOLDERS["dim_item"])
+    tx.write("dim_user", marts.dim_user(tx.read("stg_users"), cfg.as_of), FOLDERS["dim_user"])
+    buckets = max(1, -(-tx.bytes_of("stg_reviews") // cfg.bucket_bytes))
+    tx.write("fact_reviews", marts.fact_reviews(reviews, dates), FOLDERS["fact_reviews"],
+             bucket_key="review_id", buckets=buckets)
+    return {"buckets": buckets}
 
 
-def score_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
-    scores = sentiment_table(_t(spark, res, "fact_reviews"), cfg.scorer, with_timestamp=True)
-    table = cfg.table_prefix + "review_sentiment"
-    res.tables["sentiment"] = files.replace_bucketed_table(
-        scores, table, f"{cfg.warehouse_root}/marts/review_sentiment", "review_id", res.buckets,
-        guard=declared_constraints("review_id", ("sentiment_label", "sentiment_score")))
-    res.catalog["sentiment"] = table
+def score_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
+    scores = sentiment_table(tx.read("fact_reviews"), cfg.scorer, with_timestamp=True)
+    tx.write("sentiment", scores, FOLDERS["sentiment"], bucket_key="review_id",
+             buckets=tx.base.tables["fact_reviews"].buckets,
+             guard=declared_constraints("review_id", ("sentiment_label", "sentiment_score")))
+    return {}
 
 
-def _run_checks(cfg: PipelineConfig, res: PipelineResult, models: dict[str, DataFrame]) -> None:
-    """Run the declared checks that these models make possible and are not run yet."""
-    done = {r.check_name for r in res.checks}
-    checks = [c for c in quality.default_checks() if c.name not in done
-              and c.model in models and (c.parent is None or c.parent in models)]
+def _run_checks(cfg: PipelineConfig, models: dict[str, DataFrame], needed: set[str]) -> list[dict]:
+    """Run the declared checks that read ``models`` and one of ``needed``; raise if any counts."""
+    checks = [c for c in quality.default_checks() if c.model in models
+              and (c.parent is None or c.parent in models) and {c.model, c.parent} & needed]
     found = quality.dq_report(checks, models).collect()            # one row per check
-    res.checks += found
     bad = [r for r in found if r.failing_rows > 0 and r.check_name not in cfg.report_only]
     if cfg.fail_on_checks and bad:
         raise AssertionError("data-quality checks failed: "
                              + ", ".join(f"{r.check_name}={r.failing_rows}" for r in bad))
+    return [r.asDict() for r in found]
 
 
-def check_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
+def check_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     """Everything below the recommendations is checked before they are made."""
-    _run_checks(cfg, res, {name: _t(spark, res, name) for name in res.tables})
+    models = {n: tx.read(n) for n in FOLDERS if n != "recommendations"}
+    return {"checks": _run_checks(cfg, models, set(models))}
 
 
-def recommend_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
+def recommend_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     """Write the recommendations and check the written rows; they replace the
     previous ones only if the checks pass."""
-    stats = rec.item_sentiment_stats(_t(spark, res, "fact_reviews"), _t(spark, res, "sentiment"),
-                                     cfg.min_reviews)
-    recs = rec.recommend(_t(spark, res, "dim_item"), stats, cfg.k).orderBy("source_item_id", "rank")
-    res.tables["recommendations"] = files.replace_table(
-        recs, f"{cfg.warehouse_root}/marts/recommendations",
-        guard=lambda written: _run_checks(cfg, res, {"recommendations": written}))
+    stats = rec.item_sentiment_stats(tx.read("fact_reviews"), tx.read("sentiment"), cfg.min_reviews)
+    recs = rec.recommend(tx.read("dim_item"), stats, cfg.k).orderBy("source_item_id", "rank")
+    checks: list[dict] = []
+    tx.write("recommendations", recs, FOLDERS["recommendations"], guard=lambda written: checks.extend(
+        _run_checks(cfg, {"recommendations": written}, {"recommendations"})))
+    return {"checks": checks}
 
 
-def export_step(spark: SparkSession, cfg: PipelineConfig, res: PipelineResult) -> None:
+def export_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     if not cfg.export_root:
-        return
-    dim, fact, scores = (_t(spark, res, n) for n in ("dim_item", "fact_reviews", "sentiment"))
-    scored = reports.fact_join_scores(fact, scores)
+        return {}
+    dim = tx.read("dim_item")
+    scored = reports.fact_join_scores(tx.read("fact_reviews"), tx.read("sentiment"))
     out = {
         "item_list": reports.item_list(dim),
-        "recommendations": _t(spark, res, "recommendations").orderBy("source_item_id", "rank"),
+        "recommendations": tx.read("recommendations").orderBy("source_item_id", "rank"),
         "sentiment_by_tag": reports.sentiment_by_tag(scored, dim),
         "item_sentiment_stats": reports.item_stats_all(scored),
     }
+    seen: dict[str, Observation] = {}
     for name, df in out.items():
-        files.export_csv(df, f"{cfg.export_root}/{name}", cfg.export_single_file)
+        files.export_csv(_counted(df, seen, name), f"{cfg.export_root}/{name}", cfg.export_single_file)
+    return {"exported": _totals(seen)}
+
+
+def _landed(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    """The newest snapshots and when they were finished."""
+    found = {}
+    for entity in ("items", "reviews", "users"):
+        try:
+            path = landing.latest_snapshot_path(spark, cfg.landing_root, entity)
+        except FileNotFoundError:
+            continue
+        found[entity] = [path, *landing.snapshot_stamp(spark, path)]
+    return found
+
+
+def _named(scorer: ScorerFactory | None) -> str:
+    """A scorer's name; one whose model changes can tell by an attribute ``version``."""
+    if scorer is None:
+        return "built-in lexicon"
+    name = f"{getattr(scorer, '__module__', '')}.{getattr(scorer, '__qualname__', repr(scorer))}"
+    return f"{name} {getattr(scorer, 'version', '')}"
+
+
+@dataclass(frozen=True)
+class Step:
+    run: Callable[[SparkSession, PipelineConfig, Transaction], dict]
+    reads: tuple[str, ...]                                  # tables
+    settings: Callable[[SparkSession, PipelineConfig], dict]
+
+
+def _rules(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    return {"fail": cfg.fail_on_checks, "report_only": sorted(cfg.report_only)}
+
+
+_RAW = ("raw_items", "raw_reviews", "raw_users")
+STEPS = {
+    "load": Step(load_step, (), _landed),
+    "transform": Step(transform_step, _RAW, lambda s, c: {
+        "as_of": str(c.as_of or _dt.date.today()), "bucket_bytes": c.bucket_bytes}),
+    "score": Step(score_step, ("fact_reviews",), lambda s, c: {"scorer": _named(c.scorer)}),
+    "check": Step(check_step, tuple(n for n in FOLDERS if n != "recommendations"), _rules),
+    "recommend": Step(recommend_step, ("dim_item", "fact_reviews", "sentiment"),
+                      lambda s, c: {"k": c.k, "min_reviews": c.min_reviews, **_rules(s, c)}),
+    "export": Step(export_step, ("dim_item", "fact_reviews", "sentiment", "recommendations"),
+                   lambda s, c: {"root": c.export_root, "single_file": c.export_single_file,
+                                 "there": _exports_there(s, c)}),
+}
+
+
+def _exports_there(spark: SparkSession, cfg: PipelineConfig) -> bool:
+    """Part of what the exports are made from: where they are missing they are made anew."""
+    return bool(cfg.export_root) and landing.snapshot_complete(spark, f"{cfg.export_root}/item_sentiment_stats")
+
+
+def run_step(spark: SparkSession, cfg: PipelineConfig, name: str, wh: Warehouse | None = None) -> dict:
+    """Run one step, unless it is current, and return what it reported. A skipped step
+    returns what it reported when it ran, with ``skipped``."""
+    wh, step = wh or warehouse_of(spark, cfg), STEPS[name]
+    at = wh.snapshot()
+
+    def inputs() -> dict:
+        return {"settings": step.settings(spark, cfg),
+                "tables": {t: at.tables[t].path for t in step.reads if t in at.tables}}
+
+    if cfg.skip_current and wh.is_current(name, inputs(), at):
+        return {**at.steps[name]["result"], "skipped": True}
+    with wh.transaction() as tx:
+        result = step.run(spark, cfg, tx)
+        tx.record(name, inputs(), result)
+    return result
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
-    """load -> transform -> score -> checks -> recommend (checked) -> export."""
-    res = PipelineResult()
-    load_step(spark, cfg, res)
-    transform_step(spark, cfg, res)
-    score_step(spark, cfg, res)
-    check_step(spark, cfg, res)
-    recommend_step(spark, cfg, res)
-    export_step(spark, cfg, res)
+    """load -> transform -> score -> checks -> recommend (checked) -> export, from the
+    first step that is not current."""
+    wh, res = warehouse_of(spark, cfg), PipelineResult()
+    wh.repair()
+    for name in STEPS:
+        result = run_step(spark, cfg, name, wh)
+        res.offered.update(result.get("offered", {}))
+        res.exported.update(result.get("exported", {}))
+        res.checks += [Row(**c) for c in result.get("checks", [])]
+        if not result.get("skipped"):
+            res.ran.append(name)
+    at = wh.snapshot()
+    res.tables = {n: wh.path(n, at) for n in FOLDERS if n in at.tables}
     return res

@@ -1,4 +1,4 @@
-"""CSV export/import and table replacement.
+"""CSV export/import and plain table folders.
 
 Exports are written by every executor in parallel (one part file per task,
 each with its header) instead of funnelling the data through one task.
@@ -6,9 +6,6 @@ each with its header) instead of funnelling the data through one task.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,136 +24,10 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def replace_tables(tables: dict[str, tuple[DataFrame, str]], fmt: str = "parquet",
-                   guards: dict[str, Callable[[DataFrame], None]] | None = None) -> dict[str, str]:
-    """Replace several tables together: write and check every new folder
-    first, then swap them all; if a step fails, every old table is in place."""
-    staged = {}
-    spark = next(iter(tables.values()))[0].sparkSession
-    try:
-        for name, (df, path) in tables.items():
-            staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
-            staged[name] = (staging, path)
-            df.write.mode("overwrite").format(fmt).save(staging)
-            if guards and name in guards:
-                guards[name](spark.read.format(fmt).load(staging))
-        _swap_all(spark, list(staged.values()))
-    except Exception:
-        for staging, _ in staged.values():
-            _delete(spark, staging)
-        raise
-    return {name: path for name, (_, path) in staged.items()}
-
-
-def _rename(fs, src, dst) -> None:
-    """Hadoop's rename may also report a failure by returning False."""
-    if not fs.rename(src, dst):
-        raise OSError(f"could not rename {src} to {dst}")
-
-
-def _swap_all(spark: SparkSession, swaps: list[tuple[str, str]]) -> None:
-    """Move each new folder to its path. On any failure the moves made so far
-    are undone in reverse; the old folders go only after all moves are made."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    moved, olds = [], []
-    try:
-        for staging, path in swaps:
-            src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
-            fs = dst.getFileSystem(conf)
-            if fs.exists(dst):
-                old = jvm.org.apache.hadoop.fs.Path(
-                    f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:8]}")
-                _rename(fs, dst, old)
-                moved.append((fs, dst, old))
-                olds.append((fs, old))
-            else:
-                fs.mkdirs(dst.getParent())
-            _rename(fs, src, dst)
-            moved.append((fs, src, dst))
-    except Exception:
-        for fs, before, now in reversed(moved):
-            _rename(fs, now, before)
-        raise
-    for fs, old in olds:
-        fs.delete(old, True)
-
-
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
-                  guard: Callable[[DataFrame], None] | None = None) -> str:
-    """Replace the table at ``path``: write a new folder, then swap it in.
-
-    Readers never see a half-written table: the data goes to a sibling
-    folder first, and only a completed write is renamed into place (two
-    metadata operations on the file system). Task failures during the write
-    are retried by Spark's commit protocol and leave no partial files.
-
-    ``guard`` receives the *written* rows (read back from the new folder)
-    and may raise; then the new folder is dropped and the old table stays,
-    as a constraint violation aborts an insert. Checks read the new files
-    once instead of recomputing the input.
-    """
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").format(fmt).save(staging)
-    try:
-        if guard is not None:
-            guard(spark.read.format(fmt).load(staging))
-        _swap_all(spark, [(staging, path)])
-    except Exception:
-        _delete(spark, staging)
-        raise
-    return path
-
-
-def replace_bucketed_table(df: DataFrame, name: str, path: str, key: str, buckets: int,
-                           guard: Callable[[DataFrame], None] | None = None) -> str:
-    """Replace table ``name`` at ``path``, bucketed and sorted by ``key``.
-
-    Two tables bucketed by the same key into the same number of buckets
-    join bucket-to-bucket: the sort-merge join reads both without any
-    exchange. The data goes to a new folder first (rows are hash-partitioned
-    by the bucketing hash before the write, so a bucket is one file), is
-    checked by ``guard``, swapped into ``path``, and the catalog entry is
-    re-created over the new files.
-    """
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex[:8]}"
-    tmp = f"{name}__new_{uuid.uuid4().hex[:8]}"
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
-        .option("path", staging).saveAsTable(tmp))
-    spark.sql(f"DROP TABLE IF EXISTS {tmp}")              # external: files stay
-    try:
-        if guard is not None:
-            guard(spark.read.parquet(staging))
-        _swap_all(spark, [(staging, path)])
-    except Exception:
-        _delete(spark, staging)
-        raise
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) "
-              f"SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
-    return path
-
-
 def make_folder(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of a written table's files (one flat folder; metadata only)."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)

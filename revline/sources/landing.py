@@ -49,6 +49,12 @@ def snapshot_complete(spark: SparkSession, path: str) -> bool:
     return bool(fs.isFile(p) or fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]))
 
 
+def snapshot_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(time of the last change in milliseconds, bytes) of a snapshot."""
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime()), int(fs.getContentSummary(p).getLength())
+
+
 def write_snapshot(df: DataFrame, root: str, entity: str, day: str | None = None) -> str:
     """Land records as JSON for one day; a complete snapshot is kept as is.
 

@@ -1,10 +1,13 @@
 import os
+from dataclasses import replace
 
 import pytest
 
 from revline.plans.build import from_testdata
-from revline.plans.pipeline import PipelineConfig, PipelineResult, load_step, run_pipeline
+from revline.plans import pipeline
+from revline.plans.pipeline import STEPS, PipelineConfig, run_pipeline, run_step, warehouse_of
 from revline.queries import KNOWN_FAILURES, land_testdata
+from revline.schemas import LANDED_ITEM
 from revline.sources import files, landing
 
 from conftest import SF_SMALL
@@ -36,87 +39,68 @@ def test_pipeline_end_to_end_and_rerun(spark, tmp_path):
     for name in ("item_list", "recommendations", "sentiment_by_tag", "item_sentiment_stats"):
         parts = [p for p in os.listdir(f"{base}/exports/{name}") if p.endswith(".csv")]
         assert len(parts) == 1                                # asked for as one file
-    # re-run on the same landing: tables are replaced, results identical
-    res2 = run_pipeline(spark, cfg)
+    # re-run of every step on the same landing: tables are replaced, results identical
+    res2 = run_pipeline(spark, replace(cfg, skip_current=False))
     assert _rows(files.read_table(spark, res2.tables["recommendations"])) == first
 
 
-def test_replace_table_guard_keeps_old_table(spark, tmp_path):
-    import pytest
-
-    from revline.plans.pipeline import declared_constraints
-    path = str(tmp_path / "t")
-    good = spark.createDataFrame([(1, "a"), (2, "b")], "review_id long, sentiment_label string")
-    files.replace_table(good, path, guard=declared_constraints("review_id", ("sentiment_label",)))
-    bad = spark.createDataFrame([(1, "a"), (1, None)], "review_id long, sentiment_label string")
-    with pytest.raises(AssertionError):
-        files.replace_table(bad, path, guard=declared_constraints("review_id", ("sentiment_label",)))
-    assert _rows(files.read_table(spark, path)) == [(1, "a"), (2, "b")]
-    assert sorted(os.listdir(tmp_path)) == ["t"]           # the rejected folder is gone
-
-
-def test_bucketed_replace_guard_and_catalog(spark, tmp_path):
-    import pytest
-
-    from revline.plans.pipeline import declared_constraints
-    path = str(tmp_path / "scores")
-    good = spark.createDataFrame([(i, "positive") for i in range(20)], "review_id long, sentiment_label string")
-    files.replace_bucketed_table(good, "rl_test_scores", path, "review_id", 4,
-                                 guard=declared_constraints("review_id", ("sentiment_label",)))
-    parts = [p for p in os.listdir(path) if p.endswith(".parquet")]
-    assert len(parts) == 4                                   # one file per bucket
-    bad = spark.createDataFrame([(1, "a"), (1, "b")], "review_id long, sentiment_label string")
-    with pytest.raises(AssertionError):
-        files.replace_bucketed_table(bad, "rl_test_scores", path, "review_id", 4,
-                                     guard=declared_constraints("review_id", ("sentiment_label",)))
-    assert spark.table("rl_test_scores").count() == 20      # old table and catalog entry intact
-    assert sorted(os.listdir(tmp_path)) == ["scores"]
-
-
-def _table(spark, *values):
-    return spark.createDataFrame([(v,) for v in values], "v string")
-
-
-@pytest.mark.parametrize("failing_step", range(1, 5))
-def test_failed_swap_keeps_every_old_table(spark, tmp_path, monkeypatch, failing_step):
-    """Two tables swap in four renames; whichever fails, both stay as they were."""
-    paths = {n: str(tmp_path / n) for n in "ab"}
-    files.replace_tables({n: (_table(spark, "old"), p) for n, p in paths.items()})
-    real, calls = files._rename, []
-
-    def rename(fs, src, dst):
-        calls.append(dst)
-        if len(calls) == failing_step:
-            raise OSError("injected")
-        real(fs, src, dst)
-
-    monkeypatch.setattr(files, "_rename", rename)
-    with pytest.raises(OSError):
-        files.replace_tables({n: (_table(spark, "new"), p) for n, p in paths.items()})
-    for p in paths.values():
-        assert _rows(files.read_table(spark, p)) == [("old",)]
-    assert sorted(os.listdir(tmp_path)) == ["a", "b"]
+def _job(spark, tmp_path, **settings):
+    base = str(tmp_path)
+    land_testdata(spark, SF_SMALL, f"{base}/landing")
+    return PipelineConfig(landing_root=f"{base}/landing", warehouse_root=f"{base}/wh", as_of="2002-01-01",
+                          export_root=f"{base}/exports", report_only=KNOWN_FAILURES, **settings)
 
 
-def test_rename_that_reports_false_is_a_failure():
-    class Fs:
-        def rename(self, src, dst):
-            return False
-    with pytest.raises(OSError):
-        files._rename(Fs(), "a", "b")
+def test_a_run_goes_on_from_the_step_that_failed(spark, tmp_path, monkeypatch):
+    cfg = _job(spark, tmp_path)
+    names, first = list(STEPS), None
+    for k, name in enumerate(names):
+        def broken(spark, cfg, tx, real=STEPS[name].run):
+            real(spark, cfg, tx)             # all its tables are written, then it fails
+            raise OSError("injected")
+        monkeypatch.setitem(pipeline.STEPS, name, replace(STEPS[name], run=broken))
+        before = warehouse_of(spark, cfg).snapshot()
+        with pytest.raises(OSError):
+            run_pipeline(spark, cfg)
+        monkeypatch.undo()
+        now = warehouse_of(spark, cfg).snapshot()
+        assert set(now.steps) == set(names[:k]) and now.version == before.version + (1 if k else 0)
+    res = run_pipeline(spark, cfg)
+    assert res.ran == ["export"]
+    assert len(res.checks) == 42 and res.offered["reviews"] > 0 and res.exported["recommendations"] > 0
+    first = _rows(files.read_table(spark, res.tables["recommendations"]))
+    assert first == _rows(from_testdata(spark, SF_SMALL).recommendations)
+    again = run_pipeline(spark, cfg)
+    assert again.ran == [] and again.checks == res.checks and again.exported == res.exported
+    # other settings run what they change, and what reads it
+    assert run_pipeline(spark, replace(cfg, k=3)).ran == ["recommend", "export"]
+    # a new snapshot runs all
+    landing.write_snapshot(landing.read_snapshot(
+        spark, landing.latest_snapshot_path(spark, cfg.landing_root, "items"), LANDED_ITEM),
+        cfg.landing_root, "items", "2030-01-01")
+    assert run_pipeline(spark, replace(cfg, k=3)).ran == names
+    assert run_pipeline(spark, replace(cfg, skip_current=False, k=3)).ran == names
+
+
+def test_row_totals_of_exports(spark, tmp_path):
+    res = run_pipeline(spark, _job(spark, tmp_path))
+    for name, n in res.exported.items():
+        assert spark.read.option("header", True).csv(f"{tmp_path}/exports/{name}").count() == n
+    assert len(res.exported) == 4
 
 
 def test_null_key_stops_the_load(spark, tmp_path):
     base = str(tmp_path)
     land_testdata(spark, SF_SMALL, f"{base}/landing")
     cfg = PipelineConfig(landing_root=f"{base}/landing", warehouse_root=f"{base}/wh")
-    load_step(spark, cfg, PipelineResult())
-    before = _rows(files.read_table(spark, f"{base}/wh/raw/raw_items").drop("loaded_at"))
+    run_step(spark, cfg, "load")
+    wh = warehouse_of(spark, cfg)
+    before = _rows(wh.read("raw_items"))
     bad = spark.createDataFrame([(None, "t"), (1, "u")], "item_id long, title_native string")
     landing.write_snapshot(bad, f"{base}/landing", "items", "2024-01-03")
     with pytest.raises(AssertionError, match="not_null_t_item_id=1"):
-        load_step(spark, cfg, PipelineResult())
-    assert _rows(files.read_table(spark, f"{base}/wh/raw/raw_items").drop("loaded_at")) == before
+        run_step(spark, cfg, "load")
+    assert _rows(wh.read("raw_items")) == before
 
 
 def test_failed_checks_keep_the_published_recommendations(spark, tmp_path):
