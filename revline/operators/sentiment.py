@@ -2,9 +2,9 @@
 
 Scorer protocol: a *factory* ``() -> scorer``; a scorer maps a list of texts
 to a list of ``(raw_label, confidence)`` pairs. The factory runs once per
-Python worker (model loading stays out of the per-batch path); texts arrive
-in Arrow batches through ``mapInPandas`` and are fed to the scorer in chunks
-of ``batch_size``. Ids never leave the batch they came in, so results line
+Python worker *process*, whatever tasks and queries it serves (a registry keyed by
+the factory); texts arrive in Arrow batches through ``mapInPandas`` and are fed to
+the scorer in batches of like length. Ids never leave the batch they came in, so results line
 up with their rows without any join.
 
 The bundled lexicon scorer is deterministic and is *not* a trained model;
@@ -14,9 +14,11 @@ transformer model plugs into the same factory slot.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,8 @@ ScorerFactory = Callable[[], Scorer]
 # first 512 characters); the lexicon scorer reads whole texts by default.
 MODEL_INPUT_CHARS = 512
 DEFAULT_BATCH = 32
+# characters of a batch after padding to its longest text (ours; 32 texts of 8,192)
+DEFAULT_BATCH_CHARS = 1 << 18
 LABEL_MAP = {
     "negative": "negative",
     "neutral": "neutral",
@@ -127,20 +131,59 @@ def review_texts(fact: DataFrame, limit: int | None = None, id_col: str = "revie
     return out
 
 
-def _score_batches(factory: ScorerFactory, batch_size: int, max_chars: int | None, text_col: str,
-                   keep: list[str]):
-    label_map = dict(LABEL_MAP)
+#: scorers of this process, by what their factory is (see ``_factory_key``)
+_SCORERS: dict[str, Scorer] = {}
+#: models that a process holds at a time
+MOST_SCORERS = 4
+
+
+def _factory_key(factory: ScorerFactory) -> str:
+    """The same for a factory in every task of every query: a hash of its pickled form
+    (its name where workers can import it, else its code and what it closes over)."""
+    return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
+def scorer_of(key: str, factory: ScorerFactory) -> Scorer:
+    """The scorer of a factory in this worker process, made when first asked for.
+
+    Spark reuses a worker for many tasks, so a model is loaded once a process.
+    """
+    if key not in _SCORERS:
+        while len(_SCORERS) >= MOST_SCORERS:
+            del _SCORERS[next(iter(_SCORERS))]
+        _SCORERS[key] = factory()
+    return _SCORERS[key]
+
+
+def length_batches(lengths: Sequence[int], batch_size: int, batch_chars: int | None) -> Iterator[list[int]]:
+    """Places of texts by rising length, in batches of ``batch_size`` at most that, padded
+    to their longest, have ``batch_chars`` characters at most (one text at least)."""
+    batch: list[int] = []
+    for i in sorted(range(len(lengths)), key=lengths.__getitem__):
+        if batch and (len(batch) >= batch_size
+                      or batch_chars and (len(batch) + 1) * lengths[i] > batch_chars):
+            yield batch
+            batch = []
+        batch.append(i)
+    if batch:
+        yield batch
+
+
+def _score_batches(factory: ScorerFactory, batch_size: int, batch_chars: int | None,
+                   max_chars: int | None, text_col: str, keep: list[str]):
+    label_map, key = dict(LABEL_MAP), _factory_key(factory)
 
     def run(batches: Iterator) -> Iterator:
-        scorer = factory()
+        scorer = scorer_of(key, factory)
         for pdf in batches:
             texts = [(t[:max_chars] if max_chars else t) if t else "" for t in pdf[text_col].tolist()]
-            labels: list[str] = []
-            scores: list[float] = []
-            for i in range(0, len(texts), batch_size):
-                for lab, sc in scorer(texts[i:i + batch_size]):
-                    labels.append(label_map.get(lab, lab))
-                    scores.append(round(float(sc), 4))
+            labels: list[str] = [""] * len(texts)
+            scores: list[float] = [0.0] * len(texts)
+            for at in length_batches([len(t) for t in texts], batch_size, batch_chars):
+                found = scorer([texts[i] for i in at])
+                for i, (lab, sc) in zip(at, found, strict=True):
+                    labels[i] = label_map.get(lab, lab)
+                    scores[i] = round(float(sc), 4)
             out = pdf[keep].copy()
             out["sentiment_label"] = labels
             out["sentiment_score"] = scores
@@ -151,11 +194,13 @@ def _score_batches(factory: ScorerFactory, batch_size: int, max_chars: int | Non
 
 def append_scores(df: DataFrame, text_col: str = "text", factory: ScorerFactory | None = None,
                   batch_size: int = DEFAULT_BATCH, max_chars: int | None = None,
-                  drop_text: bool = True) -> DataFrame:
+                  drop_text: bool = True, batch_chars: int | None = DEFAULT_BATCH_CHARS) -> DataFrame:
     """Add ``sentiment_label`` and ``sentiment_score`` to every row of ``df``.
 
     ``factory=None`` uses the JVM form of the lexicon scorer; any other
-    factory runs in Python workers over Arrow batches. Either way the rows
+    factory runs in Python workers over Arrow batches, once a worker process; texts of
+    like length are scored together (``batch_size`` texts, ``batch_chars`` characters
+    after padding) and results go back to their rows. Either way the rows
     stay in their partitions (no shuffle) and other columns pass through.
     Whole texts are scored; ``max_chars`` (e.g. ``MODEL_INPUT_CHARS``) cuts
     them only for a scorer that cannot take more. NULL text scores as ''.
@@ -169,7 +214,7 @@ def append_scores(df: DataFrame, text_col: str = "text", factory: ScorerFactory
     fields = [f for f in df.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField("sentiment_label", T.StringType()),
                                     T.StructField("sentiment_score", T.DoubleType())])
-    return df.mapInPandas(_score_batches(factory, batch_size, max_chars, text_col, keep), schema)
+    return df.mapInPandas(_score_batches(factory, batch_size, batch_chars, max_chars, text_col, keep), schema)
 
 
 def score_texts(texts: DataFrame, factory: ScorerFactory | None = None,

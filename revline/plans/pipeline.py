@@ -60,7 +60,7 @@ class PipelineResult:
 
 
 def _read_landed(spark: SparkSession, root: str, entity: str, schema) -> DataFrame:
-    return landing.with_ingest_order(landing.read_latest(spark, root, entity, schema))
+    return landing.read_latest_in_order(spark, root, entity, schema)
 
 
 #: folder of each table below the warehouse

@@ -22,6 +22,9 @@ from revline.plans.pipeline import PipelineConfig, run_pipeline
 from revline.schemas import ITEM_PAYLOAD, LANDED_ITEM, LANDED_REVIEW, REVIEW_PAYLOAD
 from revline.session import scratch_path, write_scratch
 from revline.sources import files, landing, testdata
+from revline.sources.json_array import read_json_array
+from revline.sources.result_cache import ResultCache
+from revline.sources.warehouse import Warehouse
 
 def _marts(spark: SparkSession, sf: str, **kw) -> ReviewMarts:
     return from_testdata(spark, sf, **kw)
@@ -485,3 +488,82 @@ def q_sql_stats_for_item(spark, sf):
 
 
 CATALOGUE.update({"q_item_by_title": q_item_by_title, "q_sql_stats_for_item": q_sql_stats_for_item})
+
+
+# --- tables that change together, cached reports, array snapshots ---------------------
+
+
+def q_committed_users(spark, sf):
+    """Users of a warehouse after a commit of older tables, one of all raw tables and one
+    that failed half-way: readers see the second, whole."""
+    reviews = testdata.raw_reviews(testdata.table(spark, sf, "lineitem")).drop("loaded_at")
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    users = q_load_users(spark, sf)
+    with wh.transaction() as tx:
+        tx.write("raw_users", users.where("user_id % 2 = 0"))
+        tx.write("raw_reviews", reviews.where("review_id % 2 = 0"))
+    with wh.transaction() as tx:
+        tx.write("raw_users", users)
+        tx.write("raw_reviews", reviews, bucket_key="review_id", buckets=4)
+
+    def rejected(rows):
+        raise AssertionError(f"{rows.columns} does not hold")
+
+    try:
+        with wh.transaction() as tx:
+            tx.write("raw_users", users.where("user_id % 3 = 0"))
+            tx.write("raw_reviews", reviews.limit(0), guard=rejected)
+    except AssertionError:
+        wh.repair(older_than=0)
+    at = wh.snapshot()
+    return wh.read("raw_users", at).join(
+        wh.read("raw_reviews", at).select("user_id").distinct(), "user_id", "left_semi")
+
+
+def q_cached_item_stats(spark, sf):
+    """R5 from the result cache: made once from the committed tables, then read from the
+    entry; a new load is seen at once."""
+    m = _marts(spark, sf)
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    cache = ResultCache(wh, ttl=300)
+    scored = write_scratch(m.scored, "scored")
+
+    def load(rows):
+        with wh.transaction() as tx:
+            tx.write("scored", rows)
+
+    load(scored.where("review_id % 2 = 0"))
+    for rows in (None, scored, None):
+        if rows is not None:
+            load(rows)
+        out = cache.get("item_stats", ["scored"], reports.item_stats_all)
+    cache.sweep()
+    return out
+
+
+def _as_array(batches):
+    """JSON texts as the lines of one JSON array."""
+    import pyarrow as pa
+    begin = "["
+    for batch in batches:
+        lines = []
+        for text in batch.column("value").to_pylist():
+            lines.append(begin + text)
+            begin = ","
+        yield pa.RecordBatch.from_pydict({"value": lines})
+    yield pa.RecordBatch.from_pydict({"value": ["[]" if begin == "[" else "]"]})
+
+
+def q_array_snapshot(spark, sf):
+    """Items landed as one JSON array file, read in ranges by many tasks, in file order."""
+    payload = testdata.item_payloads(testdata.table(spark, sf, "part"))
+    path = scratch_path(spark, "array") + ".json"
+    (payload.select(F.to_json(F.struct("*")).alias("value")).coalesce(1)
+     .mapInArrow(_as_array, "value string").write.text(path))      # one file, as the extractor leaves
+    raw = read_json_array(spark, path, LANDED_ITEM, order="__ingest", range_bytes=1 << 16)
+    loaded = landing.load_items(landing.landed_items(raw, extra=["__ingest"]), keep_first_by=("__ingest",))
+    return _flat(loaded.drop("loaded_at"))
+
+
+CATALOGUE.update({"q_committed_users": q_committed_users, "q_cached_item_stats": q_cached_item_stats,
+                  "q_array_snapshot": q_array_snapshot})

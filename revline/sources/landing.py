@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from revline.functions.scalars import first_element
 from revline.operators.dedup import keep_first
 from revline.schemas import FLAT_ITEM, FLAT_REVIEW, RAW_ITEMS, RAW_REVIEWS, RAW_USERS
+from revline.sources.json_array import read_json_array
 
 PARTITION = "snapshot_date"
 
@@ -83,12 +84,9 @@ def latest_snapshot_path(spark: SparkSession, root: str, entity: str) -> str:
 
 
 def read_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read one snapshot with a fixed schema (JSON lines or one JSON array).
-
-    An array file is one task, as it cannot be split; JSON lines can.
-    """
+    """Read one snapshot with a fixed schema (JSON lines or one JSON array); both are split."""
     if path.endswith(".json"):
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        return read_json_array(spark, path, schema)
     return spark.read.schema(schema).json(path)
 
 
@@ -101,6 +99,15 @@ def read_snapshots(spark: SparkSession, paths: Sequence[str], schema) -> DataFra
     return out
 
 
+def read_latest_in_order(spark: SparkSession, root: str, entity: str, schema,
+                         name: str = "__ingest") -> DataFrame:
+    """The newest snapshot with its records' places as ``with_ingest_order`` has them."""
+    path = latest_snapshot_path(spark, root, entity)
+    if path.endswith(".json"):
+        return read_json_array(spark, path, schema, order=name)
+    return with_ingest_order(read_snapshot(spark, path, schema), name)
+
+
 def read_latest(spark: SparkSession, root: str, entity: str, schema) -> DataFrame:
     return read_snapshot(spark, latest_snapshot_path(spark, root, entity), schema)
 

@@ -1,0 +1,79 @@
+import json
+import random
+
+import pytest
+
+from revline.sources import landing
+from revline.sources.json_array import read_json_array
+
+SCHEMA = "id long, v string, tags array<string>, deep struct<a: struct<b: long>, list: array<struct<c: string>>>"
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Ranges of a few bytes: records, strings and escapes are cut everywhere."""
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    yield use
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def rows(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+def records(n, seed):
+    rng = random.Random(seed)
+    nasty = ['}', '{', ']', '[', '"', '\\', '\\"', '}{', '"}', '\\}', ',', '\n', 'é', '中}', '😀', 'a', ' ']
+    word = lambda: "".join(rng.choices(nasty, k=rng.randrange(0, 9)))
+    return [{"id": i, "v": rng.choice([None, word(), word() * 20]), "tags": [word() for _ in range(rng.randrange(3))],
+             "deep": rng.choice([None, {"a": {"b": i}, "list": [{"c": word()}, {}]}])} for i in range(n)]
+
+
+@pytest.mark.parametrize("size, indent, n", [(64, None, 120), (257, 1, 60), (7, None, 12), (1 << 20, 2, 50)])
+def test_same_rows_as_the_multiline_reader(spark, tmp_path, small_ranges, size, indent, n):
+    path = str(tmp_path / "x.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(records(n, size), f, indent=indent, ensure_ascii=bool(size % 2))
+    want = rows(spark.read.schema(SCHEMA).option("multiLine", True).json(path))
+    df = read_json_array(spark, path, SCHEMA, order="at", range_bytes=size)
+    assert rows(df.drop("at")) == want and len(want) == n
+    assert [r.id for r in sorted(df.collect(), key=lambda r: tuple(r["at"]))] == list(range(n))
+    if size < 1000:
+        small_ranges(size)
+        assert spark.read.text(path, lineSep="}").rdd.getNumPartitions() > 10
+
+
+def test_a_record_larger_than_many_ranges(spark, tmp_path, small_ranges):
+    path = str(tmp_path / "big.json")
+    data = [{"id": 1, "v": "x"}, {"id": 2, "v": "} \" { " * 2000, "tags": ["}"] * 500}, {"id": 3}]
+    (tmp_path / "big.json").write_text(json.dumps(data))
+    got = {r.id: (r.v, r.tags) for r in read_json_array(spark, path, SCHEMA, range_bytes=500).collect()}
+    assert got == {1: ("x", None), 2: (data[1]["v"], data[1]["tags"]), 3: (None, None)}
+
+
+def test_cases(spark, tmp_path, small_ranges):
+    for name, text, want in [("empty", " [ ] \n", []), ("one", '[{"id":1}]', [1]), ("spaced", '\n [\n{ "id" : 1 }\n,\n{"id":2}\n]\n', [1, 2]),
+                             ("nested", '[{"id":1,"x":[[{}],[{"id":9}]]},{"id":2}]', [1, 2]),
+                             ("scalars", '[null, 3, "}", {"id":1}, "{"]', [1]), ("after", '[{"id":1}] {"id":2}', [1])]:
+        (tmp_path / f"{name}.json").write_text(text)
+        assert sorted(r.id for r in read_json_array(
+            spark, str(tmp_path / f"{name}.json"), "id long", range_bytes=16).collect()) == want
+    (tmp_path / "cut.json").write_text('[{"id":1},{"id":2')
+    small_ranges(4096)
+    assert read_json_array(spark, str(tmp_path / "one.json"), "id long", range_bytes=3).collect()[0].id == 1
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "4096"
+    with pytest.raises(Exception, match="does not end"):
+        read_json_array(spark, str(tmp_path / "cut.json"), "id long").collect()
+
+
+def test_newest_array_snapshot_is_loaded_in_order(spark, tmp_path, small_ranges):
+    (tmp_path / "items").mkdir()
+    for day, n in (("2024-01-01", 3), ("2024-01-02", 40)):
+        (tmp_path / "items" / f"{day}.json").write_text(json.dumps([{"id": i % 10, "v": f"{day} {i}"} for i in range(n)]))
+    small_ranges(800)
+    df = landing.read_latest_in_order(spark, str(tmp_path), "items", "id long, v string")
+    got = df.groupBy("id").agg({"__ingest": "count"}).collect()
+    assert len(got) == 10 and all(r[1] == 4 for r in got)
+    first = {r.id: r.v for r in sorted(df.collect(), key=lambda r: tuple(r["__ingest"]), reverse=True)}
+    assert first == {i: f"2024-01-02 {i}" for i in range(10)}

@@ -1,3 +1,7 @@
+import os
+
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from revline.operators import sentiment as S
@@ -64,3 +68,58 @@ def test_empty_fact_gives_empty_table(spark):
     fact = spark.createDataFrame([], "review_id long, review_text string, summary string")
     assert S.sentiment_table(fact).count() == 0
     assert S.sentiment_table(fact, S.lexicon_factory).count() == 0
+
+
+def test_model_is_loaded_once_a_process(spark, tmp_path):
+    log = str(tmp_path / "loads")
+
+    def factory():
+        with open(log, "a") as f:
+            f.write(f"{os.getpid()}\n")
+        return lambda texts: [(f"{os.getpid()}", 0.5) for _ in texts]
+
+    def other():
+        return lambda texts: [("LABEL_2", 0.25) for _ in texts]
+
+    df = spark.range(400).selectExpr("id AS review_id", "repeat('x', cast(id % 7 AS int)) AS text").repartition(20)
+    served = set()
+    for _ in range(2):                               # two queries, 20 tasks each
+        served |= {r.sentiment_label for r in S.score_texts(df, factory).collect()}
+    loads = open(log).read().split()
+    assert set(loads) >= served and len(loads) == len(set(loads)) <= 4
+    assert {r.sentiment_label for r in S.score_texts(df, other).collect()} == {"positive"}
+
+
+def test_processes_hold_a_few_models(monkeypatch):
+    monkeypatch.setattr(S, "_SCORERS", {})
+    made = []
+    for k in [1, 2, 1, 3, 4, 5, 5, 1]:
+        S.scorer_of(str(k), lambda k=k: made.append(k))
+    assert made == [1, 2, 3, 4, 5, 1] and len(S._SCORERS) == S.MOST_SCORERS
+
+
+@given(st.lists(st.integers(0, 50), max_size=40), st.integers(1, 6), st.one_of(st.none(), st.integers(1, 120)))
+def test_batches_by_length(lengths, size, chars):
+    batches = list(S.length_batches(lengths, size, chars))
+    assert sorted(i for b in batches for i in b) == list(range(len(lengths)))
+    flat = [lengths[i] for b in batches for i in b]
+    assert flat == sorted(flat)
+    for b in batches:
+        assert len(b) <= size
+        assert len(b) == 1 or chars is None or len(b) * max(lengths[i] for i in b) <= chars
+
+
+def test_results_return_to_their_rows_and_wrong_counts_raise(spark):
+    def factory():
+        return lambda texts: [(t[:1], len(t) / 1000) for t in texts]
+    rows = [(i, "abc"[i % 3] * (i * 37 % 91 + 1)) for i in range(200)]
+    df = spark.createDataFrame(rows, "review_id long, text string")
+    got = {r.review_id: (r.sentiment_label, r.sentiment_score)
+           for r in S.append_scores(df, "text", factory, batch_size=8, batch_chars=300).collect()}
+    assert got == {i: (t[0], round(len(t) / 1000, 4)) for i, t in rows}
+
+    def short():
+        return lambda texts: [("LABEL_1", 0.5)] * (len(texts) - 1)
+    import pytest
+    with pytest.raises(Exception, match="zip"):
+        S.score_texts(df, short).collect()
