@@ -83,16 +83,32 @@ def extendible_shards(rows: DataFrame, limit_bytes: int, key_col: str = "doc_id"
     large. Other columns are ignored; no rows give no rows; a table that fits
     the limit is one shard with the empty prefix.
     """
+    _, _, found = _assigned(rows, limit_bytes, key_col, text_col, keep)
+    kept = [f"_keep{i}" for i in range(len(keep))]
+    return reduce(DataFrame.unionByName, found).select(
+        F.col("_key").alias(key_col), F.col("_size").alias("bytes"), "shard",
+        F.length("shard").alias("depth"), "shard_bytes", "shard_rows",
+        *(F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)))
+
+
+def _key_bits(key_col: str) -> Column:
+    return hash_bits(F.coalesce(F.col(key_col).cast("string"), F.lit("null")))
+
+
+def _assigned(rows: DataFrame, limit_bytes: int, key_col: str, text_col: str,
+              keep: tuple[str, ...]) -> tuple[DataFrame, int, list[DataFrame]]:
+    """The first directory (_cell, shard, ...), its bits, and the rows with their shards:
+    those that the first directory settles, then frames of the others."""
     kept = [f"_keep{i}" for i in range(len(keep))]
     hashed = write_scratch(rows.select(
         *(F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)), F.col(key_col).alias("_key"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("_size"),
-        hash_bits(F.coalesce(F.col(key_col).cast("string"), F.lit("null"))).alias("_h1"),
+        _key_bits(key_col).alias("_h1"),
         # written once, so the row number cannot change between the passes
         hash_bits(F.monotonically_increasing_id()).alias("_h2")), "shard-rows")
     total = hashed.agg(F.sum("_size")).first()[0] or 0
     depth = max(1, ceil(log2(max(1, total / limit_bytes)))) + SPARE_BITS
-    pending, used, found = hashed.withColumn("_prefix", F.lit("")), 0, []
+    pending, used, found, directory, bits = hashed.withColumn("_prefix", F.lit("")), 0, [], None, 0
     while True:
         word, at = ("_h1", used) if used < HASH_BITS else ("_h2", used - HASH_BITS)
         step = min(depth, HASH_BITS - at)
@@ -101,6 +117,9 @@ def extendible_shards(rows: DataFrame, limit_bytes: int, key_col: str = "doc_id"
         cells = here.groupBy("_prefix", "_cell").agg(
             F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
         entries, large = _directory(cells, step, limit_bytes, root=not used)
+        if directory is None:
+            directory, bits = write_scratch(entries, "directory"), step
+            entries = directory
         found.append(here.join(entries, ["_prefix", "_cell"]).select(
             *kept, "_key", "_size", "shard", "shard_bytes", "shard_rows"))
         used += step
@@ -121,10 +140,7 @@ def extendible_shards(rows: DataFrame, limit_bytes: int, key_col: str = "doc_id"
             *kept, "_key", "_size", F.col("_prefix").alias("shard"),
             F.col("_size").alias("shard_bytes"), F.lit(1).cast("long").alias("shard_rows")))
         pending, depth = rest.join(alone, "_prefix", "left_anti"), SPARE_BITS
-    return reduce(DataFrame.unionByName, found).select(
-        F.col("_key").alias(key_col), F.col("_size").alias("bytes"), "shard",
-        F.length("shard").alias("depth"), "shard_bytes", "shard_rows",
-        *(F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)))
+    return directory, bits, found
 
 
 def write_shards(rows: DataFrame, path: str, limit_bytes: int, key_col: str = "doc_id",
@@ -145,10 +161,20 @@ def write_shards(rows: DataFrame, path: str, limit_bytes: int, key_col: str = "d
         rows = write_scratch(rows, "shard-input")
         row_id = SCANNED_ROW
     known = rows.select("*", *(F.expr(e).alias(i) for e, i in zip(row_id, ids, strict=True)))
-    found = extendible_shards(known.select(*ids, F.col(key_col).alias("_k"), F.col(text_col).alias("_x")),
-                              limit_bytes, "_k", "_x", tuple(ids))
-    where = found.select(*ids, F.concat(F.lit("s"), "shard").alias(shard))
-    placed = known.join(where, ids).drop(*ids)
+    directory, bits, found = _assigned(
+        known.select(*ids, F.col(key_col).alias("_k"), F.col(text_col).alias("_x")), limit_bytes, "_k", "_x",
+        tuple(ids))
+    # most rows find their shard in the first directory by their key alone; the texts of
+    # the others (of keys and cells beyond the limit) are joined by row
+    cell = fresh(rows, "cell")
+    names = directory.select(F.col("_cell").alias(cell), F.concat(F.lit("s"), "shard").alias(shard))
+    placed = known.withColumn(cell, F.shiftright(_key_bits(key_col), HASH_BITS - bits)).join(
+        names, cell).drop(cell, *ids)
+    if len(found) > 1:
+        where = reduce(DataFrame.unionByName, found[1:]).select(
+            *(F.col(f"_keep{i}").alias(c) for i, c in enumerate(ids)),
+            F.concat(F.lit("s"), "shard").alias(shard))
+        placed = placed.unionByName(known.join(where, ids).drop(*ids))
     placed.repartition(shard).write.partitionBy(shard).parquet(path)
     return rows.sparkSession.read.schema(placed.schema).parquet(path)
 
