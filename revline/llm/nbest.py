@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from revline.llm import textvec
 
 #: bytes of remembered stretches (about) at which a worker starts anew
-REMEMBERED = 256 << 20
+REMEMBERED = 448 << 20
 #: longer stretches are not remembered: they hardly come again
 LONGEST_REMEMBERED = 64
 _SPACE_MARK = "▁"
@@ -70,8 +70,10 @@ class PieceLattice:
         of |= {i: bytes([b]) for b, i in (byte_ids or {}).items()}
         # the text of every id, one after the other; the last is for all others
         texts = [of.get(i, b"\xef\xbf\xbd") for i in range(max(of, default=0) + 2)]
-        self._size = np.array([len(t) for t in texts])
-        self._start = np.r_[0, np.cumsum(self._size)[:-1]]
+        self._size = np.array([len(t) for t in texts], np.int32)
+        self._start = np.r_[0, np.cumsum(self._size)[:-1]].astype(np.int32)
+        #: how packed ids are stored: two bytes where the vocabulary allows
+        self.packed_type = "<u2" if len(pieces) <= 1 << 16 else "<u4"
         self._bytes = np.frombuffer(b"".join(texts), np.uint8)
         linked = {c for p in self.edges if len(p) > 1 for c in p}
         pairs = {p[k:k + 2] for p in self.edges for k in range(len(p) - 1)}
@@ -247,13 +249,25 @@ class PieceLattice:
         Bytes that are no UTF-8, and ids that stand for no text, become U+FFFD.
         """
         ids = np.frombuffer(ids, "<u4") if isinstance(ids, bytes) else np.asarray(ids)
-        ids = np.where(ids < self._size.size - 1, ids, self._size.size - 1)
+        if not ids.size:
+            return ""
+        ids = np.minimum(ids, self._size.size - 1)
         size, start = self._size[ids], self._start[ids]
-        where = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) if ids.size else ids
-        raw = self._bytes[where + np.arange(where.size)].tobytes() if ids.size else b""
+        ends = np.cumsum(size, dtype=np.int64 if ids.size > 1 << 24 else np.int32)
+        where = np.repeat(start - (ends - size), size)
+        where += np.arange(where.size, dtype=where.dtype)
+        raw = self._bytes[where].tobytes()
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
+def _packed(spelled: list[bytes], kind: str) -> pa.Array:
+    """Ids of each row in one binary value, without an object for each."""
+    values = np.frombuffer(b"".join(spelled), "<u4").astype(kind)
+    width = values.dtype.itemsize
+    offsets = np.cumsum([0] + [len(x) // 4 * width for x in spelled]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(spelled), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
 def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id",
                  text_col: str = "text", with_ids: bool = True, packed: bool = False) -> DataFrame:
     """The n best segmentations of every row's whole text.
@@ -261,7 +275,7 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id"
     One row for each row and rank: id, rank (1 is best), score (sum of the
     pieces' scores), n_pieces, ids_crc32 (of little-endian 32-bit ids),
     round_trip (decoding gives the text back) and, with ``with_ids``, ids: an array or,
-    ``packed``, little-endian 32-bit numbers.
+    ``packed``, little-endian numbers of 16 bits (32 for a vocabulary beyond 65,536).
 
     A character that is no piece is spelled in byte pieces, at a score below
     every piece's. Defined cases: a null text counts as empty, an empty text has
@@ -293,7 +307,7 @@ def encode_nbest(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id"
                        pa.array(same, pa.bool_())]
             names = [id_col, "rank", "score", "n_pieces", "ids_crc32", "round_trip"]
             if with_ids:
-                columns.append(pa.array(spelled, pa.binary()) if packed else pa.ListArray.from_arrays(
+                columns.append(_packed(spelled, lattice.packed_type) if packed else pa.ListArray.from_arrays(
                     pa.array(np.cumsum([0] + [len(x) // 4 for x in spelled]), pa.int32()),
                     pa.array(np.frombuffer(b"".join(spelled), "<i4"))))
                 names.append("ids")
@@ -313,7 +327,8 @@ def decode_ids(rows: DataFrame, model: str, keep: list[str], ids_col: str = "ids
         for batch in batches:
             ids = batch.column("__ids")
             if pa.types.is_binary(ids.type):
-                texts = [None if x is None else lattice.decode(x) for x in ids.to_pylist()]
+                texts = [None if x is None else lattice.decode(np.frombuffer(x, lattice.packed_type))
+                         for x in ids.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(f"__keep{i}") for i in range(len(keep))), pa.array(texts, pa.string())],
                     [*keep, "text"])
