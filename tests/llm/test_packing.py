@@ -40,6 +40,29 @@ def test_histogram_packing_places_every_length_once(counts):
         assert sum(n for _, n in packs) <= 2 * -(-total // 32)
 
 
+def _piece_by_piece(counts, size):
+    """Rooms left by shortest-pack-first: longest pieces first, each into the emptiest pack
+    if it has room, else into a new one."""
+    rooms = []
+    for length in sorted((k for k, n in counts.items() for _ in range(n)), reverse=True):
+        emptiest = max(range(len(rooms)), key=rooms.__getitem__, default=None)
+        if emptiest is None or rooms[emptiest] < length:
+            rooms.append(size)
+            emptiest = len(rooms) - 1
+        rooms[emptiest] -= length
+    return sorted(rooms)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 40).flatmap(lambda size: st.tuples(
+    st.just(size), st.dictionaries(st.integers(1, size), st.integers(1, 30), max_size=size))))
+def test_histogram_packing_is_shortest_pack_first_piece_by_piece(case):
+    """Which of equally empty packs a piece goes to is open; the rooms left are not."""
+    size, counts = case
+    rooms = sorted(size - sum(lengths) for lengths, n in packing.pack_histogram(counts, size) for _ in range(n))
+    assert rooms == _piece_by_piece(counts, size)
+
+
 def _check(rows, texts, seq_len):
     bpe = packing.ByteBpe(PATH)
     by_doc, by_seq = defaultdict(list), defaultdict(list)
