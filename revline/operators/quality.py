@@ -73,7 +73,7 @@ def failing_rows(check: Check, models: dict[str, DataFrame]) -> DataFrame:
 
 
 def failing_count(check: Check, models: dict[str, DataFrame]) -> DataFrame:
-    """One-row frame ``failing_rows`` for a non-not-null check.
+    """One-row frame ``failing_rows`` of one check on its own.
 
     Relationships count orphans per key first (combined map-side), anti-join
     the distinct keys to the parent and sum: a child key holding a third of
@@ -89,60 +89,118 @@ def failing_count(check: Check, models: dict[str, DataFrame]) -> DataFrame:
     return failing_rows(check, models).agg(F.count(F.lit(1)).alias("failing_rows"))
 
 
-def unique_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """All unique checks of one model in one shuffle.
+def _comparable(child: DataFrame, column: str, parent: DataFrame, field: str) -> bool:
+    """True where equal values have equal texts, so that keys can meet in one column."""
+    a, b = (df.select(c).schema[0].dataType.simpleString() for df, c in ((child, column), (parent, field)))
+    return a == b or {a, b} <= _WHOLE
 
-    Each row contributes one (column, value) pair per checked column (values
-    as text: equality within a column is unchanged); one grouped count over
-    the pairs, combined map-side, then one conditional count per column of
-    the values seen more than once, unpivoted to one row per column (0 when
-    the column has no duplicate).
+
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+_BITS = 62          # row checks that share one number
+
+
+class _Suite:
+    """What each model contributes to one grouped multiset of (domain, key, role).
+
+    A domain holds the columns whose values are compared with each other: a unique
+    column alone, or the field that a relationship refers to (role 0) with the columns
+    that refer to it. Row checks (not-null, range) are a domain a model (and
+    62 checks) whose key is the number with a bit set for each check that the row fails.
+    Whole numbers are keys as they are, other values as texts.
     """
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("p"))
-    dup = (pairs.filter(F.col("p.v").isNotNull())
-           .groupBy(F.col("p.c").alias("c"), F.col("p.v").alias("v"))
-           .agg(F.count(F.lit(1)).alias("n"))
-           .agg(*[F.count_if((F.col("c") == c) & (F.col("n") > 1)).alias(f"_{i}")
-                  for i, c in enumerate(columns)]))
-    stack = ", ".join(f"'{c}', `_{i}`" for i, c in enumerate(columns))
-    return dup.selectExpr(f"stack({len(columns)}, {stack}) AS (column_name, failing_rows)").select(
-        F.concat(F.lit(f"unique_{model}_"), F.col("column_name")).alias("check_name"),
-        F.lit(model).alias("model"), "column_name", F.lit("unique").alias("test"),
-        F.col("failing_rows").cast("bigint").alias("failing_rows"))
+
+    def __init__(self, checks: Sequence[Check], models: dict[str, DataFrame]):
+        self.entries: dict[str, list] = {}                   # model -> (domain, key, role)
+        self.counts = []                                     # a column for each check
+        self.roles = 1
+        self._members: list[list[tuple[str, str]]] = []      # of each domain, by role
+        self._domain_of: dict[tuple[str, str], int] = {}     # by the column of role 0
+        row_checks: dict[str, list[Check]] = {}
+        for ch in checks:
+            if ch.test in ("not_null", "range"):
+                mine = row_checks.setdefault(ch.model, [])
+                domain = self._domain(("row checks", f"{ch.model}/{len(mine) // _BITS}"))
+                bit = F.lit(1 << len(mine) % _BITS).cast("bigint")
+                mine.append(ch)
+                failed = (F.col("d") == domain) & (F.col("k").bitwiseAND(bit) != 0)
+                self.counts.append(F.sum(F.when(failed, F.col("n0"))))
+            elif ch.test == "unique":
+                domain = self._domain((ch.model, ch.column))
+                self.counts.append(F.count_if((F.col("d") == domain) & (F.col("n0") > 1)))
+            else:
+                domain = self._domain((ch.parent, ch.field))
+                role = self._role(domain, (ch.model, ch.column))
+                orphan = (F.col("d") == domain) & (F.col("n0") == 0)
+                self.counts.append(F.sum(F.when(orphan, F.col(f"n{role}"))))
+        for domain, members in enumerate(self._members):
+            for role, (model, column) in enumerate(members):
+                if model != "row checks":
+                    key = F.col(column)
+                    whole = models[model].select(key).schema[0].dataType.simpleString() in _WHOLE
+                    self._add(model, domain, role, **{"k" if whole else "t": key})
+        for model, chs in row_checks.items():
+            for at in range(0, len(chs), _BITS):
+                bits = F.lit(0).cast("bigint")
+                for i, ch in enumerate(chs[at:at + _BITS]):
+                    failed = F.when(self._fails(ch), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                    bits = bits.bitwiseOR(failed)
+                domain = self._domain_of["row checks", f"{model}/{at // _BITS}"]
+                self._add(model, domain, 0, k=F.nullif(bits, F.lit(0).cast("bigint")))
+
+    @staticmethod
+    def _fails(ch: Check):
+        c = F.col(ch.column)
+        return c.isNull() if ch.test == "not_null" else (c < ch.lo) | (c > ch.hi)
+
+    def _domain(self, source: tuple[str, str]) -> int:
+        if source not in self._domain_of:
+            self._domain_of[source] = len(self._members)
+            self._members.append([source])
+        return self._domain_of[source]
+
+    def _role(self, domain: int, source: tuple[str, str]) -> int:
+        self._members[domain].append(source)
+        self.roles = max(self.roles, len(self._members[domain]))
+        return len(self._members[domain]) - 1
+
+    def _add(self, model: str, domain: int, role: int, k=None, t=None) -> None:
+        k = F.lit(None) if k is None else k
+        t = F.lit(None) if t is None else t
+        self.entries.setdefault(model, []).append(
+            (F.lit(domain), k.cast("bigint"), t.cast("string"), F.lit(role)))
+
+    def multiset(self, models: dict[str, DataFrame]) -> DataFrame:
+        """(d, k, t, n0, n1, ...): how often each role of a domain holds a key."""
+        parts = [models[m].select(F.stack(F.lit(len(es)), *[x for e in es for x in e]).alias("d", "k", "t", "r"))
+                 .filter(F.col("k").isNotNull() | F.col("t").isNotNull()) for m, es in self.entries.items()]
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.union(part)
+        return rows.groupBy("d", "k", "t").agg(*[
+            F.count_if(F.col("r") == i).alias(f"n{i}") for i in range(self.roles)])
 
 
 def dq_report(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFrame:
     """One row per check: (check_name, model, column_name, test, failing_rows).
 
-    All not-null checks of one model share a single pass over it; the other
-    checks are one aggregate each. The union is small: one row per check.
+    Every model is read once and one shuffle serves the whole suite: all rows become
+    entries of one multiset (``_Suite``), counted map-side first, so that a key holding
+    a third of all rows costs one entry a map task. Relationships between columns of
+    different kinds (a number and a text) are anti-joins of their own.
     """
+    apart = [ch for ch in checks if ch.test == "relationships"
+             and not _comparable(models[ch.model], ch.column, models[ch.parent], ch.field)]
+    together = [ch for ch in checks if ch not in apart]
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for ch in checks:
-        if ch.test == "not_null":
-            by_model.setdefault(ch.model, []).append(ch)
-    for model, chs in by_model.items():
-        nn = not_null_failures(models[model], [c.column for c in chs])
-        parts.append(nn.select(
-            F.concat(F.lit(f"not_null_{model}_"), F.col("column_name")).alias("check_name"),
-            F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
-            F.col("failing_rows").cast("bigint").alias("failing_rows")))
-    uniq: dict[str, list[Check]] = {}
-    for ch in checks:
-        if ch.test == "unique":
-            uniq.setdefault(ch.model, []).append(ch)
-    for model, chs in uniq.items():
-        parts.append(unique_counts(models[model], model, [c.column for c in chs]))
-    for ch in checks:
-        if ch.test in ("not_null", "unique"):
-            continue
-        cnt = failing_count(ch, models)
-        parts.append(cnt.select(
-            F.lit(ch.name).alias("check_name"), F.lit(ch.model).alias("model"),
-            F.lit(ch.column).alias("column_name"), F.lit(ch.test).alias("test"),
-            F.col("failing_rows").cast("bigint")))
+    if together:
+        suite = _Suite(together, models)
+        one = suite.multiset(models).agg(*[
+            F.coalesce(n, F.lit(0)).cast("bigint").alias(f"c{i}") for i, n in enumerate(suite.counts)])
+        parts.append(one.select(F.explode(F.array(*[
+            _report_row(ch, F.col(f"c{i}")) for i, ch in enumerate(together)])).alias("r")).select("r.*"))
+    for ch in apart:
+        parts.append(failing_count(ch, models).select(_report_row(ch, F.col("failing_rows")).alias("r"))
+                     .select("r.*"))
     # every part has the same five columns in the same order
     out = parts[0]
     for p in parts[1:]:
@@ -150,6 +208,12 @@ def dq_report(checks: Sequence[Check], models: dict[str, DataFrame]) -> DataFram
     return out
 
 
+def _report_row(ch: Check, failing):
+    return F.struct(F.lit(ch.name).alias("check_name"), F.lit(ch.model).alias("model"),
+                    F.lit(ch.column).alias("column_name"), F.lit(ch.test).alias("test"),
+                    failing.cast("bigint").alias("failing_rows"))
+
+
 def assert_clean(checks: Sequence[Check], models: dict[str, DataFrame]) -> None:
     """Raise when any check fails (use before replacing a table)."""
     bad = [r for r in dq_report(checks, models).filter(F.col("failing_rows") > 0).collect()]

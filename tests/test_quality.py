@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from revline.operators import quality as Q
 
@@ -30,3 +31,50 @@ def test_default_suite_size():
     checks = Q.default_checks()
     assert len(checks) == 42
     assert len({c.name for c in checks}) == 42
+
+
+def _plain(checks, models):
+    """The same counts check by check, from the sets of failing rows."""
+    return {c.name: Q.failing_count(c, models).first().failing_rows for c in checks}
+
+
+def test_one_pass_counts_what_each_check_counts_alone(spark):
+    rows = [(i % 40 if i % 7 else None, i % 3, str(i % 11) if i % 5 else None, i % 120) for i in range(600)]
+    models = {
+        "child": spark.createDataFrame(rows, "id int, hot long, name string, score int"),
+        "parent": spark.createDataFrame([(i,) for i in (0, 1, 5, 5, 30, None)], "k long"),
+        "named": spark.createDataFrame([("1",), ("2",), ("",)], "k string"),
+        "empty": spark.createDataFrame([], "k long"),
+    }
+    rel = "relationships"
+    checks = [Q.Check("child", c, t) for c in ("id", "hot", "name", "score") for t in ("not_null", "unique")]
+    checks += [Q.Check("child", "score", "range", lo=1, hi=100), Q.Check("parent", "k", "unique"),
+               Q.Check("parent", "k", "not_null"), Q.Check("empty", "k", "unique"), Q.Check("empty", "k", "not_null"),
+               Q.Check("child", "id", rel, "parent", "k"), Q.Check("child", "hot", rel, "parent", "k"),
+               Q.Check("child", "id", rel, "empty", "k"), Q.Check("empty", "k", rel, "parent", "k"),
+               Q.Check("child", "name", rel, "named", "k"), Q.Check("parent", "k", rel, "child", "id"),
+               Q.Check("child", "name", rel, "parent", "k")]              # a text and a number: apart
+    got = {r.check_name: r.failing_rows for r in Q.dq_report(checks, models).collect()}
+    assert got == _plain(checks, models)
+    assert got["unique_child_id"] == 40 and got["relationships_child_id__empty_k"] == 514
+
+
+def test_more_row_checks_than_bits(spark):
+    names = [f"c{i}" for i in range(130)]
+    df = spark.range(10).select(*[F.when(F.col("id") >= i % 11, F.col("id")).alias(c) for i, c in enumerate(names)])
+    got = Q.dq_report([Q.Check("m", c, "not_null") for c in names], {"m": df}).collect()
+    assert [r.failing_rows for r in got] == [i % 11 for i in range(130)]
+
+
+def test_one_read_a_model_and_one_shuffle(spark, tmp_path):
+    for name in ("a", "b"):
+        spark.range(50).selectExpr("id", "id % 7 AS fk").write.parquet(str(tmp_path / name))
+    models = {n: spark.read.parquet(str(tmp_path / n)) for n in ("a", "b")}
+    checks = [Q.Check(m, c, t) for m in "ab" for c in ("id", "fk") for t in ("not_null", "unique")]
+    checks += [Q.Check("a", "fk", "relationships", "b", "id"), Q.Check("b", "fk", "relationships", "a", "id"),
+               Q.Check("a", "fk", "range", lo=0, hi=3)]
+    df = Q.dq_report(checks, models)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert "SortAggregate" not in plan
+    assert {r.check_name: r.failing_rows for r in df.collect()} == _plain(checks, models)
