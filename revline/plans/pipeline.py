@@ -1,5 +1,5 @@
 """The daily batch job: landed snapshots -> raw -> staging -> marts -> scores
--> checks -> recommendations -> exports, in that order.
+-> look-up tables -> checks -> recommendations -> exports, in that order.
 
 Every step is one transaction on the warehouse: it writes new versions of its
 tables, reads them back, and all become visible by one commit, which also notes in
@@ -45,6 +45,8 @@ class PipelineConfig:
     # fact and score tables are bucketed by review id so that their join needs
     # no shuffle: a bucket for each of so many bytes of staged reviews
     bucket_bytes: int = 256 << 20
+    # look-up tables: a file for each of so many bytes (of the fact's or the items' files)
+    lookup_bytes: int = 64 << 20
     table_prefix: str = "rl_"
     # skip steps whose inputs and outputs are as the ledger says
     skip_current: bool = True
@@ -70,7 +72,10 @@ FOLDERS = {
     "dim_item": "marts/dim_item", "dim_user": "marts/dim_user", "dim_date": "marts/dim_date",
     "fact_reviews": "marts/fact_reviews", "sentiment": "marts/review_sentiment",
     "recommendations": "marts/recommendations",
+    "scored_by_item": "marts/scored_by_item", "item_titles": "marts/item_titles",
 }
+#: tables that others are copied from are checked, these copies are not
+LOOKUPS = ("scored_by_item", "item_titles")
 
 
 def warehouse_of(spark: SparkSession, cfg: PipelineConfig) -> Warehouse:
@@ -142,6 +147,20 @@ def score_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dic
     return {}
 
 
+def lookup_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
+    """Narrow copies laid out for look-ups: scored reviews by item, titles by title. The
+    join of fact and scores is made here once, for every report that reads it."""
+    def files_for(name: str) -> int:
+        return max(1, -(-tx.bytes_of(name) // cfg.lookup_bytes))
+
+    scored = reports.fact_join_scores(tx.read("fact_reviews"), tx.read("sentiment"))
+    tx.write("scored_by_item", scored, FOLDERS["scored_by_item"],
+             cluster_by=("item_id", "review_id"), files=files_for("fact_reviews"))
+    tx.write("item_titles", reports.item_titles(tx.read("dim_item")), FOLDERS["item_titles"],
+             cluster_by=("title_display", "item_id"), files=files_for("dim_item"), blooms=("item_id",))
+    return {}
+
+
 def _run_checks(cfg: PipelineConfig, models: dict[str, DataFrame], needed: set[str]) -> list[dict]:
     """Run the declared checks that read ``models`` and one of ``needed``; raise if any counts."""
     checks = [c for c in quality.default_checks() if c.model in models
@@ -156,14 +175,14 @@ def _run_checks(cfg: PipelineConfig, models: dict[str, DataFrame], needed: set[s
 
 def check_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     """Everything below the recommendations is checked before they are made."""
-    models = {n: tx.read(n) for n in FOLDERS if n != "recommendations"}
+    models = {n: tx.read(n) for n in FOLDERS if n not in ("recommendations", *LOOKUPS)}
     return {"checks": _run_checks(cfg, models, set(models))}
 
 
 def recommend_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     """Write the recommendations and check the written rows; they replace the
     previous ones only if the checks pass."""
-    stats = rec.item_sentiment_stats(tx.read("fact_reviews"), tx.read("sentiment"), cfg.min_reviews)
+    stats = rec.stats_from_scored(tx.read("scored_by_item"), cfg.min_reviews)
     recs = rec.recommend(tx.read("dim_item"), stats, cfg.k).orderBy("source_item_id", "rank")
     checks: list[dict] = []
     tx.write("recommendations", recs, FOLDERS["recommendations"], guard=lambda written: checks.extend(
@@ -175,7 +194,7 @@ def export_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> di
     if not cfg.export_root:
         return {}
     dim = tx.read("dim_item")
-    scored = reports.fact_join_scores(tx.read("fact_reviews"), tx.read("sentiment"))
+    scored = tx.read("scored_by_item")
     out = {
         "item_list": reports.item_list(dim),
         "recommendations": tx.read("recommendations").orderBy("source_item_id", "rank"),
@@ -225,10 +244,12 @@ STEPS = {
     "transform": Step(transform_step, _RAW, lambda s, c: {
         "as_of": str(c.as_of or _dt.date.today()), "bucket_bytes": c.bucket_bytes}),
     "score": Step(score_step, ("fact_reviews",), lambda s, c: {"scorer": _named(c.scorer)}),
-    "check": Step(check_step, tuple(n for n in FOLDERS if n != "recommendations"), _rules),
-    "recommend": Step(recommend_step, ("dim_item", "fact_reviews", "sentiment"),
+    "look-up": Step(lookup_step, ("dim_item", "fact_reviews", "sentiment"),
+                    lambda s, c: {"lookup_bytes": c.lookup_bytes}),
+    "check": Step(check_step, tuple(n for n in FOLDERS if n not in ("recommendations", *LOOKUPS)), _rules),
+    "recommend": Step(recommend_step, ("dim_item", "scored_by_item"),
                       lambda s, c: {"k": c.k, "min_reviews": c.min_reviews, **_rules(s, c)}),
-    "export": Step(export_step, ("dim_item", "fact_reviews", "sentiment", "recommendations"),
+    "export": Step(export_step, ("dim_item", "scored_by_item", "recommendations"),
                    lambda s, c: {"root": c.export_root, "single_file": c.export_single_file,
                                  "there": _exports_there(s, c)}),
 }
@@ -258,8 +279,8 @@ def run_step(spark: SparkSession, cfg: PipelineConfig, name: str, wh: Warehouse
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> PipelineResult:
-    """load -> transform -> score -> checks -> recommend (checked) -> export, from the
-    first step that is not current."""
+    """load -> transform -> score -> look-up -> checks -> recommend (checked) -> export, from
+    the first step that is not current."""
     wh, res = warehouse_of(spark, cfg), PipelineResult()
     wh.repair()
     for name in STEPS:

@@ -39,9 +39,16 @@ def item_list(dim_item: DataFrame) -> DataFrame:
     ).orderBy("title_display", "item_id")
 
 
+def item_titles(dim_item: DataFrame) -> DataFrame:
+    """What a look-up by title answers, to be laid out by title."""
+    return dim_item.select("item_id", "title", "title_display", "tag_primary")
+
+
 def item_by_title(dim_item: DataFrame, title_display: str) -> DataFrame:
     """First item (lowest id) whose display title equals ``title_display`` (P10).
 
+    Any table with the columns of ``item_titles`` will do; one that is laid out by title
+    is read in part.
     The single-row cut is the feature (a picker resolves a title to one id);
     ``limit(1)`` after ``orderBy`` is a top-1, not a scan of everything.
     """
@@ -121,6 +128,12 @@ def item_stats_all(scored: DataFrame) -> DataFrame:
     return scored.groupBy("item_id").agg(*_report_aggs()).select("item_id", *_report_cols())
 
 
+def stats_for_items(scored: DataFrame, first: int, last: int) -> DataFrame:
+    """R5 for the items ``first`` to ``last``; of a table laid out by item, only their
+    row groups are read."""
+    return item_stats_all(scored.filter(F.col("item_id").between(int(first), int(last))))
+
+
 def stats_for_item(scored: DataFrame, item_id: int) -> DataFrame:
     """The same figures for one item as a global aggregate: always one row,
     counts 0 and means NULL when the item has no scored review (R4)."""

@@ -565,5 +565,31 @@ def q_array_snapshot(spark, sf):
     return _flat(loaded.drop("loaded_at"))
 
 
+LOOKUP_RANGE = (100, 199)      # the items of one report: the look-up is the feature
+
+
+def _lookup_tables(spark, sf):
+    """Scored reviews by item and titles by title, as the batch job writes them."""
+    m = _marts(spark, sf)
+    wh = Warehouse(spark, scratch_path(spark, "lookups"))
+    with wh.transaction() as tx:
+        scored = m.scored.select("review_id", "item_id", "score", "sentiment_label", "sentiment_score")
+        tx.write("scored_by_item", scored, cluster_by=("item_id", "review_id"), files=16)
+        tx.write("item_titles", reports.item_titles(m.dim_item),
+                 cluster_by=("title_display", "item_id"), files=8, blooms=("item_id",))
+    return wh
+
+
+def q_lookup_item_stats(spark, sf):
+    """R4 for a range of items from the table laid out by item."""
+    return reports.stats_for_items(_lookup_tables(spark, sf).read("scored_by_item"), *LOOKUP_RANGE)
+
+
+def q_lookup_title(spark, sf):
+    """P10 from the table laid out by title."""
+    return reports.item_by_title(_lookup_tables(spark, sf).read("item_titles"), LOOKUP_TITLE)
+
+
+CATALOGUE.update({"q_lookup_item_stats": q_lookup_item_stats, "q_lookup_title": q_lookup_title})
 CATALOGUE.update({"q_committed_users": q_committed_users, "q_cached_item_stats": q_cached_item_stats,
                   "q_array_snapshot": q_array_snapshot})
