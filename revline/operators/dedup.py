@@ -13,6 +13,11 @@ Ordering, matching the source system:
 * ``keep_first``: order keys ASC with NULLs LAST; remaining columns break
   ties, ASC, NULLs first.
 
+``in_place=True`` (for frames that read the same rows each time, as written tables do)
+finds the keys that hold several rows first, from the key columns alone, by a hash
+aggregate. Rows of all other keys stay where they are: nothing of them is shuffled or
+sorted, whatever texts they carry. It runs a job at once.
+
 NULL grouping keys form one group, like ``DISTINCT ON``. Columns of map type
 are not orderable and are not supported.
 """
@@ -24,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revline.session import write_scratch
+
 _W = "__dedup_winner"
 
 
@@ -51,11 +58,40 @@ def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest: b
     return picked.select(*[column(c) for c in df.columns])
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+#: contested keys are broadcast up to so many bytes (as texts, and 16 a key and column)
+CONTESTED_BYTES = 32 << 20
+
+
+def _pick_in_place(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], latest: bool,
+                   contested_bytes: int) -> DataFrame:
+    keys = list(keys)
+    several = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_W)).filter(F.col(_W) > 1)
+               .select(*[F.col(c).alias(f"{_W}{i}") for i, c in enumerate(keys)]))
+    contested = write_scratch(several, "contested-keys")
+    width = sum((16 + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in contested.columns),
+                F.lit(0))
+    size = contested.agg(F.sum(width).alias("n")).first().n
+    if size is None:
+        return df                                  # every key has one row
+    if size > contested_bytes:
+        return _pick(df, keys, order_by, latest)   # too many to send to every task
+    same = [F.col(c).eqNullSafe(F.col(f"{_W}{i}")) for i, c in enumerate(keys)]
+    alone = df.join(F.broadcast(contested), same, "left_anti")
+    rivals = df.join(F.broadcast(contested), same, "left_semi")
+    return alone.union(_pick(rivals, keys, order_by, latest))
+
+
+def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], in_place: bool = False,
+                contested_bytes: int = CONTESTED_BYTES) -> DataFrame:
     """``DISTINCT ON (keys) ... ORDER BY keys, order_by DESC`` (NULLs first)."""
+    if in_place:
+        return _pick_in_place(df, keys, order_by, True, contested_bytes)
     return _pick(df, keys, order_by, latest=True)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], in_place: bool = False,
+               contested_bytes: int = CONTESTED_BYTES) -> DataFrame:
     """First row per key in ingest order (``ON CONFLICT DO NOTHING`` on load)."""
+    if in_place:
+        return _pick_in_place(df, keys, order_by, False, contested_bytes)
     return _pick(df, keys, order_by, latest=False)

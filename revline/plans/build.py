@@ -33,6 +33,8 @@ class ReviewMarts:
                  scorer: ScorerFactory | None = None, as_of: str | _dt.date | None = None,
                  k: int = 10, min_reviews: int = 2, buffer_days: int = 7,
                  sentiment: DataFrame | None = None, materialize: bool = False):
+        """``materialize``: write the models that several consumers read, from raw inputs
+        that read the same rows each time (written tables)."""
         self._raw = {"items": raw_items, "reviews": raw_reviews, "users": raw_users}
         self.scorer = scorer
         self.as_of = as_of
@@ -80,7 +82,7 @@ class ReviewMarts:
 
     @cached_property
     def stg_reviews(self) -> DataFrame:
-        return self._keep(staging.stage_reviews(self.raw_reviews), "stg-reviews")
+        return self._keep(staging.stage_reviews(self.raw_reviews, in_place=self.materialize), "stg-reviews")
 
     @cached_property
     def stg_users(self) -> DataFrame:

@@ -128,7 +128,8 @@ def load_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict
 def transform_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     """Staging (kept as tables here for the checks) and the star schema."""
     tx.write("stg_items", staging.stage_items(tx.read("raw_items")), FOLDERS["stg_items"])
-    reviews = tx.write("stg_reviews", staging.stage_reviews(tx.read("raw_reviews")), FOLDERS["stg_reviews"])
+    reviews = tx.write("stg_reviews", staging.stage_reviews(tx.read("raw_reviews"), in_place=True),
+                       FOLDERS["stg_reviews"])
     tx.write("stg_users", staging.stage_users(tx.read("raw_users")), FOLDERS["stg_users"])
     dates = tx.write("dim_date", marts.dim_date(reviews), FOLDERS["dim_date"])
     tx.write("dim_item", marts.dim_item(tx.read("stg_items")), FOLDERS["dim_item"])

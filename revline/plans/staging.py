@@ -47,7 +47,8 @@ _NARROW = ("item_id", "user_id", "score", "created_at", "user_created_at")
 _WIDE = ("username", "summary", "review_text")
 
 
-def _latest_usable_reviews(raw_reviews: DataFrame, wide: tuple[str, ...]) -> DataFrame:
+def _latest_usable_reviews(raw_reviews: DataFrame, wide: tuple[str, ...],
+                           in_place: bool = False) -> DataFrame:
     """Latest load per id, then without unusable rows; of the text columns only ``wide``."""
     c = F.col
     # NULL ids form one group whose survivor the filter below always drops,
@@ -56,14 +57,16 @@ def _latest_usable_reviews(raw_reviews: DataFrame, wide: tuple[str, ...]) -> Dat
         "review_id", "loaded_at", *_NARROW,
         (trim_spaces("review_text") != F.lit("")).alias("_has_text"), *wide)
     # a missing text is no text
-    latest = keep_latest(rows, ["review_id"], ["loaded_at"])
+    latest = keep_latest(rows, ["review_id"], ["loaded_at"], in_place)
     return latest.filter(c("_has_text") & c("score").between(1, 100))
 
 
-def stage_reviews(raw_reviews: DataFrame) -> DataFrame:
-    """Reviews: latest load per id, then drop unusable rows, epoch -> date."""
+def stage_reviews(raw_reviews: DataFrame, in_place: bool = False) -> DataFrame:
+    """Reviews: latest load per id, then drop unusable rows, epoch -> date.
+
+    ``in_place``: of a written table, move only the rows of ids that are not unique."""
     c = F.col
-    return _latest_usable_reviews(raw_reviews, _WIDE).select(
+    return _latest_usable_reviews(raw_reviews, _WIDE, in_place).select(
         c("review_id").cast("bigint").alias("review_id"),
         c("item_id").cast("bigint").alias("item_id"),
         c("user_id").cast("bigint").alias("user_id"),

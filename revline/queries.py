@@ -318,6 +318,12 @@ def q_keep_first(spark, sf):
     return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
+def q_keep_first_in_place(spark, sf):
+    """The same, with only the rows of repeated keys moved."""
+    li = testdata.table(spark, sf, "lineitem")
+    return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"], in_place=True)
+
+
 def q_keep_latest(spark, sf):
     ev = testdata.table(spark, sf, "events")
     return keep_latest(ev, ["user_id"], ["ts"])
@@ -395,6 +401,7 @@ CATALOGUE.update({
     "q_csv_roundtrip": q_csv_roundtrip,
     "q_latest_snapshot": q_latest_snapshot,
     "q_keep_first": q_keep_first,
+    "q_keep_first_in_place": q_keep_first_in_place,
     "q_keep_latest": q_keep_latest,
     "q_top_items": q_top_items,
     "q_newest_k": q_newest_k,

@@ -84,3 +84,40 @@ def test_stage_items_null_score_becomes_max(spark):
     assert got == {1: (Decimal("100.00"), "FINISHED", "s"), 2: (Decimal("100.00"), "X", "s")}
     kept = {r.item_id: r.avg_score for r in stage_items(df, null_score="keep").collect()}
     assert kept == {1: None, 2: Decimal("100.00")}
+
+
+def _rows_with_few_rivals(spark, tmp_path, null_keys=2):
+    rows = [(i, f"k{i % 5}", i % 3, f"text {i}") for i in range(200)]
+    rows += [(3, "k3", None, "again"), (3, "k3", 9, "later"), (4, "k4", 4 % 3, "tie"), (4, "k4", 4 % 3, "tie")]
+    rows += [(None, "n", i, f"null {i}") for i in range(null_keys)] + [(7, None, 1, "x")]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "a long, b string, ts int, v string").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_in_place_keeps_the_same_rows(spark, tmp_path):
+    df = _rows_with_few_rivals(spark, tmp_path)
+    for keep in (keep_latest, keep_first):
+        want = sorted(map(str, keep(df, ["a", "b"], ["ts"]).collect()))
+        for limit in (1 << 20, 0):                     # broadcast, and the way beyond the limit
+            got = keep(df, ["a", "b"], ["ts"], in_place=True, contested_bytes=limit)
+            assert got.columns == df.columns and sorted(map(str, got.collect())) == want
+    none = df.where("a < 0")
+    assert keep_latest(none, ["a", "b"], ["ts"], in_place=True).collect() == []
+    unique = df.dropDuplicates(["a", "b"]).select("a", "b", "ts", "v")
+    assert keep_latest(unique, ["a", "b"], ["ts"], in_place=True).count() == 202
+
+
+def test_in_place_moves_no_text_of_an_uncontested_key(spark, tmp_path):
+    df = _rows_with_few_rivals(spark, tmp_path)
+    got = keep_latest(df, ["a", "b"], ["ts"], in_place=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    alone, rivals = plan.split("LeftSemi")[0], plan.split("Union")[1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "LeftAnti" in rivals
+    # the one shuffle is above the semi join, in the branch of the repeated keys
+    assert "Exchange hashpartitioning" in alone and "BroadcastHashJoin" in plan
+    # without repeated keys there is no shuffle at all
+    path = str(tmp_path / "unique")
+    df.where("a > 10").write.parquet(path)
+    plan = keep_latest(spark.read.parquet(path), ["a"], ["ts"], in_place=True)._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in plan.toString() and "Aggregate" not in plan.toString()
