@@ -16,7 +16,8 @@ Ordering, matching the source system:
 ``in_place=True`` (for frames that read the same rows each time, as written tables do)
 finds the keys that hold several rows first, from the key columns alone, by a hash
 aggregate. Rows of all other keys stay where they are: nothing of them is shuffled or
-sorted, whatever texts they carry. It runs a job at once.
+sorted, whatever texts they carry. It runs a job at once, and pays where few rows repeat
+a key; where many do, the plain form reads the rows once less.
 
 NULL grouping keys form one group, like ``DISTINCT ON``. Columns of map type
 are not orderable and are not supported.

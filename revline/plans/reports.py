@@ -31,12 +31,21 @@ def _label_counts(prefix: str = ""):
     return [F.count_if(lab == x).alias(f"{prefix}{x}") for x in LABELS]
 
 
-def item_list(dim_item: DataFrame) -> DataFrame:
-    """Items for a picker, sorted by display title (R1)."""
+def _collated(column: str, collation: str | None):
+    return F.collate(F.col(column), collation) if collation else F.col(column)
+
+
+def item_list(dim_item: DataFrame, collation: str | None = None) -> DataFrame:
+    """Items for a picker, sorted by display title (R1).
+
+    ``collation``: a name of Spark's, as ``UNICODE`` or ``UNICODE_CI_AI`` (any case, any
+    accent) or a language, as ``sv``; by default titles are sorted by their bytes. Titles
+    that are equal under it are sorted by id.
+    """
     return dim_item.select(
         "item_id", "title", "title_display", "tag_primary",
         F.col("avg_score").cast("double").alias("avg_score"), "release_year",
-    ).orderBy("title_display", "item_id")
+    ).orderBy(_collated("title_display", collation), "item_id")
 
 
 def item_titles(dim_item: DataFrame) -> DataFrame:
@@ -44,15 +53,16 @@ def item_titles(dim_item: DataFrame) -> DataFrame:
     return dim_item.select("item_id", "title", "title_display", "tag_primary")
 
 
-def item_by_title(dim_item: DataFrame, title_display: str) -> DataFrame:
-    """First item (lowest id) whose display title equals ``title_display`` (P10).
+def item_by_title(dim_item: DataFrame, title_display: str, collation: str | None = None) -> DataFrame:
+    """First item (lowest id) whose display title equals ``title_display`` (P10), under
+    ``collation`` if one is named (such a look-up reads every title).
 
     Any table with the columns of ``item_titles`` will do; one that is laid out by title
     is read in part.
     The single-row cut is the feature (a picker resolves a title to one id);
     ``limit(1)`` after ``orderBy`` is a top-1, not a scan of everything.
     """
-    return (dim_item.filter(F.col("title_display") == F.lit(title_display))
+    return (dim_item.filter(_collated("title_display", collation) == F.lit(title_display))
             .select("item_id", "title", "title_display", "tag_primary")
             .orderBy("item_id").limit(1))
 

@@ -494,6 +494,24 @@ def q_sql_stats_for_item(spark, sf):
                      integers=["item_id"], item_id=str(LOOKUP_ITEM))
 
 
+def q_item_by_title_any_case(spark, sf):
+    """A title as somebody types it: other case, other accents."""
+    return reports.item_by_title(_marts(spark, sf).dim_item, "Smäll wIdget", "UNICODE_CI_AI")
+
+
+def q_item_list_collated(spark, sf):
+    """The item list under a language-aware collation, with the item that comes before each
+    one among those of its tag (half of the titles in another case)."""
+    from pyspark.sql import Window
+    listed = reports.item_list(_marts(spark, sf).dim_item.withColumn(
+        "title_display", F.when(F.col("item_id") % 2 == 0, F.initcap("title_display"))
+        .otherwise(F.col("title_display"))), "UNICODE_CI_AI")
+    in_tag = Window.partitionBy("tag_primary").orderBy(F.collate("title_display", "UNICODE_CI_AI"), "item_id")
+    return listed.select("item_id", "tag_primary", "title_display", F.lag("item_id").over(in_tag).alias("before"))
+
+
+CATALOGUE.update({"q_item_by_title_any_case": q_item_by_title_any_case,
+                  "q_item_list_collated": q_item_list_collated})
 CATALOGUE.update({"q_item_by_title": q_item_by_title, "q_sql_stats_for_item": q_sql_stats_for_item})
 
 

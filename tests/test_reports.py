@@ -53,3 +53,20 @@ def test_display_frame_has_nine_columns(spark):
         "reviews long, positive_ratio double, avg_sentiment double, recommendation_score double")
     shown = reports.display_recs(recs)
     assert len(shown.columns) == 9 and "avg_sentiment" not in shown.columns
+
+
+def test_titles_in_the_order_of_a_language(spark):
+    titles = ["zebra", "Éclair", "eclair", "apple", "Zoo", "Äpple", "öl", "Apple", None, ""]
+    dim = spark.createDataFrame(
+        [(i, t, t, "x", 1.0, 2000) for i, t in enumerate(titles)],
+        "item_id long, title string, title_display string, tag_primary string, avg_score double, release_year int")
+
+    def order(collation):
+        return [r.title_display for r in reports.item_list(dim, collation).collect()]
+
+    assert order(None) == [None, "", "Apple", "Zoo", "apple", "eclair", "zebra", "Äpple", "Éclair", "öl"]
+    # equal under the collation: by id
+    assert order("UNICODE_CI_AI") == [None, "", "apple", "Äpple", "Apple", "Éclair", "eclair", "öl", "zebra", "Zoo"]
+    assert order("sv")[-2:] == ["Äpple", "öl"]          # after z in Swedish
+    found = reports.item_by_title(dim, "ECLAIR", "UNICODE_CI_AI").collect()
+    assert [r.item_id for r in found] == [1] and reports.item_by_title(dim, "ECLAIR").collect() == []
