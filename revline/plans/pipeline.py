@@ -25,7 +25,7 @@ from revline.operators.sentiment import ScorerFactory, sentiment_table
 from revline.plans import marts, reports, staging
 from revline.schemas import FLAT_USER, LANDED_ITEM, LANDED_REVIEW
 from revline.sources import files, landing
-from revline.sources.warehouse import Transaction, Warehouse
+from revline.sources.warehouse import Transaction, Warehouse, bucket_count
 
 
 @dataclass
@@ -42,9 +42,9 @@ class PipelineConfig:
     fail_on_checks: bool = True
     report_only: tuple[str, ...] = ()
     export_single_file: bool = False
-    # fact and score tables are bucketed by review id so that their join needs
-    # no shuffle: a bucket for each of so many bytes of staged reviews
-    bucket_bytes: int = 256 << 20
+    # raw reviews, staged reviews, fact and scores are bucketed alike by review id, so the
+    # load's shuffle is the only one: a bucket for each of so many bytes of landed reviews
+    bucket_bytes: int = 512 << 20
     # look-up tables: a file for each of so many bytes (of the fact's or the items' files)
     lookup_bytes: int = 64 << 20
     table_prefix: str = "rl_"
@@ -101,7 +101,8 @@ def declared_constraints(key: str, required: tuple[str, ...] = ()):
 
 
 def load_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
-    """Newest snapshot per entity -> raw tables; first row per key wins."""
+    """Newest snapshot per entity -> raw tables; first row per key wins. The shuffle that
+    groups the reviews by id also deals them to the buckets that every later step keeps."""
     items = _read_landed(spark, cfg.landing_root, "items", LANDED_ITEM)
     flat_items = landing.landed_items(items, extra=["__ingest"])
     reviews = _read_landed(spark, cfg.landing_root, "reviews", LANDED_REVIEW)
@@ -120,30 +121,33 @@ def load_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict
                         "review_id"),
         "raw_users": (landing.load_users(_counted(users, offered, "users"), ["__ingest"]), "user_id"),
     }
+    landed = landing.latest_snapshot_path(spark, cfg.landing_root, "reviews")
+    buckets = bucket_count(spark, landing.snapshot_stamp(spark, landed)[1], cfg.bucket_bytes)
     for name, (df, key) in raw.items():
-        tx.write(name, df, FOLDERS[name], guard=declared_constraints(key))
-    return {"offered": _totals(offered)}
+        dealt = {"bucket_key": key, "buckets": buckets} if name == "raw_reviews" else {}
+        tx.write(name, df, FOLDERS[name], guard=declared_constraints(key), **dealt)
+    return {"offered": _totals(offered), "buckets": buckets}
 
 
 def transform_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
-    """Staging (kept as tables here for the checks) and the star schema."""
+    """Staging (kept as tables here for the checks) and the star schema. Reviews stay in
+    the buckets that the load dealt them to."""
+    dealt = {"bucket_key": "review_id", "buckets": tx.buckets_of("raw_reviews")}
     tx.write("stg_items", staging.stage_items(tx.read("raw_items")), FOLDERS["stg_items"])
     reviews = tx.write("stg_reviews", staging.stage_reviews(tx.read("raw_reviews"), in_place=True),
-                       FOLDERS["stg_reviews"])
+                       FOLDERS["stg_reviews"], **dealt)
     tx.write("stg_users", staging.stage_users(tx.read("raw_users")), FOLDERS["stg_users"])
     dates = tx.write("dim_date", marts.dim_date(reviews), FOLDERS["dim_date"])
     tx.write("dim_item", marts.dim_item(tx.read("stg_items")), FOLDERS["dim_item"])
     tx.write("dim_user", marts.dim_user(tx.read("stg_users"), cfg.as_of), FOLDERS["dim_user"])
-    buckets = max(1, -(-tx.bytes_of("stg_reviews") // cfg.bucket_bytes))
-    tx.write("fact_reviews", marts.fact_reviews(reviews, dates), FOLDERS["fact_reviews"],
-             bucket_key="review_id", buckets=buckets)
-    return {"buckets": buckets}
+    tx.write("fact_reviews", marts.fact_reviews(reviews, dates), FOLDERS["fact_reviews"], **dealt)
+    return {}
 
 
 def score_step(spark: SparkSession, cfg: PipelineConfig, tx: Transaction) -> dict:
     scores = sentiment_table(tx.read("fact_reviews"), cfg.scorer, with_timestamp=True)
     tx.write("sentiment", scores, FOLDERS["sentiment"], bucket_key="review_id",
-             buckets=tx.base.tables["fact_reviews"].buckets,
+             buckets=tx.buckets_of("fact_reviews"),
              guard=declared_constraints("review_id", ("sentiment_label", "sentiment_score")))
     return {}
 
@@ -241,9 +245,8 @@ def _rules(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
 _RAW = ("raw_items", "raw_reviews", "raw_users")
 STEPS = {
-    "load": Step(load_step, (), _landed),
-    "transform": Step(transform_step, _RAW, lambda s, c: {
-        "as_of": str(c.as_of or _dt.date.today()), "bucket_bytes": c.bucket_bytes}),
+    "load": Step(load_step, (), lambda s, c: {**_landed(s, c), "bucket_bytes": c.bucket_bytes}),
+    "transform": Step(transform_step, _RAW, lambda s, c: {"as_of": str(c.as_of or _dt.date.today())}),
     "score": Step(score_step, ("fact_reviews",), lambda s, c: {"scorer": _named(c.scorer)}),
     "look-up": Step(lookup_step, ("dim_item", "fact_reviews", "sentiment"),
                     lambda s, c: {"lookup_bytes": c.lookup_bytes}),

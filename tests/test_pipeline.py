@@ -1,14 +1,17 @@
 import os
+import re
 from dataclasses import replace
 
 import pytest
 
 from revline.plans.build import from_testdata
-from revline.plans import pipeline
+from revline.plans import marts, pipeline, staging
 from revline.plans.pipeline import STEPS, PipelineConfig, run_pipeline, run_step, warehouse_of
 from revline.queries import KNOWN_FAILURES, land_testdata
-from revline.schemas import LANDED_ITEM
+from revline.operators.sentiment import sentiment_table
+from revline.schemas import LANDED_ITEM, LANDED_REVIEW
 from revline.sources import files, landing
+from revline.sources.warehouse import bucket_count, dealing
 
 from conftest import SF_SMALL
 
@@ -124,3 +127,46 @@ def test_written_reports_keep_their_order(spark, tmp_path):
     rows = landing.with_ingest_order(landing.read_snapshot(spark, path, "item_id long, title_display string"))
     titles = [(r.title_display, r.item_id) for r in sorted(rows.collect(), key=lambda r: r["__ingest"])]
     assert len(titles) > 1 and titles == sorted(titles)
+
+
+def _exchanges(df, buckets):
+    """Shuffles of review rows in the plan that a write to ``buckets`` makes."""
+    with dealing(df.sparkSession, buckets):
+        plan = df.repartition(buckets, "review_id")._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\(review_id", plan)
+
+
+def test_one_shuffle_from_load_to_score(spark, tmp_path):
+    cfg = _job(spark, tmp_path, bucket_bytes=100_000)
+    run_pipeline(spark, cfg)
+    wh = warehouse_of(spark, cfg)
+    at = wh.snapshot()
+    buckets = at.tables["raw_reviews"].buckets
+    assert buckets > 1
+    for name in ("raw_reviews", "stg_reviews", "fact_reviews", "sentiment"):
+        assert at.tables[name].buckets == buckets
+        parts = [p for p in os.listdir(wh.path(name, at)) if p.endswith(".parquet")]
+        assert len(parts) == buckets                         # one file a bucket
+    landed = landing.read_latest_in_order(spark, cfg.landing_root, "reviews", LANDED_REVIEW)
+    load = landing.load_reviews(landing.landed_reviews(landed, extra=["__ingest"]), ["__ingest"])
+    assert len(_exchanges(load, buckets)) == 1               # the grouping's own shuffle deals the rows
+    assert not _exchanges(staging.stage_reviews(wh.read("raw_reviews", at), in_place=True), buckets)
+    assert not _exchanges(marts.fact_reviews(wh.read("stg_reviews", at), wh.read("dim_date", at)), buckets)
+    assert not _exchanges(sentiment_table(wh.read("fact_reviews", at), None), buckets)
+
+
+def test_dealing_leaves_the_settings_as_they_were(spark):
+    shuffle, auto = "spark.sql.shuffle.partitions", "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(shuffle), spark.conf.get(auto)
+    with pytest.raises(OSError), dealing(spark, 3):
+        assert spark.conf.get(shuffle) == "3"
+        raise OSError("injected")
+    assert (spark.conf.get(shuffle), spark.conf.get(auto)) == before
+
+
+def test_bucket_count(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert bucket_count(spark, 0, 512 << 20) == 1
+    assert bucket_count(spark, 8 << 20, 512 << 20) == min(cores, 2)
+    assert bucket_count(spark, 100 << 40, 512 << 20) == 100_000   # as many as a session allows
+    assert bucket_count(spark, 1000, 100) == 10
