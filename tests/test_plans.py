@@ -35,6 +35,19 @@ def test_pairs_are_deduplicated_on_numbers(spark):
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and "partial_max" in p
 
 
+def test_tasks_of_the_tag_join_follow_the_pairs(spark, monkeypatch):
+    """Its inputs are small, what it makes is not: adaptive execution may not coalesce it."""
+    from revline.operators import recommend as rec
+    iws = rec.materialize(from_testdata(spark, SF_SMALL).items_with_stats)
+    total = iws.selectExpr("explode(array_distinct(tags))").count()
+    rows = rec.candidate_pairs(iws, 10).collect()
+    monkeypatch.setattr(rec, "PAIRS_PER_TASK", 11 * total // 7 + 1)
+    pairs = rec.candidate_pairs(iws, 10)
+    dealt = [line for line in plan(pairs).splitlines() if "REPARTITION_BY_NUM" in line]
+    assert len(dealt) == 2 and all("hashpartitioning(tag" in d and ", 7)" in d for d in dealt)
+    assert sorted(pairs.collect()) == sorted(rows) and rec.pair_tasks(0, 10) == 1
+
+
 def test_dq_report_reads_pruned_files(spark):
     from revline.queries import q_dq_report
     p = plan(q_dq_report(spark, SF_SMALL))
