@@ -123,3 +123,31 @@ def test_ingest_order_beyond_five_digit_part_numbers(spark, tmp_path):
         (folder / f"part-{number}-x.json").write_text(json.dumps({"id": 1, "v": v}) + "\n")
     df = landing.with_ingest_order(spark.read.schema("id long, v string").json(str(folder)))
     assert [r.v for r in keep_first(df, ["id"], ["__ingest"]).collect()] == ["early"]
+
+
+def test_compressed_snapshots_are_small_and_keep_the_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_RECORDS", 7)
+    rows = spark.range(0, 100, 1, 2).selectExpr(
+        "id % 10 AS review_id", "id AS item_id", "repeat('the same words again ', 20) AS review_text")
+    sizes = {}
+    for kind in (None, "snappy"):
+        root = str(tmp_path / str(kind))
+        path = landing.write_snapshot(rows, root, "reviews", "2024-01-01", compression=kind)
+        assert landing.latest_snapshot_path(spark, root, "reviews") == path
+        sizes[kind] = landing.snapshot_stamp(spark, path)[1]
+        read = landing.with_ingest_order(landing.read_latest(spark, root, "reviews", LANDED_REVIEW))
+        loaded = landing.load_reviews(landing.landed_reviews(read, ["__ingest"]), ["__ingest"])
+        assert sorted((r.review_id, r.item_id) for r in loaded.collect()) == [(i, i) for i in range(10)]
+    assert sizes["snappy"] * 4 < sizes[None]
+    names = [n for n in os.listdir(path) if n.endswith(".json.snappy")]
+    assert len(names) == 16                       # 50 records a task, 7 a file
+
+
+def test_flat_reviews_are_landed_compressed(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from revline import queries
+    landed, write = [], landing.write_snapshot
+    monkeypatch.setattr(landing, "write_snapshot", lambda *a, **kw: landed.append(write(*a, **kw)))
+    queries.q_load_flat_reviews(spark, SF_SMALL)
+    folder = landed[0].replace("file:", "")
+    assert all(n.endswith(".snappy") for n in os.listdir(folder) if n.startswith("part-"))
