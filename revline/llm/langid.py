@@ -37,6 +37,7 @@ class LanguageModel:
     trust: np.ndarray     # bits, adds up to the number of bits
     ambiguous: float      # a winner's share below this is ambiguous
     farthest: float = np.inf  # a text farther from every codeword is in no known language
+    least: float = 0.0    # a text whose winner has a smaller share is in none of them for sure
 
 
 def codewords(n: int, seed: int = 0) -> np.ndarray:
@@ -145,22 +146,31 @@ def _winners(loss: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[:, 0], share[np.arange(len(share)), order[:, 0]], second
 
 
-def farthest_known(x: np.ndarray, labels: np.ndarray, model: LanguageModel) -> float:
-    """The least loss that a text in a known language does not reach.
+def known_bounds(x: np.ndarray, labels: np.ndarray, model: LanguageModel) -> tuple[float, float]:
+    """The least loss that a text in a known language does not reach, and the score
+    that it does not fall below.
 
     Each half of the rows is decoded by a model of the other half, and all by
     ``model``; a quarter of the way from the median to the largest loss is added.
-    It is log(2) at least, what one undecided bit loses: the one bit of two
-    languages can tell no text from theirs.
+    The loss is log(2) at least, what one undecided bit loses: the one bit of two
+    languages can tell no text from theirs. The score is that below which a text is
+    ambiguous, or the smallest of a labelled text where such texts are ambiguous too.
     """
-    seen = [losses(model, x.astype(np.float64) @ model.weights + model.bias).min(1)]
+    seen, scores = [], []
+
+    def note(part: LanguageModel, rows: np.ndarray) -> None:
+        loss = losses(part, rows.astype(np.float64) @ part.weights + part.bias)
+        seen.append(loss.min(1))
+        scores.append(_winners(loss)[1].min())
+
+    note(model, x)
     for half in (0, 1):
         out = np.arange(len(x)) % 2 == half
         if out.any() and not out.all():
-            part = fit(x[~out], labels[~out], model.languages)
-            seen.append(losses(part, x[out].astype(np.float64) @ part.weights + part.bias).min(1))
+            note(fit(x[~out], labels[~out], model.languages), x[out])
     most, middle = max(s.max() for s in seen), np.median(np.concatenate(seen))
-    return float(max(most + 0.25 * (most - middle), np.log(2)) + 1e-6)
+    farthest = max(most + 0.25 * (most - middle), np.log(2)) + 1e-6
+    return float(farthest), float(max(0.0, min(model.ambiguous, *scores) - 1e-6))
 
 
 def hash_below(id_col: str, share) -> Column:
@@ -178,7 +188,7 @@ def train(docs: DataFrame, max_per_language: int = 400, max_rows: int = 400 * 64
     ones whose id hash is smallest, or fewer where that would be more than
     ``max_rows`` rows together, but one of each language at least.
     Only their hashed counts (n_buckets numbers a row) reach the driver. With
-    ``farthest`` the model also knows how far from it a known language can be.
+    ``farthest`` the model also knows how far from it and how unsure a known language can be.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -210,7 +220,10 @@ def train(docs: DataFrame, max_per_language: int = 400, max_rows: int = 400 * 64
     place = {lang: k for k, lang in enumerate(languages)}
     labels = np.array([place[r["lang"]] for r in sample])
     model = fit(x, labels, languages)
-    return replace(model, farthest=farthest_known(x, labels, model)) if farthest else model
+    if farthest:
+        far, least = known_bounds(x, labels, model)
+        model = replace(model, farthest=far, least=least)
+    return model
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str],
@@ -283,14 +296,17 @@ def held_out_languages(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return predict(marked, model, [id_col, "held_out"])
 
 
-def keep_determined(docs: DataFrame, model: LanguageModel | None, least: float = 0.0,
+def keep_determined(docs: DataFrame, model: LanguageModel | None, least: float | None = None,
                     text_col: str = "text") -> DataFrame:
     """The rows, all columns, whose text has a letter, is no farther from the known
-    languages than the model allows and has a score of ``least`` or more.
+    languages than the model allows and has a score of ``least`` or more (None: what
+    the model has learned that known languages reach).
 
     If nothing could be learned, every row with a letter stays.
     """
-    farthest, least = (model.farthest, least) if model is not None else (np.inf, 0.0)
+    farthest = model.farthest if model is not None else np.inf
+    if least is None or model is None:
+        least = model.least if model is not None else 0.0
     names = docs.columns
     return (predict(docs.toDF(*(f"c{i}" for i in range(len(names)))), model,
                     [f"c{i}" for i in range(len(names))], f"c{names.index(text_col)}", with_loss=True)
