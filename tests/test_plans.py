@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+from collections import Counter
 
 from revline.operators.dedup import keep_latest
 from revline.plans import reports
@@ -48,6 +49,68 @@ def test_tasks_of_the_tag_join_follow_the_pairs(spark, monkeypatch):
     assert sorted(pairs.collect()) == sorted(rows) and rec.pair_tasks(0, 10) == 1
 
 
+def _scored_items(spark, ids):
+    """Scored items as ``recommend`` writes them; every third has a tag of its own."""
+    from revline.operators import recommend as rec
+    rows = [(i, f"t{i}", f"T{i}", ["all", f"x{(i or 0) % 5}"] + ([f"own{i}"] if i and i % 3 == 0 else []), "all",
+             70.0, 2000, "s", (i or 0) % 4, 0.5, 0.1, 60.0, 100 * ((i or 0) % 7)) for i in ids]
+    return rec.materialize(spark.createDataFrame(
+        rows, "item_id long, title string, title_display string, tags array<string>, tag_primary string, "
+        "community_score double, release_year int, studio string, review_count long, positive_ratio double, "
+        "avg_sentiment_score double, avg_review_score double, score_e4 long"))
+
+
+def _ranked(rec, iws, k):
+    total = rec.membership_count(iws)
+    return rec.rank_candidates(rec._joined_pairs(iws, k, total), iws, k, rec.pair_tasks(total, k))
+
+
+def test_tasks_of_the_ranking_follow_the_pairs(spark, monkeypatch):
+    """Dedup, rank and the source's titles share one deal of the pairs by source, which
+    adaptive execution may not coalesce; rows never meet by their few targets."""
+    from revline.operators import recommend as rec
+    iws = _scored_items(spark, range(200))
+    total = rec.membership_count(iws)
+    rows = sorted(_ranked(rec, iws, 3).collect())
+    monkeypatch.setattr(rec, "PAIRS_PER_TASK", 4 * total // 7 + 1)
+    recs = _ranked(rec, iws, 3)
+    moved = [line for line in plan(recs).splitlines() if "hashpartitioning(" in line]
+    dealt = [m for m in moved if "hashpartitioning(source_item_id" in m]
+    assert len(dealt) == 2 and all(", 7), REPARTITION_BY_NUM" in d for d in dealt)
+    assert not any("t_item_id" in m for m in moved)
+    assert sorted(recs.collect()) == rows and len(rows) == 600
+
+
+def test_sources_of_the_tag_join_are_not_broadcast(spark):
+    """Files of many items are small where titles and tags repeat; their rows are not."""
+    from revline.operators import recommend as rec
+    iws = _scored_items(spark, range(50))
+    p = plan(rec.candidate_pairs(iws, 3))
+    assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+    p = plan(_ranked(rec, iws, 3))
+    assert p.count("BroadcastExchange (") == 1      # the shortlisted items
+
+
+def test_many_targets_are_not_broadcast(spark, monkeypatch):
+    """Either way the same rows, of ids that repeat or are NULL too."""
+    from revline.operators import recommend as rec
+    iws = _scored_items(spark, [*range(60), 7, 8, 9, 58, None])
+    few = sorted(_ranked(rec, iws, 3).collect())
+    monkeypatch.setattr(rec, "TARGET_BYTES", 0)
+    many = _ranked(rec, iws, 3)
+    assert "BroadcastExchange" not in plan(many)
+    assert sorted(many.collect()) == few
+    # the same from the pairs one by one, each joined to all rows of both ids
+    pairs = {}
+    for r in rec.candidate_pairs(iws, 3).collect():
+        pairs.setdefault(r.source_item_id, []).append((-r.t_score_e4, -r.t_review_count, r.t_item_id))
+    copies = Counter(r.item_id for r in iws.collect())
+    assert copies[7] == 2 and copies[None] == 1
+    assert sorted((r.source_item_id, r.recommended_item_id, r["rank"]) for r in few) == sorted(
+        (s, t, i) for s, ts in pairs.items() for i, (_, _, t) in enumerate(sorted(ts)[:3], 1)
+        for _ in range(copies[s] * copies[t]))
+
+
 def test_dq_report_reads_pruned_files(spark):
     from revline.queries import q_dq_report
     p = plan(q_dq_report(spark, SF_SMALL))
