@@ -121,3 +121,29 @@ def test_in_place_moves_no_text_of_an_uncontested_key(spark, tmp_path):
     df.where("a > 10").write.parquet(path)
     plan = keep_latest(spark.read.parquet(path), ["a"], ["ts"], in_place=True)._jdf.queryExecution().executedPlan()
     assert "Exchange" not in plan.toString() and "Aggregate" not in plan.toString()
+
+
+def test_dealt_keeps_the_same_rows(spark, tmp_path):
+    """Also of a key that holds more rows than a task takes, of NULL keys and of no rows."""
+    df = _rows_with_few_rivals(spark, tmp_path, null_keys=40)
+    hot = df.union(df.where("a = 5").crossJoin(spark.range(90)).selectExpr("a", "b", "ts", "concat(v, id)"))
+    for rows in (df, hot, df.where("a < -1")):
+        want = sorted(map(str, keep_latest(rows, ["a", "b"], ["ts"]).collect()))
+        for limit in (30, 1_000_000):
+            got = keep_latest(rows, ["a", "b"], ["ts"], dealt=True, rows_per_task=limit)
+            assert got.columns == df.columns and sorted(map(str, got.collect())) == want
+
+
+def test_staging_sorts_reviews_in_tasks_that_follow_the_rows(spark, monkeypatch):
+    """No sort of a whole input split, whose files may hold many rows in few bytes."""
+    from revline.operators import dedup
+    rows = [_review(i % 500, T1, score=1 + i % 99) for i in range(600)]
+    raw = spark.createDataFrame(rows, _schema())
+    want = sorted(map(str, stage_reviews(raw).collect()))
+    monkeypatch.setattr(dedup, "ROWS_PER_TASK", 100)
+    got = stage_reviews(raw)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning(review_id")
+    assert len(below) == 2 and below[1].split("]")[0].split(", ", 1)[1].startswith("6), REPARTITION_BY_NUM")
+    assert "Sort" not in below[1] and "Aggregate" not in below[1]
+    assert sorted(map(str, got.collect())) == want
