@@ -147,3 +147,26 @@ def test_staging_sorts_reviews_in_tasks_that_follow_the_rows(spark, monkeypatch)
     assert len(below) == 2 and below[1].split("]")[0].split(", ", 1)[1].startswith("6), REPARTITION_BY_NUM")
     assert "Sort" not in below[1] and "Aggregate" not in below[1]
     assert sorted(map(str, got.collect())) == want
+
+
+def test_first_by_lead_keeps_the_same_rows(spark, tmp_path):
+    df = _rows_with_few_rivals(spark, tmp_path).union(
+        spark.createDataFrame([(8, "all null", None, v) for v in ("b", "a")], "a long, b string, ts int, v string"))
+    want = sorted(map(str, keep_first(df, ["a", "b"], ["ts"]).collect()))
+    for limit in (1 << 20, 0):                         # broadcast, and dealt beyond the limit
+        got = keep_first(df, ["a", "b"], ["ts"], by_lead=True, contested_bytes=limit)
+        assert got.columns == df.columns and sorted(map(str, got.collect())) == want
+    none = df.where("a < 0")
+    assert keep_first(none, ["a", "b"], ["ts"], by_lead=True).collect() == []
+
+
+def test_users_of_reviews_are_sorted_after_the_cut(spark, tmp_path):
+    """A user's reviews are not sorted, but for those of the first second."""
+    from revline.sources.landing import users_from_reviews
+    rows = [(i % 20, f"u{i % 20} {i}", 5, i // 40, i) for i in range(400)] + [(0, "zero", 5, 0, 0), (None, "n", 5, 0, 0)]
+    flat = spark.createDataFrame(rows, "user_id long, username string, user_created_at long, created_at long, id long")
+    want = sorted(map(str, users_from_reviews(flat, ["created_at", "id"]).collect()))
+    got = users_from_reviews(flat, ["created_at", "id"], by_lead=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan.split("partial_min")[1].split("Sort [")[1]    # below the first sort
+    assert sorted(map(str, got.collect())) == want and len(want) == 19
