@@ -170,3 +170,27 @@ def test_bucket_count(spark):
     assert bucket_count(spark, 8 << 20, 512 << 20) == min(cores, 2)
     assert bucket_count(spark, 100 << 40, 512 << 20) == 100_000   # as many as a session allows
     assert bucket_count(spark, 1000, 100) == 10
+
+
+def test_landing_sorts_ranges_that_follow_the_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from revline import queries as q
+    from revline.operators import dedup
+    from revline.sources import testdata
+    reviews = testdata.review_payloads(testdata.table(spark, SF_SMALL, "lineitem"))
+    want = reviews.withColumn("_has_text", F.trim("body") != "").orderBy(
+        F.col("_loaded_at").desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in q._REVIEW_TIES]
+    ).drop("_loaded_at", "_has_text").collect()
+    monkeypatch.setattr(dedup, "ROWS_PER_TASK", -(-len(want) // 7))
+    got = q._newest_first(reviews)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ", 7), REPARTITION_BY_NUM" in plan.split("Exchange rangepartitioning")[1]
+    assert got.collect() == want
+
+
+def test_a_bucket_is_what_a_task_can_sort(spark):
+    from revline.plans.pipeline import PipelineConfig
+    from revline.sources.warehouse import bucket_count
+    assert bucket_count(spark, 10 << 30, PipelineConfig("a", "b").bucket_bytes) == 80
