@@ -151,26 +151,41 @@ def known_bounds(x: np.ndarray, labels: np.ndarray, model: LanguageModel) -> tup
     that it does not fall below.
 
     Each half of the rows is decoded by a model of the other half, and all by
-    ``model``; a quarter of the way from the median to the largest loss is added.
-    The loss is log(2) at least, what one undecided bit loses: the one bit of two
-    languages can tell no text from theirs. The score is that below which a text is
-    ambiguous, or the smallest of a labelled text where such texts are ambiguous too.
+    ``model``. Examples of a language are the rows that are placed in their own and
+    not ambiguously: a wrong label or a text between two languages moves no limit.
+    To the largest loss of an example a quarter of the way from the median is added;
+    it is log(2) at least, what one undecided bit loses: the one bit of two languages
+    can tell no text from theirs. The score is that below which a text is ambiguous.
+
+    Only where the labels do not follow from the texts (the halves place no more rows
+    than halfway from chance to all, each language of several rows counting alike)
+    ambiguity says nothing: then every row is an example, and the smallest score of
+    one is the limit.
     """
-    seen, scores = [], []
+    seen, scores, placed = [], [], []
 
-    def note(part: LanguageModel, rows: np.ndarray) -> None:
+    def note(part: LanguageModel, rows: np.ndarray, own: np.ndarray) -> None:
         loss = losses(part, rows.astype(np.float64) @ part.weights + part.bias)
+        best, share, _ = _winners(loss)
         seen.append(loss.min(1))
-        scores.append(_winners(loss)[1].min())
-
-    note(model, x)
-    for half in (0, 1):
-        out = np.arange(len(x)) % 2 == half
-        if out.any() and not out.all():
-            note(fit(x[~out], labels[~out], model.languages), x[out])
-    most, middle = max(s.max() for s in seen), np.median(np.concatenate(seen))
-    farthest = max(most + 0.25 * (most - middle), np.log(2)) + 1e-6
-    return float(farthest), float(max(0.0, min(model.ambiguous, *scores) - 1e-6))
+        scores.append(share)
+        placed.append(best == own)
+
+    note(model, x, labels)
+    out = np.arange(len(x)) % 2 == 0
+    for half in (out, ~out):
+        if half.any() and not half.all():
+            note(fit(x[~half], labels[~half], model.languages), x[half], labels[half])
+    loss, score, right = (np.concatenate(part) for part in (seen, scores, placed))
+    least, n = model.ambiguous, len(model.languages)
+    if len(loss) > len(x):  # the rows by the halves' models come after those by the whole one's
+        own, rows = np.r_[labels[out], labels[~out]], np.bincount(labels, minlength=n)
+        found = (np.bincount(own, right[len(x):], n) / np.maximum(rows, 1))[rows > 1]
+        if n > 1 and (found.mean() if found.size else 0.0) <= (1 + 1 / n) / 2:
+            right, least = np.ones(len(loss), bool), max(0.0, min(least, score.min()) - 1e-6)
+    seen_right = loss[right & (score >= least)]
+    most, middle = (seen_right.max(), np.median(seen_right)) if seen_right.size else (0.0, 0.0)
+    return float(max(most + 0.25 * (most - middle), np.log(2)) + 1e-6), float(least)
 
 
 def hash_below(id_col: str, share) -> Column:

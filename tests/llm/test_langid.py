@@ -125,6 +125,39 @@ def test_stage_drops_texts_between_two_languages(spark):
     assert every.count() == len(rows + mixed)
 
 
+def test_a_few_labelled_mixtures_move_no_limit(spark):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    rows = [(i, _doc(lang, rng), lang, "x") for i, lang in enumerate(list(SYLLABLES) * 80)]
+
+    def mixed(first, n):
+        """Texts of three languages, word by word."""
+        return [(first + k, " ".join(w for ws in zip(*(_doc(lang, rng).split() for lang in rng.sample(
+            list(SYLLABLES), 3)), strict=False) for w in ws)) for k in range(n)]
+
+    labelled = [(i, text, rng.choice(list(SYLLABLES)), "x") for i, text in mixed(2000, 12)]
+    unknown = [(i, text, None, "x") for i, text in mixed(3000, 150)]
+    df = _frame(spark, rows + labelled + unknown)
+    model = langid.train(df, farthest=True)
+    assert model.least == model.ambiguous         # before: what the worst labelled text had
+    got = {r.doc_id: r for r in langid.predict(df, model, ["doc_id"], with_loss=True).collect()}
+    unsure = {i for i, r in got.items() if r.ambiguous}
+    assert unsure & {r[0] for r in unknown}       # kept before
+    left = {r.doc_id for r in corpus_pipeline.language(spark, df, "").collect()}
+    assert left == {i for i, r in got.items() if not r.ambiguous and r.loss <= model.farthest}
+    assert {r[0] for r in rows} <= left
+
+
+def test_labels_that_do_not_follow_from_the_texts_drop_nothing(spark):
+    rng = random.Random(22)
+    rows = [(i, _doc("aa", rng), rng.choice(["de", "en"]), "x") for i in range(120)]
+    df = _frame(spark, rows)
+    model = langid.train(df, farthest=True)
+    assert model.least < model.ambiguous
+    assert langid.keep_determined(df, model).count() == len(rows)
+
+
 def test_every_language_is_learned(spark):
     rng = random.Random(9)
     words = {f"l{k:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(6)]
