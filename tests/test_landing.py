@@ -151,3 +151,38 @@ def test_flat_reviews_are_landed_compressed(spark, monkeypatch):
     queries.q_load_flat_reviews(spark, SF_SMALL)
     folder = landed[0].replace("file:", "")
     assert all(n.endswith(".snappy") for n in os.listdir(folder) if n.startswith("part-"))
+
+
+def test_dense_snapshots_are_dealt_to_tasks_as_plain_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_RECORDS", 500)
+    rows = spark.range(0, 20_000, 1, 1).selectExpr(
+        "id AS review_id", "repeat('the same words again ', 20) AS review_text")
+    sizes, paths = {}, {}
+    for kind in (None, "gzip"):
+        paths[kind] = landing.write_snapshot(rows, str(tmp_path / str(kind)), "reviews", "2024-01-01", compression=kind)
+        sizes[kind] = landing.snapshot_stamp(spark, paths[kind])[1]
+    assert sizes["gzip"] * 10 < sizes[None]
+    for path in paths.values():
+        assert landing.landed_bytes(spark, path) == sizes[None]
+    settings = {"spark.sql.files.maxPartitionBytes": "2m", "spark.sql.files.openCostInBytes": "0",
+                "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+
+    def most(path):
+        """Records of the largest split."""
+        read = landing.read_snapshot(spark, path, LANDED_REVIEW).groupBy(F.spark_partition_id()).count()
+        return max(r["count"] for r in read.collect())
+
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plain, dense = most(paths[None]), most(paths["gzip"])
+        with landing.split_as_plain(spark, sizes["gzip"], sizes[None]):
+            dealt = most(paths["gzip"])
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "2m"
+        assert dealt <= plain + 500 < dense
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    empty = landing.write_snapshot(rows.limit(0), str(tmp_path / "empty"), "reviews", "2024-01-01", compression="gzip")
+    assert landing.landed_bytes(spark, empty) == landing.snapshot_stamp(spark, empty)[1]

@@ -194,3 +194,55 @@ def test_a_bucket_is_what_a_task_can_sort(spark):
     from revline.plans.pipeline import PipelineConfig
     from revline.sources.warehouse import bucket_count
     assert bucket_count(spark, 10 << 30, PipelineConfig("a", "b").bucket_bytes) == 80
+
+
+def _shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_queries_drop_their_shuffle_files(spark, tmp_path):
+    import time
+
+    from pyspark.sql import functions as F
+    from revline.session import dropping_shuffles
+    df = spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 10).alias("k")).count()
+    with dropping_shuffles(spark):
+        before = _shuffle_files(spark)
+        df.write.parquet(str(tmp_path / "a"))
+        for _ in range(100):                                  # deleted in the background
+            if not (left := _shuffle_files(spark) - before):
+                break
+            time.sleep(0.1)
+        assert not left
+        assert sorted(r["count"] for r in df.collect()) == [100] * 10
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    with pytest.raises(OSError), dropping_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+        raise OSError("injected")
+    assert spark.conf.get(key, None) == was
+
+
+def test_the_job_lands_and_exports_compressed(spark, tmp_path, monkeypatch):
+    from revline import queries as q
+    monkeypatch.setattr(q, "scratch_path", lambda spark, name: str(tmp_path))
+    got = q.q_pipeline_recommendations(spark, SF_SMALL)
+    assert _rows(got) == _rows(from_testdata(spark, SF_SMALL).recommendations)
+    for folder, end in (("landing/items/snapshot_date=2024-01-02", ".json.gz"),
+                        ("landing/reviews/snapshot_date=2024-01-02", ".json.gz"),
+                        ("exports/recommendations", ".csv.gz"), ("exports/item_list", ".csv.gz")):
+        parts = [n for n in os.listdir(tmp_path / folder) if n.startswith("part-")]
+        assert parts and all(n.endswith(end) for n in parts)
+
+
+def test_landing_shuffles_the_rows_that_payloads_are_made_of(spark):
+    from revline import queries as q
+    from revline.sources import testdata
+    lineitem = testdata.table(spark, SF_SMALL, "lineitem")
+    got = q._newest_first(lineitem, testdata.review_fields())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    moved = plan.split("RepartitionByExpression")[1]
+    assert "concat" not in moved.split("\n", 1)[1]          # no text is made before the shuffle
+    assert got.collect() == q._newest_first(testdata.review_payloads(lineitem)).collect()
